@@ -17,17 +17,13 @@ def is_json(text: Column | str) -> Column:
     """True when the whole text is one JSON value (strict: no NaN, no Infinity, no repeated object keys).
 
     ``try_parse_json`` stops after the first value and ignores what follows. The text is therefore parsed as
-    the first element of a list whose second element is a hash of the text: trailing characters keep the
+    the first element of a list whose second element is a hash of the text: anything beyond one value keeps the
     hash from showing up in second place.
     """
     value = _col(text)
     mark = F.xxhash64(value).cast("string")
     listed = F.try_parse_json(F.concat(F.lit("["), value, F.lit(',"'), mark, F.lit('"]')))
-    return F.coalesce(
-        (F.try_variant_get(listed, "$[1]", "string") == mark)
-        & F.try_variant_get(listed, "$[2]", "string").isNull(),
-        F.lit(False),
-    )
+    return F.coalesce(F.try_variant_get(listed, "$[1]", "string") == mark, F.lit(False))
 
 
 def is_python_json(text: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.text import _col, strip
@@ -36,3 +36,10 @@ def log_or_limit(value: Column | str) -> Column:
         .when(number == 0, F.lit(float("-inf")))
         .when(number < 0, F.lit(float("nan")))
     )
+
+
+def exact(df: DataFrame, value: Column | str) -> Column:
+    """Whole numbers of ``df`` as DECIMAL, so that long weighted sums do not overflow; other numbers unchanged."""
+    number = _col(value)
+    kind = df.select(number.alias("value")).schema["value"].dataType.typeName()
+    return number.cast("decimal(20,0)") if kind in ("byte", "short", "integer", "long") else number

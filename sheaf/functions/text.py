@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the characters that Java's \s matches.
@@ -26,8 +28,13 @@ def token_count(text: Column | str) -> Column:
 
 
 def split_fields(line: Column | str, sep: str = "\t") -> Column:
-    """Split a line on a literal separator, keeping empty fields at the end."""
-    return F.split(_col(line), rf"\Q{sep}\E", -1)
+    """Split a line on a literal separator, keeping empty fields at the end.
+
+    A separator of one character is passed on bare, or escaped if it has a meaning in patterns: Spark then splits
+    without a pattern match.
+    """
+    literal = re.sub(r"([.$|()\[{^?*+\\])", r"\\\1", sep) if len(sep) == 1 else rf"\Q{sep}\E"
+    return F.split(_col(line), literal, -1)
 
 
 def field(fields: Column | str, position: int) -> Column:
@@ -35,6 +42,15 @@ def field(fields: Column | str, position: int) -> Column:
     return F.get(_col(fields), F.lit(position))
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, however many later filters and columns refer to it.
+
+    Spark moves filters below a plain computed column by repeating its expression. It does not do so for an
+    exploded one, which pays off when the expression splits or parses text.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def register_zip_counter(spark: SparkSession, name: str = "zipCounter") -> None:
     """Make the token counter callable by name in SQL strings.
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheaf.functions.numbers import log_or_limit
+from sheaf.functions.numbers import exact, log_or_limit
 from sheaf.functions.text import _col
 
 # Rows per chunk in position_weighted_sum, as a power of two: small positions keep sums of doubles accurate.
@@ -99,7 +99,7 @@ def position_weighted_sum(
     the chunk. The chunks that precede one then shift it by their row counts. ``order_by`` should leave no ties.
     """
     keys, order = list(by), [c for c in order_by if c not in by]
-    number = _exact(df, value)
+    number = exact(df, value)
     rows = df.select(*keys, *order, number.alias("_value"))
     placed = (
         rows.repartitionByRange(*keys, *order)
@@ -182,9 +182,3 @@ def _times_power(number: Column, exponent: Column) -> Column:
     half = F.shiftright(exponent, 1)
     return number * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
 
-
-def _exact(df: DataFrame, value: Column | str) -> Column:
-    """Whole numbers as DECIMAL, so that weighted sums neither wrap around nor lose digits; others unchanged."""
-    number = _col(value)
-    kind = df.select(number.alias("value")).schema["value"].dataType.typeName()
-    return number.cast("decimal(20,0)") if kind in ("byte", "short", "integer", "long") else number

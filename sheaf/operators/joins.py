@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheaf.functions.numbers import exact
 from sheaf.functions.text import _col
 from sheaf.operators.skew import balanced_join, count_rows_by, hot_keys
 
@@ -63,7 +64,7 @@ def country_order_report(
     hot = hot_keys(count_rows_by(known_orders, ["customer_id"]), ["customer_id"], "rows")
     priced = known_orders.select("invoice_no", "customer_id").join(order_totals(items, amount), ["invoice_no"], "inner")
     sales = balanced_join(priced, people, ["customer_id"], ["invoice_no"], hot)
-    spent = F.sum(F.col("order_total") * F.col("people"))
+    spent = F.sum(exact(sales, "order_total") * F.col("people"))
     with_total = F.when(F.col("order_total").isNotNull(), F.col("people"))
     return sales.groupBy("country").agg(
         F.count_distinct("invoice_no").alias("num_orders"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheaf.functions.jsoncheck import is_json, is_python_json
-from sheaf.functions.text import field, split_fields, strip
+from sheaf.functions.text import field, split_fields, strip, with_once
 
 # The names of the files to check, and the reasons given.
 TRACE_FILES = r"^(mapper.*out\.txt|reducer.*(in|out)\.txt)$"
@@ -22,24 +22,17 @@ def key_value_violations(lines: DataFrame, column: Column | str = "value", stric
     Blank lines are passed over. Unless ``strict``, texts that Python's parser takes beyond the JSON standard
     (NaN, Infinity, repeated object keys) are accepted; only lines found faulty before are handed to it.
     """
-    sides = split_fields(column, "\t")
     columns = lines.columns
-    checked = (
-        lines.withColumn("_sides", sides)
-        .where(strip(column) != "")
-        .withColumn("_key", field("_sides", 0))
-        .withColumn("_payload", field("_sides", 1))
-        .withColumn("_tabs", F.size("_sides") - 1)
-        .withColumn("reason", _reason(is_json("_key"), is_json("_payload")))
-        .where(F.col("reason").isNotNull())
-    )
+    sides = with_once(lines.where(strip(column) != ""), "_sides", split_fields(column, "\t"))
+    key, payload = field("_sides", 0), field("_sides", 1)
+    checked = with_once(sides, "reason", _reason(is_json(key), is_json(payload))).where(F.col("reason").isNotNull())
     if not strict:
-        checked = (
-            checked.withColumn("_key_ok", is_python_json("_key"))
-            .withColumn("_payload_ok", is_python_json("_payload"))
-            .withColumn("reason", _reason(F.col("_key_ok"), F.col("_payload_ok")))
-            .where(F.col("reason").isNotNull())
+        checked = with_once(
+            checked.withColumn("_key_ok", is_python_json(key)).withColumn("_payload_ok", is_python_json(payload)),
+            "_reason",
+            _reason(F.col("_key_ok"), F.col("_payload_ok")),
         )
+        checked = checked.where(F.col("_reason").isNotNull()).withColumn("reason", F.col("_reason"))
     return checked.select(*columns, "reason")
 
 
@@ -80,9 +73,10 @@ def check_files(
 
 
 def _reason(key_ok: Column, payload_ok: Column) -> Column:
+    sides = F.size("_sides")
     return (
-        F.when(F.col("_tabs") < 1, F.lit(NO_TAB))
-        .when(F.col("_tabs") > 1, F.lit(TABS))
+        F.when(sides < 2, F.lit(NO_TAB))
+        .when(sides > 2, F.lit(TABS))
         .when(~key_ok, F.lit(BAD_KEY))
         .when(~payload_ok, F.lit(BAD_VALUE))
     )

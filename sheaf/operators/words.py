@@ -34,8 +34,8 @@ def line_weights(lines: DataFrame, text: Column | str = "value", above: int = 1)
     Every occurrence adds the word count of its line; lines with ``above`` words or fewer add nothing, yet a word
     found only on such lines is still listed, with 0.
     """
-    sized = lines.select(_col(text).alias("line")).select("line", token_count("line").alias("size"))
-    occurrences = sized.select(F.explode_outer(tokens("line")).alias("word"), "size").where(F.col("word") != "")
+    split_lines = lines.select(tokens(text).alias("words")).select("words", F.size("words").alias("size"))
+    occurrences = split_lines.select(F.explode_outer("words").alias("word"), "size").where(F.col("word") != "")
     counted = F.when(F.col("size") > above, F.col("size")).otherwise(F.lit(0)).cast("bigint")
     return occurrences.groupBy("word").agg(F.sum(counted).alias("weight"))
 

@@ -33,6 +33,10 @@ def sql_tokens(column: str) -> str:
     return rf"list_filter(regexp_split_to_array({column}, '\s+'), lambda x: x <> '')"
 
 
+def sql_cents(column: str) -> str:
+    return f"CAST(floor({column} * 100 + 0.5) AS BIGINT)"
+
+
 SQL_CITIES = "SELECT lang AS state, source AS county, n_chars AS population, text AS zips FROM documents"
 SQL_EDGES = "SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem"
 SQL_CANONICAL = f"SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst FROM ({SQL_EDGES}) WHERE src <> dst"
@@ -41,7 +45,7 @@ SQL_RETAIL = """
 SELECT CASE WHEN l_quantity = 50 THEN 'InvoiceNo' || chr(9) || 'item' || chr(9) || 'quantity' || chr(9) || 'date' || chr(9) || 'customer'
   WHEN l_quantity = 49 THEN l_orderkey || chr(9) || l_partkey || chr(9) || CAST(l_quantity AS BIGINT) || chr(9) || l_suppkey
   ELSE l_orderkey || chr(9) || l_partkey || chr(9) || CAST(l_quantity AS BIGINT) || chr(9)
-    || strftime(l_shipdate, '%Y-%m-%d') || chr(9) || ' ' || l_suppkey END AS value
+    || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) || chr(9) || ' ' || l_suppkey END AS value
 FROM lineitem"""
 SQL_CITY_LINES = """
 SELECT string_split(CASE WHEN c_nationkey = 5 AND c_acctbal < 0 THEN front ELSE front || chr(9) || c_custkey END, chr(9)) AS f FROM (
@@ -56,7 +60,7 @@ SELECT event_id, CASE user_id WHEN 7 THEN k || v WHEN 8 THEN k || chr(9) || v ||
   SELECT event_id, user_id, CASE WHEN value < 1 THEN event_type ELSE '"' || event_type || '"' END AS k,
     CASE event_type WHEN 'error' THEN props || ' x' WHEN 'click' THEN props || props ELSE props END AS v FROM events)"""
 SQL_PEOPLE = "SELECT CAST(c_custkey AS VARCHAR) AS customer_id, n_name AS country, c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey"
-SQL_TOTALS = "SELECT l_orderkey AS invoice_no, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS order_total FROM lineitem GROUP BY 1"
+SQL_TOTALS = f"SELECT l_orderkey AS invoice_no, CAST(sum({sql_cents('l_extendedprice')}) AS BIGINT) AS order_total FROM lineitem GROUP BY 1"
 
 
 # --- text ---------------------------------------------------------------------------------------------------------
@@ -129,10 +133,10 @@ def header_dropped(spark: SparkSession, folder: str) -> DataFrame:
     return src.drop_header(t.retail_lines(spark, folder), src.RETAIL_HEADER)
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS price FROM part")
+@query(f"SELECT CAST(p_partkey AS VARCHAR) AS id, CAST({sql_cents('p_retailprice')} AS DOUBLE) AS price FROM part")
 def prices_from_lines(spark: SparkSession, folder: str) -> DataFrame:
     parts = t.table(spark, folder, "part")
-    line = F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_brand", t.money("p_retailprice").cast("string"))
+    line = F.concat_ws("\t", F.col("p_partkey").cast("string"), "p_brand", t.cents("p_retailprice").cast("string"))
     fields = parts.select(text.split_fields(line).alias("fields"))
     return fields.select(text.field("fields", 0).alias("id"), numbers.to_double(text.field("fields", 2)).alias("price"))
 
@@ -203,12 +207,11 @@ def county_measures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT state, round(CAST(sum(population) AS DOUBLE) / count(*), 4) AS avg_population,
+    f"""SELECT state, CAST(sum(population) AS DOUBLE) / count(*) AS avg_population,
   CAST(max(len({sql_tokens('zips')})) AS INT) AS max_zips FROM ({SQL_CITIES}) GROUP BY state"""
 )
 def state_profile(spark: SparkSession, folder: str) -> DataFrame:
-    profile = keyed.state_profile(t.document_cities(spark, folder))
-    return profile.withColumn("avg_population", F.round("avg_population", 4))
+    return keyed.state_profile(t.document_cities(spark, folder))
 
 
 @query(
@@ -267,13 +270,12 @@ def pair_sums(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT l_returnflag, l_linestatus, round(CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) / count(*), 6) AS ratio
+    f"""SELECT l_returnflag, l_linestatus, CAST(sum({sql_cents('l_extendedprice')}) AS DOUBLE) / count(*) AS ratio
 FROM lineitem GROUP BY ALL"""
 )
 def ratio_by_pair(spark: SparkSession, folder: str) -> DataFrame:
     items = t.table(spark, folder, "lineitem")
-    ratios = keyed.ratio_by(items, ["l_returnflag", "l_linestatus"], t.money("l_quantity"))
-    return ratios.withColumn("ratio", F.round("ratio", 6))
+    return keyed.ratio_by(items, ["l_returnflag", "l_linestatus"], t.cents("l_extendedprice"))
 
 
 @query("SELECT l_suppkey, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY 1")
@@ -307,14 +309,14 @@ def three_table_join(spark: SparkSession, folder: str) -> DataFrame:
     return joins.join_chain(items, (orders, ["o_orderkey"]), (customers, ["o_custkey"]))
 
 
-@query(SQL_TOTALS.replace("sum(CAST(l_extendedprice AS DECIMAL(12,2)))", "CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2))"))
+@query(SQL_TOTALS)
 def order_totals(spark: SparkSession, folder: str) -> DataFrame:
     return joins.order_totals(t.invoice_items(spark, folder), F.col("amount"))
 
 
 @query(
     f"""SELECT country, count(DISTINCT o_orderkey) AS num_orders,
-  round(CAST(sum(order_total) AS DOUBLE) / count(*), 4) AS avg_order_amount
+  CAST(sum(order_total) AS DOUBLE) / count(*) AS avg_order_amount
 FROM orders JOIN ({SQL_PEOPLE}) ON customer_id = CAST(o_custkey AS VARCHAR)
 JOIN ({SQL_TOTALS}) ON invoice_no = o_orderkey GROUP BY country"""
 )
@@ -324,7 +326,7 @@ def country_order_report(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""SELECT country, count(DISTINCT o_orderkey) AS num_orders,
-  round(CAST(sum(order_total) AS DOUBLE) / count(*), 4) AS avg_order_amount
+  CAST(sum(order_total) AS DOUBLE) / count(*) AS avg_order_amount
 FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) ELSE 'blank' END AS customer FROM orders)
 JOIN ({SQL_PEOPLE}) ON CASE WHEN c_acctbal >= 0 THEN customer_id ELSE 'blank' END = customer
 JOIN ({SQL_TOTALS}) ON invoice_no = o_orderkey GROUP BY country"""
@@ -334,13 +336,12 @@ def country_order_report_null_keys(spark: SparkSession, folder: str) -> DataFram
 
 
 def _report(spark: SparkSession, folder: str, nameless: bool) -> DataFrame:
-    report = joins.country_order_report(
+    return joins.country_order_report(
         t.customer_countries(spark, folder, nameless),
         t.invoices(spark, folder, nameless),
         t.invoice_items(spark, folder),
         F.col("amount"),
     )
-    return report.withColumn("avg_order_amount", F.round("avg_order_amount", 4))
 
 
 @query(
@@ -431,9 +432,9 @@ def square_roots(spark: SparkSession, folder: str) -> DataFrame:
     return folds.square_roots(spark, t.table(spark, folder, "orders").count())
 
 
-@query("SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total FROM lineitem GROUP BY 1")
+@query(f"SELECT l_returnflag, CAST(sum({sql_cents('l_extendedprice')}) AS BIGINT) AS total FROM lineitem GROUP BY 1")
 def column_total(spark: SparkSession, folder: str) -> DataFrame:
-    return folds.total(t.table(spark, folder, "lineitem"), t.money("l_extendedprice"), ["l_returnflag"])
+    return folds.total(t.table(spark, folder, "lineitem"), t.cents("l_extendedprice"), ["l_returnflag"])
 
 
 @query("SELECT l_orderkey, product(l_linenumber) AS product FROM lineitem GROUP BY 1")
@@ -448,21 +449,21 @@ def log_total(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT l_returnflag, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS first,
-  CAST(sum(CAST(l_tax AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS second FROM lineitem GROUP BY 1"""
+    f"""SELECT l_returnflag, CAST(sum({sql_cents('l_quantity')}) AS BIGINT) AS first,
+  CAST(sum({sql_cents('l_tax')}) AS BIGINT) AS second FROM lineitem GROUP BY 1"""
 )
 def pair_total(spark: SparkSession, folder: str) -> DataFrame:
     items = t.table(spark, folder, "lineitem")
-    return folds.pair_total(items, t.money("l_quantity"), t.money("l_tax"), ["l_returnflag"])
+    return folds.pair_total(items, t.cents("l_quantity"), t.cents("l_tax"), ["l_returnflag"])
 
 
 @query(
-    """SELECT l_returnflag, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total,
+    f"""SELECT l_returnflag, CAST(sum({sql_cents('l_quantity')}) AS BIGINT) AS total,
   max(l_extendedprice) AS max FROM lineitem GROUP BY 1"""
 )
 def total_and_max(spark: SparkSession, folder: str) -> DataFrame:
     items = t.table(spark, folder, "lineitem")
-    return folds.total_and_max(items, t.money("l_quantity"), "l_extendedprice", ["l_returnflag"])
+    return folds.total_and_max(items, t.cents("l_quantity"), "l_extendedprice", ["l_returnflag"])
 
 
 @query("SELECT l_orderkey, CAST(sum(l_linenumber) AS BIGINT) AS total, product(l_linenumber) AS product FROM lineitem GROUP BY 1")

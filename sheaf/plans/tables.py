@@ -10,8 +10,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def money(column: str) -> Column:
-    return F.col(column).cast("decimal(12,2)")
+def cents(column: str) -> Column:
+    """An amount as whole cents, so that sums are exact in every order."""
+    return F.floor(F.col(column) * 100 + 0.5).cast("bigint")
 
 
 def whole(column: str) -> Column:
@@ -52,9 +53,9 @@ def invoices(spark: SparkSession, folder: str, nameless: bool = False) -> DataFr
 
 
 def invoice_items(spark: SparkSession, folder: str) -> DataFrame:
-    """``(invoice_no, amount)``."""
+    """``(invoice_no, amount)``, the amount in cents."""
     return table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("invoice_no"), money("l_extendedprice").alias("amount")
+        F.col("l_orderkey").alias("invoice_no"), cents("l_extendedprice").alias("amount")
     )
 
 
@@ -67,7 +68,7 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as tab-separated retail lines, some replaced by header lines or one field short."""
     tab = F.lit("\t")
     front = F.concat(F.col("l_orderkey"), tab, F.col("l_partkey"), tab, whole("l_quantity"), tab)
-    line = F.concat(front, F.date_format("l_shipdate", "yyyy-MM-dd"), tab, F.lit(" "), F.col("l_suppkey"))
+    line = F.concat(front, F.col("l_shipdate").cast("date").cast("string"), tab, F.lit(" "), F.col("l_suppkey"))
     return table(spark, folder, "lineitem").select(
         F.when(F.col("l_quantity") == 50, F.lit("InvoiceNo\titem\tquantity\tdate\tcustomer"))
         .when(F.col("l_quantity") == 49, F.concat(front, F.col("l_suppkey")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sheaf.functions.numbers import is_int_or_blank, to_long
-from sheaf.functions.text import _col, field, split_fields
+from sheaf.functions.text import _col, field, split_fields, with_once
 
 # The city layouts, the retail layout and the order tables.
 CITY_FIELDS = ("name", "state", "county", "population", "zips", "id")
@@ -83,16 +83,15 @@ def parse_records(
 
     Integer fields may be blank (NULL) and become BIGINT; all other fields stay text.
     """
-    fields = split_fields(column, sep)
-    reason = reject_reason(fields, names, integers)
-    split_lines = lines.select(F.col(column).alias("line"), fields.alias("fields"), reason.alias("reason"))
+    split_lines = with_once(lines.select(F.col(column).alias("line")), "fields", split_fields("line", sep))
+    reason = reject_reason(F.col("fields"), names, integers)
     typed = [
         (to_long(field("fields", i)) if name in integers else field("fields", i)).alias(name)
         for i, name in enumerate(names)
     ]
     return Records(
-        good=split_lines.where(F.col("reason").isNull()).select(*typed),
-        rejects=split_lines.where(F.col("reason").isNotNull()).select("line", "reason"),
+        good=split_lines.where(reason.isNull()).select(*typed),
+        rejects=split_lines.where(reason.isNotNull()).select("line", reason.alias("reason")),
     )
 
 
