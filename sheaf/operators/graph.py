@@ -33,6 +33,7 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     return (
         drop_self_edges(edges)
         .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+        .transform(_present, "src", "dst")
         .distinct()
     )
 
@@ -89,6 +90,7 @@ def oriented_edges(edges: DataFrame) -> DataFrame:
     once = canonical_edges(edges)
     degrees = (
         once.select(F.explode(F.array("src", "dst")).alias("vertex"))
+        .transform(_present, "vertex")
         .groupBy("vertex")
         .agg(F.count(F.lit(1)).alias("degree"))
     )
@@ -133,6 +135,17 @@ def closed_paths(edges: DataFrame) -> DataFrame:
     return triangles(edges).select(F.explode(walks).alias("path")).select("path.*")
 
 
+def _present(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows without missing values.
+
+    The joins further on imply this filter, but not for every use of the frame. Stating it gives all uses the
+    same plan, so that Spark shuffles the frame once.
+    """
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df
+
+
 def _common_neighbours(edges: DataFrame) -> DataFrame:
     """``(a, b, thirds)`` per oriented edge: the vertices that both of its ends point to.
 
@@ -145,6 +158,7 @@ def _common_neighbours(edges: DataFrame) -> DataFrame:
 
     neighbours = (
         oriented_edges(edges)
+        .transform(_present, "src", "src_degree", "dst", "dst_degree")
         .groupBy("src", "src_degree")
         .agg(F.collect_list(F.struct("dst", "dst_degree")).alias("next"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.numbers import exact
 from sheaf.functions.text import _col
-from sheaf.operators.skew import balanced_join, count_rows_by, hot_keys
+from sheaf.operators.skew import balanced_join
 
 # Fixed value: what a missing key is replaced by.
 BLANK_KEY = "blank"
@@ -52,23 +52,57 @@ def country_order_report(
     """``(country, num_orders, avg_order_amount)`` of orders that have both a customer and items.
 
     Missing customer ids on either side become one key. Several customers with one id each count the order
-    towards the average, while ``num_orders`` counts invoices once. Customers are therefore combined per
-    (id, country) with their number: an order meets each country once instead of each nameless customer.
+    towards the average, while ``num_orders`` counts invoices once per country.
+
+    Rows are combined before they meet: customers per (id, country), and orders per customer, so that the blank
+    key is one row against one row per country. Only an invoice listed under several customers could be counted
+    twice that way; those invoices are joined one by one.
     """
     people = (
         fill_null_keys(customers, ["customer_id"], fill)
         .groupBy("customer_id", "country")
         .agg(F.count(F.lit(1)).alias("people"))
     )
-    known_orders = fill_null_keys(orders, ["customer_id"], fill)
-    hot = hot_keys(count_rows_by(known_orders, ["customer_id"]), ["customer_id"], "rows")
-    priced = known_orders.select("invoice_no", "customer_id").join(order_totals(items, amount), ["invoice_no"], "inner")
-    sales = balanced_join(priced, people, ["customer_id"], ["invoice_no"], hot)
-    spent = F.sum(exact(sales, "order_total") * F.col("people"))
-    with_total = F.when(F.col("order_total").isNotNull(), F.col("people"))
-    return sales.groupBy("country").agg(
-        F.count_distinct("invoice_no").alias("num_orders"),
-        F.try_divide(spent.cast("double"), F.sum(with_total)).alias("avg_order_amount"),
+    known_orders = fill_null_keys(orders, ["customer_id"], fill).select("invoice_no", "customer_id")
+    invoices = (
+        known_orders.groupBy("invoice_no")
+        .agg(F.min("customer_id").alias("low"), F.max("customer_id").alias("high"), F.count(F.lit(1)).alias("rows"))
+        .join(order_totals(items, amount), ["invoice_no"], "inner")
+    )
+    total = exact(invoices, "order_total")
+    counted = F.when(F.col("order_total").isNotNull(), F.col("rows"))
+    per_customer = (
+        invoices.where(F.col("low") == F.col("high"))
+        .groupBy(F.col("low").alias("customer_id"))
+        .agg(
+            F.count(F.lit(1)).alias("invoices"),
+            F.sum(total * F.col("rows")).alias("spent"),
+            F.sum(counted).alias("counted"),
+        )
+        .join(people, ["customer_id"], "inner")
+        .select(
+            "country", "invoices", (F.col("spent") * F.col("people")).alias("spent"), F.col("counted") * F.col("people")
+        )
+    )
+    shared = invoices.where(F.col("low") < F.col("high")).select("invoice_no", total.alias("order_total"))
+    per_country = (
+        known_orders.join(shared, ["invoice_no"], "inner")
+        .join(people, ["customer_id"], "inner")
+        .groupBy("country")
+        .agg(
+            F.count_distinct("invoice_no").alias("invoices"),
+            F.sum(F.col("order_total") * F.col("people")).alias("spent"),
+            F.sum(F.when(F.col("order_total").isNotNull(), F.col("people"))).alias("counted"),
+        )
+    )
+    return (
+        per_customer.toDF("country", "invoices", "spent", "counted")
+        .union(per_country)
+        .groupBy("country")
+        .agg(
+            F.sum("invoices").alias("num_orders"),
+            F.try_divide(F.sum("spent").cast("double"), F.sum("counted")).alias("avg_order_amount"),
+        )
     )
 
 

@@ -7,27 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is split once it holds more rows than one slice: 1/MAX_SLICES of the table, and never below MIN_SLICE_ROWS.
-MAX_SLICES = 20_000
-MIN_SLICE_ROWS = 100_000
+# A key with more rows than this is split into slices of about this many rows.
+SLICE_ROWS = 1_000_000
+# At most so many keys are split, the largest ones; any other key then holds less than 1/MAX_HOT_KEYS of all rows.
+MAX_HOT_KEYS = 20_000
 
 
 def hot_keys(
     counts: DataFrame,
     keys: Sequence[str],
-    rows: str,
-    max_slices: int = MAX_SLICES,
-    min_slice_rows: int = MIN_SLICE_ROWS,
+    rows: str = "rows",
+    slice_rows: int = SLICE_ROWS,
+    max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """Keys with more rows than one slice, and into how many slices to cut them: ``keys, slices``.
+    """The keys worth splitting and into how many slices: ``keys, slices``.
 
-    ``counts`` has one line per key with its number of rows. A slice is at least 1/``max_slices`` of all rows,
-    so fewer than ``max_slices`` keys can exceed one: the result is small enough to broadcast at any scale.
+    ``counts`` has one line per key with its number of rows. The result has at most ``max_keys`` lines, so it can
+    be broadcast at any scale. Which keys it names decides only where rows are sent, not what is joined; the order
+    is total, so that every use of the result names the same keys.
     """
-    total = counts.agg(F.sum(rows).alias("total"))
-    slice_rows = F.greatest(total.scalar() / F.lit(max_slices), F.lit(min_slice_rows).cast("double"))
-    return counts.where(F.col(rows) > slice_rows).select(
-        *keys, F.ceil(F.col(rows) / slice_rows).cast("int").alias("slices")
+    return (
+        counts.where(F.col(rows) > slice_rows)
+        .orderBy(F.col(rows).desc(), *keys)
+        .limit(max_keys)
+        .select(*keys, F.ceil(F.col(rows) / slice_rows).alias("slices"))
     )
 
 
@@ -51,12 +54,11 @@ def balanced_join(
     """
     keys = list(keys)
     if hot is None:
-        hot = hot_keys(count_rows_by(large, keys), keys, "rows")
+        hot = hot_keys(count_rows_by(large, keys), keys)
     hot = F.broadcast(hot.withColumnRenamed("slices", "_slices"))
-    slice_of_row = F.when(
-        F.col("_slices").isNotNull(), F.pmod(F.xxhash64(*spread), F.col("_slices").cast("bigint"))
-    ).otherwise(F.lit(0).cast("bigint"))
-    slices_of_key = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_slices"), F.lit(1)).cast("bigint") - 1)
+    slices = F.coalesce("_slices", F.lit(1).cast("bigint"))
+    slice_of_row = F.pmod(F.xxhash64(*spread), slices)
+    slices_of_key = F.sequence(F.lit(0).cast("bigint"), slices - 1)
     return (
         large.join(hot, keys, "left")
         .withColumn("_slice", slice_of_row)

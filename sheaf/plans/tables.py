@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.functions.text import with_once
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -69,12 +71,12 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     tab = F.lit("\t")
     front = F.concat(F.col("l_orderkey"), tab, F.col("l_partkey"), tab, whole("l_quantity"), tab)
     line = F.concat(front, F.col("l_shipdate").cast("date").cast("string"), tab, F.lit(" "), F.col("l_suppkey"))
-    return table(spark, folder, "lineitem").select(
+    value = (
         F.when(F.col("l_quantity") == 50, F.lit("InvoiceNo\titem\tquantity\tdate\tcustomer"))
         .when(F.col("l_quantity") == 49, F.concat(front, F.col("l_suppkey")))
         .otherwise(line)
-        .alias("value")
     )
+    return with_once(table(spark, folder, "lineitem"), "value", value).select("value")
 
 
 def city_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,11 +92,9 @@ def city_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     zips = F.concat_ws(" ", F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string"))
     front = F.concat(F.col("c_name"), tab, F.col("c_mktsegment"), tab, F.lit("County"), tab, population, tab, zips)
-    return table(spark, folder, "customer").select(
-        F.when((F.col("c_nationkey") == 5) & (F.col("c_acctbal") < 0), front)
-        .otherwise(F.concat(front, tab, F.col("c_custkey")))
-        .alias("value")
-    )
+    short = (F.col("c_nationkey") == 5) & (F.col("c_acctbal") < 0)
+    value = F.when(short, front).otherwise(F.concat(front, tab, F.col("c_custkey")))
+    return with_once(table(spark, folder, "customer"), "value", value).select("value")
 
 
 def event_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,10 +105,11 @@ def event_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "click", F.concat(props, props))
         .otherwise(props)
     )
-    key = F.when(F.col("value") < 1, kind).otherwise(F.concat(F.lit('"'), kind, F.lit('"')))
+    key = F.when(F.col("amount") < 1, kind).otherwise(F.concat(F.lit('"'), kind, F.lit('"')))
     line = (
         F.when(F.col("user_id") == 7, F.concat(key, payload))
         .when(F.col("user_id") == 8, F.concat(key, tab, payload, tab))
         .otherwise(F.concat(key, tab, payload))
     )
-    return table(spark, folder, "events").select("event_id", line.alias("value"))
+    events = table(spark, folder, "events").withColumnRenamed("value", "amount")
+    return with_once(events, "value", line).select("event_id", "value")
