@@ -61,7 +61,7 @@ def mean_and_max_by(
     df: DataFrame, keys: Sequence[str], mean_of: Column | str, max_of: Column | str, names=("mean", "max")
 ) -> DataFrame:
     """Mean of one expression and maximum of another per key."""
-    return measures(df, keys, means={names[0]: mean_of}, maxima={names[1]: max_of})
+    return measures(df, keys, means={names[0]: mean_of}, maxima={names[1]: max_of}).select(*keys, *names)
 
 
 def state_profile(cities: DataFrame) -> DataFrame:
