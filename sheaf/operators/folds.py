@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from sheaf.functions.numbers import exact, log_or_limit
 from sheaf.functions.text import _col
 
-# Rows per chunk in position_weighted_sum, as a power of two: small positions keep sums of doubles accurate.
-CHUNK_BITS = 18
+# Rows per stretch of a task in position_weighted_sum, as a power of two: small positions keep sums of doubles accurate.
+STRETCH_BITS = 18
 # Bits of a double's significand, and where compensated_sum cuts a sum of significands in two.
 SIGNIFICAND_BITS = 53
 CUT_BITS = 50
@@ -90,40 +90,76 @@ def even_square_total(df: DataFrame, value: Column | str, by: Sequence[str] = ()
 
 
 def position_weighted_sum(
-    df: DataFrame, value: Column | str, order_by: Sequence[str], by: Sequence[str] = (), name: str = "weighted"
+    df: DataFrame,
+    value: Column | str,
+    order_by: Sequence[str],
+    by: Sequence[str] = (),
+    name: str = "weighted",
+    unique_order: bool = False,
 ) -> DataFrame:
     """Sum of value times position, positions 1, 2, ... following ``order_by`` (per key when ``by`` is given).
 
-    No task sees a whole key. Rows are range-partitioned by key and order, so a large key spans many tasks. A
-    task numbers its rows and adds them up per key and chunk: row count, sum, and sum weighted by the place in
-    the chunk. The chunks that precede one then shift it by their row counts. ``order_by`` should leave no ties.
+    Rows that tie in ``order_by`` go by value. No task sees a whole key: rows are range-partitioned by key and
+    order, so a large key spans many tasks. Each stretch of a key is added up with positions counted from its own
+    start, and then shifted by the number of rows in the stretches before.
+
+    A range cannot be cut between rows alike in key, order and value, so those are counted and kept as one row.
+    ``unique_order`` saves two shuffles where no two rows of a key share their place in the order.
     """
     keys, order = list(by), [c for c in order_by if c not in by]
-    number = exact(df, value)
-    rows = df.select(*keys, *order, number.alias("_value"))
+    rows = df.select(*keys, *order, _col(value).alias("_value"))
+    sorted_by = [*keys, *order]
+    if not unique_order:
+        sorted_by.append("_value")
+        rows = rows.groupBy(*sorted_by).agg(F.count(F.lit(1)).alias("_copies"))
     placed = (
-        rows.repartitionByRange(*keys, *order)
-        .sortWithinPartitions(*keys, *order)
+        rows.repartitionByRange(*sorted_by)
+        .sortWithinPartitions(*sorted_by)
         .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_stretch", F.shiftright("_place", STRETCH_BITS))
     )
-    in_chunk = F.col("_place").bitwiseAND(F.lit(2**CHUNK_BITS - 1)).cast("int")
-    chunks = (
-        placed.withColumn("_chunk", F.shiftright("_place", CHUNK_BITS))
-        .withColumn("_at", in_chunk)
-        .groupBy(*keys, "_chunk")
+    sums = _stretches_of_rows(placed, keys) if unique_order else _stretches_of_copies(placed, keys)
+    preceding = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(preceding), F.lit(0).cast("bigint"))
+    shifted = sums.withColumn("_weighted", F.col("_inner") + F.col("_sum") * before)
+    return shifted.groupBy(*keys).agg(F.coalesce(F.sum("_weighted"), F.lit(0)).alias(name))
+
+
+def _stretches_of_rows(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, _stretch, _rows, _sum, _inner`` of sorted and numbered rows."""
+    number = exact(placed, "_value")
+    at = F.col("_place").bitwiseAND(F.lit(2**STRETCH_BITS - 1)).cast("int")
+    sums = (
+        placed.withColumn("_at", at)
+        .groupBy(*keys, "_stretch")
         .agg(
             F.count(F.lit(1)).alias("_rows"),
             F.min("_at").alias("_first"),
-            F.coalesce(F.sum("_value"), F.lit(0)).alias("_sum"),
-            F.coalesce(F.sum(F.col("_value") * F.col("_at")), F.lit(0)).alias("_inner"),
+            F.coalesce(F.sum(number), F.lit(0)).alias("_sum"),
+            F.coalesce(F.sum(number * F.col("_at")), F.lit(0)).alias("_inner"),
         )
     )
-    preceding = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_rows").over(preceding), F.lit(0).cast("bigint"))
-    shifted = chunks.withColumn(
-        "_weighted", F.col("_inner") + F.col("_sum") * (before - F.col("_first").cast("bigint") + 1)
+    return sums.withColumn("_inner", F.col("_inner") + F.col("_sum") * (1 - F.col("_first")))
+
+
+def _stretches_of_copies(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, _stretch, _rows, _sum, _inner`` of sorted and numbered rows that stand for ``_copies`` rows each."""
+    number, copies = exact(placed, "_value"), F.col("_copies")
+    earlier = (
+        Window.partitionBy(*keys, "_stretch").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("_copies").over(earlier), F.lit(0).cast("bigint"))
+    one_to_copies = F.expr("(_copies + _copies % 2) div 2").cast("decimal(20,0)") * (copies + 1 - copies % 2)
+    return (
+        placed.select(*keys, "_stretch", "_place", "_value", "_copies")
+        .withColumn("_positions", copies.cast("decimal(20,0)") * before + one_to_copies)
+        .groupBy(*keys, "_stretch")
+        .agg(
+            F.sum("_copies").alias("_rows"),
+            F.coalesce(F.sum(number * copies), F.lit(0)).alias("_sum"),
+            F.coalesce(F.sum(number * F.col("_positions")), F.lit(0)).alias("_inner"),
+        )
     )
-    return shifted.groupBy(*keys).agg(F.coalesce(F.sum("_weighted"), F.lit(0)).alias(name))
 
 
 def compensated_sum(df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "total") -> DataFrame:

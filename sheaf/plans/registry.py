@@ -508,6 +508,16 @@ def position_weighted_global(spark: SparkSession, folder: str) -> DataFrame:
     return _weighted(spark, folder, [], "l_orderkey")
 
 
+@query(
+    f"""SELECT user_id, CAST(sum(v * i) AS BIGINT) AS weighted FROM (
+  SELECT user_id, {sql_cents('value')} AS v, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events) GROUP BY 1"""
+)
+def position_weighted_unique_order(spark: SparkSession, folder: str) -> DataFrame:
+    events = t.table(spark, folder, "events")
+    summed = folds.position_weighted_sum(events, t.cents("value"), ["event_id"], ["user_id"], unique_order=True)
+    return summed.withColumn("weighted", F.col("weighted").cast("bigint"))
+
+
 def _weighted(spark: SparkSession, folder: str, by: list[str], *leading: str) -> DataFrame:
     items = t.table(spark, folder, "lineitem")
     summed = folds.position_weighted_sum(items, t.whole("l_quantity"), [*leading, *POSITION_ORDER], by)

@@ -76,9 +76,9 @@ def test_position_weights(frame, partitions, kind, data, expected):
     assert only(folds.position_weighted_sum(numbered(frame, data, kind, partitions), "x", ["i"])) == expected
 
 
-@pytest.mark.parametrize("bits", [1, 18])
-def test_position_weights_over_many_partitions_and_chunks(spark, monkeypatch, bits):
-    monkeypatch.setattr(folds, "CHUNK_BITS", bits)
+@pytest.mark.parametrize("bits, unique", [(1, True), (18, True), (18, False)])
+def test_position_weights_over_many_partitions_and_stretches(spark, monkeypatch, bits, unique):
+    monkeypatch.setattr(folds, "STRETCH_BITS", bits)
     df = spark.range(0, 5000, 1, 7).select(
         F.xxhash64("id").alias("o"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("k"),
@@ -86,12 +86,12 @@ def test_position_weights_over_many_partitions_and_chunks(spark, monkeypatch, bi
     )
     data = sorted(df.collect())
     whole = sum(row.v * i for i, row in enumerate(data, 1))
-    assert only(folds.position_weighted_sum(df, "v", ["o"])) == whole
+    assert only(folds.position_weighted_sum(df, "v", ["o"], unique_order=unique)) == whole
     expected, seen = {}, {}
     for row in data:
         seen[row.k] = seen.get(row.k, 0) + 1
         expected[row.k] = expected.get(row.k, 0) + row.v * seen[row.k]
-    assert dict(rows(folds.position_weighted_sum(df, "v", ["o"], ["k"]))) == expected
+    assert dict(rows(folds.position_weighted_sum(df, "v", ["o"], ["k"], unique_order=unique))) == expected
 
 
 @settings(**QUIET)
@@ -104,6 +104,14 @@ def test_position_weights_of_any_integers(frame, data):
     assert dict(rows(folds.position_weighted_sum(df, "x", ["i"], ["k"]))) == expected
 
 
+def test_copies_of_a_row(frame):
+    df = frame([("a", 1, 5)] * 300 + [("a", 0, 2), ("a", 1, 4), ("b", 9, 1)], "k string, o int, x int")
+    expected = {"a": 2 * 1 + 4 * 2 + 5 * sum(range(3, 303)), "b": 1}
+    weighted = folds.position_weighted_sum(df, "x", ["o"], ["k"])
+    assert dict(rows(weighted)) == expected
+    assert weighted.columns == ["k", "weighted"]
+
+
 def test_position_counts_missing_values(frame):
     assert only(folds.position_weighted_sum(numbered(frame, [None, 2.0], "double"), "x", ["i"])) == 4
 
