@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.numbers import exact
 from sheaf.functions.text import _col
-from sheaf.operators.skew import balanced_join
+from sheaf.operators.skew import balanced_join, hot_keys
 
 # Fixed value: what a missing key is replaced by.
 BLANK_KEY = "blank"
@@ -56,23 +56,29 @@ def country_order_report(
 
     Rows are combined before they meet: customers per (id, country), and orders per customer, so that the blank
     key is one row against one row per country. Only an invoice listed under several customers could be counted
-    twice that way; those invoices are joined one by one.
+    twice that way; those invoices are joined customer by customer.
     """
     people = (
         fill_null_keys(customers, ["customer_id"], fill)
         .groupBy("customer_id", "country")
         .agg(F.count(F.lit(1)).alias("people"))
     )
-    known_orders = fill_null_keys(orders, ["customer_id"], fill).select("invoice_no", "customer_id")
-    invoices = (
-        known_orders.groupBy("invoice_no")
-        .agg(F.min("customer_id").alias("low"), F.max("customer_id").alias("high"), F.count(F.lit(1)).alias("rows"))
-        .join(order_totals(items, amount), ["invoice_no"], "inner")
+    listed = (
+        fill_null_keys(orders, ["customer_id"], fill)
+        .where(F.col("invoice_no").isNotNull())
+        .groupBy("invoice_no", "customer_id")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
+    per_invoice = listed.groupBy("invoice_no").agg(
+        F.min("customer_id").alias("low"), F.count(F.lit(1)).alias("owners"), F.sum("rows").alias("rows")
+    )
+    # Always true: it keeps all three columns in use, so that the branches below share one shuffle.
+    per_invoice = per_invoice.where(F.col("low").isNotNull() & (F.col("rows") >= F.col("owners")))
+    invoices = per_invoice.join(order_totals(items, amount), ["invoice_no"], "inner")
     total = exact(invoices, "order_total")
     counted = F.when(F.col("order_total").isNotNull(), F.col("rows"))
     per_customer = (
-        invoices.where(F.col("low") == F.col("high"))
+        invoices.where(F.col("owners") == 1)
         .groupBy(F.col("low").alias("customer_id"))
         .agg(
             F.count(F.lit(1)).alias("invoices"),
@@ -84,15 +90,17 @@ def country_order_report(
             "country", "invoices", (F.col("spent") * F.col("people")).alias("spent"), F.col("counted") * F.col("people")
         )
     )
-    shared = invoices.where(F.col("low") < F.col("high")).select("invoice_no", total.alias("order_total"))
+    shared = invoices.where(F.col("owners") > 1).select("invoice_no", total.alias("order_total"))
+    crowded = hot_keys(per_invoice, ["invoice_no"], "owners")
+    spent = F.col("order_total") * F.col("rows") * F.col("people")
     per_country = (
-        known_orders.join(shared, ["invoice_no"], "inner")
+        balanced_join(listed, shared, ["invoice_no"], ["customer_id"], crowded)
         .join(people, ["customer_id"], "inner")
         .groupBy("country")
         .agg(
             F.count_distinct("invoice_no").alias("invoices"),
-            F.sum(F.col("order_total") * F.col("people")).alias("spent"),
-            F.sum(F.when(F.col("order_total").isNotNull(), F.col("people"))).alias("counted"),
+            F.sum(spent).alias("spent"),
+            F.sum(F.when(F.col("order_total").isNotNull(), F.col("rows") * F.col("people"))).alias("counted"),
         )
     )
     return (

@@ -50,7 +50,9 @@ def balanced_join(
 
     Rows of a hot key get a slice number from a hash of the ``spread`` columns, and the rows of ``lookup`` with
     that key are repeated once per slice. All other rows have slice 0. The slice depends on the row's content
-    only, so a task that is run again sends its rows to the same place. Columns of ``large`` come first.
+    only, so a task that is run again sends its rows to the same place. ``spread`` should tell the rows of one key
+    apart; combine copies first. Pass ``hot`` where row counts are at hand, it saves counting ``large``. Columns of
+    ``large`` come first.
     """
     keys = list(keys)
     if hot is None:

@@ -10,7 +10,7 @@ from sheaf.functions.text import _col, token_count, tokens
 
 def word_rows(lines: DataFrame, text: Column | str = "value") -> DataFrame:
     """One row per blank-separated word."""
-    return lines.select(F.explode_outer(F.split(_col(text), r"\s+")).alias("word")).where(F.col("word") != "")
+    return lines.select(F.explode_outer(F.split(_col(text), r"\s")).alias("word")).where(F.col("word") != "")
 
 
 def word_count(lines: DataFrame, text: Column | str = "value") -> DataFrame:

@@ -72,6 +72,16 @@ def test_country_report_with_invoices_of_several_customers(frame):
     assert rows(report) == plain_report(customers, orders, items)
 
 
+def test_country_report_with_a_crowded_invoice(frame, monkeypatch):
+    customers = [(f"C{i}", "AB"[i % 2]) for i in range(20)] + [(None, "A")]
+    orders = [("N/A", f"C{i}") for i in range(20)] * 2 + [("N/A", None)] * 30 + [("i1", "C1"), ("i2", None)]
+    items = [("N/A", 1, 2.0), ("i1", 2, 2.0), ("i2", 1, 1.0)]
+    original = skew.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda counts, keys, rows: original(counts, keys, rows, slice_rows=2))
+    report = joins.country_order_report(frame(customers, CUSTOMERS), frame(orders, ORDERS), frame(items, ITEMS))
+    assert rows(report) == plain_report(customers, orders, items)
+
+
 def test_filled_keys_match_each_other_and_the_fill_text(frame):
     left = frame([(1, None), (2, "blank"), (3, "a")], "i int, k string")
     right = frame([(None, "x"), ("blank", "y"), ("b", "z")], "k string, v string")
