@@ -52,7 +52,8 @@ SELECT string_split(CASE WHEN c_nationkey = 5 AND c_acctbal < 0 THEN front ELSE
   SELECT c_nationkey, c_acctbal, c_custkey, c_name || chr(9) || c_mktsegment || chr(9) || 'County' || chr(9)
     || CASE c_nationkey WHEN 0 THEN 'abc' WHEN 1 THEN ' 12 ' WHEN 2 THEN '+5' WHEN 3 THEN '' WHEN 4 THEN '-7'
        ELSE CAST(c_custkey AS VARCHAR) END
-    || chr(9) || c_nationkey || ' ' || c_custkey AS front FROM customer)"""
+    || chr(9) || CASE WHEN c_acctbal < 0 THEN '' WHEN c_nationkey < 12 THEN CAST(c_nationkey AS VARCHAR)
+       ELSE c_nationkey || ' ' || c_custkey END AS front FROM customer)"""
 SQL_GOOD_CITY = "len(f) = 6 AND regexp_full_match(trim(f[4]), '(-?[0-9]+)?') AND regexp_full_match(trim(f[6]), '(-?[0-9]+)?')"
 SQL_EVENT_LINES = """
 SELECT event_id, CASE user_id WHEN 7 THEN k || v WHEN 8 THEN k || chr(9) || v || chr(9) ELSE k || chr(9) || v END AS value,

@@ -90,7 +90,12 @@ def city_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("c_nationkey") == 4, F.lit("-7"))
         .otherwise(F.col("c_custkey").cast("string"))
     )
-    zips = F.concat_ws(" ", F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string"))
+    nation, customer = F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string")
+    zips = (
+        F.when(F.col("c_acctbal") < 0, F.lit(""))
+        .when(F.col("c_nationkey") < 12, nation)
+        .otherwise(F.concat_ws(" ", nation, customer))
+    )
     front = F.concat(F.col("c_name"), tab, F.col("c_mktsegment"), tab, F.lit("County"), tab, population, tab, zips)
     short = (F.col("c_nationkey") == 5) & (F.col("c_acctbal") < 0)
     value = F.when(short, front).otherwise(F.concat(front, tab, F.col("c_custkey")))
