@@ -5,9 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from sheaf.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = sorted(contract.queries())
+NAMES = sorted(registry.QUERIES)
 
 
 PLANS = {}
@@ -82,4 +83,4 @@ def test_entry(spark):
 
 
 def test_only_the_unordered_preview_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"preview"}
+    assert set(registry.QUERIES) - set(registry.SQL) == {"preview"}
