@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import langid, mixing, packing, quality, tokencount
+from sheaf.llm import langid, mixing, packing, quality, substring, suffix, tokencount
 from sheaf.llm.common import documents, word_count
 
 
@@ -58,12 +58,28 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(documents(spark, folder))
 
 
+def _digest(removed: DataFrame) -> DataFrame:
+    return removed.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+def op6_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return _digest(suffix.suffix_dedup(documents(spark, folder).select("doc_id", "text")))
+
+
+def op10_substring(spark: SparkSession, folder: str) -> DataFrame:
+    return _digest(substring.substring_dedup(documents(spark, folder).select("doc_id", "text")))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op3_token_counts": op3_token_counts,
     "op4_mixing": op4_mixing,
+    "op6_suffix_array": op6_suffix_array,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
+    "op10_substring": op10_substring,
 }
 
 SQL: dict[str, str] = {}
