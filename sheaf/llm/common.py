@@ -29,16 +29,21 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where it is unset, as in tests, a temporary folder of this machine."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sheaf-checkpoint-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there, so that a lost executor costs no recomputation.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, as in tests, a temporary folder
-    of this machine is taken. Spark deletes the files once the frame is no longer in use, if
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
+    Spark deletes the files once the frame is no longer in use, if ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is on.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sheaf-checkpoint-"))
+    scratch_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -132,8 +132,9 @@ def fit(
                     found += counts > 0
                     per_language[language] = per_language.get(language, 0) + 1
         at = np.flatnonzero(found)
-        yield pd.DataFrame({"place": at, "lang": None, "n": found[at]})
-        yield pd.DataFrame({"place": -1, "lang": list(per_language), "n": list(per_language.values())})
+        yield pd.DataFrame({"place": at, "lang": pd.Series([None] * len(at), dtype=object), "n": found[at]})
+        names = pd.Series(list(per_language), dtype=object)
+        yield pd.DataFrame({"place": np.full(len(names), -1), "lang": names, "n": np.array(list(per_language.values()), dtype=np.int64)})
 
     counted = (
         rows.select("text", "lang")
@@ -196,3 +197,10 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
     name = spare_name(docs, "_language")
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
     return docs.withColumn(name, predicted(text_column)).select(*kept, f"{name}.*")
+
+
+def identified_only(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of ``docs`` that the model does not reject, all columns unchanged."""
+    others = [c for c in docs.columns if c != "text"]
+    judged = identify(docs.select("text", F.struct(*others).alias("_others")), model)
+    return judged.where("NOT rejected").select(*["text" if c == "text" else f"_others.{c}" for c in docs.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import langid, mixing, packing, quality, substring, suffix, tokencount
+from sheaf.llm import langid, lattice, linededup, mixing, nearjoin, packing, quality, substring, suffix, tokencount
 from sheaf.llm.common import documents, word_count
 
 
@@ -28,6 +28,12 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_lines(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return cleaned.select("doc_id", "n_lines", "n_removed", digest)
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     pieces = tokencount.read_pieces(tokenizer_file("piece_bpe_32k.model"))
     docs = documents(spark, folder).select("doc_id", "text")
@@ -48,6 +54,14 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"), threshold=0.98)
+
+
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return nearjoin.near_duplicates(documents(spark, folder).select("doc_id", "text"), percent=85)
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(
         documents(spark, folder).select("doc_id", "text"), tokenizer_file("word_bpe_49k.json")
@@ -74,9 +88,12 @@ def op10_substring(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_lines": op2_lines,
     "op3_token_counts": op3_token_counts,
     "op4_mixing": op4_mixing,
     "op6_suffix_array": op6_suffix_array,
+    "op5_lattice": op5_lattice,
+    "op7_minhash": op7_minhash,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_substring": op10_substring,

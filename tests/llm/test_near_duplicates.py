@@ -1,0 +1,307 @@
+import random
+
+import numpy as np
+import pandas as pd
+import plain
+import pytest
+
+from sheaf.llm import lattice, linededup, linkage, nearjoin
+
+
+def variants(rng, n, base_words=120, changes=2):
+    """Texts that are near a base text but not near enough to each other."""
+    vocab = plain.vocabulary(rng)
+    base = [rng.choice(vocab) for _ in range(base_words)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for k in range(changes):
+            w[rng.randrange(base_words)] = f"v{i}x{k}"
+        out.append(" ".join(w))
+    return " ".join(base), out
+
+
+def components(found):
+    return {r.doc_id: r.component_id for r in found}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_against_all_pairs(docs, percent):
+    rows = list(enumerate(plain.corpus(11, 90)))
+    rng = random.Random(3)
+    _, close = variants(rng, 15)
+    rows += list(enumerate(close, 1000))
+    found = nearjoin.near_duplicates(docs([(i, t, "x") for i, t in rows], ", kept string"), percent).collect()
+    assert components(found) == plain.near(rows, percent) and len(found) == len(rows)
+    for r in found:
+        assert r.n_shingles == len(plain.shingles(dict(rows)[r.doc_id])) and r.kept == (r.doc_id == r.component_id)
+
+
+@pytest.mark.parametrize("where", ["first", "last", "absent"])
+def test_a_crowd_around_one_text(docs, monkeypatch, where):
+    """Variants linked through the base only, or hardly at all; small blocks, so that groups are cut."""
+    monkeypatch.setattr(nearjoin, "BLOCK", 12)
+    rng = random.Random(7)
+    base, crowd = variants(rng, 70, changes=2)
+    texts = {"first": [base, *crowd], "last": [*crowd, base], "absent": crowd}[where]
+    rows = list(enumerate(texts))
+    found = nearjoin.near_duplicates(docs(rows), 85).collect()
+    assert components(found) == plain.near(rows, 85)
+
+
+def test_missing_repeated_and_long_texts(docs):
+    long = " ".join(str(i) for i in range(40_000))
+    rows = [(3, "a b c"), (4, "A b\tC"), (4, "x y z q r s t"), (9, "x y z q r s t"), (None, "a b c"), (5, None), (6, ""), (7, long), (8, long + " z")]
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in nearjoin.near_duplicates(docs(rows)).collect()), key=str)
+    # id 4 has two texts and ties what they are linked with; rows without id are linked with nothing
+    assert found == sorted([(3, 1, 3, True), (4, 1, 3, False), (4, 3, 3, False), (9, 3, 3, False), (None, 1, None, True), (5, 0, 5, True), (6, 0, 6, True), (7, 39_996, 7, True), (8, 39_997, 7, False)], key=str)
+    kept = nearjoin.distinct_documents(docs([(*r, 1) for r in rows], ", component_id int"))
+    assert kept.columns == ["doc_id", "text", "component_id"] and sorted(str(r.doc_id) for r in kept.collect()) == ["3", "5", "6", "7", "None"]
+    assert nearjoin.near_duplicates(docs([])).count() == 0
+
+
+def test_pairs_under_the_distance_share_a_key():
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 2**16, (500, nearjoin.SYMBOLS)).astype(np.uint16)
+    b = a.copy()
+    for row in b:
+        at = rng.choice(nearjoin.SYMBOLS, nearjoin.DISTANCE, replace=False)
+        row[at] ^= rng.integers(1, 2**16, len(at)).astype(np.uint16)
+    for x, y in zip(nearjoin.chunk_keys(a), nearjoin.chunk_keys(b)):
+        assert set(x) & set(y)
+    assert not np.isin(nearjoin.chunk_keys(a[:50]), nearjoin.chunk_keys(rng.integers(0, 2**16, (50, 64)).astype(np.uint16))).any()
+
+
+def test_few_borderline_pairs_exceed_the_distance():
+    """Sets at the threshold: the share of signatures beyond the distance is as small as stated."""
+    rng = np.random.default_rng(6)
+    beyond = 0
+    for _ in range(400):
+        pool = rng.integers(0, 2**64, 240, dtype=np.uint64)
+        a, b = np.unique(pool[:222]), np.unique(pool[18:])  # 204 of 240 in common
+        beyond += (nearjoin.signature(a) != nearjoin.signature(b)).sum() > nearjoin.DISTANCE
+    assert beyond == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    n = [30, 200, 400, 50][seed]
+    links = [(rng.randrange(n), rng.randrange(n)) for _ in range(n)]
+    links += [[(i, i + 1) for i in range(1000, 1300)], [(2000, i) for i in range(2001, 2200)], [(5000 - i, 5000) for i in range(1, 90)], []][seed]
+    nodes = {x for link in links for x in link}
+    frame = spark.createDataFrame(links, "a bigint, b bigint").repartition(6)
+    found = {r.id: r.component for r in linkage.components(frame).collect()}
+    assert found == {x: root for x, root in plain.roots(nodes, links).items() if x != root}
+    assert linkage.components(frame.where("a > 1000000")).count() == 0
+
+
+def test_stars_over_several_stretches(spark):
+    """A crowded key is cut into stretches by the sort and still has one centre."""
+    rows = [(7, i, i % 5) for i in range(3000)] + [(k, 10_000 + k // 2, 1) for k in range(100, 160)] + [(1, 4, 0), (1, 4, 0)]
+    frame = spark.createDataFrame(rows, "key bigint, id bigint, tag bigint").repartition(4)
+    found = {tuple(r) for r in linkage.stars(frame).collect()}
+    by_key = {}
+    for key, i, tag in rows:
+        by_key.setdefault(key, {})[i] = tag
+    expected = {(min(ids), ids[min(ids)], i, t) for ids in by_key.values() for i, t in ids.items() if i != min(ids)}
+    assert found == expected
+
+
+# lines
+
+
+def brute_lines(rows, percent=90, shortest=20):
+    """``doc_id: kept text`` by comparing all pairs of lines."""
+    sims = linededup.SimHashes()
+    first, lines = {}, {}
+    for i, text in sorted(rows):
+        for number, line in enumerate((text or "").split("\n")):
+            norm = linededup.normalised(line)
+            if len(norm) >= shortest:
+                first.setdefault(norm, (i, number))
+                lines[i, number] = norm
+    names = sorted(first)
+    hashes = dict(zip(names, sims([n.split() for n in names]).tolist()))
+    links = []
+    for k, a in enumerate(names):
+        for b in names[k + 1 :]:
+            if ((hashes[a] ^ hashes[b]) & (2**64 - 1)).bit_count() <= linededup.DISTANCE:
+                longer = max(len(a), len(b))
+                if 100 * (longer - plain.levenshtein(a, b)) >= percent * longer:
+                    links.append((a, b))
+    root = plain.roots(names, links)
+    keeper = {}
+    for place, norm in sorted(lines.items()):
+        keeper.setdefault(root[norm], place)
+    out = {}
+    for i, text in rows:
+        kept = [x for k, x in enumerate((text or "").split("\n")) if (i, k) not in lines or keeper[root[lines[i, k]]] == (i, k)]
+        out[i] = None if text is None else "\n".join(kept)
+    return out
+
+
+def line_corpus(seed):
+    rng = random.Random(seed)
+    vocab = plain.vocabulary(rng, 200)
+    common = [" ".join(rng.choice(vocab) for _ in range(rng.randint(4, 120))) for _ in range(12)]
+    rows = []
+    for i in range(60):
+        lines = []
+        for _ in range(rng.randint(1, 6)):
+            line = rng.choice(common) if rng.random() < 0.6 else " ".join(rng.choice(vocab) for _ in range(rng.randint(1, 30)))
+            if rng.random() < 0.4:
+                w = line.split()
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+                line = " ".join(w)
+            lines.append(rng.choice([line, line.upper(), "  " + line.replace(" ", "  ")]))
+        rows.append((i, "\n".join(lines)))
+    return rows + [(100, None), (101, ""), (102, "\n\n"), (103, common[0] + "\n" + common[0])]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_lines_against_all_pairs(docs, seed):
+    rows = line_corpus(seed)
+    random.Random(seed).shuffle(rows)
+    frame = docs([(i, t, "x", 3) for i, t in rows], ", n_lines string, _row int")
+    cleaned = linededup.dedup_lines(frame)
+    assert cleaned.columns == ["doc_id", "text", "_row", "n_lines", "n_removed"]
+    found = cleaned.collect()
+    expected = brute_lines(rows)
+    assert {r.doc_id: r.text for r in found} == expected and len(found) == len(rows)
+    for r in found:
+        before, after = dict(rows)[r.doc_id], expected[r.doc_id]
+        assert r.n_lines == (0 if before is None else before.count("\n") + 1)
+        if r.n_lines > r.n_removed:
+            assert r.n_lines - r.n_removed == after.count("\n") + 1
+    assert sum(r.n_removed for r in found) > 20
+
+
+@pytest.mark.parametrize("blocks", [5, 6, 8])
+def test_hashes_under_the_distance_share_a_key(spark, blocks):
+    rng = random.Random(blocks)
+    rows = []
+    for i in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), linededup.DISTANCE):
+            b ^= 1 << bit
+        rows += [(i, a - 2**63), (i, b - 2**63)]
+    frame = spark.createDataFrame(rows, "i int, sim bigint").selectExpr("i", "sim")
+    keys = frame.select("i", linededup.block_keys(frame.sim, blocks).alias("keys")).collect()
+    both = {}
+    for r in keys:
+        both.setdefault(r.i, []).append(set(r["keys"]))
+    assert all(a & b for a, b in both.values())
+
+
+def test_edit_distance():
+    rng = random.Random(2)
+    for _ in range(400):
+        a, b = ("".join(rng.choice("abcé ") for _ in range(rng.randint(0, 30))) for _ in range(2))
+        if rng.random() < 0.5:
+            b = a[: len(a) // 2] + rng.choice(["", "x", "yz"]) + a[len(a) // 2 + rng.randint(0, 1) :]
+        assert linededup.edit_distance(a, b) == plain.levenshtein(a, b), (a, b)
+    long = "word " * 20_000
+    assert linededup.edit_distance("a" + long + "b", "c" + long + "dd") == 3
+
+
+def test_repeated_rows_missing_ids_and_long_lines(docs):
+    line = "this is a line that is long enough"
+    long = "many many words " * 40_000
+    rows = [(1, line), (1, line), (2, line + "\nshort"), (None, line), (3, long), (4, long + "more"), (5, line.title() + "\n" + line)]
+    found = sorted(((r.doc_id, r.text, r.n_removed) for r in linededup.dedup_lines(docs(rows)).collect()), key=str)
+    assert found == sorted([(1, line, 0), (1, line, 0), (2, "short", 1), (None, "", 1), (3, long, 0), (4, "", 1), (5, "", 2)], key=str)
+    kept = linededup.remaining_documents(docs([(*r, 7) for r in rows] + [(8, "", 7), (9, None, 7)], ", n_removed int"))
+    assert sorted(str(tuple(r)[0]) + str(tuple(r)[2]) for r in kept.collect()) == ["17", "17", "27", "37", "87", "97"]
+    assert linededup.dedup_lines(docs([])).count() == 0
+
+
+def test_long_lines_are_hashed_in_parts():
+    rng = random.Random(1)
+    words = [rng.choice("abcdefgh") for _ in range(120_001)]
+    sims = linededup.SimHashes()
+    assert sims([words])[0] == sims([["a"], words, ["b", "c"]])[1]
+
+
+# vectors
+
+
+def vectors(rng, dimensions=48):
+    base = rng.normal(size=(80, dimensions))
+    rows = [(i, v, i % 3) for i, v in enumerate(base)]
+    for k in range(150):  # around a few of them, from near to too far
+        v = base[k % 4]
+        rows.append((1000 + k, v + rng.normal(size=dimensions) * rng.choice([0.02, 0.1, 0.15, 0.2]), 0))
+    rows += [(3000 + k, base[1] * (1 + k), 0) for k in range(5)] + [(4000 + k, base[1], 0) for k in range(6)]
+    return [(int(i), [float(x) for x in v], label) for i, v, label in rows]
+
+
+def brute_vectors(rows, threshold=0.98):
+    def usable(v):
+        return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    n = len(rows)
+    links = []
+    for a in range(n):
+        for b in range(a + 1, n):
+            (i, x, p), (j, y, q) = rows[a], rows[b]
+            if p is not None and p == q and usable(x) and usable(y) and len(x) == len(y):
+                x, y = (np.array(v) / np.abs(v).max() for v in (x, y))
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
+                    links.append((a, b))
+    count = [0] * n
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    ids = [r[0] for r in rows]
+    root = plain.roots(set(ids), [(ids[a], ids[b]) for a, b in links])
+    return sorted((i, count[k], root[i], root[i] == i) for k, i in enumerate(ids)), len(links)
+
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int, n int, node string"
+
+
+@pytest.mark.parametrize("block", [1000, 20])
+def test_vectors_against_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(lattice, "BLOCK", block)
+    rows = vectors(np.random.default_rng(3))
+    rows += [(5000, None, 0), (5001, [0.0] * 48, 0), (5002, [float("nan")] + [1.0] * 47, 0), (5003, [None] + [1.0] * 47, 0), (5004, [], 0)]
+    rows += [(5005, rows[0][1], None), (5006, [1e200] * 48, 9), (5007, [1e-200] * 48, 9), (5008, rows[0][1][:20], 0), (4000, rows[1][1], 0)]
+    expected, n_links = brute_vectors(rows)
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(4)
+    found = sorted(tuple(r) for r in lattice.near_vectors(frame).collect())
+    assert found == expected and n_links > 500
+
+
+def test_vectors_without_id_and_empty_tables(spark):
+    v, w = [1.0, 2.0], [1.0, 2.01]
+    frame = spark.createDataFrame([(None, v, 1, 0, ""), (4, w, 1, 0, ""), (None, [5.0, -1.0], 1, 0, "")], SCHEMA)
+    found = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_vectors(frame).collect()}
+    assert found == {(None, 1, 4, False), (4, 1, 4, True), (None, 0, None, True)}
+    assert lattice.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_recall_at_the_threshold():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    y = 0.98 * x + np.sqrt(1 - 0.98**2) * z
+    share = [bool(set(a) & set(b)) for a, b in zip(lattice.cells(x), lattice.cells(y))]
+    assert np.mean(share) > 0.999
+
+
+def test_nearest_points():
+    rng = np.random.default_rng(2)
+    short = lattice.shortest_vectors()
+    assert len(short) == 240 and np.allclose((short**2).sum(axis=1), 2)
+    y = rng.normal(size=(300, 8)) * 2
+    own = lattice.nearest_point(y)
+    doubled = 2 * own
+    whole = np.all(doubled % 2 == 0, axis=1) | np.all(doubled % 2 == 1, axis=1)
+    assert whole.all() and np.all(own.sum(axis=1) % 2 == 0)
+    # no neighbouring point is nearer, and every cell is inside its neighbours' half spaces
+    assert np.all(((y - own) ** 2).sum(axis=1)[:, None] <= (((y - own)[:, None, :] - short[None]) ** 2).sum(axis=2) + 1e-9)
