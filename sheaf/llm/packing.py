@@ -9,8 +9,11 @@ within their length.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 from pathlib import Path
 
 import numpy as np
@@ -25,37 +28,92 @@ WINDOW = 2048
 GRAIN = 4
 DEPTH = 3
 END_ID = 1
-# Words remembered by a task; the memory is emptied when full, which changes no result.
-MEMO_WORDS = 400_000
+# Runs that a task remembers before it drops those it has not met since the last time.
+MEMO = 400_000
 # Pieces per bucket when ranks are given out.
 RANK_ROWS = 50_000
 
 
-class WordIds:
-    """Ids of words as little-endian unsigned 32-bit bytes, each distinct word encoded once.
+class TextIds:
+    """Ids of texts as little-endian unsigned 32-bit bytes, each distinct run of characters encoded once.
 
-    Only for tokenizers that treat words apart by blanks independently and drop the blanks, which is checked against
-    whole texts in the tests.
+    For tokenizers that lower-case, drop blanks and cut words into runs of letters, single digits and runs of symbols
+    that are encoded apart, each closed by a token with the word-end mark: the ids of a text are then those of its
+    runs. Text of printable ASCII and common Latin letters is cut into runs here, other words and those with a special
+    token's brackets are encoded whole. The tests hold the result against texts encoded whole.
     """
 
+    # Fixed value: how this family of tokenizers cuts lower-case words, for the characters in PLAIN.
+    LETTERS = "a-z\u00df-\u00f6\u00f8-\u017f"
+    RUNS = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\t-\r 0-9{LETTERS}]+"
+    # Characters that normal forms leave alone and whose lower case is one of them.
+    PLAIN = r"[\t-\r -~\u00c0-\u012f\u0131-\u017f]*"
+
     def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given the cores to tasks
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.memo: dict[bytes, bytes] = {}
-
-    def __call__(self, text: str) -> bytes:
-        found = text.encode("utf-8", "replace").split()
-        memo = self.memo
-        missing = [w for w in set(found) if w not in memo]
-        if missing:
-            if len(memo) + len(missing) > MEMO_WORDS:
-                memo.clear()
-                missing = list(set(found))
-            encoded = self.tokenizer.encode_batch([w.decode() for w in missing], add_special_tokens=False)
-            for w, e in zip(missing, encoded):
-                memo[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([memo[w] for w in found])
+        self.runs = re.compile(self.RUNS).findall
+        self.plain = re.compile(self.PLAIN).fullmatch
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # run, or word to encode whole with a blank in front, to ids; the older half is dropped when the newer is full
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def pieces(self, text: str) -> list[str]:
+        """Runs of a text, and words to encode whole marked by a blank in front."""
+        if "<|" not in text and self.plain(text):
+            return self.runs(text.lower())
+        found = []
+        for word in text.encode("utf-8", "replace").split():
+            word = word.decode()
+            if "<|" not in word and self.plain(word):
+                found += self.runs(word.lower())
+            else:
+                found.append(" " + word)
+        return found
+
+    def learn(self, missing: set[str]) -> None:
+        """Remember pieces that are not in the newer memory; runs are encoded many in one go."""
+        memo, old = self.memo, self.old
+        memo.update({piece: old[piece] for piece in missing if piece in old})
+        new = missing.difference(old)
+        whole = [piece for piece in new if piece[0] == " "]
+        runs = [piece for piece in new if piece[0] != " "]
+        parts = [runs[at : at + 64] for at in range(0, len(runs), 64)]
+        encoded = self.tokenizer.encode_batch_fast([" ".join(part) for part in parts], add_special_tokens=False)
+        for part, e in zip(parts, encoded):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                data, start = ids.tobytes(), 0
+                for run, end in zip(part, (4 * ends).tolist()):
+                    memo[run] = data[start:end]
+                    start = end
+            else:
+                whole += part
+        for piece, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            memo[piece] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text; the pieces of some megabytes of text are looked up together."""
+        at = 0
+        while at < len(texts):
+            if len(self.memo) > MEMO:
+                self.memo, self.old = {}, self.memo
+            memo = self.memo
+            size, found, missing = 0, [], set()
+            while at < len(texts) and (not found or size < 2_000_000):
+                found.append(self.pieces(texts[at]))
+                missing.update(filterfalse(memo.__contains__, found[-1]))
+                size += len(texts[at])
+                at += 1
+            self.learn(missing)
+            for pieces_of_text in found:
+                yield b"".join(map(memo.__getitem__, pieces_of_text))
 
 
 def cut(ids: bytes, window: int = WINDOW) -> list[tuple[int, int, int]]:
@@ -73,11 +131,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFr
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        ids_of = WordIds(definition.value)
+        ids_of = TextIds(definition.value)
         for texts in batches:
             rows = []
-            for text in texts:
-                ids = ids_of(text or "") + end
+            for ids in ids_of([text or "" for text in texts]):
+                ids += end
                 starts, lengths, crcs = zip(*cut(ids, window))
                 rows.append((list(starts), list(lengths), list(crcs), len(ids) // 4))
             yield pd.DataFrame(rows, columns=["start", "length", "crc", "tokens"])
