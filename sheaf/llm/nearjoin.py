@@ -9,7 +9,7 @@ confirmed on the full sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sheaf.llm import linkage
 from sheaf.llm.common import settle, spare_name
-from sheaf.llm.repeats import WordHashes, mixed, window_hashes
+from sheaf.llm.repeats import mixed, window_hashes, word_hashes
 
 SHINGLE = 5
 SYMBOLS = 64
@@ -37,13 +37,11 @@ _FACTORS = (np.random.default_rng(11).integers(0, 2**31, SYMBOLS, dtype=np.uint6
 _MASKS = np.random.default_rng(12).integers(0, 2**32, SYMBOLS, dtype=np.uint64).astype(np.uint32)
 
 
-def shingle_set(hashes_of: WordHashes, text: str | None) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a text, A-Z lower-cased; all its words as one if there are fewer."""
-    lowered = (text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
-    hashes = hashes_of(lowered)[1]
-    if not len(hashes):
-        return np.zeros(0, dtype=np.uint64)
-    return np.unique(window_hashes(hashes, min(SHINGLE, len(hashes)))[:, 0] + np.uint64(min(SHINGLE, len(hashes))))
+def shingle_sets(texts: Sequence[bytes | None]) -> Iterator[np.ndarray]:
+    """Sorted hashes of the distinct shingles of each text (UTF-8), A-Z lower-cased; all its words as one if fewer."""
+    for hashes in word_hashes([(text or b"").lower() for text in texts]):
+        n = min(SHINGLE, len(hashes))
+        yield np.unique(window_hashes(hashes[:, :1], n)[:, 0] + np.uint64(n)) if n else np.zeros(0, dtype=np.uint64)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -74,17 +72,15 @@ def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, s1, s2, sig`` for each row; ``s1, s2`` are a 128-bit hash of the set."""
 
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        hashes_of = WordHashes()
         for texts in batches:
             rows = []
-            for text in texts:
-                found = shingle_set(hashes_of, text)
+            for found in shingle_sets(texts.tolist()):
                 s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), dtype="<i8")
                 rows.append((len(found), int(s1), int(s2), signature(found).astype("<u2").tobytes() if len(found) else None))
             yield pd.DataFrame(rows, columns=["n_shingles", "s1", "s2", "sig"])
 
     signed = F.pandas_udf(sign, "n_shingles bigint, s1 bigint, s2 bigint, sig binary")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), signed("text").alias("s")).select("doc_id", "s.*")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), signed(F.col("text").cast("binary")).alias("s")).select("doc_id", "s.*")
 
 
 def _members(classes: DataFrame) -> DataFrame:
@@ -109,16 +105,15 @@ def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, n_ids: int) -> Da
     wanted = classes.join(small_ids(ids, n_ids), "id", "left_semi").select("id", "of_doc", "s2", "sig")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes_of = WordHashes()
         for batch in batches:
             rows = []
-            for i, s2, sig, text in zip(*(batch[c] for c in ("id", "s2", "sig", "text"))):
-                data = shingle_set(hashes_of, text).tobytes()
+            for i, s2, sig, found in zip(*(batch[c] for c in ("id", "s2", "sig")), shingle_sets(batch["text"].tolist())):
+                data = found.tobytes()
                 if (i, s2) == tuple(np.frombuffer(xxhash.xxh3_128_digest(data), dtype="<i8")):  # else another text of that id
                     rows.append((i, sig, data))
             yield pd.DataFrame(rows, columns=["id", "sig", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("of_doc"), "text")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("of_doc"), F.col("text").cast("binary").alias("text"))
     joined = texts.join(small_ids(wanted, n_ids // 16), "of_doc")
     return joined.mapInPandas(sets, "id bigint, sig binary, shingles binary").dropDuplicates(["id"])
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm import repeats
-from sheaf.llm.repeats import SIZE, UNBOUNDED, WordHashes, window_hashes
+from sheaf.llm.repeats import SIZE, UNBOUNDED, window_hashes, word_hashes
 
 # Bytes of text per block of the sketch, and counters per row of a block: about six for each window of usual text.
 BLOCK_BYTES = 16_000_000
@@ -52,18 +52,22 @@ def cells(fingerprints: np.ndarray, row: int) -> np.ndarray:
     return (fingerprints * odd) >> np.uint32(32 - WIDTH_BITS)
 
 
-def partition_sketches(docs_in_groups: DataFrame, blocks: int, size: int) -> DataFrame:
+def partition_sketches(docs_in_groups: DataFrame, groups: int, blocks: int, size: int) -> DataFrame:
     """``block, g, cells``: fingerprints of the windows, each as often as rows of the group have it, in order."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes_of = WordHashes()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         gathered = 0
 
         def flush() -> pa.RecordBatch:
             block, g, finger = (np.concatenate([part[i] for part in held]) for i in range(3))
-            order = np.lexsort((finger, g, block))
-            block, g, finger = block[order], g[order], finger[order]
+            if blocks * groups < 1 << 32:  # one number sorts faster than three
+                packed = np.sort(((block * np.uint64(groups) + g) << np.uint64(32)) | finger)
+                block, g = np.divmod(packed >> np.uint64(32), np.uint64(groups))
+                finger = (packed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            else:
+                order = np.lexsort((finger, g, block))
+                block, g, finger = block[order], g[order], finger[order]
             first = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (g[1:] != g[:-1])))
             parts = np.split(finger, first[1:])
             return pa.RecordBatch.from_arrays(
@@ -76,14 +80,14 @@ def partition_sketches(docs_in_groups: DataFrame, blocks: int, size: int) -> Dat
             )
 
         for batch in batches:
-            for group, text in zip(batch.column("g").to_pylist(), batch.column("text")):
-                windows = window_hashes(hashes_of(text.as_py())[1], size)
+            for group, hashes in zip(batch.column("g").to_pylist(), word_hashes(batch.column("text").to_pylist())):
+                windows = window_hashes(hashes, size)
                 if not len(windows):
                     continue
                 block, finger = place(windows, blocks)
                 # once per row and window
                 once = np.unique((block << np.uint64(32)) | finger)
-                held.append((once >> np.uint64(32), np.full(len(once), group), (once & np.uint64(0xFFFFFFFF)).astype(np.uint32)))
+                held.append((once >> np.uint64(32), np.full(len(once), group, dtype=np.uint64), (once & np.uint64(0xFFFFFFFF)).astype(np.uint32)))
                 gathered += len(once)
                 if gathered >= GATHER:
                     yield flush()
@@ -125,9 +129,10 @@ def substring_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     n_bytes = repeats.text_bytes(docs)
     blocks = max(1, -(-n_bytes // BLOCK_BYTES))
-    in_groups = repeats.grouped(docs, repeats.group_count(n_bytes))
+    groups = repeats.group_count(n_bytes)
+    in_groups = repeats.grouped(docs, groups)
     heavy = (
-        partition_sketches(in_groups, blocks, size)
+        partition_sketches(in_groups, groups, blocks, size)
         .groupBy("block")
         .applyInPandas(merged, "g int, block bigint, cells binary, estimates binary")
     )
@@ -144,13 +149,19 @@ def substring_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
         estimate = estimate[first]
         estimate[estimate >= _FULL] = UNBOUNDED
 
-        def mark(row: int, doc: int, hashes: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        # most windows fail here, at the price of one look at a small table
+        some = np.zeros(1 << 22, dtype=bool)
+        some[key & np.uint64(len(some) - 1)] = True
+
+        def mark(row: int, doc: int, windows: np.ndarray) -> np.ndarray:
             block, finger = place(windows, blocks)
             wanted = (block << np.uint64(32)) | finger
-            if not len(key):
-                return np.zeros(len(wanted), dtype=np.int64)
-            at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-            return np.where(key[at] == wanted, estimate[at], 0)
+            bound = np.zeros(len(wanted), dtype=np.int64)
+            maybe = np.flatnonzero(some[wanted & np.uint64(len(some) - 1)])
+            if len(maybe):
+                at = np.minimum(np.searchsorted(key, wanted[maybe]), len(key) - 1)
+                bound[maybe] = np.where(key[at] == wanted[maybe], estimate[at], 0)
+            return bound
 
         return mark
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sheaf.llm import repeats
 from sheaf.llm.common import settle
-from sheaf.llm.repeats import SIZE, UNBOUNDED, WordHashes, window_hashes
+from sheaf.llm.repeats import SIZE, UNBOUNDED, window_hashes, word_hashes
 
 GRAM = 5
 SHARED = 12
@@ -33,36 +33,41 @@ def reach(size: int) -> int:
     return size - SHARED - GRAM + 2
 
 
-def minimisers(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Starts of the sparse suffixes of a text, each followed by ``SHARED`` words."""
-    grams = window_hashes(hashes, GRAM)[:, 0]
+def minimisers(grams: np.ndarray, size: int) -> np.ndarray:
+    """Starts of the sparse suffixes of a text, given the hashes of its ``GRAM``s, each followed by ``SHARED`` words."""
     width = reach(size)
     if len(grams) < width:
         return np.zeros(0, dtype=np.int64)
     picked = []
     for at in range(0, len(grams) - width + 1, 1 << 16):
         part = grams[at : at + (1 << 16) + width - 1]
-        view = np.lib.stride_tricks.sliding_window_view(part, width)
-        picked.append(np.unique(at + np.arange(len(view)) + view.argmin(axis=1)))
+        # the place in the low bits makes the leftmost of equal ones the lowest
+        low = (part >> np.uint64(17) << np.uint64(17)) | np.arange(len(part), dtype=np.uint64)
+        covered = 1
+        while covered < width:
+            step = min(covered, width - covered)
+            low = np.minimum(low[:-step], low[step:])
+            covered += step
+        picked.append(at + np.unique(low & np.uint64((1 << 17) - 1)).astype(np.int64))
     found = np.unique(np.concatenate(picked))
-    return found[found + SHARED <= len(hashes)]
+    return found[found + SHARED <= len(grams) + GRAM - 1]
 
 
 def sparse_suffixes(docs_in_groups: DataFrame, size: int) -> DataFrame:
     """``k1, k2, row, pos, doc, g``: the kept suffixes with the hashes of their first words."""
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes_of = WordHashes()
         for batch in batches:
             rows, at, k1, k2, docs, groups = [], [], [], [], [], []
-            for g, row, doc, text in zip(*(batch.column(c).to_pylist() for c in ("g", "row", "doc", "text"))):
-                hashes = hashes_of(text)[1]
+            texts = word_hashes(batch.column("text").to_pylist())
+            for g, row, doc, hashes in zip(*(batch.column(c).to_pylist() for c in ("g", "row", "doc")), texts):
                 if len(hashes) < size:
                     continue
-                found = minimisers(hashes, size)
+                grams = window_hashes(hashes[:, :1], GRAM)[:, 0]
+                found = minimisers(grams, size)
                 at.append(found)
-                k1.append(window_hashes(hashes, GRAM)[found, 0])
-                k2.append(window_hashes(hashes, SHARED)[found, 1])
+                k1.append(grams[found])
+                k2.append(window_hashes(hashes[:, 1:], SHARED)[found, 0])
                 rows.append(np.full(len(found), row))
                 docs.append(np.full(len(found), doc))
                 groups.append(np.full(len(found), g, dtype=np.int32))
@@ -157,16 +162,15 @@ def suffix_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     width = reach(size)
 
     def prepare(known: pd.DataFrame):
-        own = {key: part for key, part in known.groupby(["row", "doc"])} if len(known) else {}
+        own = repeats.rows_of(known, "pos", "bound")
 
-        def mark(row: int, doc: int, hashes: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        def mark(row: int, doc: int, windows: np.ndarray) -> np.ndarray:
             bound = np.zeros(len(windows), dtype=np.int64)
-            part = own.get((row, doc))
-            if part is not None:
+            if (row, doc) in own:
                 free = np.full(len(windows), UNBOUNDED + 1, dtype=np.int64)
-                positions, limits = part["pos"].to_numpy().astype(np.int64), part["bound"].to_numpy()
+                positions, limits = own[row, doc]
                 # a match at p stands for the windows that start up to `width` - 1 words before it
-                starts = positions[:, None] - np.arange(width)[None, :]
+                starts = positions.astype(np.int64)[:, None] - np.arange(width)[None, :]
                 inside = (starts >= 0) & (starts < len(windows))
                 np.minimum.at(free, starts[inside], np.broadcast_to(limits[:, None], starts.shape)[inside])
                 bound = np.where(free <= UNBOUNDED, free, 0)

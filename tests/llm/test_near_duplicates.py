@@ -113,7 +113,6 @@ def test_stars_over_several_stretches(spark):
 
 def brute_lines(rows, percent=90, shortest=20):
     """``doc_id: kept text`` by comparing all pairs of lines."""
-    sims = linededup.SimHashes()
     first, lines = {}, {}
     for i, text in sorted(rows):
         for number, line in enumerate((text or "").split("\n")):
@@ -122,7 +121,7 @@ def brute_lines(rows, percent=90, shortest=20):
                 first.setdefault(norm, (i, number))
                 lines[i, number] = norm
     names = sorted(first)
-    hashes = dict(zip(names, sims([n.split() for n in names]).tolist()))
+    hashes = dict(zip(names, next(linededup.sim_hashes([[n.encode() for n in names]])).tolist()))
     links = []
     for k, a in enumerate(names):
         for b in names[k + 1 :]:
@@ -219,9 +218,11 @@ def test_repeated_rows_missing_ids_and_long_lines(docs):
 
 def test_long_lines_are_hashed_in_parts():
     rng = random.Random(1)
-    words = [rng.choice("abcdefgh") for _ in range(120_001)]
-    sims = linededup.SimHashes()
-    assert sims([words])[0] == sims([["a"], words, ["b", "c"]])[1]
+    long = " ".join(rng.choice("abcdefgh") for _ in range(90_001)).encode()
+    alone, among = linededup.sim_hashes([[long], [b"a", long, b"b c", b"a"]])
+    assert alone[0] == among[1] and among[0] == among[3] != among[2]
+    # more than half of the words decide each bit
+    assert next(linededup.sim_hashes([[b"a a a b c"]]))[0] == among[0]
 
 
 # vectors

@@ -85,16 +85,16 @@ def test_estimates_are_never_too_low(monkeypatch):
 
 def test_equal_words_have_equal_window_hashes():
     rng = random.Random(1)
-    hashes_of = repeats.WordHashes()
+    hashes_of = lambda text: next(repeats.word_hashes([text]))
     words = [rng.choice("abc") for _ in range(300_000)]
-    windows = repeats.window_hashes(hashes_of(" ".join(words))[1], 7)
+    windows = repeats.window_hashes(hashes_of(" ".join(words).encode()), 7)
     names = [tuple(words[i : i + 7]) for i in range(len(words) - 6)]
     keys = [tuple(x) for x in windows.tolist()]
     assert len(set(names)) == len(set(keys)) == len(set(zip(names, keys)))
 
 
 def test_long_texts_are_hashed_in_parts(monkeypatch):
-    hashes = repeats.WordHashes()(" ".join(str(i % 977) for i in range(5000)))[1]
+    hashes = next(repeats.word_hashes([" ".join(str(i % 977) for i in range(5000)).encode()]))
     whole = repeats.window_hashes(hashes, 50)
     monkeypatch.setattr(repeats, "_CHUNK", 64)
     assert np.array_equal(repeats.window_hashes(hashes, 50), whole)
@@ -103,11 +103,26 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
 def test_every_window_holds_a_kept_suffix():
     rng = random.Random(4)
     for _ in range(20):
-        hashes = repeats.WordHashes()(" ".join(rng.choice("abcdef") for _ in range(rng.randint(50, 300))))[1]
-        found = set(suffix.minimisers(hashes, 50).tolist())
+        hashes = next(repeats.word_hashes([" ".join(rng.choice("abcdef") for _ in range(rng.randint(50, 300))).encode()]))
+        grams = repeats.window_hashes(hashes, suffix.GRAM)[:, 0]
+        found = set(suffix.minimisers(grams, 50).tolist())
         for s in range(len(hashes) - 49):
             assert any(p in found for p in range(s, s + 50 - suffix.SHARED + 1))
             # what is chosen inside the window alone is chosen in the text
-            assert {s + p for p in suffix.minimisers(hashes[s : s + 50], 50).tolist()} <= found
+            assert {s + p for p in suffix.minimisers(grams[s : s + 50 - suffix.GRAM + 1], 50).tolist()} <= found
     with pytest.raises(ValueError):
         suffix.suffix_dedup(None, size=10)
+
+
+def test_word_hashes_depend_on_the_word_alone():
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab é\t\n 你") for _ in range(rng.randint(0, 400))).encode() for _ in range(200)]
+    texts += [None, b"", b" ", b"x" * 200_000 + b" y " + b"x" * 200_000, b"z " * 100_000]
+    seen, count = {}, 0
+    for text, hashes in zip(texts, repeats.word_hashes(texts)):
+        words = (text or b"").split()
+        assert len(words) == len(hashes)
+        for word, h in zip(words, hashes.tolist()):
+            assert seen.setdefault(word, h) == h
+    assert len({tuple(h) for h in seen.values()}) == len(seen)
+    assert len({h[0] for h in seen.values()}) == len({h[1] for h in seen.values()}) == len(seen)
