@@ -1,4 +1,4 @@
-"""Other ways to write some queries, timed by the benchmark beside the ones the library uses.
+"""Other ways to write some queries, timed by the benchmark beside the ones the library uses; not part of it.
 
 They follow the plain recipe of the job in question: a row-at-a-time function for the zip counter, every path of
 two edges for the triangles, pair records combined with ``reduceByKey`` for the word count.

@@ -43,3 +43,11 @@ def exact(df: DataFrame, value: Column | str) -> Column:
     number = _col(value)
     kind = df.select(number.alias("value")).schema["value"].dataType.typeName()
     return number.cast("decimal(20,0)") if kind in ("byte", "short", "integer", "long") else number
+
+
+def exact_sum(df: DataFrame, value: Column | str) -> Column:
+    """Sum that does not overflow: whole numbers add up as DECIMAL(38,0), other numbers as they are."""
+    number = exact(df, value)
+    kind = df.select(_col(value).alias("value")).schema["value"].dataType.typeName()
+    whole = kind in ("byte", "short", "integer", "long")
+    return F.sum(number).cast("decimal(38,0)") if whole else F.sum(number)

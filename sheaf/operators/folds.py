@@ -11,29 +11,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sheaf.functions.numbers import exact, log_or_limit
+from sheaf.functions.numbers import exact, exact_sum, log_or_limit
 from sheaf.functions.text import _col
 
 # Rows per stretch of a task in position_weighted_sum, as a power of two: small positions keep sums of doubles accurate.
 STRETCH_BITS = 18
+# Fixed value: bits of a place that number the rows of a partition in monotonically_increasing_id.
+PLACE_BITS = 33
 # Bits of a double's significand, and where compensated_sum cuts a sum of significands in two.
 SIGNIFICAND_BITS = 53
 CUT_BITS = 50
 
 
-def squares(spark: SparkSession, n: int) -> DataFrame:
-    """1, 4, 9, ... n*n in column ``value``."""
-    return spark.range(1, n + 1).select((F.col("id") * F.col("id")).alias("value"))
+def squares(df: DataFrame, value: Column | str, name: str = "value") -> DataFrame:
+    """The squares of a column of whole numbers, as DECIMAL(38,0)."""
+    number = _col(value).cast("decimal(19,0)")
+    return df.select((number * number).cast("decimal(38,0)").alias(name))
 
 
-def square_roots(spark: SparkSession, n: int) -> DataFrame:
-    """The square roots of 1, 2, ... n in column ``value``."""
-    return spark.range(1, n + 1).select(F.sqrt("id").alias("value"))
+def square_roots(df: DataFrame, value: Column | str, name: str = "value") -> DataFrame:
+    """The square roots of a column."""
+    return df.select(F.sqrt(_col(value)).alias(name))
+
+
+def first_numbers(spark: SparkSession, n: int) -> DataFrame:
+    """1, 2, ... n in column ``id``."""
+    return spark.range(1, n + 1)
 
 
 def total(df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "total") -> DataFrame:
-    """Sum."""
-    return df.groupBy(*by).agg(F.coalesce(F.sum(_col(value)), F.lit(0)).alias(name))
+    """Sum; that of whole numbers is DECIMAL(38,0)."""
+    return df.groupBy(*by).agg(F.coalesce(exact_sum(df, value), F.lit(0)).alias(name))
 
 
 def product(df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "product") -> DataFrame:
@@ -51,8 +59,8 @@ def pair_total(
 ) -> DataFrame:
     """Sums of both members of a pair."""
     return df.groupBy(*by).agg(
-        F.coalesce(F.sum(_col(first)), F.lit(0)).alias(names[0]),
-        F.coalesce(F.sum(_col(second)), F.lit(0)).alias(names[1]),
+        F.coalesce(exact_sum(df, first), F.lit(0)).alias(names[0]),
+        F.coalesce(exact_sum(df, second), F.lit(0)).alias(names[1]),
     )
 
 
@@ -61,7 +69,7 @@ def total_and_max(
 ) -> DataFrame:
     """Sum of the first and maximum of the second member of a pair; the maximum of nothing is -Infinity."""
     return df.groupBy(*by).agg(
-        F.coalesce(F.sum(_col(first)), F.lit(0)).alias(names[0]),
+        F.coalesce(exact_sum(df, first), F.lit(0)).alias(names[0]),
         F.coalesce(F.max(_col(second)).cast("double"), F.lit(float("-inf"))).alias(names[1]),
     )
 
@@ -71,22 +79,22 @@ def total_and_product(
 ) -> DataFrame:
     """Sum and product of one column."""
     return df.groupBy(*by).agg(
-        F.coalesce(F.sum(_col(value)), F.lit(0)).alias(names[0]),
+        F.coalesce(exact_sum(df, value), F.lit(0)).alias(names[0]),
         F.coalesce(F.product(_col(value)), F.lit(1.0)).alias(names[1]),
     )
 
 
 def range_total_and_product(spark: SparkSession, n: int) -> DataFrame:
     """Sum and product of 1 .. n; the product is a DOUBLE, so it does not wrap around."""
-    return total_and_product(spark.range(1, n + 1), "id")
+    return total_and_product(first_numbers(spark, n), "id")
 
 
 def even_square_total(df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "total") -> DataFrame:
-    """Sum of the squares of the even numbers."""
+    """Sum of the squares of the even numbers, as DECIMAL(38,0)."""
     number = _col(value).cast("bigint")
-    return df.groupBy(*by).agg(
-        F.coalesce(F.sum(F.when(number % 2 == 0, number * number)), F.lit(0).cast("bigint")).alias(name)
-    )
+    exact_number = number.cast("decimal(19,0)")
+    squared = F.sum(F.when(number % 2 == 0, (exact_number * exact_number).cast("decimal(38,0)")))
+    return df.groupBy(*by).agg(F.coalesce(squared, F.lit(0)).cast("decimal(38,0)").alias(name))
 
 
 def position_weighted_sum(
@@ -101,65 +109,56 @@ def position_weighted_sum(
 
     Rows that tie in ``order_by`` go by value. No task sees a whole key: rows are range-partitioned by key and
     order, so a large key spans many tasks. Each stretch of a key is added up with positions counted from its own
-    start, and then shifted by the number of rows in the stretches before.
+    start, and then shifted by the number of rows in the stretches before: first those of its partition, then those of
+    the partitions before, so that the last step sees one row per key and partition.
 
-    A range cannot be cut between rows alike in key, order and value, so those are counted and kept as one row.
-    ``unique_order`` saves two shuffles where no two rows of a key share their place in the order.
+    A range cannot be cut between rows alike in key, order and value. Such rows are counted and given numbers, by which
+    they can be told apart. ``unique_order`` saves that shuffle where no two rows of a key share their place. Sums of
+    whole numbers are DECIMAL(38,0).
     """
     keys, order = list(by), [c for c in order_by if c not in by]
     rows = df.select(*keys, *order, _col(value).alias("_value"))
     sorted_by = [*keys, *order]
     if not unique_order:
-        sorted_by.append("_value")
-        rows = rows.groupBy(*sorted_by).agg(F.count(F.lit(1)).alias("_copies"))
+        alike = [*sorted_by, "_value"]
+        copies = F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))
+        rows = rows.groupBy(*alike).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_copy", F.explode(copies))
+        sorted_by = [*alike, "_copy"]
     placed = (
         rows.repartitionByRange(*sorted_by)
         .sortWithinPartitions(*sorted_by)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_stretch", F.shiftright("_place", STRETCH_BITS))
+        .withColumn("_at", F.col("_place").bitwiseAND(F.lit(2**STRETCH_BITS - 1)).cast("int"))
     )
-    sums = _stretches_of_rows(placed, keys) if unique_order else _stretches_of_copies(placed, keys)
-    preceding = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_rows").over(preceding), F.lit(0).cast("bigint"))
-    shifted = sums.withColumn("_weighted", F.col("_inner") + F.col("_sum") * before)
-    return shifted.groupBy(*keys).agg(F.coalesce(F.sum("_weighted"), F.lit(0)).alias(name))
-
-
-def _stretches_of_rows(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, _stretch, _rows, _sum, _inner`` of sorted and numbered rows."""
     number = exact(placed, "_value")
-    at = F.col("_place").bitwiseAND(F.lit(2**STRETCH_BITS - 1)).cast("int")
-    sums = (
-        placed.withColumn("_at", at)
-        .groupBy(*keys, "_stretch")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min("_at").alias("_first"),
-            F.coalesce(F.sum(number), F.lit(0)).alias("_sum"),
-            F.coalesce(F.sum(number * F.col("_at")), F.lit(0)).alias("_inner"),
-        )
+    whole = placed.select(number.alias("v")).schema["v"].dataType.typeName() == "decimal"
+    kind = "decimal(38,0)" if whole else "double"
+    none = F.lit(0).cast(kind)
+    stretches = placed.groupBy(*keys, "_stretch").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.min("_at").alias("_first"),
+        F.coalesce(F.sum(number), none).cast(kind).alias("_sum"),
+        F.coalesce(F.sum(number * F.col("_at")), none).cast(kind).alias("_inner"),
     )
-    return sums.withColumn("_inner", F.col("_inner") + F.col("_sum") * (1 - F.col("_first")))
 
+    def earlier(*partition: str, by: str) -> Column:
+        window = Window.partitionBy(*partition).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_rows").over(window), F.lit(0).cast("bigint"))
 
-def _stretches_of_copies(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys, _stretch, _rows, _sum, _inner`` of sorted and numbered rows that stand for ``_copies`` rows each."""
-    number, copies = exact(placed, "_value"), F.col("_copies")
-    earlier = (
-        Window.partitionBy(*keys, "_stretch").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.coalesce(F.sum("_copies").over(earlier), F.lit(0).cast("bigint"))
-    one_to_copies = F.expr("(_copies + _copies % 2) div 2").cast("decimal(20,0)") * (copies + 1 - copies % 2)
-    return (
-        placed.select(*keys, "_stretch", "_place", "_value", "_copies")
-        .withColumn("_positions", copies.cast("decimal(20,0)") * before + one_to_copies)
-        .groupBy(*keys, "_stretch")
+    # the number of the partition is in the high bits of a place
+    parts = (
+        stretches.withColumn("_part", F.shiftright("_stretch", PLACE_BITS - STRETCH_BITS))
+        .withColumn("_shift", earlier(*keys, "_part", by="_stretch") + 1 - F.col("_first"))
+        .groupBy(*keys, "_part")
         .agg(
-            F.sum("_copies").alias("_rows"),
-            F.coalesce(F.sum(number * copies), F.lit(0)).alias("_sum"),
-            F.coalesce(F.sum(number * F.col("_positions")), F.lit(0)).alias("_inner"),
+            F.sum("_rows").alias("_rows"),
+            F.sum("_sum").cast(kind).alias("_sum"),
+            F.sum((F.col("_inner") + F.col("_sum") * F.col("_shift")).cast(kind)).cast(kind).alias("_inner"),
         )
+        .withColumn("_weighted", (F.col("_inner") + F.col("_sum") * earlier(*keys, by="_part")).cast(kind))
     )
+    return parts.groupBy(*keys).agg(F.coalesce(F.sum("_weighted"), none).cast(kind).alias(name))
 
 
 def compensated_sum(df: DataFrame, value: Column | str, by: Sequence[str] = (), name: str = "total") -> DataFrame:

@@ -8,13 +8,15 @@ outgoing neighbours of its two ends.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheaf.operators.skew import balanced_join, hot_keys
+from sheaf.operators.skew import SLICE_ROWS, balanced_join, hot_keys
 
 # Incoming edges per task and vertex beyond which a vertex is split over several tasks.
 EDGES_PER_SLICE = 50_000
+# Neighbours of a vertex that one row holds, about; the neighbours of a vertex with more are cut into several rows.
+NEIGHBOURS_PER_ROW = 1_000
 
 
 def drop_self_edges(edges: DataFrame) -> DataFrame:
@@ -38,23 +40,27 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     )
 
 
-def two_hop_paths(edges: DataFrame, include_degenerate: bool = True) -> DataFrame:
+def two_hop_paths(edges: DataFrame, include_degenerate: bool = True, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """All paths of two edges as ``(mid, src, dst)``; degenerate ones return to where they start.
 
-    The result holds, for every vertex, each incoming with each outgoing edge. Where only their number matters
-    use :func:`two_hop_counts`, and for triangles :func:`triangles`, which list no paths.
+    The result holds, for every vertex, each incoming with each outgoing edge; a vertex with more than ``slice_rows`` of
+    either is cut into slices. Edges with a missing end are left out. Where only the number of paths matters use
+    :func:`two_hop_counts`, and for triangles :func:`triangles`, which list no paths.
     """
+    edges = _present(edges, "src", "dst")
     incoming = edges.select(F.col("dst").alias("mid"), "src")
     outgoing = edges.select(F.col("src").alias("mid"), "dst")
-    paths = balanced_join(incoming, outgoing, ["mid"], ["src"])
+    paths = balanced_join(incoming, outgoing, ["mid"], ["src"], lookup_spread=["dst"], slice_rows=slice_rows)
     return paths if include_degenerate else paths.where(F.col("src") != F.col("dst"))
 
 
 def two_hop_counts(edges: DataFrame, include_degenerate: bool = True) -> DataFrame:
     """``(mid, paths)``: the number of paths of two edges through each vertex that has any.
 
-    It is incoming times outgoing edges, so the work grows with the edges and not with the paths.
+    It is incoming times outgoing edges, so the work grows with the edges and not with the paths. Edges with a missing
+    end are left out.
     """
+    edges = _present(edges, "src", "dst")
     forward = (F.col("src") <= F.col("dst")).cast("bigint")
     pairs = edges.groupBy(F.least("src", "dst").alias("low"), F.greatest("src", "dst").alias("high")).agg(
         F.sum(forward).alias("up"), F.sum(1 - forward).alias("down")
@@ -85,7 +91,7 @@ def close_paths(edges: DataFrame, paths: DataFrame) -> DataFrame:
     return edges.select("src", "dst").join(paths, ["src", "dst"], "inner").select("src", "dst", "mid")
 
 
-def oriented_edges(edges: DataFrame) -> DataFrame:
+def oriented_edges(edges: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Undirected edges pointing to the end with more neighbours: ``src, src_degree, dst, dst_degree``."""
     once = canonical_edges(edges)
     degrees = (
@@ -94,7 +100,7 @@ def oriented_edges(edges: DataFrame) -> DataFrame:
         .groupBy("vertex")
         .agg(F.count(F.lit(1)).alias("degree"))
     )
-    hot = hot_keys(degrees, ["vertex"], "degree")
+    hot = hot_keys(degrees, ["vertex"], "degree", slice_rows)
 
     def with_degree(df: DataFrame, end: str, other_end: str) -> DataFrame:
         known = degrees.select(F.col("vertex").alias(end), F.col("degree").alias(f"{end}_degree"))
@@ -110,15 +116,29 @@ def oriented_edges(edges: DataFrame) -> DataFrame:
     )
 
 
-def triangles(edges: DataFrame) -> DataFrame:
+def triangles(
+    edges: DataFrame,
+    slice_rows: int = SLICE_ROWS,
+    edges_per_slice: int = EDGES_PER_SLICE,
+    neighbours_per_row: int = NEIGHBOURS_PER_ROW,
+) -> DataFrame:
     """Every triangle of the undirected graph once, as ``(a, b, c)``."""
-    return _common_neighbours(edges).select("a", "b", F.explode("thirds").alias("c"))
+    found = _common_neighbours(edges, slice_rows, edges_per_slice, neighbours_per_row)
+    return found.select("a", "b", F.explode("thirds").alias("c"))
 
 
-def count_triangles(edges: DataFrame, name: str = "triangles") -> DataFrame:
+def count_triangles(
+    edges: DataFrame,
+    name: str = "triangles",
+    slice_rows: int = SLICE_ROWS,
+    edges_per_slice: int = EDGES_PER_SLICE,
+    neighbours_per_row: int = NEIGHBOURS_PER_ROW,
+) -> DataFrame:
     """Number of triangles of the undirected graph, as a frame of one row."""
     found = F.sum(F.size("thirds").cast("bigint"))
-    return _common_neighbours(edges).agg(F.coalesce(found, F.lit(0).cast("bigint")).alias(name))
+    return _common_neighbours(edges, slice_rows, edges_per_slice, neighbours_per_row).agg(
+        F.coalesce(found, F.lit(0).cast("bigint")).alias(name)
+    )
 
 
 def closed_paths(edges: DataFrame) -> DataFrame:
@@ -146,37 +166,80 @@ def _present(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def _common_neighbours(edges: DataFrame) -> DataFrame:
-    """``(a, b, thirds)`` per oriented edge: the vertices that both of its ends point to.
+def neighbour_rows(edges: DataFrame, slice_rows: int = SLICE_ROWS, per_row: int = NEIGHBOURS_PER_ROW) -> DataFrame:
+    """``src, src_degree, parts, part, next``: the vertices that each vertex points to, cut into ``parts`` rows.
 
-    Many edges can point to one vertex. They are cut into slices by its degree, known on both sides, and the
-    neighbours of that vertex are repeated once per slice.
+    ``next`` holds ``dst, dst_degree, dst_parts``, the last NULL if that vertex points to nothing. The number of parts
+    is a power of two, about one per ``per_row`` neighbours, and a neighbour's part is its hash modulo that number. A
+    vertex points to at most sqrt(2 * edges) others, so counting them in a window keeps no task busy for long.
     """
+    oriented = oriented_edges(edges, slice_rows).transform(_present, "src", "src_degree", "dst", "dst_degree")
+    outgoing = F.count(F.lit(1)).over(Window.partitionBy("src"))
+    parts = F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(outgoing / F.lit(per_row))), F.lit(0))).cast("bigint")
+    sized = oriented.withColumn("parts", parts)
+    known = sized.groupBy("src").agg(F.max("parts").alias("dst_parts")).withColumnRenamed("src", "dst")
+    hot = hot_keys(sized.groupBy("dst").agg(F.max("dst_degree").alias("rows")), ["dst"], slice_rows=slice_rows)
+    slices = F.coalesce("slices", F.lit(1).cast("bigint"))
+    dealt = sized.join(F.broadcast(hot), "dst", "left").withColumn("_slice", F.pmod(F.xxhash64("src"), slices))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1))
+    repeated = known.join(F.broadcast(hot), "dst", "left").withColumn("_slice", every)
+    return (
+        dealt.drop("slices")
+        .join(repeated.drop("slices"), ["dst", "_slice"], "left")
+        .groupBy("src", "src_degree", "parts", F.pmod(F.xxhash64("dst"), F.col("parts")).alias("part"))
+        .agg(F.collect_list(F.struct("dst", "dst_degree", "dst_parts")).alias("next"))
+    )
 
-    def slices(degree: Column) -> Column:
-        return (degree / EDGES_PER_SLICE).cast("bigint") + 1
 
-    neighbours = (
-        oriented_edges(edges)
-        .transform(_present, "src", "src_degree", "dst", "dst_degree")
-        .groupBy("src", "src_degree")
-        .agg(F.collect_list(F.struct("dst", "dst_degree")).alias("next"))
+def _common_neighbours(
+    edges: DataFrame, slice_rows: int, edges_per_slice: int, neighbours_per_row: int
+) -> DataFrame:
+    """``(a, b, thirds)`` per oriented edge and part of the lists: vertices that both of its ends point to.
+
+    A vertex of one part repeats its list for each neighbour in it. The parts of a larger vertex are joined with each
+    other first, so that no task repeats more than one part for the neighbours of another. At ``b``, a part meets the
+    parts that can hold the same vertices. Many edges can point to one vertex: they are cut into slices by its degree,
+    known on both sides, and the neighbours of that vertex are repeated once per slice.
+    """
+
+    def slices(degree: Column) -> Column:
+        return (degree / edges_per_slice).cast("bigint") + 1
+
+    def numbers(count: Column) -> Column:
+        return F.sequence(F.lit(0).cast("bigint"), count - 1)
+
+    rows = neighbour_rows(edges, slice_rows, neighbours_per_row)
+    points = F.filter("next", lambda x: x["dst_parts"].isNotNull()).alias("middle")
+    list_of_a = F.col("next.dst").alias("of_a")
+    small = (F.col("parts") == 1) & (F.size("next") > 1)
+    one_part = rows.where(small).select("src", "parts", "part", list_of_a, points)
+    large = rows.where("parts > 1")
+    every = F.explode(numbers(F.col("parts")))
+    middles = large.select("src", F.col("part").alias("_i"), points, every.alias("part"))
+    lists = large.select("src", "parts", "part", list_of_a, every.alias("_i"))
+    pairs = middles.join(lists, ["src", "_i", "part"]).select("src", "parts", "part", "of_a", "middle")
+    from_a = one_part.unionByName(pairs).select(
+        F.col("src").alias("a"), "parts", "part", "of_a", F.explode("middle").alias("edge")
+    )
+    own, theirs = F.col("parts"), F.col("edge.dst_parts")
+    # part j of n meets, of m parts, j mod m if m <= n, and otherwise j, j + n, j + 2n, ...
+    times = F.greatest((theirs / own).cast("bigint"), F.lit(1))
+    met = F.when(theirs <= own, F.array(F.pmod(F.col("part"), theirs))).otherwise(
+        F.transform(numbers(times), lambda k: F.col("part") + k * own)
     )
-    from_a = (
-        neighbours.where(F.size("next") > 1)
-        .select("src", F.col("next.dst").alias("of_a"), F.explode("next").alias("edge"))
-        .select(
-            F.col("src").alias("a"),
-            F.col("edge.dst").alias("b"),
-            "of_a",
-            F.pmod(F.xxhash64("src"), slices(F.col("edge.dst_degree"))).alias("slice"),
-        )
+    from_a = from_a.select(
+        "a",
+        F.col("edge.dst").alias("b"),
+        "of_a",
+        F.pmod(F.xxhash64("a"), slices(F.col("edge.dst_degree"))).alias("slice"),
+        F.explode(met).alias("part"),
     )
-    at_b = neighbours.select(
+    at_b = rows.select(
         F.col("src").alias("b"),
+        "part",
         F.col("next.dst").alias("of_b"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), slices(F.col("src_degree")) - 1)).alias("slice"),
+        F.explode(numbers(slices(F.col("src_degree")))).alias("slice"),
     )
-    return from_a.join(at_b, ["b", "slice"], "inner").select(
+    return from_a.join(at_b, ["b", "part", "slice"], "inner").select(
         "a", "b", F.array_intersect("of_a", "of_b").alias("thirds")
     )

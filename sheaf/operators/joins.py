@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.numbers import exact
 from sheaf.functions.text import _col
-from sheaf.operators.skew import balanced_join, hot_keys
+from sheaf.operators.skew import SLICE_ROWS, balanced_join, hot_keys
 
 # Fixed value: what a missing key is replaced by.
 BLANK_KEY = "blank"
@@ -29,14 +29,30 @@ def fill_null_keys(df: DataFrame, keys: Sequence[str], fill: str = BLANK_KEY) ->
 
 
 def join_filled_keys(
-    large: DataFrame, other: DataFrame, keys: Sequence[str], spread: Sequence[str], fill: str = BLANK_KEY
+    large: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    spread: Sequence[str],
+    fill: str = BLANK_KEY,
+    other_spread: Sequence[str] = (),
+    hot: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Inner join in which a missing key matches a missing key and the literal fill text.
 
-    All missing keys become one key, which is why its rows are spread (:func:`balanced_join`). Every row with
-    that key on one side meets every such row on the other: combine rows first where only totals are needed.
+    All missing keys become one key, which is why its rows are spread (:func:`balanced_join`), on both sides if
+    ``other_spread`` is given. Every row with that key on one side meets every such row on the other: combine rows
+    first where only totals are needed. ``hot`` names the hot keys of the filled ``large``.
     """
-    return balanced_join(fill_null_keys(large, keys, fill), fill_null_keys(other, keys, fill), keys, spread)
+    return balanced_join(
+        fill_null_keys(large, keys, fill),
+        fill_null_keys(other, keys, fill),
+        keys,
+        spread,
+        hot,
+        other_spread,
+        slice_rows=slice_rows,
+    )
 
 
 def order_totals(items: DataFrame, amount: Column | None = None) -> DataFrame:
@@ -47,7 +63,12 @@ def order_totals(items: DataFrame, amount: Column | None = None) -> DataFrame:
 
 
 def country_order_report(
-    customers: DataFrame, orders: DataFrame, items: DataFrame, amount: Column | None = None, fill: str = BLANK_KEY
+    customers: DataFrame,
+    orders: DataFrame,
+    items: DataFrame,
+    amount: Column | None = None,
+    fill: str = BLANK_KEY,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``(country, num_orders, avg_order_amount)`` of orders that have both a customer and items.
 
@@ -56,7 +77,8 @@ def country_order_report(
 
     Rows are combined before they meet: customers per (id, country), and orders per customer, so that the blank
     key is one row against one row per country. Only an invoice listed under several customers could be counted
-    twice that way; those invoices are joined customer by customer.
+    twice that way; those invoices are joined customer by customer, invoices and customers with more than
+    ``slice_rows`` rows cut into slices.
     """
     people = (
         fill_null_keys(customers, ["customer_id"], fill)
@@ -91,11 +113,13 @@ def country_order_report(
         )
     )
     shared = invoices.where(F.col("owners") > 1).select("invoice_no", total.alias("order_total"))
-    crowded = hot_keys(per_invoice, ["invoice_no"], "owners")
+    crowded = hot_keys(per_invoice, ["invoice_no"], "owners", slice_rows)
     spent = F.col("order_total") * F.col("rows") * F.col("people")
+    in_shared = balanced_join(listed, shared, ["invoice_no"], ["customer_id"], crowded)
+    # an upper bound for the rows of a customer in shared invoices; it uses all columns, so that the shuffle is shared
+    busy = hot_keys(listed.groupBy("customer_id").agg(F.sum("rows").alias("rows")), ["customer_id"], slice_rows=slice_rows)
     per_country = (
-        balanced_join(listed, shared, ["invoice_no"], ["customer_id"], crowded)
-        .join(people, ["customer_id"], "inner")
+        balanced_join(in_shared, people, ["customer_id"], ["invoice_no"], busy)
         .groupBy("country")
         .agg(
             F.count_distinct("invoice_no").alias("invoices"),

@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.functions.numbers import flag, to_long
+from sheaf.functions.numbers import exact, flag
 from sheaf.functions.text import _col, strip, token_count
-from sheaf.sources.lines import RETAIL_FIELDS, RETAIL_HEADER, drop_header, parse_records
+from sheaf.sources.lines import RETAIL_FIELDS, RETAIL_HEADER, Records, drop_header, parse_records
 
 
 def measures(
@@ -48,8 +48,14 @@ def pair_sums_by(
 
 
 def product_sums_by(df: DataFrame, keys: Sequence[str], left: Column | str, right: Column | str) -> DataFrame:
-    """``(keys, total, n)``: per key, the sum of a product and the number of rows."""
-    return sum_and_count_by(df, keys, _col(left) * _col(right))
+    """``(keys, total, n)``: per key, the sum of a product and the number of rows.
+
+    Products of whole numbers and their sum are DECIMAL(38,0), which does not overflow where BIGINT would.
+    """
+    product = exact(df, left) * exact(df, right)
+    whole = df.select(product.alias("p")).schema["p"].dataType.typeName() == "decimal"
+    found = sum_and_count_by(df, keys, product)
+    return found.withColumn("total", F.col("total").cast("decimal(38,0)")) if whole else found
 
 
 def ratio_by(df: DataFrame, keys: Sequence[str], value: Column | str, name: str = "ratio") -> DataFrame:
@@ -88,13 +94,18 @@ def two_step_totals(
     return per_inner.groupBy(*outer).agg(F.sum(total).alias(total), F.count(F.lit(1)).alias(count))
 
 
+def sales_records(lines: DataFrame, column: str = "value") -> Records:
+    """Retail lines without headers: sales with a whole quantity, and the rejects with a reason."""
+    body = drop_header(lines, RETAIL_HEADER, column)
+    return parse_records(body, RETAIL_FIELDS, ("quantity",), column=column, required=("quantity",))
+
+
 def customer_totals(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``(customer, total_quantity, num_orders)`` of retail lines; headers and lines of another width are skipped.
+    """``(customer, total_quantity, num_orders)`` of retail lines; headers are skipped.
 
-    A blank customer is a customer like any other.
+    Lines that :func:`sales_records` rejects do not count. A blank customer is a customer like any other.
     """
-    sales = parse_records(drop_header(lines, RETAIL_HEADER, column), RETAIL_FIELDS, (), column=column).good
-    sales = sales.select(strip("customer").alias("customer"), "invoice", to_long("quantity").alias("quantity"))
+    sales = sales_records(lines, column).good.select(strip("customer").alias("customer"), "invoice", "quantity")
     return two_step_totals(sales, ["customer"], ["invoice"], "quantity", "total_quantity", "num_orders")
 
 

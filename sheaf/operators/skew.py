@@ -4,34 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is split into slices of about this many rows.
+# A key with more rows than this is split into slices of about this many rows. All operators that slice take it as an
+# argument. The list of such keys is broadcast and has at most one entry per so many rows; raise it with the data.
 SLICE_ROWS = 1_000_000
-# At most so many keys are split, the largest ones; any other key then holds less than 1/MAX_HOT_KEYS of all rows.
-MAX_HOT_KEYS = 20_000
 
 
-def hot_keys(
-    counts: DataFrame,
-    keys: Sequence[str],
-    rows: str = "rows",
-    slice_rows: int = SLICE_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
+def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str = "rows", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """The keys worth splitting and into how many slices: ``keys, slices``.
 
-    ``counts`` has one line per key with its number of rows. The result has at most ``max_keys`` lines, so it can
-    be broadcast at any scale. Which keys it names decides only where rows are sent, not what is joined; the order
-    is total, so that every use of the result names the same keys.
+    ``counts`` has one line per key with its number of rows. Which keys are named decides only where rows are sent,
+    not what is joined.
     """
-    return (
-        counts.where(F.col(rows) > slice_rows)
-        .orderBy(F.col(rows).desc(), *keys)
-        .limit(max_keys)
-        .select(*keys, F.ceil(F.col(rows) / slice_rows).alias("slices"))
-    )
+    return counts.where(F.col(rows) > slice_rows).select(*keys, F.ceil(F.col(rows) / slice_rows).alias("slices"))
 
 
 def count_rows_by(df: DataFrame, keys: Sequence[str], rows: str = "rows") -> DataFrame:
@@ -45,31 +32,51 @@ def balanced_join(
     keys: Sequence[str],
     spread: Sequence[str],
     hot: DataFrame | None = None,
+    lookup_spread: Sequence[str] = (),
+    lookup_hot: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Inner join on ``keys`` in which the rows of a hot key of ``large`` are spread over many tasks.
+    """Inner join on ``keys`` in which the rows of a hot key are spread over many tasks.
 
-    Rows of a hot key get a slice number from a hash of the ``spread`` columns, and the rows of ``lookup`` with
-    that key are repeated once per slice. All other rows have slice 0. The slice depends on the row's content
-    only, so a task that is run again sends its rows to the same place. ``spread`` should tell the rows of one key
-    apart; combine copies first. Pass ``hot`` where row counts are at hand, it saves counting ``large``. Columns of
-    ``large`` come first.
+    Rows of a hot key of ``large`` get a slice number from a hash of the ``spread`` columns, and the rows of ``lookup``
+    with that key are repeated once per slice. With ``lookup_spread``, the keys hot in ``lookup`` are cut likewise, and
+    the rows of ``large`` are repeated: a key hot on both sides becomes a grid of slices. All other rows have slice 0.
+    A slice depends on the row's content only, so a task that is run again sends its rows to the same place. ``spread``
+    should tell the rows of one key apart; combine copies first. Pass ``hot`` and ``lookup_hot`` where row counts are at
+    hand, it saves counting. Columns of ``large`` come first.
     """
     keys = list(keys)
     if hot is None:
-        hot = hot_keys(count_rows_by(large, keys), keys)
-    hot = F.broadcast(hot.withColumnRenamed("slices", "_slices"))
-    slices = F.coalesce("_slices", F.lit(1).cast("bigint"))
-    slice_of_row = F.pmod(F.xxhash64(*spread), slices)
-    slices_of_key = F.sequence(F.lit(0).cast("bigint"), slices - 1)
-    return (
-        large.join(hot, keys, "left")
-        .withColumn("_slice", slice_of_row)
-        .drop("_slices")
-        .join(
-            lookup.join(hot, keys, "left").withColumn("_slice", F.explode(slices_of_key)).drop("_slices"),
-            [*keys, "_slice"],
-            "inner",
+        hot = hot_keys(count_rows_by(large, keys), keys, slice_rows=slice_rows)
+    one = F.lit(1).cast("bigint")
+    cuts = hot.select(*keys, F.col("slices").alias("_slices"), one.alias("_lookup_slices"))
+    if lookup_spread:
+        if lookup_hot is None:
+            lookup_hot = hot_keys(count_rows_by(lookup, keys), keys, slice_rows=slice_rows)
+        both = cuts.unionByName(lookup_hot.select(*keys, one.alias("_slices"), F.col("slices").alias("_lookup_slices")))
+        cuts = both.groupBy(*keys).agg(
+            F.max("_slices").alias("_slices"), F.max("_lookup_slices").alias("_lookup_slices")
         )
-        .drop("_slice")
-        .select(*large.columns, *[c for c in lookup.columns if c not in keys])
+    cuts = F.broadcast(cuts)
+
+    first = F.lit(0).cast("bigint")
+
+    def of_row(columns: Sequence[str], slices: str) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.coalesce(slices, one)) if columns else first
+
+    def every(slices: str) -> Column:
+        return F.explode(F.sequence(first, F.coalesce(slices, one) - 1))
+
+    left = (
+        large.join(cuts, keys, "left")
+        .withColumn("_slice", of_row(spread, "_slices"))
+        .withColumn("_lookup_slice", every("_lookup_slices") if lookup_spread else first)
+    )
+    right = (
+        lookup.join(cuts, keys, "left")
+        .withColumn("_slice", every("_slices"))
+        .withColumn("_lookup_slice", of_row(lookup_spread, "_lookup_slices"))
+    )
+    return left.join(right, [*keys, "_slice", "_lookup_slice"], "inner").select(
+        *large.columns, *[c for c in lookup.columns if c not in keys]
     )

@@ -11,6 +11,7 @@ from sheaf.functions import bucket, numbers, text
 from sheaf.operators import folds, graph, joins, keyed, quality, words
 from sheaf.plans import tables as t
 from sheaf.sources import lines as src
+from sheaf.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,17 +45,20 @@ SQL_REDUNDANT = f"SELECT src, dst FROM ({SQL_CANONICAL}) UNION ALL SELECT dst AS
 SQL_RETAIL = """
 SELECT CASE WHEN l_quantity = 50 THEN 'InvoiceNo' || chr(9) || 'item' || chr(9) || 'quantity' || chr(9) || 'date' || chr(9) || 'customer'
   WHEN l_quantity = 49 THEN l_orderkey || chr(9) || l_partkey || chr(9) || CAST(l_quantity AS BIGINT) || chr(9) || l_suppkey
-  ELSE l_orderkey || chr(9) || l_partkey || chr(9) || CAST(l_quantity AS BIGINT) || chr(9)
+  ELSE l_orderkey || chr(9) || l_partkey || chr(9) || CASE CAST(l_quantity AS BIGINT) WHEN 48 THEN 'abc' WHEN 47 THEN ''
+      WHEN 46 THEN '99999999999999999999' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END || chr(9)
     || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) || chr(9) || ' ' || l_suppkey END AS value
 FROM lineitem"""
+SQL_SALES = f"SELECT string_split(value, chr(9)) AS f FROM ({SQL_RETAIL}) WHERE NOT starts_with(value, 'InvoiceNo')"
 SQL_CITY_LINES = """
 SELECT string_split(CASE WHEN c_nationkey = 5 AND c_acctbal < 0 THEN front ELSE front || chr(9) || c_custkey END, chr(9)) AS f FROM (
   SELECT c_nationkey, c_acctbal, c_custkey, c_name || chr(9) || c_mktsegment || chr(9) || 'County' || chr(9)
     || CASE c_nationkey WHEN 0 THEN 'abc' WHEN 1 THEN ' 12 ' WHEN 2 THEN '+5' WHEN 3 THEN '' WHEN 4 THEN '-7'
-       ELSE CAST(c_custkey AS VARCHAR) END
+       WHEN 6 THEN '99999999999999999999' ELSE CAST(c_custkey AS VARCHAR) END
     || chr(9) || CASE WHEN c_acctbal < 0 THEN '' WHEN c_nationkey < 12 THEN CAST(c_nationkey AS VARCHAR)
        ELSE c_nationkey || ' ' || c_custkey END AS front FROM customer)"""
-SQL_GOOD_CITY = "len(f) = 6 AND regexp_full_match(trim(f[4]), '(-?[0-9]+)?') AND regexp_full_match(trim(f[6]), '(-?[0-9]+)?')"
+SQL_GOOD_CITY = """len(f) = 6 AND regexp_full_match(trim(f[4]), '(-?[0-9]+)?') AND regexp_full_match(trim(f[6]), '(-?[0-9]+)?')
+  AND (trim(f[4]) = '' OR TRY_CAST(trim(f[4]) AS BIGINT) IS NOT NULL)"""
 SQL_EVENT_LINES = """
 SELECT event_id, CASE user_id WHEN 7 THEN k || v WHEN 8 THEN k || chr(9) || v || chr(9) ELSE k || chr(9) || v END AS value,
   k, v, user_id FROM (
@@ -114,7 +118,8 @@ def good_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""SELECT array_to_string(f, chr(9)) AS line,
-  CASE WHEN len(f) <> 6 THEN 'field count' ELSE 'not an integer: population' END AS reason
+  CASE WHEN len(f) <> 6 THEN 'field count' WHEN length(f[4]) = 20 THEN 'out of range: population'
+    ELSE 'not an integer: population' END AS reason
 FROM ({SQL_CITY_LINES}) WHERE NOT ({SQL_GOOD_CITY})"""
 )
 def rejected_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,9 +159,39 @@ def kept_fields(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select(text.field("pair", 0).alias("first"), text.field("pair", 1).alias("second"))
 
 
-@query()
+@query("SELECT * FROM documents ORDER BY doc_id LIMIT 10")
 def preview(spark: SparkSession, folder: str) -> DataFrame:
-    return src.preview(t.table(spark, folder, "documents"), 10)
+    return src.preview(t.table(spark, folder, "documents"), 10, ["doc_id"])
+
+
+@query(
+    """SELECT '["' || c_mktsegment || '", ' || c_nationkey || ']' || chr(9) || '[' || count(*) || ', '
+  || CAST(sum(c_custkey) AS BIGINT) || ']' AS value FROM customer GROUP BY c_mktsegment, c_nationkey"""
+)
+def key_value_lines(spark: SparkSession, folder: str) -> DataFrame:
+    customers = t.table(spark, folder, "customer")
+    sums = keyed.measures(customers, ["c_mktsegment", "c_nationkey"], count="n", sums={"keys": "c_custkey"})
+    return sinks.key_value_lines(sums, ["c_mktsegment", "c_nationkey"], ["n", "keys"])
+
+
+@query(
+    """SELECT '(' || c_mktsegment || ',(' || count(*) || ',' || CAST(sum(c_custkey) AS BIGINT) || '))' AS value
+FROM customer GROUP BY c_mktsegment"""
+)
+def tuple_lines(spark: SparkSession, folder: str) -> DataFrame:
+    customers = t.table(spark, folder, "customer")
+    sums = keyed.measures(customers, ["c_mktsegment"], count="n", sums={"keys": "c_custkey"})
+    return sinks.tuple_lines(sums, nested=["n", "keys"])
+
+
+@query("SELECT CAST(l_partkey AS VARCHAR) AS src, CAST(l_suppkey AS VARCHAR) AS dst FROM lineitem WHERE l_quantity <> 50")
+def edges_of_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return src.parse_edges(t.edge_lines(spark, folder)).good
+
+
+@query("SELECT CAST(l_partkey AS VARCHAR) AS line, 'field count' AS reason FROM lineitem WHERE l_quantity = 50")
+def rejected_edge_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return src.parse_edges(t.edge_lines(spark, folder)).rejects
 
 
 @query(
@@ -168,16 +203,39 @@ def key_value_violations(spark: SparkSession, folder: str) -> DataFrame:
     return quality.key_value_violations(t.event_lines(spark, folder))
 
 
-@query(
-    """SELECT event_id, list_reduce(list_prepend(0::BIGINT,
-  [CAST(('0x' || substr(sha1('seed|<class ''str''>|' || event_type || '-' || user_id), i * 8 + 1, 8)) AS BIGINT) FOR i IN [0, 1, 2, 3, 4]]),
-  lambda a, x: (a * (4294967296 % 7) + x) % 7) AS bucket FROM events"""
+def sql_bucket(text: str, buckets: int) -> str:
+    """SHA-1 of a text modulo a number, the 160 bits taken in five parts."""
+    return f"""list_reduce(list_prepend(0::BIGINT,
+  [CAST(('0x' || substr(sha1({text}), i * 8 + 1, 8)) AS BIGINT) FOR i IN [0, 1, 2, 3, 4]]),
+  lambda a, x: (a * (4294967296 % {buckets}) + x) % {buckets})"""
+
+
+SQL_TEXT_KEY = "'seed|<class ' || chr(39) || 'str' || chr(39) || '>|' || event_type || '-' || user_id"
+SQL_INTEGER_KEY = "'seed|<class ' || chr(39) || 'int' || chr(39) || '>|' || user_id"
+SQL_LIST_KEY = (
+    "'seed|<class ' || chr(39) || 'list' || chr(39) || '>|[' || chr(39) || event_type || chr(39) || ', ' || user_id || ']'"
 )
+
+
+@query(f"SELECT event_id, {sql_bucket(SQL_TEXT_KEY, 7)} AS bucket FROM events")
 def stable_bucket(spark: SparkSession, folder: str) -> DataFrame:
     key = F.concat_ws("-", "event_type", F.col("user_id").cast("string"))
     return t.table(spark, folder, "events").select("event_id", bucket.stable_bucket("seed", key, 7).alias("bucket"))
 
 
+@query(f"SELECT event_id, {sql_bucket(SQL_INTEGER_KEY, 13)} AS bucket FROM events")
+def stable_bucket_of_integers(spark: SparkSession, folder: str) -> DataFrame:
+    number = bucket.stable_bucket("seed", "user_id", 13, bucket.INTEGER_KEY)
+    return t.table(spark, folder, "events").select("event_id", number.alias("bucket"))
+
+
+@query(f"SELECT event_id, {sql_bucket(SQL_LIST_KEY, 11)} AS bucket FROM events")
+def stable_bucket_of_lists(spark: SparkSession, folder: str) -> DataFrame:
+    key = bucket.list_key("event_type", "user_id", quoted=(True, False))
+    number = bucket.stable_bucket("seed", key, 11, bucket.LIST_KEY)
+    return t.table(spark, folder, "events").select("event_id", number.alias("bucket"))
+
+
 # --- grouped measures ---------------------------------------------------------------------------------------------
 
 
@@ -192,6 +250,22 @@ def small_county_report(spark: SparkSession, folder: str) -> DataFrame:
     return keyed.small_county_report(t.document_cities(spark, folder), max_zips=60)
 
 
+SQL_PATCHY = """SELECT CASE WHEN doc_id % 11 <> 0 THEN lang END AS state, CASE WHEN doc_id % 7 <> 0 THEN source END AS county,
+  CASE WHEN doc_id % 5 <> 0 THEN n_chars END AS population, text AS zips FROM documents"""
+
+
+@query(
+    f"""SELECT state, CAST(sum(n) AS BIGINT) AS num_cities, CAST(sum(p) AS BIGINT) AS total_population,
+  CAST(sum(CASE WHEN small <= 2 THEN 1 ELSE 0 END) AS BIGINT) AS num_counties_le_2_small FROM (
+  SELECT state, county, count(*) AS n, sum(population) AS p,
+    sum(CASE WHEN len({sql_tokens('zips')}) <= 60 THEN 1 ELSE 0 END) AS small FROM ({SQL_PATCHY})
+  WHERE state IS NOT NULL AND county IS NOT NULL AND population IS NOT NULL GROUP BY state, county)
+GROUP BY state"""
+)
+def small_county_report_missing(spark: SparkSession, folder: str) -> DataFrame:
+    return keyed.small_county_report(t.patchy_cities(spark, folder), max_zips=60)
+
+
 @query(
     f"""SELECT state, county, count(*) AS cities, CAST(sum(population) AS BIGINT) AS population,
   CAST(sum(CASE WHEN len({sql_tokens('zips')}) <= 60 THEN 1 ELSE 0 END) AS BIGINT) AS small
@@ -225,14 +299,22 @@ def city_measures(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""SELECT customer, CAST(sum(q) AS BIGINT) AS total_quantity, count(*) AS num_orders FROM (
-  SELECT trim(f[5]) AS customer, f[1] AS invoice, sum(CAST(f[3] AS BIGINT)) AS q FROM (
-    SELECT string_split(value, chr(9)) AS f FROM ({SQL_RETAIL}) WHERE NOT starts_with(value, 'InvoiceNo'))
-  WHERE len(f) = 5 GROUP BY 1, 2) GROUP BY customer"""
+  SELECT trim(f[5]) AS customer, f[1] AS invoice, sum(CAST(f[3] AS BIGINT)) AS q FROM ({SQL_SALES})
+  WHERE len(f) = 5 AND TRY_CAST(f[3] AS BIGINT) IS NOT NULL GROUP BY 1, 2) GROUP BY customer"""
 )
 def customer_totals(spark: SparkSession, folder: str) -> DataFrame:
     return keyed.customer_totals(t.retail_lines(spark, folder))
 
 
+@query(
+    f"""SELECT array_to_string(f, chr(9)) AS line, CASE WHEN len(f) <> 5 THEN 'field count' WHEN f[3] = 'abc' THEN 'not an integer: quantity'
+  WHEN f[3] = '' THEN 'missing: quantity' ELSE 'out of range: quantity' END AS reason
+FROM ({SQL_SALES}) WHERE len(f) <> 5 OR TRY_CAST(f[3] AS BIGINT) IS NULL"""
+)
+def rejected_sales(spark: SparkSession, folder: str) -> DataFrame:
+    return keyed.sales_records(t.retail_lines(spark, folder)).rejects
+
+
 @query(
     """SELECT l_suppkey, CAST(sum(q) AS BIGINT) AS quantity, count(*) AS orders FROM (
   SELECT l_suppkey, l_orderkey, sum(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY 1, 2) GROUP BY 1"""
@@ -243,7 +325,7 @@ def two_step_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT l_linestatus, l_returnflag, CAST(sum(l_linenumber * CAST(l_quantity AS BIGINT)) AS BIGINT) AS total,
+    """SELECT l_linestatus, l_returnflag, CAST(sum(l_linenumber * CAST(l_quantity AS BIGINT)) AS DECIMAL(38,0)) AS total,
   count(*) AS n FROM lineitem GROUP BY ALL"""
 )
 def product_sums(spark: SparkSession, folder: str) -> DataFrame:
@@ -345,18 +427,61 @@ def _report(spark: SparkSession, folder: str, nameless: bool) -> DataFrame:
     )
 
 
-@query(
-    f"""SELECT customer_id, country, count(*) AS orders
+SQL_SHARED = """SELECT o_orderkey AS invoice_no, unnest(CASE WHEN o_orderkey % 10 = 0
+    THEN [CAST(o_custkey AS VARCHAR), CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey + 1 AS VARCHAR) END]
+  WHEN o_orderkey % 7 = 0 THEN [NULL] WHEN o_orderkey % 13 = 0 THEN [CAST(o_custkey AS VARCHAR), CAST(o_custkey AS VARCHAR)]
+  ELSE [CAST(o_custkey AS VARCHAR)] END) AS customer FROM orders"""
+SQL_SHARED_REPORT = f"""SELECT country, count(DISTINCT s.invoice_no) AS num_orders,
+  CAST(sum(order_total) AS DOUBLE) / count(*) AS avg_order_amount
+FROM ({SQL_SHARED}) s
+JOIN ({SQL_PEOPLE}) ON CASE WHEN c_acctbal >= 0 THEN customer_id ELSE 'blank' END = coalesce(customer, 'blank')
+JOIN ({SQL_TOTALS}) x ON x.invoice_no = s.invoice_no GROUP BY country"""
+
+
+def _shared_report(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return joins.country_order_report(
+        t.customer_countries(spark, folder, nameless=True),
+        t.shared_invoices(spark, folder),
+        t.invoice_items(spark, folder),
+        F.col("amount"),
+        **options,
+    )
+
+
+@query(SQL_SHARED_REPORT)
+def country_order_report_shared(spark: SparkSession, folder: str) -> DataFrame:
+    return _shared_report(spark, folder)
+
+
+@query(SQL_SHARED_REPORT)
+def country_order_report_shared_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    return _shared_report(spark, folder, slice_rows=2)
+
+
+SQL_NULL_KEYS = f"""SELECT customer_id, country, count(*) AS orders
 FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) ELSE 'blank' END AS customer_id FROM orders)
 JOIN (SELECT DISTINCT CASE WHEN c_acctbal >= 0 THEN customer_id ELSE 'blank' END AS customer_id, country FROM ({SQL_PEOPLE}))
 USING (customer_id) GROUP BY customer_id, country"""
-)
-def null_key_join(spark: SparkSession, folder: str) -> DataFrame:
+
+
+def _null_key_join(spark: SparkSession, folder: str, **options) -> DataFrame:
     places = keyed.distinct_rows(t.customer_countries(spark, folder, nameless=True))
-    joined = joins.join_filled_keys(t.invoices(spark, folder, nameless=True), places, ["customer_id"], ["invoice_no"])
+    orders = t.invoices(spark, folder, nameless=True)
+    joined = joins.join_filled_keys(orders, places, ["customer_id"], ["invoice_no"], **options)
     return keyed.measures(joined, ["customer_id", "country"], count="orders")
 
 
+@query(SQL_NULL_KEYS)
+def null_key_join(spark: SparkSession, folder: str) -> DataFrame:
+    return _null_key_join(spark, folder)
+
+
+@query(SQL_NULL_KEYS)
+def null_key_join_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys with more than ten rows are cut on both sides."""
+    return _null_key_join(spark, folder, other_spread=["country"], slice_rows=10)
+
+
 # --- graph --------------------------------------------------------------------------------------------------------
 
 
@@ -411,29 +536,34 @@ def triangle_count(spark: SparkSession, folder: str) -> DataFrame:
     return graph.count_triangles(t.part_supplier_edges(spark, folder))
 
 
-@query(
-    f"""SELECT CAST(count(*) // 6 AS BIGINT) AS triangles FROM ({SQL_REDUNDANT}) p JOIN ({SQL_REDUNDANT}) q ON p.dst = q.src
-JOIN ({SQL_REDUNDANT}) e ON e.src = p.src AND e.dst = q.dst"""
-)
+@query(SQL_TRIANGLES)
+def triangle_count_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """Small slices and lists, so that most vertices are cut."""
+    edges = t.part_supplier_edges(spark, folder)
+    return graph.count_triangles(edges, slice_rows=50, edges_per_slice=20, neighbours_per_row=4)
+
+
+@query(SQL_TRIANGLES)
 def triangle_count_from_closed_paths(spark: SparkSession, folder: str) -> DataFrame:
-    paths = keyed.row_count(graph.closed_paths(t.part_supplier_edges(spark, folder)), "paths")
-    return paths.selectExpr("paths div 6 AS triangles")
+    """Paths along edges that point to the end with more neighbours, closed by such an edge: one for each triangle."""
+    edges = graph.oriented_edges(t.part_supplier_edges(spark, folder)).select("src", "dst")
+    return keyed.row_count(graph.close_paths(edges, graph.two_hop_paths(edges)), "triangles")
 
 
 # --- folds --------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT i * i AS value FROM range(1, (SELECT count(*) FROM orders) + 1) AS r(i)")
+@query("SELECT CAST(CAST(o_orderkey AS HUGEINT) * o_orderkey AS DECIMAL(38,0)) AS value FROM orders")
 def squares(spark: SparkSession, folder: str) -> DataFrame:
-    return folds.squares(spark, t.table(spark, folder, "orders").count())
+    return folds.squares(t.table(spark, folder, "orders"), "o_orderkey")
 
 
-@query("SELECT sqrt(i) AS value FROM range(1, (SELECT count(*) FROM orders) + 1) AS r(i)")
+@query("SELECT sqrt(o_orderkey) AS value FROM orders")
 def square_roots(spark: SparkSession, folder: str) -> DataFrame:
-    return folds.square_roots(spark, t.table(spark, folder, "orders").count())
+    return folds.square_roots(t.table(spark, folder, "orders"), "o_orderkey")
 
 
-@query(f"SELECT l_returnflag, CAST(sum({sql_cents('l_extendedprice')}) AS BIGINT) AS total FROM lineitem GROUP BY 1")
+@query(f"SELECT l_returnflag, CAST(sum({sql_cents('l_extendedprice')}) AS DECIMAL(38,0)) AS total FROM lineitem GROUP BY 1")
 def column_total(spark: SparkSession, folder: str) -> DataFrame:
     return folds.total(t.table(spark, folder, "lineitem"), t.cents("l_extendedprice"), ["l_returnflag"])
 
@@ -450,8 +580,8 @@ def log_total(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT l_returnflag, CAST(sum({sql_cents('l_quantity')}) AS BIGINT) AS first,
-  CAST(sum({sql_cents('l_tax')}) AS BIGINT) AS second FROM lineitem GROUP BY 1"""
+    f"""SELECT l_returnflag, CAST(sum({sql_cents('l_quantity')}) AS DECIMAL(38,0)) AS first,
+  CAST(sum({sql_cents('l_tax')}) AS DECIMAL(38,0)) AS second FROM lineitem GROUP BY 1"""
 )
 def pair_total(spark: SparkSession, folder: str) -> DataFrame:
     items = t.table(spark, folder, "lineitem")
@@ -459,7 +589,7 @@ def pair_total(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT l_returnflag, CAST(sum({sql_cents('l_quantity')}) AS BIGINT) AS total,
+    f"""SELECT l_returnflag, CAST(sum({sql_cents('l_quantity')}) AS DECIMAL(38,0)) AS total,
   max(l_extendedprice) AS max FROM lineitem GROUP BY 1"""
 )
 def total_and_max(spark: SparkSession, folder: str) -> DataFrame:
@@ -467,13 +597,13 @@ def total_and_max(spark: SparkSession, folder: str) -> DataFrame:
     return folds.total_and_max(items, t.cents("l_quantity"), "l_extendedprice", ["l_returnflag"])
 
 
-@query("SELECT l_orderkey, CAST(sum(l_linenumber) AS BIGINT) AS total, product(l_linenumber) AS product FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, CAST(sum(l_linenumber) AS DECIMAL(38,0)) AS total, product(l_linenumber) AS product FROM lineitem GROUP BY 1")
 def total_and_product(spark: SparkSession, folder: str) -> DataFrame:
     return folds.total_and_product(t.table(spark, folder, "lineitem"), "l_linenumber", ["l_orderkey"])
 
 
 @query(
-    """SELECT l_returnflag, CAST(sum(CASE WHEN l_partkey % 2 = 0 THEN l_partkey * l_partkey ELSE 0 END) AS BIGINT) AS total
+    """SELECT l_returnflag, CAST(sum(CASE WHEN l_partkey % 2 = 0 THEN CAST(l_partkey AS HUGEINT) * l_partkey ELSE 0 END) AS DECIMAL(38,0)) AS total
 FROM lineitem GROUP BY 1"""
 )
 def even_square_total(spark: SparkSession, folder: str) -> DataFrame:
@@ -484,7 +614,7 @@ POSITION_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_ext
 
 
 @query(
-    f"""SELECT l_orderkey, CAST(sum(q * i) AS BIGINT) AS weighted FROM (
+    f"""SELECT l_orderkey, CAST(sum(CAST(q AS HUGEINT) * i) AS DECIMAL(38,0)) AS weighted FROM (
   SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS q,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(POSITION_ORDER)}) AS i FROM lineitem) GROUP BY 1"""
 )
@@ -493,7 +623,7 @@ def position_weighted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT l_returnflag, CAST(sum(q * i) AS BIGINT) AS weighted FROM (
+    f"""SELECT l_returnflag, CAST(sum(CAST(q AS HUGEINT) * i) AS DECIMAL(38,0)) AS weighted FROM (
   SELECT l_returnflag, CAST(l_quantity AS BIGINT) AS q,
     row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, {', '.join(POSITION_ORDER)}) AS i FROM lineitem) GROUP BY 1"""
 )
@@ -502,7 +632,7 @@ def position_weighted_large_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT CAST(sum(q * i) AS BIGINT) AS weighted FROM (
+    f"""SELECT CAST(sum(CAST(q AS HUGEINT) * i) AS DECIMAL(38,0)) AS weighted FROM (
   SELECT CAST(l_quantity AS BIGINT) AS q, row_number() OVER (ORDER BY l_orderkey, {', '.join(POSITION_ORDER)}) AS i FROM lineitem)"""
 )
 def position_weighted_global(spark: SparkSession, folder: str) -> DataFrame:
@@ -510,19 +640,17 @@ def position_weighted_global(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT user_id, CAST(sum(v * i) AS BIGINT) AS weighted FROM (
+    f"""SELECT user_id, CAST(sum(CAST(v AS HUGEINT) * i) AS DECIMAL(38,0)) AS weighted FROM (
   SELECT user_id, {sql_cents('value')} AS v, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events) GROUP BY 1"""
 )
 def position_weighted_unique_order(spark: SparkSession, folder: str) -> DataFrame:
     events = t.table(spark, folder, "events")
-    summed = folds.position_weighted_sum(events, t.cents("value"), ["event_id"], ["user_id"], unique_order=True)
-    return summed.withColumn("weighted", F.col("weighted").cast("bigint"))
+    return folds.position_weighted_sum(events, t.cents("value"), ["event_id"], ["user_id"], unique_order=True)
 
 
 def _weighted(spark: SparkSession, folder: str, by: list[str], *leading: str) -> DataFrame:
     items = t.table(spark, folder, "lineitem")
-    summed = folds.position_weighted_sum(items, t.whole("l_quantity"), [*leading, *POSITION_ORDER], by)
-    return summed.withColumn("weighted", F.col("weighted").cast("bigint"))
+    return folds.position_weighted_sum(items, t.whole("l_quantity"), [*leading, *POSITION_ORDER], by)
 
 
 @query("SELECT l_returnflag, round(fsum(l_extendedprice), 2) AS total FROM lineitem GROUP BY 1")

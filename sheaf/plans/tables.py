@@ -32,6 +32,17 @@ def document_cities(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def patchy_cities(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`document_cities` in which some states, counties and populations are missing."""
+    return document_cities(spark, folder).select(
+        "id",
+        F.when(F.col("id") % 11 != 0, F.col("state")).alias("state"),
+        F.when(F.col("id") % 7 != 0, F.col("county")).alias("county"),
+        F.when(F.col("id") % 5 != 0, F.col("population")).alias("population"),
+        "zips",
+    )
+
+
 def customer_countries(spark: SparkSession, folder: str, nameless: bool = False) -> DataFrame:
     """``(customer_id, country)``; with ``nameless``, customers in debt lose their id."""
     key = F.col("c_custkey").cast("string")
@@ -54,6 +65,31 @@ def invoices(spark: SparkSession, folder: str, nameless: bool = False) -> DataFr
     )
 
 
+def shared_invoices(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`invoices` in which some are listed under two customers, one of them missing or not, some twice, some under none."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    nobody = F.lit(None).cast("string")
+    second = F.when(key % 3 != 0, (F.col("o_custkey") + 1).cast("string"))
+    owners = (
+        F.when(key % 10 == 0, F.array(customer, second))
+        .when(key % 7 == 0, F.array(nobody))
+        .when(key % 13 == 0, F.array(customer, customer))
+        .otherwise(F.array(customer))
+    )
+    return table(spark, folder, "orders").select(key.alias("invoice_no"), F.explode(owners).alias("customer_id"))
+
+
+def edge_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The edges of :func:`part_supplier_edges` as lines, some with one end only, some with a third field."""
+    line = F.concat_ws(" ", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    value = (
+        F.when(F.col("l_quantity") == 50, F.col("l_partkey").cast("string"))
+        .when(F.col("l_quantity") == 49, F.concat(line, F.lit(" x")))
+        .otherwise(line)
+    )
+    return table(spark, folder, "lineitem").select(value.alias("value"))
+
+
 def invoice_items(spark: SparkSession, folder: str) -> DataFrame:
     """``(invoice_no, amount)``, the amount in cents."""
     return table(spark, folder, "lineitem").select(
@@ -67,9 +103,15 @@ def part_supplier_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as tab-separated retail lines, some replaced by header lines or one field short."""
+    """Line items as tab-separated retail lines, some replaced by header lines, one field short or with bad quantities."""
     tab = F.lit("\t")
-    front = F.concat(F.col("l_orderkey"), tab, F.col("l_partkey"), tab, whole("l_quantity"), tab)
+    quantity = (
+        F.when(F.col("l_quantity") == 48, F.lit("abc"))
+        .when(F.col("l_quantity") == 47, F.lit(""))
+        .when(F.col("l_quantity") == 46, F.lit("99999999999999999999"))
+        .otherwise(whole("l_quantity").cast("string"))
+    )
+    front = F.concat(F.col("l_orderkey"), tab, F.col("l_partkey"), tab, quantity, tab)
     line = F.concat(front, F.col("l_shipdate").cast("date").cast("string"), tab, F.lit(" "), F.col("l_suppkey"))
     value = (
         F.when(F.col("l_quantity") == 50, F.lit("InvoiceNo\titem\tquantity\tdate\tcustomer"))
@@ -88,6 +130,7 @@ def city_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("c_nationkey") == 2, F.lit("+5"))
         .when(F.col("c_nationkey") == 3, F.lit(""))
         .when(F.col("c_nationkey") == 4, F.lit("-7"))
+        .when(F.col("c_nationkey") == 6, F.lit("99999999999999999999"))
         .otherwise(F.col("c_custkey").cast("string"))
     )
     nation, customer = F.col("c_nationkey").cast("string"), F.col("c_custkey").cast("string")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sheaf.functions.numbers import is_int_or_blank, to_long
-from sheaf.functions.text import _col, field, split_fields, with_once
+from sheaf.functions.text import _col, field, split_fields, strip, with_once
 
 # The city layouts, the retail layout and the order tables.
 CITY_FIELDS = ("name", "state", "county", "population", "zips", "id")
@@ -62,13 +62,16 @@ def drop_header(lines: DataFrame, starts_with: str, column: str = "value") -> Da
 
 
 def reject_reason(
-    fields: Column, names: Sequence[str], integers: Sequence[str] = ()
+    fields: Column, names: Sequence[str], integers: Sequence[str] = (), required: Sequence[str] = ()
 ) -> Column:
-    """NULL for a good line, otherwise why it is bad: its field count or its first non-integer field."""
+    """NULL for a good line, otherwise why it is bad: its field count, or its first field that is no usable integer."""
     reason = F.when(F.size(fields) != len(names), F.lit("field count"))
     for name in integers:
         value = field(fields, names.index(name))
         reason = reason.when(~is_int_or_blank(value), F.lit(f"not an integer: {name}"))
+        reason = reason.when((strip(value) != "") & to_long(value).isNull(), F.lit(f"out of range: {name}"))
+        if name in required:
+            reason = reason.when(strip(value) == "", F.lit(f"missing: {name}"))
     return reason
 
 
@@ -78,13 +81,15 @@ def parse_records(
     integers: Sequence[str] = CITY_INTEGERS,
     sep: str = "\t",
     column: str = "value",
+    required: Sequence[str] = (),
 ) -> Records:
-    """Split lines into named fields; lines of another width or with a non-integer number are rejects.
+    """Split lines into named fields; lines of another width or with an unusable number are rejects.
 
-    Integer fields may be blank (NULL) and become BIGINT; all other fields stay text.
+    Integer fields become BIGINT; one that is no integer or beyond BIGINT makes the line a reject. They may be blank
+    (NULL) unless ``required``. All other fields stay text.
     """
     split_lines = with_once(lines.select(F.col(column).alias("line")), "fields", split_fields("line", sep))
-    reason = reject_reason(F.col("fields"), names, integers)
+    reason = reject_reason(F.col("fields"), names, integers, required)
     typed = [
         (to_long(field("fields", i)) if name in integers else field("fields", i)).alias(name)
         for i, name in enumerate(names)
@@ -101,7 +106,7 @@ def read_records(spark: SparkSession, *paths: str, **options) -> Records:
 
 
 def parse_edges(lines: DataFrame, sep: str = " ", column: str = "value") -> Records:
-    """Edge list ``(src, dst)`` from lines with two fields; lines with fewer are rejects."""
+    """Edge list ``(src, dst)`` from the first two fields of each line; lines with fewer are rejects, further fields are ignored."""
     fields = split_fields(column, sep)
     ends = lines.select(F.col(column).alias("line"), field(fields, 0).alias("src"), field(fields, 1).alias("dst"))
     return Records(
@@ -120,6 +125,6 @@ def flatten(df: DataFrame, *columns: Column | str, name: str = "item") -> DataFr
     return df.select(F.explode(F.array(*[_col(c).cast("string") for c in columns])).alias(name))
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    """Any few rows, for looking at; which ones is not defined."""
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 5, order_by: Sequence[str] = ()) -> DataFrame:
+    """A few rows, for looking at: the first by ``order_by``, or any if that is empty."""
+    return (df.orderBy(*order_by) if order_by else df).limit(rows)

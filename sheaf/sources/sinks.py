@@ -13,15 +13,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path)
 
 
-def write_tuples(df: DataFrame, path: str, nested: Sequence[str] = ()) -> None:
-    """Text folder with lines such as ``(word,3)`` or, with nested columns last, ``(key,(1,2))``.
-
-    Fails when the folder exists.
-    """
+def tuple_lines(df: DataFrame, nested: Sequence[str] = ()) -> DataFrame:
+    """Lines such as ``(word,3)`` or, with nested columns last, ``(key,(1,2))``."""
     plain = [_shown(c) for c in df.columns if c not in nested]
     if nested:
         plain.append(_in_brackets([_shown(c) for c in nested]))
-    df.select(_in_brackets(plain).alias("value")).write.mode("errorifexists").text(path)
+    return df.select(_in_brackets(plain).alias("value"))
+
+
+def write_tuples(df: DataFrame, path: str, nested: Sequence[str] = ()) -> None:
+    """:func:`tuple_lines` as a text folder; fails when the folder exists."""
+    tuple_lines(df, nested).write.mode("errorifexists").text(path)
 
 
 def write_scalar(df: DataFrame, path: str) -> None:

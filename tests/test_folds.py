@@ -32,8 +32,11 @@ def only(df):
 
 
 def test_sequences(spark):
-    assert rows(folds.squares(spark, 3)) == [(1,), (4,), (9,)]
-    assert rows(folds.square_roots(spark, 4)) == [(1.0,), (math.sqrt(2),), (math.sqrt(3),), (2.0,)]
+    numbers = folds.first_numbers(spark, 5)
+    assert sorted(int(x) for x, in rows(folds.squares(numbers, "id"))) == [1, 4, 9, 16, 25]
+    assert rows(folds.square_roots(numbers, "id")) == sorted((math.sqrt(i),) for i in range(1, 6))
+    large = spark.createDataFrame([(4_000_000_000,), (-(2**63),), (None,)], "x bigint")
+    assert {x for x, in rows(folds.squares(large, "x"))} == {16 * 10**18, 2**126, None}
     assert only(folds.range_total_and_product(spark, 4)) == (10, 24.0)
     assert only(folds.range_total_and_product(spark, 0)) == (0, 1.0)
     assert only(folds.range_total_and_product(spark, 13)) == (91, float(math.factorial(13)))
@@ -66,6 +69,32 @@ def test_even_squares(column, data, expected):
     assert only(folds.even_square_total(column(data, "int"), "x")) == expected
 
 
+def test_sums_beyond_bigint(column, frame):
+    assert only(folds.even_square_total(column([4_000_000_000] * 3, "bigint"), "x")) == 48 * 10**18
+    assert only(folds.even_square_total(column([2**62, 2**62], "bigint"), "x")) == 2 * 2**124
+    large = column([2**62] * 5, "bigint")
+    assert only(folds.total(large, "x")) == 5 * 2**62
+    assert only(folds.total_and_product(large, "x"))[0] == 5 * 2**62
+    both = frame([(2**62, 2**62)] * 3, "a bigint, b bigint")
+    assert only(folds.pair_total(both, "a", "b")) == (3 * 2**62, 3 * 2**62)
+    assert only(folds.total_and_max(both, "a", "b")) == (3 * 2**62, float(2**62))
+    weighted = numbered(frame, [2**62] * 9, "bigint")
+    assert only(folds.position_weighted_sum(weighted, "x", ["i"])) == 45 * 2**62
+
+
+def test_position_weights_cross_few_shuffles(spark):
+    """The rows cross once to be told apart and once to be put in order; what follows are sums per stretch."""
+    items = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    for by in ([], ["l_returnflag"]):
+        frame = folds.position_weighted_sum(items, "l_linenumber", ["l_orderkey"], by)
+        plan = frame._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        lines = plan.splitlines()
+        below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange " in line]
+        full = [line for line in below if "partial_" not in line and "_stretch" not in line and "_part" not in line]
+        assert len(full) == 1 and plan.count("rangepartitioning") == 1
+        assert "Window" not in "".join(line for line in lines if "l_orderkey" in line)
+
+
 def numbered(frame, data, kind, partitions=3):
     return frame([(i, x) for i, x in enumerate(data)], f"i int, x {kind}", partitions)
 

@@ -1,4 +1,6 @@
 import itertools
+import random
+from collections import Counter
 
 import pytest
 from conftest import rows
@@ -6,46 +8,47 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sheaf.operators import graph, skew
+from sheaf.operators import graph
+from sheaf.plans import tables as t
 
 QUIET = dict(deadline=None, max_examples=4, suppress_health_check=list(HealthCheck))
-TOY = "1-2 2-1 2-3 3-2 1-3 3-1 1-4 4-1 4-3 3-4 3-5 5-3 1-3 3-1 1-1 3-5 5-3 1-3 3-1 1-4 4-1 4-3"
 DDL = "src string, dst string"
 
 
-@pytest.fixture
-def edges(frame):
-    def make(text, partitions=2):
-        return frame([tuple(pair.split("-")) for pair in text.split()], DDL, partitions)
+def plain_paths(edges):
+    return [(b, a, d) for a, b in edges for c, d in edges if b == c]
 
-    return make
+
+def made_up_edges(seed, vertices=9, n=30):
+    rng = random.Random(seed)
+    return [(f"v{rng.randrange(vertices)}", f"v{rng.randrange(vertices)}") for _ in range(n)]
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 8])
-def test_toy_graph(edges, partitions):
-    toy = edges(TOY, partitions)
-    redundant = graph.redundant_edges(graph.drop_self_edges(toy))
-    paths = graph.two_hop_paths(redundant)
-    assert redundant.count() == 12 and graph.canonical_edges(toy).count() == 6
-    assert paths.count() == 34 and graph.two_hop_paths(redundant, include_degenerate=False).count() == 22
-    closed = graph.close_paths(redundant, paths)
-    assert closed.count() == 12
-    assert rows(graph.closed_paths(toy)) == rows(closed)
-    assert rows(graph.count_triangles(toy)) == [(2,)]
-    assert {frozenset(t) for t in rows(graph.triangles(toy))} == {frozenset("123"), frozenset("134")}
-
-
-def test_examples(edges, frame):
-    assert rows(graph.redundant_edges(edges("1-2 3-1 1-2 3-2"))) == rows(edges("2-1 1-2 1-3 3-1 3-2 2-3"))
-    assert rows(graph.drop_self_edges(edges("1-2 1-1"))) == [("1", "2")]
-    some = edges("1-2 2-3 2-1 3-2")
-    assert rows(graph.two_hop_paths(some, include_degenerate=False)) == [("2", "1", "3"), ("2", "3", "1")]
-    assert rows(graph.two_hop_paths(some)) == [
-        ("1", "2", "2"), ("2", "1", "1"), ("2", "1", "3"), ("2", "3", "1"), ("2", "3", "3"), ("3", "2", "2"),
-    ]
-    paths = frame([("2", "1", "3"), ("2", "3", "1"), ("5", "1", "4"), ("6", "4", "2")], "mid string, src string, dst string")
-    closed = graph.close_paths(edges("1-2 1-3 3-1 4-2 4-1"), paths)
-    assert rows(closed) == [("1", "3", "2"), ("3", "1", "2"), ("4", "2", "6")]
+def test_a_graph_step_by_step(frame, partitions):
+    data = made_up_edges(partitions)
+    df = frame(data, DDL, partitions)
+    proper = [(a, b) for a, b in data if a != b]
+    assert rows(graph.drop_self_edges(df)) == sorted(proper)
+    both = sorted({e for a, b in proper for e in ((a, b), (b, a))})
+    redundant = graph.redundant_edges(graph.drop_self_edges(df))
+    assert rows(redundant) == both
+    assert rows(graph.canonical_edges(df)) == [e for e in both if e[0] < e[1]]
+    paths = plain_paths(both)
+    found = graph.two_hop_paths(redundant)
+    assert rows(found) == sorted(paths)
+    assert rows(graph.two_hop_paths(redundant, include_degenerate=False)) == sorted(p for p in paths if p[1] != p[2])
+    closed = sorted((a, b, mid) for mid, a, b in paths if (a, b) in both)
+    assert rows(graph.close_paths(redundant, found)) == closed == rows(graph.closed_paths(df))
+    corners = {frozenset(c) for c in closed}
+    assert rows(graph.count_triangles(df)) == [(len(corners),)] and len(closed) == 6 * len(corners)
+    assert {frozenset(t) for t in rows(graph.triangles(df))} == corners
+
+
+def test_closing_given_paths(frame):
+    paths = frame([("m", "v1", "v2"), ("n", "v2", "v1"), ("m", "v1", "v2"), ("m", "v3", "v4")], "mid string, src string, dst string")
+    closed = graph.close_paths(frame([("v1", "v2"), ("v4", "v3")], DDL), paths)
+    assert rows(closed) == [("v1", "v2", "m"), ("v1", "v2", "m")]
 
 
 def test_no_edges(frame):
@@ -75,16 +78,60 @@ def test_counts_on_any_graph(frame, data):
         assert rows(counted) == rows(listed)
 
 
-def test_large_degrees_are_sliced(spark, monkeypatch):
-    """A vertex joined to all others: every slice size gives the same triangles."""
-    hub = spark.range(1, 200).select(F.lit(0).cast("bigint").alias("src"), F.col("id").alias("dst"))
-    ring = spark.range(1, 200).select(F.col("id").alias("src"), ((F.col("id") % 199) + 1).alias("dst"))
-    wheel = hub.union(ring)
-    assert rows(graph.count_triangles(wheel)) == [(199,)]
-    monkeypatch.setattr(graph, "EDGES_PER_SLICE", 3)
-    original = skew.hot_keys
-    monkeypatch.setattr(graph, "hot_keys", lambda counts, keys, rows: original(counts, keys, rows, slice_rows=2))
-    assert rows(graph.count_triangles(wheel)) == [(199,)]
+ends = st.one_of(st.none(), st.integers(0, 5))
+
+
+@settings(**QUIET)
+@given(st.lists(st.tuples(ends, ends), min_size=1, max_size=30))
+def test_paths_leave_out_edges_with_missing_ends(frame, data):
+    df = frame(data, "src int, dst int")
+    whole = [(a, b) for a, b in data if a is not None and b is not None]
+    for degenerate in (True, False):
+        paths = [p for p in plain_paths(whole) if degenerate or p[1] != p[2]]
+        assert rows(graph.two_hop_paths(df, degenerate)) == sorted(paths, key=lambda p: tuple(map(str, p)))
+        counted = graph.two_hop_counts(df, degenerate).select("mid", F.col("paths").cast("bigint"))
+        assert dict(rows(counted)) == dict(Counter(p[0] for p in paths))
+
+
+def wheel(spark, spokes=200):
+    """A hub joined to all, each of the others joined to the next one."""
+    hub = spark.range(1, spokes).select(F.lit(0).cast("bigint").alias("src"), F.col("id").alias("dst"))
+    ring = spark.range(1, spokes).select(F.col("id").alias("src"), ((F.col("id") % (spokes - 1)) + 1).alias("dst"))
+    return hub.union(ring)
+
+
+def clique(spark, n=60):
+    numbers = spark.range(n).select(F.col("id").alias("src"))
+    return numbers.join(numbers.select(F.col("src").alias("dst")), F.col("src") < F.col("dst"))
+
+
+@pytest.mark.parametrize("sizes", [{}, dict(slice_rows=2, edges_per_slice=3, neighbours_per_row=2), dict(slice_rows=10, neighbours_per_row=7)])
+def test_slices_and_parts_do_not_change_triangles(spark, sizes):
+    assert rows(graph.count_triangles(wheel(spark), **sizes)) == [(199,)]
+    # cliques of different size that share vertices, so that lists of different numbers of parts meet
+    edges = clique(spark).union(clique(spark, 90).select(F.col("src") + 50, F.col("dst") + 50)).union(wheel(spark, 80))
+    expected = rows(graph.count_triangles(edges))
+    assert rows(graph.count_triangles(edges, **sizes)) == expected
+    assert expected[0][0] >= 60 * 59 * 58 / 6 + 90 * 89 * 88 / 6 - 10 * 9 * 8 / 6
+
+
+def test_no_row_holds_many_neighbours(spark):
+    edges = clique(spark, 120).union(wheel(spark, 300).select(F.col("src") + 1000, F.col("dst") + 1000))
+    found = graph.neighbour_rows(edges, per_row=8).select(F.size("next").alias("n"), "parts", "src").collect()
+    per_vertex = Counter()
+    for row in found:
+        per_vertex[row.src] += row.n
+    # a part is a hash bucket of at most eight on average
+    assert max(row.n for row in found) <= 24 and max(per_vertex.values()) >= 100
+    assert all(per_vertex[row.src] / row.parts <= 8 for row in found)
+
+
+def test_edges_are_scanned_once_with_hot_keys(spark):
+    edges = t.part_supplier_edges(spark, "/root/testdata/sf0.001")
+    frame = graph.count_triangles(edges, slice_rows=20, edges_per_slice=20, neighbours_per_row=4)
+    frame.collect()
+    final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
 
 
 def test_orientation_bounds_outgoing_edges(spark):

@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 import pytest
@@ -6,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from sheaf.operators import joins, skew
 
 QUIET = dict(deadline=None, max_examples=5, suppress_health_check=list(HealthCheck))
@@ -14,13 +16,13 @@ ORDERS = "invoice_no string, customer_id string"
 ITEMS = "invoice_no string, quantity int, unit_price double"
 
 
-def test_country_report_known_answer(frame):
+def test_country_report_has_named_columns(frame):
     report = joins.country_order_report(
-        frame([("C1", "USA"), (None, "Canada")], CUSTOMERS),
-        frame([("INV1", "C1"), ("INV2", "blank")], ORDERS),
-        frame([("INV1", 2, 10.0), ("INV2", 1, 15.0)], ITEMS),
+        frame([("k7", "Peru"), ("k8", "Chad"), (None, "Chad")], CUSTOMERS),
+        frame([("n1", "k7"), ("n2", None), ("n3", "k9")], ORDERS),
+        frame([("n1", 3, 4.0), ("n1", 1, 0.5), ("n2", 2, 0.25), ("n3", 1, 1.0)], ITEMS),
     )
-    assert rows(report) == [("Canada", 1, 15.0), ("USA", 1, 20.0)]
+    assert rows(report) == [("Chad", 1, 0.5), ("Peru", 1, 12.5)]
     assert report.columns == ["country", "num_orders", "avg_order_amount"]
 
 
@@ -72,16 +74,28 @@ def test_country_report_with_invoices_of_several_customers(frame):
     assert rows(report) == plain_report(customers, orders, items)
 
 
-def test_country_report_with_a_crowded_invoice(frame, monkeypatch):
+@pytest.mark.parametrize("slice_rows", [2, 1_000_000])
+def test_country_report_with_a_crowded_invoice(frame, slice_rows):
     customers = [(f"C{i}", "AB"[i % 2]) for i in range(20)] + [(None, "A")]
     orders = [("N/A", f"C{i}") for i in range(20)] * 2 + [("N/A", None)] * 30 + [("i1", "C1"), ("i2", None)]
-    items = [("N/A", 1, 2.0), ("i1", 2, 2.0), ("i2", 1, 1.0)]
-    original = skew.hot_keys
-    monkeypatch.setattr(joins, "hot_keys", lambda counts, keys, rows: original(counts, keys, rows, slice_rows=2))
-    report = joins.country_order_report(frame(customers, CUSTOMERS), frame(orders, ORDERS), frame(items, ITEMS))
+    orders += [(f"s{i}", None) for i in range(9)] + [(f"s{i}", "C3") for i in range(9)]
+    items = [("N/A", 1, 2.0), ("i1", 2, 2.0), ("i2", 1, 1.0)] + [(f"s{i}", 1, 0.5 + i) for i in range(9)]
+    report = joins.country_order_report(
+        frame(customers, CUSTOMERS), frame(orders, ORDERS), frame(items, ITEMS), slice_rows=slice_rows
+    )
     assert rows(report) == plain_report(customers, orders, items)
 
 
+def test_shared_invoices_scan_their_inputs_once(spark):
+    folder = "/root/testdata/sf0.001"
+    report = contract.queries()["country_order_report_shared_sliced"](spark, folder)
+    report.collect()
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    for table in ("orders", "lineitem"):
+        assert len(re.findall(rf"FileScan parquet .*{table}.parquet", final)) == 1, table
+
+
 def test_filled_keys_match_each_other_and_the_fill_text(frame):
     left = frame([(1, None), (2, "blank"), (3, "a")], "i int, k string")
     right = frame([(None, "x"), ("blank", "y"), ("b", "z")], "k string, v string")
@@ -102,36 +116,52 @@ def test_count_distinct(frame):
     assert rows(joins.count_distinct_by(df, ["k"], "v")) == [("a", 2), ("b", 0)]
 
 
-def test_hot_keys_are_few_and_cut_by_size(frame):
+def test_hot_keys_are_cut_by_size(frame):
     counts = frame([("a", 100), ("b", 30), ("c", 11), ("d", 10), ("e", 30)], "k string, rows bigint")
     assert rows(skew.hot_keys(counts, ["k"], slice_rows=10)) == [("a", 10), ("b", 3), ("c", 2), ("e", 3)]
-    assert rows(skew.hot_keys(counts, ["k"], slice_rows=10, max_keys=2)) == [("a", 10), ("b", 3)]
 
 
-@pytest.mark.parametrize("max_keys", [1, 20_000])
-def test_balanced_join_equals_a_plain_join_and_spreads_hot_keys(spark, max_keys):
-    big = spark.range(3000).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, "warm").otherwise(F.col("id").cast("string")).alias("k")
-    )
-    lookup = spark.createDataFrame(
-        [("hot", 1), ("hot", 2), ("warm", 3), ("5", 4), ("none", 5), (None, 6)], "k string, v int"
-    )
-    counts = skew.count_rows_by(big, ["k"])
-    hot = skew.hot_keys(counts, ["k"], slice_rows=50, max_keys=max_keys)
-    joined = skew.balanced_join(big, lookup, ["k"], ["id"], hot)
-    assert joined.columns == ["id", "k", "v"]
-    assert rows(joined) == rows(big.join(lookup, ["k"]).select("id", "k", "v"))
-    assert rows(skew.balanced_join(big, lookup, ["k"], ["id"])) == rows(joined)
+def uneven(spark, n):
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, "warm").otherwise(F.col("id").cast("string"))
+    return spark.range(n).select("id", key.alias("k"))
+
 
+def largest_share(spark, frame):
+    """Rows of the hot key in the fullest partition, and in how many partitions they are."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spread = skew.balanced_join(big, lookup, ["k"], ["id"], hot).where("k = 'hot'")
-        places = spread.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        places = frame.where("k = 'hot'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
-    assert len(places) > 3 and max(row["count"] for row in places) < 1200
+    return max(row["count"] for row in places), len(places)
+
+
+def test_balanced_join_equals_a_plain_join_and_spreads_hot_keys(spark):
+    big = uneven(spark, 3000)
+    lookup = spark.createDataFrame(
+        [("hot", 1), ("hot", 2), ("warm", 3), ("5", 4), ("none", 5), (None, 6)], "k string, v int"
+    )
+    hot = skew.hot_keys(skew.count_rows_by(big, ["k"]), ["k"], slice_rows=50)
+    joined = skew.balanced_join(big, lookup, ["k"], ["id"], hot)
+    assert joined.columns == ["id", "k", "v"]
+    assert rows(joined) == rows(big.join(lookup, ["k"]).select("id", "k", "v"))
+    assert rows(skew.balanced_join(big, lookup, ["k"], ["id"], slice_rows=40)) == rows(joined)
+    assert rows(skew.balanced_join(big, lookup, ["k"], ["id"])) == rows(joined)
+    most, places = largest_share(spark, skew.balanced_join(big, lookup, ["k"], ["id"], hot))
+    assert places > 3 and most < 1200
+
+
+@pytest.mark.parametrize("left_rows, right_rows", [(300, 900), (900, 300), (30, 900)])
+def test_both_sides_of_a_balanced_join_are_cut(spark, left_rows, right_rows):
+    left, right = uneven(spark, left_rows), uneven(spark, right_rows).withColumnRenamed("id", "other")
+    joined = skew.balanced_join(left, right, ["k"], ["id"], lookup_spread=["other"], slice_rows=25)
+    assert joined.columns == ["id", "k", "other"]
+    expected = left.join(right, ["k"]).select("id", "k", "other")
+    assert joined.count() == expected.count() and joined.exceptAll(expected).count() == 0
+    most, places = largest_share(spark, joined)
+    assert places > 3 and most < 0.6 * joined.where("k = 'hot'").count()
 
 
 def test_balanced_join_on_two_keys(frame):

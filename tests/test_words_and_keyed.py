@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -10,27 +11,17 @@ from sheaf.operators import keyed, words
 from sheaf.sources.lines import parse_records
 
 QUIET = dict(deadline=None, max_examples=6, suppress_health_check=list(HealthCheck))
-TRACE = [
-    "with great data come great",
-    "responsibilities",
-    "a data wall",
-    "wall spring",
-    "Humpty",
-    "Dumpty sat on a wall",
-    "Humpty Dumpty had a",
-    "great",
-    "fall semester and spring",
-]
+
+
+def made_up_lines(seed, n=40):
+    rng = random.Random(seed)
+    return [" ".join(rng.choice(["oak", "ash", "elm", "fir", "yew"]) for _ in range(rng.randint(0, 6))) for _ in range(n)]
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 8])
 def test_word_count(lines, partitions):
-    df = lines([" a  bbb \t  bbb cc   ddd", "cc bbb ddd", "ddd"], partitions)
-    assert rows(words.word_count(df)) == [("a", 1), ("bbb", 3), ("cc", 2), ("ddd", 3)]
-    df = lines(["This is a test input", "This is line 2", "The end"], partitions)
-    assert dict(rows(words.word_count(df))) == {
-        "This": 2, "is": 2, "a": 1, "test": 1, "input": 1, "line": 1, "2": 1, "The": 1, "end": 1,
-    }
+    texts = made_up_lines(1) + ["\t oak  oak\t\tpine "]
+    assert dict(rows(words.word_count(lines(texts, partitions)))) == dict(Counter(w for t in texts for w in t.split()))
 
 
 @settings(**QUIET)
@@ -48,10 +39,13 @@ def test_word_count_and_weights_on_any_lines(lines, texts):
 
 
 def test_line_weights_keep_words_of_short_lines(lines):
-    assert dict(rows(words.line_weights(lines(TRACE)))) == {
-        "Dumpty": 9, "Humpty": 4, "a": 12, "and": 4, "come": 5, "data": 8, "fall": 4, "great": 10, "had": 4,
-        "on": 5, "responsibilities": 0, "sat": 5, "semester": 4, "spring": 6, "wall": 10, "with": 5,
-    }
+    texts = made_up_lines(2) + ["alone", "yew"]
+    expected = Counter()
+    for text in texts:
+        found = text.split()
+        for word in found:
+            expected[word] += len(found) if len(found) > 1 else 0
+    assert dict(rows(words.line_weights(lines(texts)))) == dict(expected) and expected["alone"] == 0
 
 
 def test_lines_of_texts(frame):
@@ -60,56 +54,95 @@ def test_lines_of_texts(frame):
 
 
 def test_product_sums(lines):
-    data = [
-        "1\tb\ta\t3", "2\ta\tc\t2", "3\ta\tc\t4", "3\tb\tc\t8", "1\td\td\t2", "0\td\te\t1",
-        "0\td\te\t2", "5\tblank\tk\t3", "1\tb\ta\t3", "9\tj\tc\t2", "3\ta\tc\t4", "",
-    ]
-    records = parse_records(lines(data), ["f0", "f1", "f2", "f3"], ["f0", "f3"])
-    assert rows(keyed.product_sums_by(records.good, ["f2", "f1"], "f0", "f3")) == [
-        ("a", "b", 6, 2), ("c", "a", 28, 3), ("c", "b", 24, 1), ("c", "j", 18, 1),
-        ("d", "d", 2, 1), ("e", "d", 0, 2), ("k", "blank", 15, 1),
-    ]
+    rng = random.Random(4)
+    data = [(rng.randint(0, 9), rng.choice("pq"), rng.choice("xyz"), rng.randint(-3, 9)) for _ in range(60)]
+    records = parse_records(lines(["\t".join(map(str, row)) for row in data] + [""]), ["f0", "f1", "f2", "f3"], ["f0", "f3"])
+    expected = defaultdict(lambda: [0, 0])
+    for a, key1, key2, b in data:
+        expected[key2, key1][0] += a * b
+        expected[key2, key1][1] += 1
+    assert rows(keyed.product_sums_by(records.good, ["f2", "f1"], "f0", "f3")) == sorted((*k, *v) for k, v in expected.items())
     assert rows(records.rejects) == [("", "field count")]
 
 
-KING = [
-    (1, "Seattle", "WA", "King", 750000, "98101 98102"),
-    (2, "SmallTown", "WA", "King", 1000, "98199"),
-    (3, "TinyVille", "WA", "King", 500, "98198"),
-    (4, "MicroVille", "WA", "King", 200, "98197"),
-]
-CITY_DDL = "id int, name string, state string, county string, population bigint, zips string"
-
-
-def test_small_county_report(frame):
-    assert rows(keyed.small_county_report(frame(KING, CITY_DDL))) == [("WA", 4, 751700, 0)]
-    assert rows(keyed.small_county_report(frame(KING, CITY_DDL), max_small=3)) == [("WA", 4, 751700, 1)]
-    more = KING + [
-        (5, "NoZips", "WA", "Pierce", 10, None),
-        (6, "NoCounty", "WA", None, 10, "1"),
-        (7, "NoPopulation", "WA", "Pierce", None, "1"),
-        (8, "NoState", None, "Pierce", 10, "1"),
-        (9, "Other", "OR", "Lane", 5, "1 2"),
+def test_product_sums_beyond_bigint(frame):
+    df = frame([("a", 4_000_000_000, 4_000_000_000)] * 3, "k string, x bigint, y bigint")
+    assert rows(keyed.product_sums_by(df, ["k"], "x", "y")) == [("a", 3 * 16 * 10**18, 3)]
+    doubles = frame([("a", 0.5, 3)], "k string, x double, y int")
+    assert rows(keyed.product_sums_by(doubles, ["k"], "x", "y")) == [("a", 1.5, 1)]
+
+
+TOWN_DDL = "id int, name string, state string, county string, population bigint, zips string"
+
+
+def made_up_towns(seed, n=50):
+    rng = random.Random(seed)
+    maybe = lambda value: None if rng.random() < 0.1 else value
+    return [
+        (
+            i,
+            f"town {i}",
+            maybe(rng.choice(["TX", "NM", "UT"])),
+            maybe(rng.choice(["Taos", "Kane", "Luna"])),
+            maybe(rng.randint(0, 5000)),
+            maybe(" ".join(["84741"] * rng.randint(0, 3))),
+        )
+        for i in range(n)
     ]
-    report = keyed.small_county_report(frame(more, CITY_DDL))
-    assert rows(report) == [("OR", 1, 5, 1), ("WA", 5, 751710, 1)]
+
+
+@pytest.mark.parametrize("max_small", [2, 4])
+def test_small_county_report(frame, max_small):
+    towns = made_up_towns(3)
+    counties = defaultdict(lambda: [0, 0, 0])
+    for _, _, state, county, population, zips in towns:
+        if state is not None and county is not None and population is not None:
+            found = counties[state, county]
+            found[0] += 1
+            found[1] += population
+            found[2] += len((zips or "").split()) <= 1
+    expected = defaultdict(lambda: [0, 0, 0])
+    for (state, _), (n, population, small) in counties.items():
+        for k, value in enumerate((n, population, small <= max_small)):
+            expected[state][k] += value
+    report = keyed.small_county_report(frame(towns, TOWN_DDL), max_small=max_small)
+    assert rows(report) == sorted((k, *v) for k, v in expected.items())
     assert report.columns == ["state", "num_cities", "total_population", "num_counties_le_2_small"]
 
 
 def test_city_profiles(frame):
-    cities = frame(KING + [(5, "X", "OR", "Lane", 5, None)], CITY_DDL)
-    assert rows(keyed.state_profile(cities)) == [("OR", 5.0, 0), ("WA", 187925.0, 2)]
-    assert rows(keyed.city_measures(cities)) == [("OR", 1, 5, 0), ("WA", 4, 751700, 2)]
+    towns = [(i, n, s or "UT", c, p or 0, z) for i, n, s, c, p, z in made_up_towns(5)]
+    groups = defaultdict(list)
+    for town in towns:
+        groups[town[2]].append((town[4], len((town[5] or "").split())))
+    profiles = sorted((s, sum(p for p, _ in g) / len(g), max(z for _, z in g)) for s, g in groups.items())
+    assert rows(keyed.state_profile(frame(towns, TOWN_DDL))) == profiles
+    assert rows(keyed.city_measures(frame(towns, TOWN_DDL))) == sorted(
+        (s, len(g), sum(p for p, _ in g), max(z for _, z in g)) for s, g in groups.items()
+    )
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 8])
 def test_customer_totals(lines, partitions):
-    data = [
-        "InvoiceNo\titem\tquantity\tdate\tcustomer",
-        "o1\ti1\t2\td\tc1", "o1\ti2\t3\td\tc1", "o2\ti1\t4\td\t c1 ", "o3\ti1\t1\td\tc2",
-        "o4\ti1\t1\td", "o5\ti1\t6\td\t",
-    ]
-    assert rows(keyed.customer_totals(lines(data, partitions))) == [("", 6, 1), ("c1", 9, 2), ("c2", 1, 1)]
+    rng = random.Random(6)
+    sales = [(f"n{rng.randint(0, 9)}", rng.randint(-2, 9), rng.choice(["k1", " k1 ", "k2", "", "k3"])) for _ in range(50)]
+    text = lambda invoice, quantity, customer: f"{invoice}\tthing\t{quantity}\tday\t{customer}"
+    bad = {
+        text("n1", "x", "k1"): "not an integer: quantity",
+        text("n77", "1.5", "k9"): "not an integer: quantity",
+        text("n1", "", "k1"): "missing: quantity",
+        text("n1", "9" * 19, "k1"): "out of range: quantity",
+        "n1\tthing\t4\tday": "field count",
+    }
+    header = "InvoiceNo\tthing\tquantity\tday\tcustomer"
+    frame = lines([text(*sale) for sale in sales] + [header, *bad, header], partitions)
+    expected = defaultdict(lambda: [0, set()])
+    for invoice, quantity, customer in sales:
+        expected[customer.strip()][0] += quantity
+        expected[customer.strip()][1].add(invoice)
+    assert rows(keyed.customer_totals(frame)) == sorted((c, total, len(found)) for c, (total, found) in expected.items())
+    records = keyed.sales_records(frame)
+    assert dict(rows(records.rejects)) == bad and records.good.count() == len(sales)
 
 
 @settings(**QUIET)
