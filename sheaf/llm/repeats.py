@@ -1,12 +1,13 @@
 """Words covered by passages that also start in an earlier document: the part that both substring operators share.
 
-A window is ``size`` consecutive words. An operator names candidate windows, those that may occur in several rows, with
-an upper bound on how many; the exact work is done here:
+A window is ``size`` consecutive words. An operator names candidate windows, those that may occur several times, with an
+upper bound on how often; the exact work is done here:
 
 1. Runs of candidates are cut into segments at windows chosen by content, so equal passages give equal segments. Of the
    segments with the same words, the one in the smallest document stays, the others are covered whole.
-2. In the segments that stay, single windows may still occur in other segments. Where the rows that share a segment are
-   as many as the upper bound allows, there are none; the remaining windows are compared one by one.
+2. In the segments that stay, single windows may still occur in other segments, also of documents that have this one.
+   Where a segment occurs as often as its windows can at most, there are none; the windows of the others are compared
+   one by one.
 
 Documents are dealt to groups of some megabytes by a hash of the row. A group sends one row per segment or window, so
 what a passage common to all documents sends grows with the groups, not with the documents. Words and windows are told
@@ -177,7 +178,7 @@ def rows_of(frame: pd.DataFrame, *columns: str) -> dict[tuple[int, int], tuple[n
 
 
 def _smallest_per_key(parts: list[tuple], g: int) -> pd.DataFrame:
-    """Rows of a group: those whose key a smaller document has are ``gone``; ``weight`` counts rows per key once.
+    """Rows of a group: those whose key a smaller document has are ``gone``; ``weight`` holds each key's count once.
 
     Each part is ``row, doc, starts, lengths, keys, bounds`` of one row; parts come in the order of ``doc`` and ``row``.
     """
@@ -196,7 +197,6 @@ def _smallest_per_key(parts: list[tuple], g: int) -> pd.DataFrame:
     fresh = np.append(True, (keys[1:] != keys[:-1]).any(axis=1))
     first = np.flatnonzero(fresh)
     counts = np.diff(np.append(first, len(keys)))
-    own = fresh | np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))  # once per row and key
     return pd.DataFrame(
         {
             "g": g,
@@ -208,7 +208,7 @@ def _smallest_per_key(parts: list[tuple], g: int) -> pd.DataFrame:
             "k2": keys[:, 1],
             "bound": bound,
             "gone": doc > np.repeat(doc[first], counts),
-            "weight": np.where(fresh, np.repeat(np.add.reduceat(own.astype(np.int64), first), counts), 0),
+            "weight": np.where(fresh, np.repeat(counts, counts), 0),
         }
     )
 
@@ -226,7 +226,7 @@ def _spread(condition: Column) -> list[Column]:
 
 
 def _decided(rows: DataFrame) -> DataFrame:
-    """Add ``state``: 2 or more if the passage starts in a smaller document, odd if no other row can have its windows.
+    """Add ``state``: 2 or more if the passage starts in a smaller document, odd if its windows can occur nowhere else.
 
     One number, so that all uses need the same columns and Spark shuffles them once.
     """
@@ -241,7 +241,7 @@ def without_repeats(docs_in_groups: DataFrame, info: DataFrame, prepare, size: i
     """``doc_id, n_words, n_removed, kept_text, spans`` of the frame from :func:`grouped`, one row per row.
 
     ``info`` has a column ``g`` and whatever ``prepare`` needs: ``prepare(info_of_group)`` returns a function of
-    ``(row, doc, window hashes)`` that gives every window its bound, 0 for no candidate. ``spans`` are the
+    ``(row, doc, word hashes, window hashes)`` that gives every window its bound, 0 for no candidate. ``spans`` are the
     removed stretches as ``(start, end)`` in words, end excluded; ``kept_text`` joins the other words by one space.
     """
 
@@ -255,7 +255,7 @@ def without_repeats(docs_in_groups: DataFrame, info: DataFrame, prepare, size: i
         for row, doc, hashes in in_order(texts):
             windows = window_hashes(hashes, size)
             if len(windows):
-                parts.append((row, doc, *segments(windows, mark(row, doc, windows))))
+                parts.append((row, doc, *segments(windows, mark(row, doc, hashes, windows))))
         return _smallest_per_key(parts, int(texts["g"].iloc[0]))
 
     def single(texts: pd.DataFrame, open_segments: pd.DataFrame) -> pd.DataFrame:

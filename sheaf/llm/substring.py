@@ -3,7 +3,7 @@
 First pass: every task lists fingerprints of the windows of its documents; these are the cells that its sketch has
 counts in. Sketches of a block of the hash range are merged by adding counts; a block has ``DEPTH`` rows of counters of
 fixed width, and there are as many blocks as the text needs, so each merge is bounded and none goes to the driver. An
-estimate is the least of a window's counters and never too low. Second pass: only windows estimated to occur in two rows
+estimate is the least of a window's counters and never too low. Second pass: only windows estimated to occur twice
 or more are grouped exactly, see :mod:`sheaf.llm.repeats`.
 """
 
@@ -26,7 +26,7 @@ BLOCK_BYTES = 16_000_000
 WIDTH_BITS = 24
 DEPTH = 2
 # Windows that a task gathers before it hands on its sketch.
-GATHER = 4_000_000
+GATHER = 2_000_000
 _FULL = 65535
 
 
@@ -53,7 +53,7 @@ def cells(fingerprints: np.ndarray, row: int) -> np.ndarray:
 
 
 def partition_sketches(docs_in_groups: DataFrame, groups: int, blocks: int, size: int) -> DataFrame:
-    """``block, g, cells``: fingerprints of the windows, each as often as rows of the group have it, in order."""
+    """``block, g, cells``: fingerprints of the windows of each group, each as often as it occurs, in order."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -85,10 +85,8 @@ def partition_sketches(docs_in_groups: DataFrame, groups: int, blocks: int, size
                 if not len(windows):
                     continue
                 block, finger = place(windows, blocks)
-                # once per row and window
-                once = np.unique((block << np.uint64(32)) | finger)
-                held.append((once >> np.uint64(32), np.full(len(once), group, dtype=np.uint64), (once & np.uint64(0xFFFFFFFF)).astype(np.uint32)))
-                gathered += len(once)
+                held.append((block, np.full(len(block), group, dtype=np.uint64), finger))
+                gathered += len(block)
                 if gathered >= GATHER:
                     yield flush()
                     held, gathered = [], 0
@@ -99,7 +97,7 @@ def partition_sketches(docs_in_groups: DataFrame, groups: int, blocks: int, size
 
 
 def merged(sketches: pd.DataFrame) -> pd.DataFrame:
-    """Add up the sketches of one block; per group of documents, the fingerprints estimated in two rows or more."""
+    """Add up the sketches of one block; per group of documents, the fingerprints estimated to occur twice or more."""
     parts = [np.cumsum(unsqueezed(c), dtype=np.uint32) for c in sketches["cells"]]
     rows = []
     for r in range(DEPTH):
@@ -153,7 +151,7 @@ def substring_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
         some = np.zeros(1 << 22, dtype=bool)
         some[key & np.uint64(len(some) - 1)] = True
 
-        def mark(row: int, doc: int, windows: np.ndarray) -> np.ndarray:
+        def mark(row: int, doc: int, hashes: np.ndarray, windows: np.ndarray) -> np.ndarray:
             block, finger = place(windows, blocks)
             wanted = (block << np.uint64(32)) | finger
             bound = np.zeros(len(wanted), dtype=np.int64)

@@ -33,14 +33,15 @@ def reach(size: int) -> int:
     return size - SHARED - GRAM + 2
 
 
-def minimisers(grams: np.ndarray, size: int) -> np.ndarray:
-    """Starts of the sparse suffixes of a text, given the hashes of its ``GRAM``s, each followed by ``SHARED`` words."""
+def minimiser_of(grams: np.ndarray, n_windows: int, size: int) -> np.ndarray:
+    """For each of the first ``n_windows`` windows of a text, the start of its minimiser; ``grams`` hashes its GRAMs.
+
+    It is the lowest of the window's first ``reach`` grams, the leftmost of equal ones, so it depends on the window alone.
+    """
     width = reach(size)
-    if len(grams) < width:
-        return np.zeros(0, dtype=np.int64)
-    picked = []
-    for at in range(0, len(grams) - width + 1, 1 << 16):
-        part = grams[at : at + (1 << 16) + width - 1]
+    picked = [np.zeros(0, dtype=np.int64)]
+    for at in range(0, n_windows, 1 << 16):
+        part = grams[at : min(at + (1 << 16), n_windows) + width - 1]
         # the place in the low bits makes the leftmost of equal ones the lowest
         low = (part >> np.uint64(17) << np.uint64(17)) | np.arange(len(part), dtype=np.uint64)
         covered = 1
@@ -48,9 +49,8 @@ def minimisers(grams: np.ndarray, size: int) -> np.ndarray:
             step = min(covered, width - covered)
             low = np.minimum(low[:-step], low[step:])
             covered += step
-        picked.append(at + np.unique(low & np.uint64((1 << 17) - 1)).astype(np.int64))
-    found = np.unique(np.concatenate(picked))
-    return found[found + SHARED <= len(grams) + GRAM - 1]
+        picked.append(at + (low & np.uint64((1 << 17) - 1)).astype(np.int64))
+    return np.concatenate(picked)
 
 
 def sparse_suffixes(docs_in_groups: DataFrame, size: int) -> DataFrame:
@@ -64,7 +64,7 @@ def sparse_suffixes(docs_in_groups: DataFrame, size: int) -> DataFrame:
                 if len(hashes) < size:
                     continue
                 grams = window_hashes(hashes[:, :1], GRAM)[:, 0]
-                found = minimisers(grams, size)
+                found = np.unique(minimiser_of(grams, len(hashes) - size + 1, size))
                 at.append(found)
                 k1.append(grams[found])
                 k2.append(window_hashes(hashes[:, 1:], SHARED)[found, 0])
@@ -159,21 +159,18 @@ def suffix_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     single = matches.where("edge").join(ends, ["k1", "k2"], "left_semi")
     columns = ["g", "row", "doc", "pos", "bound"]
     found = matches.where("NOT edge").select(*columns).unionByName(single.select(*columns))
-    width = reach(size)
 
     def prepare(known: pd.DataFrame):
         own = repeats.rows_of(known, "pos", "bound")
 
-        def mark(row: int, doc: int, windows: np.ndarray) -> np.ndarray:
+        def mark(row: int, doc: int, hashes: np.ndarray, windows: np.ndarray) -> np.ndarray:
             bound = np.zeros(len(windows), dtype=np.int64)
             if (row, doc) in own:
-                free = np.full(len(windows), UNBOUNDED + 1, dtype=np.int64)
-                positions, limits = own[row, doc]
-                # a match at p stands for the windows that start up to `width` - 1 words before it
-                starts = positions.astype(np.int64)[:, None] - np.arange(width)[None, :]
-                inside = (starts >= 0) & (starts < len(windows))
-                np.minimum.at(free, starts[inside], np.broadcast_to(limits[:, None], starts.shape)[inside])
-                bound = np.where(free <= UNBOUNDED, free, 0)
+                # a window is a candidate if its own minimiser is matched; every occurrence has one in that run
+                at = minimiser_of(window_hashes(hashes[:, :1], GRAM)[:, 0], len(windows), size)
+                matched, first = np.unique(own[row, doc][0].astype(np.int64), return_index=True)
+                k = np.minimum(np.searchsorted(matched, at), len(matched) - 1)
+                bound = np.where(matched[k] == at, own[row, doc][1][first][k], 0)
             return bound
 
         return mark

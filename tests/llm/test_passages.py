@@ -48,6 +48,10 @@ def test_passages_at_the_limit_and_crowded_groups(docs, operator, monkeypatch):
             changed[rng.randrange(90)] = f"x{i}"
         rows.append(" ".join(changed))
     rows += [" ".join(["same"] * 200), " ".join(["same"] * 130), " ".join(crowd + crowd)]
+    # one word many times, in several places of a text and of its copies
+    for word in ("same", "w", "x7", "other"):
+        long = [word] * 90 + say(9) + [word] * 70 + say(60) + [word] * 90 + say(7)
+        rows += [" ".join([word] * 60 + say(5)), " ".join(long), " ".join(long), " ".join(say(3) + long)]
     rows = list(enumerate(rows))
     check(operator(docs(rows, partitions=5)).collect(), rows)
 
@@ -100,20 +104,39 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
     assert np.array_equal(repeats.window_hashes(hashes, 50), whole)
 
 
-def test_every_window_holds_a_kept_suffix():
+def test_every_window_has_a_minimiser_of_its_own():
     rng = random.Random(4)
+    grams_of = lambda h: repeats.window_hashes(h[:, :1], suffix.GRAM)[:, 0]
     for _ in range(20):
         hashes = next(repeats.word_hashes([" ".join(rng.choice("abcdef") for _ in range(rng.randint(50, 300))).encode()]))
-        grams = repeats.window_hashes(hashes, suffix.GRAM)[:, 0]
-        found = set(suffix.minimisers(grams, 50).tolist())
-        for s in range(len(hashes) - 49):
-            assert any(p in found for p in range(s, s + 50 - suffix.SHARED + 1))
-            # what is chosen inside the window alone is chosen in the text
-            assert {s + p for p in suffix.minimisers(grams[s : s + 50 - suffix.GRAM + 1], 50).tolist()} <= found
+        found = suffix.minimiser_of(grams_of(hashes), len(hashes) - 49, 50)
+        assert len(found) == len(hashes) - 49
+        for s, p in enumerate(found):
+            # inside the window with the words that are compared, and the same for the window alone
+            assert s <= p <= s + 50 - suffix.SHARED
+            assert suffix.minimiser_of(grams_of(hashes[s : s + 50]), 1, 50)[0] == p - s
     with pytest.raises(ValueError):
         suffix.suffix_dedup(None, size=10)
 
 
+@pytest.mark.parametrize("operator", OPERATORS)
+@pytest.mark.parametrize("seed", range(3))
+def test_overlapping_passages(docs, operator, seed):
+    """Stretches of a few common texts, so that windows are shared by changing sets of documents."""
+    rng = random.Random(seed)
+    vocab = plain.vocabulary(rng)
+    sources = [[rng.choice(vocab) for _ in range(400)] for _ in range(3)]
+    rows = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randint(1, 3)):
+            source = rng.choice(sources)
+            at = rng.randrange(300)
+            words += source[at : at + rng.randint(40, 120)]
+        rows.append((i, " ".join(words)))
+    check(operator(docs(rows)).collect(), rows)
+
+
 def test_word_hashes_depend_on_the_word_alone():
     rng = random.Random(8)
     texts = ["".join(rng.choice("ab é\t\n 你") for _ in range(rng.randint(0, 400))).encode() for _ in range(200)]
