@@ -69,7 +69,17 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.quality_rules(documents(spark, folder))
+    return quality.quality_rules(documents(spark, folder)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        F.array_join("failed_rules", ",").alias("failed_rules"),
+        "kept",
+    )
 
 
 def _digest(removed: DataFrame) -> DataFrame:
@@ -99,4 +109,81 @@ QUERIES = {
     "op10_substring": op10_substring,
 }
 
-SQL: dict[str, str] = {}
+SQL_WORDS = r"""list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+# The windows of 50 words, each with the smallest document it starts in; the words that windows of others cover go.
+SQL_REPEATS = f"""WITH t AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
+  FROM t, unnest(range(1, greatest(len(w) - 48, 1))) AS r(i)),
+first AS (SELECT k, min(doc_id) AS d FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + o AS p FROM windows JOIN first USING (k), range(0, 50) AS s(o) WHERE d < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM t),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k, '')) AS kept_sha256 FROM t LEFT JOIN kept USING (doc_id)"""
+
+SQL_NEAR = rf"""WITH RECURSIVE t AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS k
+  FROM t, unnest(range(1, greatest(len(w) - 3, 2))) AS r(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y USING (k)
+  WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reached AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT doc_id, b FROM reached JOIN links ON a = r),
+groups AS (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY 1)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM groups LEFT JOIN sizes USING (doc_id)"""
+
+SQL_VECTORS = """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id <> y.vec_id
+  AND len(x.e) = len(y.e) WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+reached AS (SELECT vec_id, vec_id AS r FROM v UNION SELECT vec_id, b FROM reached JOIN links ON a = r),
+groups AS (SELECT vec_id, min(r) AS component_id FROM reached GROUP BY 1),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, component_id = vec_id AS kept
+FROM groups LEFT JOIN counts USING (vec_id)"""
+
+
+def sql_quality(rules=quality.DEFAULT_RULES) -> str:
+    """The measures and the threshold table as SQL."""
+    stop_words = ", ".join(f"'{w}', '{w}.'" for w in quality.STOP_WORDS)
+    blank = r"[\x20\x09-\x0D]"
+    count = lambda of, test: f"CAST(len(list_filter({of}, lambda x: {test})) AS BIGINT)"
+    broken = []
+    for rule in rules:
+        tests = [f"{rule.measure} < {rule.low}"] if rule.low is not None else []
+        tests += [f"{rule.measure} > {rule.high}"] if rule.high is not None else []
+        broken.append(f"CASE WHEN {' OR '.join(tests)} THEN '{rule.name}' END")
+    return rf"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {SQL_WORDS} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS k FROM t, unnest(range(1, greatest(len(w) - 3, 1))) AS r(i)),
+repeated AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM windows) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM repeated, range(0, 5) AS s(o) GROUP BY 1),
+base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(length(regexp_replace(text, '{blank}+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+  len(l) AS n_lines, {count('w', f'lower(x) IN ({stop_words})')} AS n_stop, {count('w', r"regexp_matches(x, '\pL')")} AS n_letter,
+  {count('l', f"regexp_matches(x, '^{blank}*[-*•–]')")} AS n_bullet,
+  {count('l', rf"regexp_matches(x, '(\.\.\.|…){blank}*$')")} AS n_ellipsis FROM t LEFT JOIN covered USING (doc_id)),
+ratios AS (SELECT *, word_chars / nullif(n_words, 0) AS mean_word_chars, n_symbols / nullif(n_words, 0) AS symbol_ratio,
+  n_stop / nullif(n_words, 0) AS stop_word_ratio, n_letter / nullif(n_words, 0) AS letter_word_ratio,
+  n_dup_lines / nullif(n_lines, 0) AS dup_line_ratio, n_bullet / nullif(n_lines, 0) AS bullet_line_ratio,
+  n_ellipsis / nullif(n_lines, 0) AS ellipsis_line_ratio,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_rules,
+  NOT base_failed AND failed_rules = '' AS kept FROM (
+  SELECT *, array_to_string(list_filter([{', '.join(broken)}], lambda x: x IS NOT NULL), ',') AS failed_rules FROM ratios)"""
+
+
+SQL: dict[str, str] = {
+    "op5_lattice": SQL_VECTORS,
+    "op6_suffix_array": SQL_REPEATS,
+    "op7_minhash": SQL_NEAR,
+    "op9_quality": sql_quality(),
+    "op10_substring": SQL_REPEATS,
+}
