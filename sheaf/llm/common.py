@@ -31,10 +31,10 @@ def bind(value: Column, body) -> Column:
 
 def scratch_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; only where it is unset, as in tests, a temporary folder of this machine."""
-    context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="sheaf-checkpoint-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    context, named = spark.sparkContext, spark.conf.get("spark.checkpoint.dir", None)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sheaf-checkpoint-"))
+    return named or context.getCheckpointDir()
 
 
 def settle(df: DataFrame) -> DataFrame:

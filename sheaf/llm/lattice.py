@@ -113,19 +113,74 @@ def _classes(vectors: DataFrame, id_column: str, vector_column: str, label_colum
     ).select("vec_id", "label", "m.node", "m.unit")
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            # vectors of different dimensions never meet
-            for size, part in batch.groupby(batch["unit"].str.len()):
-                units = np.frombuffer(b"".join(part["unit"]), dtype="<f8").reshape(len(part), -1)
-                label = np.array([xxhash.xxh3_64_intdigest(f"{size} {x}") for x in part["label"]], dtype=np.uint64)
-                keys = cells(units) ^ label[:, None]
-                yield pd.DataFrame(
-                    {"key": keys.view(np.int64).ravel(), "id": np.repeat(part["node"].to_numpy(), keys.shape[1]), "tag": 0}
-                )
-
-    return classes.select("node", "label", "unit").mapInPandas(enter, "key bigint, id bigint, tag bigint")
+def _centres(classes: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of vectors that share a cell, each with the cell's smallest vector."""
+
+    def keys(batch: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((len(batch), TABLES * (1 + PROBES)), dtype=np.uint64)
+        # vectors of different dimensions never meet
+        for size, at in batch.groupby(batch["unit"].str.len()).indices.items():
+            units = np.frombuffer(b"".join(batch["unit"].iloc[at]), dtype="<f8").reshape(len(at), -1)
+            label = [xxhash.xxh3_64_intdigest(f"{size} {x}") for x in batch["label"].iloc[at]]
+            out[at] = cells(units) ^ np.array(label, dtype=np.uint64)[:, None]
+        return out.view(np.int64)
+
+    rows = classes.select(F.col("node").alias("id"), F.lit(0).cast("bigint").alias("tag"), "unit", "label")
+    return linkage.stars(rows, classes.count(), keys, TABLES * (1 + PROBES)).select("a", "b")
+
+
+def _compared(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
+    """Blocks of sorted rows, one after the other; only the rows of a block that goes on are held between batches."""
+    held: pd.DataFrame | None = None
+    for batch in batches:
+        batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        block = batch[["a", "i", "j"]].to_numpy()
+        first = np.append(0, np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1)
+        held = batch.iloc[first[-1] :]
+        yield _links_of_blocks(batch, first[:-1], first[1:], threshold)
+    if held is not None:
+        yield _links_of_blocks(held, np.array([0]), np.array([len(held)]), threshold)
+
+
+def _links_of_blocks(rows: pd.DataFrame, starts: np.ndarray, ends: np.ndarray, threshold: float) -> pd.DataFrame:
+    """``id, n_links, root`` for the vectors of each block that have links; a block has one or two chunks of its group."""
+    centre, i, j, chunk, ids, weights = (rows[c].to_numpy() for c in ("a", "i", "j", "chunk", "id", "n"))
+    units, centres, found = rows["unit"].tolist(), rows["centres"].tolist(), []
+    for start, end in zip(starts.tolist(), ends.tolist()):
+        x = np.frombuffer(b"".join(units[start:end]), dtype="<f8").reshape(end - start, -1)
+        inside = chunk[start:end]
+        left, right = (np.flatnonzero(inside == c[start]) for c in (i, j))
+        close = x[left] @ x[right].T >= threshold
+        if i[start] == j[start]:
+            np.fill_diagonal(close, False)
+        if not close.any():
+            continue
+        counted = close & ~_met_before(centres[start:end], centre[start], left, right)
+        own_weights = weights[start:end]
+        n_links = np.zeros(end - start, dtype=np.int64)
+        n_links[left] += counted @ own_weights[right]
+        if i[start] != j[start]:
+            n_links[right] += counted.T @ own_weights[left]
+        pairs = np.argwhere(close)
+        # ids ascend within a block's chunk, not over both
+        order = np.argsort(ids[start:end], kind="stable")
+        rank = np.argsort(order)
+        roots = linkage.roots_of(end - start, rank[np.stack([left[pairs[:, 0]], right[pairs[:, 1]]], axis=1)])
+        own = ids[start:end]
+        found.append((own, n_links, own[order][roots[rank]]))
+    if not found:
+        return pd.DataFrame({"id": [], "n_links": [], "root": []}, dtype="int64")
+    return pd.DataFrame({name: np.concatenate([f[k] for f in found]) for k, name in enumerate(("id", "n_links", "root"))})
+
+
+def _met_before(centres: list, centre: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether two rows are also together in the group of a smaller centre."""
+    earlier = [[c for c in found if c < centre] for found in centres]
+    number = {c: k for k, c in enumerate(dict.fromkeys(c for found in earlier for c in found))}
+    was_in = np.zeros((len(earlier), len(number)), dtype=np.float32)
+    for k, found in enumerate(earlier):
+        was_in[k, [number[c] for c in found]] = 1
+    return was_in[left] @ was_in[right].T > 0
 
 
 def near_vectors(
@@ -151,7 +206,7 @@ def near_vectors(
         .groupBy("node")
         .agg(F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit"), F.first("label").alias("label"))
     )
-    pairs = settle(linkage.stars(_members(classes)).select("a", "b"))
+    pairs = settle(_centres(classes))
     in_group = pairs.select("a", F.col("b").alias("id")).unionByName(pairs.select("a", F.col("a").alias("id"))).distinct()
     # the other centres of a vector tell where a pair has met before
     centres = in_group.groupBy("id").agg(F.sort_array(F.collect_set("a")).alias("centres"))
@@ -165,43 +220,11 @@ def near_vectors(
     )
     known = classes.select(F.col("node").alias("id"), "n", "unit").join(centres, "id")
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        centre, i, j = (int(block[c].iloc[0]) for c in ("a", "i", "j"))
-        left, right = (block[block["chunk"] == c].sort_values("id") for c in (i, j))
-        nothing = pd.DataFrame({"id": pd.Series(dtype="int64"), "n_links": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
-        if not len(left) or not len(right):
-            return nothing
-        x, y = (np.frombuffer(b"".join(part["unit"]), dtype="<f8").reshape(len(part), -1) for part in (left, right))
-        close = x @ y.T >= threshold
-        if i == j:
-            np.fill_diagonal(close, False)
-        if not close.any():
-            return nothing
-        # met in a group with a smaller centre
-        earlier = [[c for c in found if c < centre] for found in pd.concat([left, right])["centres"]]
-        number = {c: k for k, c in enumerate(sorted({c for found in earlier for c in found}))}
-        was_in = np.zeros((len(earlier), len(number)), dtype=np.float32)
-        for k, found in enumerate(earlier):
-            was_in[k, [number[c] for c in found]] = 1
-        met = was_in[: len(left)] @ was_in[len(left) :].T > 0
-        counted = close & ~met
-        ids = np.concatenate([left["id"].to_numpy(), right["id"].to_numpy()])
-        weights = np.concatenate([left["n"].to_numpy(), right["n"].to_numpy()])
-        links_left = counted @ weights[len(left) :]
-        links_right = counted.T @ weights[: len(left)]
-        names, place = np.unique(ids, return_inverse=True)
-        n_links = np.zeros(len(names), dtype=np.int64)
-        np.add.at(n_links, place[: len(left)], links_left)
-        if i != j:
-            np.add.at(n_links, place[len(left) :], links_right)
-        found = np.argwhere(close)
-        ends = np.stack([place[: len(left)][found[:, 0]], place[len(left) :][found[:, 1]]], axis=1)
-        return pd.DataFrame({"id": names, "n_links": n_links, "root": names[linkage.roots_of(len(names), ends)]})
-
     blocks = settle(
         rows.join(known, "id")
-        .groupBy("a", "i", "j")
-        .applyInPandas(compare, "id bigint, n_links bigint, root bigint")
+        .repartition("a", "i", "j")
+        .sortWithinPartitions("a", "i", "j", "id")
+        .mapInPandas(lambda batches: _compared(batches, threshold), "id bigint, n_links bigint, root bigint")
     )
     counts = blocks.groupBy("id").agg(F.sum("n_links").alias("n_links")).withColumnRenamed("id", "node")
     links = blocks.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))

@@ -6,7 +6,7 @@ members with their centre first and look at other pairs of a centre's group only
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,67 +14,125 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm.common import settle
+from sheaf.llm.repeats import mixed
+
+# Rows that a task gathers before it ties them, times keys of a row; members in a bucket, about.
+GATHER = 500_000
+BUCKET_MEMBERS = 500_000
+# Members of a key that are compared with each other to leave out those that share it by chance.
+SIFTED = 64
+_PAIRS = "key bigint, a bigint, a_tag bigint, b bigint, b_tag bigint"
+_LOCAL = f"bucket bigint, crowded boolean, members binary, {_PAIRS}"
+
+
+def _tied(key: np.ndarray, member: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Members in the order of key and id, and for each the place of its key's first, smallest member."""
+    order = np.argsort(member, kind="stable")
+    order = order[np.argsort(key[order], kind="stable")]
+    key, member, tag = key[order], member[order], tag[order]
+    fresh = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, dtype=bool)
+    return key, member, tag, np.maximum.accumulate(np.where(fresh, np.arange(len(key)), 0))
+
+
+def _pairs(key: np.ndarray, member: np.ndarray, tag: np.ndarray, centre: np.ndarray, centre_tag: np.ndarray) -> pd.DataFrame:
+    other = member != centre
+    return pd.DataFrame(
+        {"key": key[other], "a": centre[other], "a_tag": centre_tag[other], "b": member[other], "b_tag": tag[other]}
+    )
 
-_STARS = "key bigint, a bigint, a_tag bigint, b bigint, b_tag bigint, edge boolean"
-
-
-def _tie(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Tie the members of each key of a sorted stretch to the first one; only the last key's first member is remembered.
 
-    The first and the last key may go on in another stretch: their first members are also handed on as ``edge``.
-    """
-    last: tuple[int, int, int] | None = None
-    opening = None
-
-    def frame(key, a, a_tag, b, b_tag, edge) -> pd.DataFrame:
-        return pd.DataFrame({"key": key, "a": a, "a_tag": a_tag, "b": b, "b_tag": b_tag, "edge": edge})
-
-    for batch in batches:
-        if not len(batch):
-            continue
-        key, member, tag = (batch[c].to_numpy() for c in ("key", "id", "tag"))
-        fresh = np.append(last is None or key[0] != last[0], key[1:] != key[:-1])
-        at = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), -1))
-        a = np.where(at >= 0, member[at], last[1] if last else 0)
-        a_tag = np.where(at >= 0, tag[at], last[2] if last else 0)
-        if opening is None:
-            opening = (int(key[0]), int(a[0]), int(a_tag[0]))
-        last = (int(key[-1]), int(a[-1]), int(a_tag[-1]))
-        other = a != member
-        yield frame(key[other], a[other], a_tag[other], member[other], tag[other], False)
-    if last is not None:
-        yield frame(*[[x[i] for x in dict.fromkeys((opening, last))] for i in (0, 1, 2, 1, 2)], True)
-
-
-def stars(members: DataFrame) -> DataFrame:
+def _run_sizes(centre: np.ndarray) -> np.ndarray:
+    """For each member in order, how many have its key."""
+    return np.bincount(centre, minlength=len(centre))[centre] if len(centre) else centre
+
+
+def _near_another(centre: np.ndarray, tag: np.ndarray, distance, limit: int) -> np.ndarray:
+    """Whether a member is within the limit of another one of its key, or its key has too many to look at them all."""
+    sizes = _run_sizes(centre)
+    near = sizes > SIFTED
+    at = np.flatnonzero((sizes > 1) & ~near)
+    for step in range(1, SIFTED):
+        at = at[at + step < len(centre)]
+        at = at[centre[at + step] == centre[at]]
+        if not len(at):
+            break
+        close = at[distance(tag[at], tag[at + step]) <= limit]
+        near[close] = near[close + step] = True
+    return near
+
+
+def stars(
+    rows: DataFrame,
+    n_rows: int,
+    keys_of: Callable[[pd.DataFrame], np.ndarray],
+    keys_per_row: int,
+    distance: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    limit: int = 0,
+) -> DataFrame:
     """``a, a_tag, b, b_tag`` without repetition: every member ``b`` of a key with the key's smallest member ``a``.
 
-    ``members`` has ``key, id, tag``, all bigint and not NULL; ``tag`` belongs to the id and is passed through. Rows are
-    sorted by key and id over all tasks, so a key that many rows share is cut into stretches; the stretches' centres
-    are then replaced by the key's.
+    ``rows`` has ``id`` and ``tag``, bigint and not NULL, and what ``keys_of`` needs to give an array of 64-bit keys, one
+    line per row. A task ties the members of a key that it has itself, so it sends one member of a key however many
+    rows share it; packed members of a range of keys then meet in a bucket, of which there are as many as ``n_rows``
+    needs. Where several tasks had members of a key, their centres are replaced by the key's.
+
+    Where only pairs within ``limit`` by a ``distance`` between tags are of interest, members of a key that share it by
+    chance are left out: a task ties members within the limit and sends the others; in its bucket a member that is more
+    than three limits from all others can be near none of the rows tied to them, since these are within one limit of it
+    each. Keys with more than ``SIFTED`` members, in a task or a bucket, are not sifted.
     """
-    in_order = ["key", "id"]
-    tied = settle(
-        members.select("key", "id", "tag")
-        .repartitionByRange(*in_order)
-        .sortWithinPartitions(*in_order)
-        .mapInPandas(_tie, _STARS)
+    buckets = max(1, -(-n_rows * keys_per_row // BUCKET_MEMBERS))
+    gather = max(1, GATHER // keys_per_row)
+
+    def tie_own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= gather:
+                yield from tie(pd.concat(held, ignore_index=True))
+                held, size = [], 0
+        if size:
+            yield from tie(pd.concat(held, ignore_index=True))
+
+    def tie(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        keys = keys_of(batch)
+        n = keys.shape[1]
+        key, member, tag, centre = _tied(keys.ravel(), np.repeat(batch["id"].to_numpy(), n), np.repeat(batch["tag"].to_numpy(), n))
+        bound, crowded = centre != np.arange(len(centre)), np.zeros(len(centre), dtype=bool)
+        if distance is not None:
+            crowded = _run_sizes(centre) > SIFTED
+            bound &= crowded | (distance(tag, tag[centre]) <= limit)
+        pairs = _pairs(key[bound], member[bound], tag[bound], member[centre[bound]], tag[centre[bound]])
+        yield pairs.assign(bucket=pd.array([None], dtype="Int64")[0], crowded=None, members=None)
+        sent = np.stack([x[~bound] for x in (key, member, tag)], axis=1)
+        bucket = (mixed(sent[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64) * 2 + crowded[~bound]
+        order = np.argsort(bucket, kind="stable")
+        at = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
+        packed = [part.tobytes() for part in np.split(sent[order], at[1:])]
+        none = pd.array([None] * len(at), dtype="Int64")
+        to = bucket[order][at]
+        yield pd.DataFrame({"bucket": to // 2, "crowded": to % 2 == 1, "members": packed} | dict.fromkeys(("key", "a", "a_tag", "b", "b_tag"), none))
+
+    def tie_bucket(sent: pd.DataFrame) -> pd.DataFrame:
+        members = np.frombuffer(b"".join(sent["members"]), dtype="<i8").reshape(-1, 3)
+        key, member, tag, centre = _tied(members[:, 0], members[:, 1], members[:, 2])
+        if distance is not None:
+            of_crowd = np.frombuffer(b"".join(sent.loc[sent["crowded"], "members"]), dtype="<i8").reshape(-1, 3)[:, 0]
+            kept = _near_another(centre, tag, distance, 3 * limit) | np.isin(key, of_crowd)
+            key, member, tag, centre = _tied(key[kept], member[kept], tag[kept])
+        return _pairs(key, member, tag, member[centre], tag[centre])
+
+    local = rows.mapInPandas(tie_own, _LOCAL)
+    over_tasks = settle(
+        local.where("bucket IS NOT NULL").select("bucket", "crowded", "members").groupBy("bucket").applyInPandas(tie_bucket, _PAIRS)
     )
-    # two rows per task at most, and few of these keys go on
-    ends = tied.where("edge").select("key", "a", "a_tag")
-    centres = ends.groupBy("key").agg(F.min(F.struct("a", "a_tag")).alias("_c"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    moved = F.broadcast(centres.select("key", "_c"))
-    pairs = (
-        tied.join(moved, "key", "left")
-        .select(
-            F.coalesce("_c.a", "a").alias("a"),
-            F.coalesce("_c.a_tag", "a_tag").alias("a_tag"),
-            "b",
-            "b_tag",
-        )
-        .where("a <> b")
+    moved = over_tasks.select("key", F.col("b").alias("a"), F.struct("a", "a_tag").alias("_centre"))
+    of_tasks = local.where("bucket IS NULL").select("key", "a", "a_tag", "b", "b_tag").join(moved, ["key", "a"], "left")
+    of_tasks = of_tasks.select(
+        F.coalesce("_centre.a", "a").alias("a"), F.coalesce("_centre.a_tag", "a_tag").alias("a_tag"), "b", "b_tag"
     )
-    return pairs.distinct()
+    return of_tasks.unionByName(over_tasks.select("a", "a_tag", "b", "b_tag")).distinct()
 
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -39,9 +39,9 @@ _MASKS = np.random.default_rng(12).integers(0, 2**32, SYMBOLS, dtype=np.uint64).
 
 def shingle_sets(texts: Sequence[bytes | None]) -> Iterator[np.ndarray]:
     """Sorted hashes of the distinct shingles of each text (UTF-8), A-Z lower-cased; all its words as one if fewer."""
-    for hashes in word_hashes([(text or b"").lower() for text in texts]):
+    for hashes in word_hashes(texts, halves=1, lower=True):
         n = min(SHINGLE, len(hashes))
-        yield np.unique(window_hashes(hashes[:, :1], n)[:, 0] + np.uint64(n)) if n else np.zeros(0, dtype=np.uint64)
+        yield np.unique(window_hashes(hashes, n)[:, 0] + np.uint64(n)) if n else np.zeros(0, dtype=np.uint64)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -83,21 +83,14 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), signed(F.col("text").cast("binary")).alias("s")).select("doc_id", "s.*")
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                found = chunk_keys(np.frombuffer(b"".join(batch["sig"]), dtype="<u2").reshape(len(batch), -1))
-                n = found.shape[1]
-                yield pd.DataFrame(
-                    {
-                        "key": found.ravel(),
-                        "id": np.repeat(batch["id"].to_numpy(), n),
-                        "tag": np.repeat(batch["n_shingles"].to_numpy(), n),
-                    }
-                )
+def _centres(classes: DataFrame) -> DataFrame:
+    """Pairs of classes that share a key, each with the key's smallest class; tags are the sizes of their sets."""
+
+    def keys(batch: pd.DataFrame) -> np.ndarray:
+        return chunk_keys(np.frombuffer(b"".join(batch["sig"]), dtype="<u2").reshape(len(batch), -1))
 
-    return classes.select("id", "n_shingles", "sig").mapInPandas(keys, "key bigint, id bigint, tag bigint")
+    rows = classes.select("id", F.col("n_shingles").alias("tag"), "sig")
+    return linkage.stars(rows, classes.count(), keys, chunk_keys(np.zeros((1, SYMBOLS), dtype=np.uint16)).shape[1])
 
 
 def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
@@ -114,11 +107,12 @@ def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, n_ids: int) -> Da
             yield pd.DataFrame(rows, columns=["id", "sig", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("of_doc"), F.col("text").cast("binary").alias("text"))
-    joined = texts.join(small_ids(wanted, n_ids // 16), "of_doc")
+    joined = texts.join(small_ids(wanted, 16 * n_ids), "of_doc")
     return joined.mapInPandas(sets, "id bigint, sig binary, shingles binary").dropDuplicates(["id"])
 
 
 def small_ids(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it is no larger than so many ids may be."""
     return F.broadcast(df) if rows <= ID_ROWS else df
 
 
@@ -178,7 +172,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     Every document is compared with the centres of its keys. In the groups where that leaves documents unlinked, these
     are compared with all others of the group, in blocks of bounded size.
     """
-    pairs = settle(linkage.stars(_members(classes)))
+    pairs = settle(_centres(classes))
     fit = pairs.where(100 * F.least("a_tag", "b_tag") >= percent * F.greatest("a_tag", "b_tag")).select("a", "b")
     sig = classes.select("id", "sig")
 

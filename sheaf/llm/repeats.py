@@ -61,8 +61,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(texts: Sequence[bytes | None]) -> Iterator[np.ndarray]:
-    """For each text (UTF-8) the 128-bit hashes of its words, one row each.
+def word_hashes(texts: Sequence[bytes | None], halves: int = 2, lower: bool = False) -> Iterator[np.ndarray]:
+    """For each text (UTF-8) the 128-bit hashes of its words, one row each, in two columns or only the first half.
+    With ``lower``, A-Z are taken in lower case.
 
     A word's hash is a polynomial of its bytes, taken as a difference of running sums, so that no word is touched on
     its own; those too long for a running sum are hashed directly.
@@ -74,33 +75,33 @@ def word_hashes(texts: Sequence[bytes | None]) -> Iterator[np.ndarray]:
             size += len(texts[end] or b"") + 1
             end += 1
         group = [text or b"" for text in texts[at:end]]
-        whole = b"\n".join(group)
-        starts, hashes = _words_of(whole)
+        whole = b"\n".join(group).lower() if lower else b"\n".join(group)
+        starts, hashes = _words_of(whole, halves)
         offsets = np.cumsum([len(text) + 1 for text in group])[:-1]
         yield from np.split(hashes, np.searchsorted(starts, offsets))
         at = end
 
 
-def _words_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _words_of(text: bytes, halves: int) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of a text start, and their hashes."""
     data = np.frombuffer(text, dtype=np.uint8)
     inside = np.zeros(len(data) + 2, dtype=bool)
     inside[1:-1] = ~_IS_BLANK[data]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    out = np.empty((len(starts), 2), dtype=np.uint64)
+    out = np.empty((len(starts), halves), dtype=np.uint64)
     at = 0
     while at < len(starts):
         begin = starts[at]
         stop = int(np.searchsorted(ends, begin + _CHUNK, side="right"))
         if stop <= at:
-            out[at] = np.frombuffer(xxhash.xxh3_128_digest(text[begin : ends[at]]), dtype="<u8")
+            out[at] = np.frombuffer(xxhash.xxh3_128_digest(text[begin : ends[at]]), dtype="<u8")[:halves]
             at += 1
             continue
         part = data[begin : ends[stop - 1]]
         a, b = starts[at:stop] - begin, ends[at:stop] - begin
         sums = np.zeros(len(part) + 1, dtype=np.uint64)
-        for half in (0, 1):
+        for half in range(halves):
             np.cumsum(_BYTES[half][part] * _BYTE_POWERS[half][: len(part)], out=sums[1:])
             length = (b - a).astype(np.uint64) * np.uint64(0x165667B19E3779F9)
             out[at:stop, half] = mixed((sums[b] - sums[a]) * _BYTE_INVERSES[half][a] + length)
