@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +68,12 @@ def partitions(spark: SparkSession) -> int:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def hand_back() -> None:
+    """Give freed memory back to the system, in a task: Python workers outlive their tasks beside an executor's heap."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import spare_name
+from sheaf.llm.common import hand_back, spare_name
 
 DIMENSIONS = 4096
 GRAMS = (1, 2, 3)
@@ -131,6 +131,7 @@ def fit(
                 if counts is not None:
                     found += counts > 0
                     per_language[language] = per_language.get(language, 0) + 1
+            hand_back()
         at = np.flatnonzero(found)
         yield pd.DataFrame({"place": at, "lang": pd.Series([None] * len(at), dtype=object), "n": found[at]})
         names = pd.Series(list(per_language), dtype=object)
@@ -192,6 +193,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score", "rejected"])
+            hand_back()
 
     predicted = F.pandas_udf(predict, "lang_pred string, score double, rejected boolean")
     name = spare_name(docs, "_language")

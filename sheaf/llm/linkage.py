@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import settle
+from sheaf.llm.common import hand_back, settle
 from sheaf.llm.repeats import mixed
 
 # Rows that a task gathers before it ties them, times keys of a row; members in a bucket, about.
@@ -92,8 +92,10 @@ def stars(
             if size >= gather:
                 yield from tie(pd.concat(held, ignore_index=True))
                 held, size = [], 0
+                hand_back()
         if size:
             yield from tie(pd.concat(held, ignore_index=True))
+        hand_back()
 
     def tie(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         keys = keys_of(batch)
@@ -115,6 +117,7 @@ def stars(
         yield pd.DataFrame({"bucket": to // 2, "crowded": to % 2 == 1, "members": packed} | dict.fromkeys(("key", "a", "a_tag", "b", "b_tag"), none))
 
     def tie_bucket(sent: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
         members = np.frombuffer(b"".join(sent["members"]), dtype="<i8").reshape(-1, 3)
         key, member, tag, centre = _tied(members[:, 0], members[:, 1], members[:, 2])
         if distance is not None:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm import linkage
-from sheaf.llm.common import settle, spare_name
+from sheaf.llm.common import hand_back, settle, spare_name
 from sheaf.llm.repeats import mixed, window_hashes, word_hashes
 
 SHINGLE = 5
@@ -78,6 +78,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), dtype="<i8")
                 rows.append((len(found), int(s1), int(s2), signature(found).astype("<u2").tobytes() if len(found) else None))
             yield pd.DataFrame(rows, columns=["n_shingles", "s1", "s2", "sig"])
+            hand_back()
 
     signed = F.pandas_udf(sign, "n_shingles bigint, s1 bigint, s2 bigint, sig binary")
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), signed(F.col("text").cast("binary")).alias("s")).select("doc_id", "s.*")
@@ -105,6 +106,7 @@ def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, n_ids: int) -> Da
                 if (i, s2) == tuple(np.frombuffer(xxhash.xxh3_128_digest(data), dtype="<i8")):  # else another text of that id
                     rows.append((i, sig, data))
             yield pd.DataFrame(rows, columns=["id", "sig", "shingles"])
+            hand_back()
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("of_doc"), F.col("text").cast("binary").alias("text"))
     joined = texts.join(small_ids(wanted, 16 * n_ids), "of_doc")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import settle
+from sheaf.llm.common import hand_back, settle
 
 WINDOW = 2048
 # Combinations are enumerated on lengths rounded up to multiples of this; at most so many tokens a piece are padding.
@@ -29,7 +29,7 @@ GRAIN = 4
 DEPTH = 3
 END_ID = 1
 # Runs that a task remembers before it drops those it has not met since the last time.
-MEMO = 400_000
+MEMO = 250_000
 # Pieces per bucket when ranks are given out.
 RANK_ROWS = 50_000
 
@@ -139,6 +139,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFr
                 starts, lengths, crcs = zip(*cut(ids, window))
                 rows.append((list(starts), list(lengths), list(crcs), len(ids) // 4))
             yield pd.DataFrame(rows, columns=["start", "length", "crc", "tokens"])
+            del texts, rows
+            hand_back()
+        del ids_of
+        hand_back()
 
     cut_texts = F.pandas_udf(
         cut_batches, "start array<bigint>, length array<bigint>, crc array<bigint>, tokens bigint"

@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheaf.llm.common import hand_back
+
 SIZE = 50
 # Bytes of text in a group of documents.
 GROUP_BYTES = 8_000_000
@@ -252,6 +254,7 @@ def without_repeats(docs_in_groups: DataFrame, info: DataFrame, prepare, size: i
         return zip(row, doc, word_hashes(text))
 
     def cut(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
         mark, parts = prepare(known), []
         for row, doc, hashes in in_order(texts):
             windows = window_hashes(hashes, size)
@@ -260,6 +263,7 @@ def without_repeats(docs_in_groups: DataFrame, info: DataFrame, prepare, size: i
         return _smallest_per_key(parts, int(texts["g"].iloc[0]))
 
     def single(texts: pd.DataFrame, open_segments: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
         parts = []
         wanted = rows_of(open_segments, "start", "n")
         has_some = [key in wanted for key in zip(texts["row"].tolist(), texts["doc"].tolist())]
@@ -271,6 +275,7 @@ def without_repeats(docs_in_groups: DataFrame, info: DataFrame, prepare, size: i
         return _smallest_per_key(parts, int(texts["g"].iloc[0]))
 
     def cover(texts: pd.DataFrame, covered: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
         gone = rows_of(covered, "start", "n")
         ids: list[int | None] = []
         out = []

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm import repeats
+from sheaf.llm.common import hand_back
 from sheaf.llm.repeats import SIZE, UNBOUNDED, window_hashes, word_hashes
 
 # Bytes of text per block of the sketch, and counters per row of a block: about six for each window of usual text.
@@ -90,6 +91,7 @@ def partition_sketches(docs_in_groups: DataFrame, groups: int, blocks: int, size
                 if gathered >= GATHER:
                     yield flush()
                     held, gathered = [], 0
+            hand_back()
         if held:
             yield flush()
 
@@ -98,6 +100,7 @@ def partition_sketches(docs_in_groups: DataFrame, groups: int, blocks: int, size
 
 def merged(sketches: pd.DataFrame) -> pd.DataFrame:
     """Add up the sketches of one block; per group of documents, the fingerprints estimated to occur twice or more."""
+    hand_back()
     parts = [np.cumsum(unsqueezed(c), dtype=np.uint32) for c in sketches["cells"]]
     rows = []
     for r in range(DEPTH):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm import repeats
-from sheaf.llm.common import settle
+from sheaf.llm.common import hand_back, settle
 from sheaf.llm.repeats import SIZE, UNBOUNDED, window_hashes, word_hashes
 
 GRAM = 5
@@ -83,6 +83,7 @@ def sparse_suffixes(docs_in_groups: DataFrame, size: int) -> DataFrame:
                     ],
                     ["k1", "k2", "row", "pos", "doc", "g"],
                 )
+            hand_back()
 
     return docs_in_groups.select("g", "row", "doc", "text").mapInArrow(
         suffixes, "k1 bigint, k2 bigint, row bigint, pos int, doc bigint, g int"

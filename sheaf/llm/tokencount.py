@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import spare_name
+from sheaf.llm.common import hand_back, spare_name
 
 # The mark in front of a word, and how far below the lowest score an unknown character lies.
 WORD_MARK = "▁"
@@ -109,6 +109,9 @@ def count_tokens(docs: DataFrame, pieces: Sequence[tuple[str, float]], text_colu
         counter = UnigramCounter(vocabulary.value)
         for texts in batches:
             yield pd.DataFrame([counter(text or "") for text in texts], columns=["n_words", "n_tokens", "score"])
+            hand_back()
+        del counter
+        hand_back()
 
     counted = F.pandas_udf(count, "n_words bigint, n_tokens bigint, score double")
     name = spare_name(docs, "_counts")
