@@ -218,22 +218,21 @@ def _common_neighbours(
     middles = large.select("src", F.col("part").alias("_i"), points, every.alias("part"))
     lists = large.select("src", "parts", "part", list_of_a, every.alias("_i"))
     pairs = middles.join(lists, ["src", "_i", "part"]).select("src", "parts", "part", "of_a", "middle")
-    from_a = one_part.unionByName(pairs).select(
-        F.col("src").alias("a"), "parts", "part", "of_a", F.explode("middle").alias("edge")
-    )
-    own, theirs = F.col("parts"), F.col("edge.dst_parts")
     # part j of n meets, of m parts, j mod m if m <= n, and otherwise j, j + n, j + 2n, ...
-    times = F.greatest((theirs / own).cast("bigint"), F.lit(1))
-    met = F.when(theirs <= own, F.array(F.pmod(F.col("part"), theirs))).otherwise(
-        F.transform(numbers(times), lambda k: F.col("part") + k * own)
-    )
-    from_a = from_a.select(
-        "a",
-        F.col("edge.dst").alias("b"),
-        "of_a",
-        F.pmod(F.xxhash64("a"), slices(F.col("edge.dst_degree"))).alias("slice"),
-        F.explode(met).alias("part"),
-    )
+    own, part = F.col("parts"), F.col("part")
+
+    def targets(x: Column) -> Column:
+        theirs = x["dst_parts"]
+        times = F.greatest((theirs / own).cast("bigint"), F.lit(1))
+        met = F.when(theirs <= own, F.array(F.pmod(part, theirs))).otherwise(
+            F.transform(numbers(times), lambda k: part + k * own)
+        )
+        slice_of_a = F.pmod(F.xxhash64("src"), slices(x["dst_degree"]))
+        return F.transform(met, lambda j: F.struct(x["dst"].alias("b"), j.alias("part"), slice_of_a.alias("slice")))
+
+    # one explode, since each copies the list for every row it makes
+    to_b = F.explode(F.flatten(F.transform("middle", targets))).alias("to")
+    from_a = one_part.unionByName(pairs).select(F.col("src").alias("a"), "of_a", to_b).select("a", "of_a", "to.*")
     at_b = rows.select(
         F.col("src").alias("b"),
         "part",
