@@ -138,6 +138,96 @@ def stars(
     return of_tasks.unionByName(over_tasks.select("a", "a_tag", "b", "b_tag")).distinct()
 
 
+def near_pairs(
+    rows: DataFrame,
+    n_rows: int,
+    keys_per_row: int,
+    close: Callable[[np.ndarray, np.ndarray], np.ndarray],
+) -> DataFrame:
+    """``a, a_tag, b, b_tag, hub`` without repetition: pairs of rows that share a key, and have close tags.
+
+    ``rows`` has ``id`` and ``tag``, bigint and not NULL, and ``keys``, ``keys_per_row`` keys of 32 bits each; rows may be
+    repeated. Members of a key are compared with each other where they meet. Those of a key with more than ``SIFTED``
+    members, in a task or a bucket, are not: they are tied to its smallest member ``a`` however far their tags are, marked
+    by ``hub``, and pairs among them are left to the caller. Members take 20 bytes on their way to the buckets.
+    """
+    buckets = max(1, -(-n_rows * keys_per_row // BUCKET_MEMBERS))
+    gather = max(1, GATHER // keys_per_row)
+    schema = "key bigint, a bigint, a_tag bigint, b bigint, b_tag bigint, hub boolean"
+
+    def tie_own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= gather:
+                yield from tie(pd.concat(held, ignore_index=True))
+                held, size = [], 0
+                hand_back()
+        if size:
+            yield from tie(pd.concat(held, ignore_index=True))
+        hand_back()
+
+    def tie(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        batch = batch.drop_duplicates("id")
+        keys = np.frombuffer(b"".join(batch["keys"]), dtype="<u4").reshape(len(batch), -1).astype(np.uint64)
+        n = keys.shape[1]
+        bucket = mixed((keys + (np.arange(n, dtype=np.uint64) << np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)
+        keys = ((bucket << np.uint64(32)) | keys).view(np.int64)
+        key, member, tag, centre = _tied(keys.ravel(), np.repeat(batch["id"].to_numpy(), n), np.repeat(batch["tag"].to_numpy(), n))
+        crowded = _run_sizes(centre) > SIFTED
+        bound = crowded & (centre != np.arange(len(centre)))
+        pairs = _pairs(key[bound], member[bound], tag[bound], member[centre[bound]], tag[centre[bound]])
+        yield pairs.assign(bucket=pd.array([None], dtype="Int64")[0], crowded=None, members=None)
+        key, member, tag, crowded = (x[~bound] for x in (key, member, tag, crowded))
+        sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.view(np.int32).reshape(-1, 2)])
+        to = (key >> 32) * 2 + crowded
+        order = np.argsort(to, kind="stable")
+        to = to[order]
+        at = np.flatnonzero(np.append(True, np.diff(to) != 0))
+        packed = [part.tobytes() for part in np.split(sent[order], at[1:])]
+        none = pd.array([None] * len(at), dtype="Int64")
+        yield pd.DataFrame({"bucket": to[at] // 2, "crowded": to[at] % 2 == 1, "members": packed} | dict.fromkeys(("key", "a", "a_tag", "b", "b_tag"), none))
+
+    def tie_bucket(sent: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
+
+        def unpacked(parts: pd.Series) -> np.ndarray:
+            return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 5)
+
+        members = unpacked(sent["members"])
+        high = np.int64(sent["bucket"].iloc[0]) << 32
+        key = high | members[:, 0].view(np.uint32).astype(np.int64)
+        member, tag = (np.ascontiguousarray(members[:, k : k + 2]).view(np.int64).ravel() for k in (1, 3))
+        key, member, tag, _ = _tied(key, member, tag)
+        fresh = np.append(True, (key[1:] != key[:-1]) | (member[1:] != member[:-1]))
+        key, member, tag, centre = _tied(key[fresh], member[fresh], tag[fresh])
+        of_crowd = high | unpacked(sent.loc[sent["crowded"], "members"])[:, 0].astype(np.uint32).astype(np.int64)
+        crowd = (_run_sizes(centre) > SIFTED) | np.isin(key, of_crowd)
+        out = [_pairs(key[crowd], member[crowd], tag[crowd], member[centre[crowd]], tag[centre[crowd]]).assign(hub=True)]
+        at = np.flatnonzero(~crowd)
+        for step in range(1, SIFTED):
+            at = at[at + step < len(centre)]
+            at = at[centre[at + step] == centre[at]]
+            if not len(at):
+                break
+            x = at[close(tag[at], tag[at + step])]
+            out.append(_pairs(key[x], member[x + step], tag[x + step], member[x], tag[x]).assign(hub=False))
+        return pd.concat(out, ignore_index=True)
+
+    local = rows.mapInPandas(tie_own, _LOCAL)
+    over_tasks = settle(
+        local.where("bucket IS NOT NULL").select("bucket", "crowded", "members").groupBy("bucket").applyInPandas(tie_bucket, schema)
+    )
+    moved = over_tasks.where("hub").select("key", F.col("b").alias("a"), F.struct("a", "a_tag").alias("_centre")).distinct()
+    of_tasks = local.where("bucket IS NULL").select("key", "a", "a_tag", "b", "b_tag").join(moved, ["key", "a"], "left")
+    of_tasks = of_tasks.select(
+        F.coalesce("_centre.a", "a").alias("a"), F.coalesce("_centre.a_tag", "a_tag").alias("a_tag"), "b", "b_tag", F.lit(True).alias("hub")
+    )
+    # a member may be a task's centre in one place and tied to itself as the key's centre in another
+    return of_tasks.unionByName(over_tasks.select("a", "a_tag", "b", "b_tag", "hub")).where("a <> b").distinct()
+
+
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links of one task as a forest of stars: every vertex with the smallest one it is tied to here."""
     parts = [batch for batch in batches if len(batch)]
