@@ -172,7 +172,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """``a, b``: links between classes, enough of them to connect all that links connect.
 
     Every document is compared with the centres of its keys. In the groups where that leaves documents unlinked, these
-    are compared with all others of the group, in blocks of bounded size.
+    are compared with all others of the group that are near in size, in blocks of bounded size.
     """
     pairs = settle(_centres(classes))
     fit = pairs.where(100 * F.least("a_tag", "b_tag") >= percent * F.greatest("a_tag", "b_tag")).select("a", "b")
@@ -205,21 +205,30 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     to_centre = settle(
         near.join(b_sets, "b").join(a_sets, "a").where(linked("shingles_a", "shingles_b")).select("a", "b")
     )
-    return to_centre.unionByName(_other_links(docs, classes, fit, to_centre, percent))
+    return to_centre.unionByName(_other_links(docs, classes, pairs.select("a", "b", "b_tag"), to_centre, percent))
 
 
 def _other_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, to_centre: DataFrame, percent: int) -> DataFrame:
-    """Links between members of a group of which at least one is not linked to the centre."""
+    """Links between members of a group of which at least one is not linked to the centre.
+
+    ``pairs`` are all members ``b`` of a group ``a`` with their sizes, also those whose size rules out a link to the centre:
+    they may link with each other. Members are compared by size bands, so that sets of far sizes do not meet.
+    """
     marked = pairs.join(to_centre.withColumn("_in", F.lit(True)), ["a", "b"], "left")
-    marked = marked.select("a", F.col("b").alias("id"), F.coalesce("_in", F.lit(False)).alias("held"))
-    counts = marked.groupBy("a").agg(
+    marked = marked.select("a", F.col("b").alias("id"), F.col("b_tag").alias("size"), F.coalesce("_in", F.lit(False)).alias("held"))
+    # sets that link have sizes of the same band or of two neighbouring ones; a member is in its own band and the next
+    step = F.log(F.lit(100.0 / max(percent, 1))) + 1e-9 if percent < 100 else F.lit(1e-9)
+    band = F.floor(F.log(F.col("size").cast("double")) / step).cast("bigint")
+    marked = marked.withColumn("own", band).withColumn("band", F.explode(F.array(F.col("own"), F.col("own") + 1)))
+    counts = marked.groupBy("a", "band").agg(
         F.count(F.when(~F.col("held"), 1)).alias("loose"), F.count(F.when(F.col("held"), 1)).alias("tied")
     )
     todo = counts.where("loose > 0 AND loose + tied > 1")
     chunks = lambda n: F.ceil(F.col(n) / float(BLOCK)).cast("bigint")
     rows = settle(
-        marked.join(todo, "a").select(
+        marked.join(todo, ["a", "band"]).select(
             "a",
+            "band",
             "id",
             "held",
             F.pmod(F.xxhash64("id"), F.greatest(F.when(F.col("held"), chunks("tied")).otherwise(chunks("loose")), F.lit(1))).alias("chunk"),
@@ -260,9 +269,9 @@ def _other_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, to_centr
 
     return (
         rows.withColumn("task", F.explode(tasks))
-        .select("a", "id", "held", "chunk", "task.*")
+        .select("a", "band", "id", "held", "chunk", "task.*")
         .join(sets, "id")
-        .groupBy("a", "to_tied", "i", "j")
+        .groupBy("a", "band", "to_tied", "i", "j")
         .applyInPandas(compare, "a bigint, b bigint")
     )
 
