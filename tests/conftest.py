@@ -39,7 +39,3 @@ def lines(frame):
         return frame([(text,) for text in texts], "value string", partitions)
 
     return make
-
-
-def rows(df):
-    return sorted((tuple(row) for row in df.collect()), key=lambda row: tuple(str(v) for v in row))

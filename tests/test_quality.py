@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sheaf.operators import quality
 

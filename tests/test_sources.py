@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from sheaf.functions.numbers import to_double
 from sheaf.functions.text import field, split_fields, token_count

@@ -2,7 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
