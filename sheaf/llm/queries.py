@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import langid, lattice, linededup, mixing, nearjoin, packing, quality, substring, suffix, tokencount
+from sheaf.llm import (
+    alignment,
+    decontam,
+    langid,
+    lattice,
+    linededup,
+    mixing,
+    nearjoin,
+    packing,
+    quality,
+    resampling,
+    substring,
+    suffix,
+    tokencount,
+)
 from sheaf.llm.common import documents, word_count
 
 
@@ -96,6 +110,35 @@ def op10_substring(spark: SparkSession, folder: str) -> DataFrame:
     return _digest(substring.substring_dedup(documents(spark, folder).select("doc_id", "text")))
 
 
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontam.covered_words(documents(spark, folder).select("doc_id", "text"), benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontam.hit_words().alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hit_starts") > 0).alias("contaminated"),
+    )
+
+
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    drawn = resampling.resample(docs, spark.read.parquet(f"{folder}/benchmark.parquet").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    aligned = alignment.align(documents(spark, folder).select("doc_id", "text"), a, b)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    aligned = aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "links")
+    return alignment.weigh_links(aligned, alignment.piece_count(b)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_lines": op2_lines,
@@ -107,6 +150,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_substring": op10_substring,
+    "op11_decontamination": op11_decontamination,
+    "op12_resampling": op12_resampling,
+    "op13_alignment": op13_alignment,
 }
 
 SQL_WORDS = r"""list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
@@ -180,10 +226,54 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   SELECT *, array_to_string(list_filter([{', '.join(broken)}], lambda x: x IS NOT NULL), ',') AS failed_rules FROM ratios)"""
 
 
+SQL_TERMS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+# Windows of ten words of an item, or a shorter one whole; the words that they cover in documents.
+SQL_COVERED = f"""WITH t AS (SELECT doc_id, {SQL_TERMS} AS w FROM documents),
+items AS (SELECT DISTINCT item_id, {SQL_TERMS} AS w FROM benchmark),
+strings AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS k, least(len(w), 10) AS n
+  FROM items, unnest(range(1, greatest(len(w) - 8, 2))) AS r(i) WHERE len(w) > 0),
+windows AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM t, (SELECT DISTINCT n FROM strings), unnest(range(1, len(w) - n + 2)) AS r(i)),
+found AS (SELECT doc_id, i, n, item_id FROM windows JOIN strings USING (k, n)),
+hit AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM found, unnest(range(0, n)) AS s(o) GROUP BY 1),
+own AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS l FROM found GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(l), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
+FROM t LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
+# CRC-32 goes byte by byte over the hexadecimal form of each distinct feature.
+SQL_DRAWN = f"""WITH t AS (SELECT doc_id, {SQL_TERMS} AS w FROM documents),
+b AS (SELECT {SQL_TERMS} AS w FROM benchmark),
+f AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS x FROM t),
+g AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS x FROM b),
+crc AS (SELECT list_transform(range(0, 256), lambda v: list_reduce(range(0, 8),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END, v)) AS e),
+hexed AS (SELECT x, hex(encode(x)) AS h FROM (SELECT x FROM f UNION SELECT x FROM g)),
+hashed AS (SELECT x, xor(list_reduce(list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+  lambda c, v: xor(c >> 8, e[(xor(c, v) & 255) + 1]), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 10000 AS bucket FROM hexed, crc),
+s AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS s FROM f JOIN hashed USING (x) GROUP BY 1),
+u AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS u FROM g JOIN hashed USING (x) GROUP BY 1),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(u, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)
+  / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(u), 0) FROM u) + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT DISTINCT bucket FROM hashed) LEFT JOIN s USING (bucket) LEFT JOIN u USING (bucket)),
+weights AS (SELECT doc_id, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM f JOIN hashed USING (x) JOIN gains USING (bucket) GROUP BY 1),
+scored AS (SELECT doc_id, len(w) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5)
+  / 4294967296))) AS BIGINT) AS score FROM t LEFT JOIN weights USING (doc_id)),
+drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT scored.doc_id, n_features, weight, score, CAST(rank AS BIGINT) AS rank
+FROM scored LEFT JOIN drawn ON drawn.doc_id = scored.doc_id AND rank <= 25 * n // 100"""
+
+
 SQL: dict[str, str] = {
     "op5_lattice": SQL_VECTORS,
     "op6_suffix_array": SQL_REPEATS,
     "op7_minhash": SQL_NEAR,
     "op9_quality": sql_quality(),
     "op10_substring": SQL_REPEATS,
+    "op11_decontamination": SQL_COVERED,
+    "op12_resampling": SQL_DRAWN,
 }
