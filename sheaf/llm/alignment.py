@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from itertools import accumulate, islice
 from pathlib import Path
 
 import numpy as np
@@ -29,10 +30,16 @@ from sheaf.llm.common import hand_back, settle, spare_name
 
 # Longer texts, in characters, are tokenized in parts of about half of it.
 LONG = 200_000
+# Characters of text that are aligned and handed on together.
+TOGETHER = 1_000_000
 # Bytes of links in a block, unless one document has more.
 BLOCK_BYTES = 4_000_000
 # Where both tokenizers cut: before a single space between two characters that are none.
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+_OPEN = re.compile(r"^[\s▁]|[\s▁]\Z")
+_NO_CUT = re.compile(r" [\s▁]|[\s▁] ")
+# Parts that a task remembers; when there are more, it forgets the older half, which changes no result.
+MEMO = 400_000
 
 
 def _byte_characters() -> dict[str, int]:
@@ -54,6 +61,18 @@ def parts_of(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def words_of(text: str) -> list[str]:
+    """A text that is not empty cut at all such places, without the spaces there."""
+    if text[0] in " \n" or text[-1] == " " or _NO_CUT.search(text):
+        return _CUT.split(text)
+    return text.split(" ")
+
+
+def link_type(a_size: int, b_size: int) -> np.dtype:
+    """Unsigned little-endian numbers that hold a pair of ids."""
+    return np.dtype("<u4" if a_size * b_size <= 2**32 else "<u8")
+
+
 class ByteTokens:
     """Byte-level BPE of a ``tokenizers`` file; strings of special tokens are plain text."""
 
@@ -111,27 +130,71 @@ def piece_count(piece_model: str) -> int:
 
 
 class Aligner:
-    """Groups and links of texts for two tokenizers, each with ``ids``, ``bytes`` of its tokens and ``size``."""
+    """Groups and links of texts for two tokenizers, each with ``ids``, ``bytes`` of its tokens and ``size``.
+
+    A text is cut wherever no token crosses, mostly between words; groups and links of such parts are remembered, and
+    those of a text are put together from its parts.
+    """
 
     def __init__(self, a, b):
         self.a, self.b = a, b
         self.a_lengths, self.b_lengths = [len(t) for t in a.bytes], [len(t) for t in b.bytes]
+        self.code = link_type(a.size, b.size)
+        # part to numbers of tokens and groups, groups and links; None where its bytes are not given back
+        self.memo: dict[str, tuple[int, int, int, str, bytes] | None] = {}
 
     def __call__(self, texts: Sequence[str | None]) -> list[tuple[int, int, int, int, str, bytes]]:
         """``(n_a, n_b, n_groups, n_links, groups, links)`` of each text."""
-        given = [text for text in texts if text]
-        found = iter(zip(given, self.a.ids(given), self.b.ids(given)))
-        return [self.aligned(*next(found)) if text else _NONE for text in texts]
-
-    def aligned(self, text: str, a: Sequence[int], b: Sequence[int]) -> tuple[int, int, int, int, str, bytes]:
+        parts = [words_of(text) if text else [] for text in texts]
+        if len(self.memo) > MEMO:  # the older half goes
+            self.memo = dict(islice(self.memo.items(), len(self.memo) - MEMO // 2, None))
+        self.learn(list({part for own in parts for part in own}.difference(self.memo)))
+        return [self.joined(text, own) if own else _NONE for text, own in zip(texts, parts)]
+
+    def joined(self, text: str, parts: list[str]) -> tuple[int, int, int, int, str, bytes]:
+        known = list(map(self.memo.__getitem__, parts))
+        if None in known:
+            found = self.aligned([text])
+            known = [found[0]] if found else []
+        if not known:
+            return _NONE
+        n_a, n_b, n_groups, groups, links = zip(*known)
+        links = b"".join(links)
+        return sum(n_a), sum(n_b), sum(n_groups), len(links) // self.code.itemsize, ";".join(groups), links
+
+    def learn(self, parts: list[str]) -> None:
+        """Align parts, many in one text; one by one where that does not give back its bytes or has no cut."""
+        some, size = [], 0
+        for part in parts:
+            if _OPEN.search(part):
+                self.memo[part] = (self.aligned([part]) or [None])[0]
+                continue
+            some.append(part)
+            size += len(part) + 1
+            if size > 20_000:
+                self._learn_together(some)
+                some, size = [], 0
+        if some:
+            self._learn_together(some)
+
+    def _learn_together(self, parts: list[str]) -> None:
+        found = self.aligned(parts) or [(self.aligned([part]) or [None])[0] for part in parts]
+        self.memo.update(zip(parts, found, strict=True))
+
+    def aligned(self, parts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
+        """``(n_a, n_b, n_groups, groups, links)`` of each part of a text, nothing if its bytes are not given back."""
+        text = " ".join(parts)
+        (a,), (b,) = self.a.ids([text]), self.b.ids([text])
         whole = b" " + text.encode("utf-8", "replace")
         if b"".join(map(self.b.bytes.__getitem__, b)) != whole or b"".join(map(self.a.bytes.__getitem__, a)) != whole:
-            return _NONE
+            return []
         a_ends, b_ends = list(accumulate(map(self.a_lengths.__getitem__, a))), list(accumulate(map(self.b_lengths.__getitem__, b)))
         a_at, b_at = dict(zip(a_ends, range(1, len(a) + 1))), dict(zip(b_ends, range(1, len(b) + 1)))
-        size = self.b.size
-        groups, links = [], []
-        i = j = 0
+        part_ends = iter(accumulate(len(part.encode("utf-8", "replace")) + 1 for part in parts))
+        size, code = self.b.size, "I" if self.code.itemsize == 4 else "Q"
+        found, groups, links = [], [], []
+        i = j = first_a = first_b = 0
+        part_end = next(part_ends)
         for end in sorted(a_at.keys() & b_at.keys()):
             x, y = a_at[end], b_at[end]
             if x == i + 1 and y == j + 1:
@@ -145,7 +208,10 @@ class Aligner:
                     i += p <= q
                     j += q <= p
             i, j = x, y
-        return len(a), len(b), len(groups), len(links), ";".join(groups), np.array(links, dtype="<u8").tobytes()
+            if end == part_end:
+                found.append((i - first_a, j - first_b, len(groups), ";".join(groups), array(code, links).tobytes()))
+                groups, links, first_a, first_b, part_end = [], [], i, j, next(part_ends, -1)
+        return found
 
 
 _NONE = (0, 0, 0, 0, "", b"")
@@ -157,8 +223,8 @@ def align(docs: DataFrame, byte_tokenizer: str, piece_model: str) -> DataFrame:
 
     ``docs`` has ``text``. Tokens ``a`` are those of the byte-level BPE for the text with a space in front, tokens ``b``
     those of the piece model, which adds the space. ``groups`` lists the ids between ends that both have, as in
-    ``a1,a2|b1;a3|b2,b3``. ``links`` are the pairs of tokens whose bytes overlap, in their order: unsigned little-endian
-    64-bit numbers ``a * size + b`` with the size of the piece vocabulary.
+    ``a1,a2|b1;a3|b2,b3``. ``links`` are the pairs of tokens whose bytes overlap, in their order: numbers ``a * size + b``
+    of :func:`link_type`, with the size of the piece vocabulary.
 
     NULL and empty texts, and those that either tokenizer does not give back byte by byte, have no tokens: zeros, no
     groups and no links. Long texts are tokenized in parts cut where no token crosses. Rows alike get alike results. The
@@ -170,16 +236,15 @@ def align(docs: DataFrame, byte_tokenizer: str, piece_model: str) -> DataFrame:
     def aligned(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         aligner = Aligner(ByteTokens(definition.value), PieceTokens(model.value))
         for texts in batches:
-            rows, held, size = [], [], 0
+            held, size = [], 0
             for text in texts:
                 held.append(text)
                 size += len(text or "")
-                if size > LONG:
-                    rows += aligner(held)
+                if size > TOGETHER:
+                    yield pd.DataFrame(aligner(held), columns=_ADDED)
                     held, size = [], 0
-            rows += aligner(held)
-            yield pd.DataFrame(rows, columns=_ADDED)
-            del rows, held
+            yield pd.DataFrame(aligner(held), columns=_ADDED)
+            del texts, held
             hand_back()
         del aligner
         hand_back()
@@ -210,22 +275,26 @@ def _in_blocks(links: str, block: str):
     return number
 
 
+def _codes(links: bytes | None, n: int) -> np.ndarray:
+    return np.frombuffer(links or b"", dtype="<u4" if n and len(links) == 4 * n else "<u8")
+
+
 def _pair_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """``block, pair, n``: in how many rows of a block a pair is linked; the rows of a block come one after the other."""
-    block, held, size = None, [], 0
+    block, held = None, []
 
     def counted() -> pd.DataFrame:
         pairs, n = np.unique(np.concatenate(held), return_counts=True)
         return pd.DataFrame({"block": block, "pair": pairs.astype(np.int64), "n": n})
 
     for batch in batches:
-        for own, links in zip(batch["block"].tolist(), batch["links"]):
+        for own, links, n in zip(batch["block"].tolist(), batch["links"], batch["n_links"].tolist()):
             if own != block and held:
                 yield counted()
                 held = []
             block = own
             if links:
-                held.append(np.unique(np.frombuffer(links, dtype="<u8")))
+                held.append(np.unique(_codes(links, n)))
         hand_back()
     if held:
         yield counted()
@@ -245,7 +314,7 @@ def weigh_links(aligned: DataFrame, piece_size: int) -> DataFrame:
     # written once: a block is what one task had, so it must not be put together again
     with_block = StructType([*rows.schema.fields, StructField(block, LongType())])
     rows = settle(rows.mapInArrow(_in_blocks(links, block), with_block))
-    own_pairs = rows.select(F.col(block).alias("block"), F.col(links).alias("links"))
+    own_pairs = rows.select(F.col(block).alias("block"), F.col(links).alias("links"), "n_links")
     sent = settle(own_pairs.mapInPandas(_pair_counts, "block bigint, pair bigint, n bigint"))
     counts = sent.groupBy("pair").agg(F.sum("n").alias("count"))
     a_id = F.expr(f"pair DIV {int(piece_size)}")
@@ -259,8 +328,8 @@ def weigh_links(aligned: DataFrame, piece_size: int) -> DataFrame:
         order = np.argsort(pairs)
         pairs, n, is_best = pairs[order], n[order], is_best[order]
         n_best, sums = [], []
-        for packed in own.column(links).to_pylist():
-            at = np.searchsorted(pairs, np.frombuffer(packed or b"", dtype="<u8").astype(np.int64))
+        for packed, n_links in zip(own.column(links).to_pylist(), own.column("n_links").to_pylist()):
+            at = np.searchsorted(pairs, _codes(packed, n_links).astype(np.int64))
             n_best.append(int(is_best[at].sum()))
             sums.append(int(n[at].sum()))
         hand_back()

@@ -106,7 +106,7 @@ def test_groups_links_and_counts_against_all_token_pairs(docs, pair, encoders, m
 
 def test_links_are_in_order_and_name_their_ids(docs, pair, encoders):
     (row,) = alignment.align(docs([(1, "naïve words")]), pair[0], pair[1]).collect()
-    links = [divmod(n, pair[2]) for n in struct.unpack(f"<{row.n_links}Q", row.links)]
+    links = [divmod(n, pair[2]) for n in struct.unpack(f"<{row.n_links}I", row.links)]
     x, y = (spans(encode("naïve words")) for encode in encoders)
     assert links == [(i, j) for i, s, e in x for j, t, f in y if s < f and t < e]
 
@@ -122,6 +122,18 @@ def test_long_texts_in_parts_have_the_tokens_of_the_whole(pair, encoders, monkey
     assert b.ids(texts) == [[i for i, _ in encoders[1](t)] for t in texts]
 
 
+def test_remembered_parts_change_nothing(pair, encoders, monkeypatch):
+    texts = [t for seed in range(3) for t in inputs(seed)]
+    expected = [row[:5] for row in brute(texts, encoders)]
+    a = alignment.ByteTokens(open(pair[0]).read())
+    b = alignment.PieceTokens(open(pair[1], "rb").read())
+    for memo in (400_000, 20, 0):
+        monkeypatch.setattr(alignment, "MEMO", memo)
+        aligner = alignment.Aligner(a, b)
+        found = [row for at in range(0, len(texts), 7) for row in aligner(texts[at : at + 7])]
+        assert [row[:5] for row in found] == expected
+
+
 def test_no_piece_crosses_a_cut(pair):
     b = alignment.PieceTokens(open(pair[1], "rb").read())
     a = alignment.ByteTokens(open(pair[0]).read())
