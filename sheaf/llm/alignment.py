@@ -10,8 +10,10 @@ a pair common to all documents costs grows with the blocks, and gets back the co
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from itertools import accumulate, islice
@@ -20,7 +22,6 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +33,11 @@ from sheaf.llm.common import hand_back, settle, spare_name
 LONG = 200_000
 # Characters of text that are aligned and handed on together.
 TOGETHER = 1_000_000
-# Bytes of links in a block, unless one document has more.
-BLOCK_BYTES = 4_000_000
+# Bytes of packed links in a block, unless one document has more.
+BLOCK_BYTES = 2_000_000
 # Where both tokenizers cut: before a single space between two characters that are none.
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
-_OPEN = re.compile(r"^[\s▁]|[\s▁]\Z")
+_BLANK = re.compile(r"[\s▁]").match
 _NO_CUT = re.compile(r" [\s▁]|[\s▁] ")
 # Parts that a task remembers; when there are more, it forgets the older half, which changes no result.
 MEMO = 400_000
@@ -74,7 +75,14 @@ def link_type(a_size: int, b_size: int) -> np.dtype:
 
 
 class ByteTokens:
-    """Byte-level BPE of a ``tokenizers`` file; strings of special tokens are plain text."""
+    """Byte-level BPE of a ``tokenizers`` file; strings of special tokens are plain text.
+
+    Files of the plain form, with merges in the order of their ids and text cut by ``PATTERN``, are encoded by the same
+    ranks in ``tiktoken``, which takes a third of the time. The tests hold both against each other.
+    """
+
+    # Fixed value: how byte-level BPE of this family cuts text.
+    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given the cores to tasks
@@ -88,6 +96,22 @@ class ByteTokens:
         self.bytes = [b""] * self.size
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(known[c] for c in token) if all(c in known for c in token) else token.encode()
+        self.ranks = self._ranks(json.loads(definition))
+
+    def _ranks(self, definition: dict):
+        """The encoding by ranks, None if the file has another form."""
+        import tiktoken
+
+        model, cut = definition["model"], definition.get("pre_tokenizer") or {}
+        plain = model.get("type") == "BPE" and not model.get("dropout") and not definition.get("normalizer")
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        order = [model["vocab"].get(a + b, -1) for a, b in merges] if plain else []
+        if not plain or cut.get("type") != "ByteLevel" or not cut.get("use_regex", True) or cut.get("add_prefix_space"):
+            return None
+        if order != sorted(order) or order[:1] != [256] or len(set(order)) != len(order):
+            return None
+        ranks = {self.bytes[i]: i for i in (*range(256), *order)}
+        return tiktoken.Encoding("ranks", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, texts: Sequence[str]) -> list[list[int]]:
         """Ids of each text with a space in front."""
@@ -96,8 +120,11 @@ class ByteTokens:
             own = list(parts_of(" " + text))
             parts += own
             counts.append(len(own))
-        found = iter(self.tokenizer.encode_batch_fast(parts, add_special_tokens=False))
-        return [next(found).ids if n == 1 else [i for _ in range(n) for i in next(found).ids] for n in counts]
+        if self.ranks:
+            found = map(self.ranks.encode_ordinary, parts)
+        else:
+            found = (e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False))
+        return [next(found) if n == 1 else [i for _ in range(n) for i in next(found)] for n in counts]
 
 
 class PieceTokens:
@@ -166,7 +193,7 @@ class Aligner:
         """Align parts, many in one text; one by one where that does not give back its bytes or has no cut."""
         some, size = [], 0
         for part in parts:
-            if _OPEN.search(part):
+            if _BLANK(part[0]) or _BLANK(part[-1]):
                 self.memo[part] = (self.aligned([part]) or [None])[0]
                 continue
             some.append(part)
@@ -263,20 +290,36 @@ def _in_blocks(links: str, block: str):
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, current, size = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            numbers = np.empty(batch.num_rows, dtype=np.int64)
-            for at, own in enumerate(pc.binary_length(batch.column(links)).fill_null(0).to_pylist()):
-                if size and size + own > BLOCK_BYTES:
+            numbers, all_packed = np.empty(batch.num_rows, dtype=np.int64), []
+            place = batch.schema.get_field_index(links)
+            for at, (own, n) in enumerate(zip(batch.column(place).to_pylist(), batch.column("n_links").to_pylist())):
+                packed = packed_pairs(own or b"", n)
+                if size and size + len(packed) > BLOCK_BYTES:
                     current, size = current + 1, 0
-                size += own + 64
+                size += len(packed) + 64
                 numbers[at] = current
+                all_packed.append(packed)
+            batch = batch.set_column(place, batch.schema.field(place), pa.array(all_packed, pa.binary()))
             yield batch.append_column(block, pa.array((task << 32) + numbers))
             hand_back()
 
     return number
 
 
-def _codes(links: bytes | None, n: int) -> np.ndarray:
-    return np.frombuffer(links or b"", dtype="<u4" if n and len(links) == 4 * n else "<u8")
+def packed_pairs(links: bytes, n: int) -> bytes:
+    """The pairs of a row in order, as compressed differences, a plane for each of their bytes."""
+    if not links:
+        return b""
+    code = np.dtype("<u4" if len(links) == 4 * n else "<u8")
+    steps = np.diff(np.sort(np.frombuffer(links, dtype=code)), prepend=code.type(0))
+    return bytes([code.itemsize]) + zlib.compress(steps.view(np.uint8).reshape(-1, code.itemsize).T.tobytes(), 1)
+
+
+def pairs_of(packed: bytes | None) -> np.ndarray:
+    if not packed:
+        return np.zeros(0, dtype=np.int64)
+    planes = np.frombuffer(zlib.decompress(packed[1:]), dtype=np.uint8).reshape(packed[0], -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(f"<u{packed[0]}").ravel().astype(np.int64))
 
 
 def _pair_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -288,13 +331,13 @@ def _pair_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pd.DataFrame({"block": block, "pair": pairs.astype(np.int64), "n": n})
 
     for batch in batches:
-        for own, links, n in zip(batch["block"].tolist(), batch["links"], batch["n_links"].tolist()):
+        for own, links in zip(batch["block"].tolist(), batch["links"]):
             if own != block and held:
                 yield counted()
                 held = []
             block = own
             if links:
-                held.append(np.unique(_codes(links, n)))
+                held.append(np.unique(pairs_of(links)))
         hand_back()
     if held:
         yield counted()
@@ -314,7 +357,7 @@ def weigh_links(aligned: DataFrame, piece_size: int) -> DataFrame:
     # written once: a block is what one task had, so it must not be put together again
     with_block = StructType([*rows.schema.fields, StructField(block, LongType())])
     rows = settle(rows.mapInArrow(_in_blocks(links, block), with_block))
-    own_pairs = rows.select(F.col(block).alias("block"), F.col(links).alias("links"), "n_links")
+    own_pairs = rows.select(F.col(block).alias("block"), F.col(links).alias("links"))
     sent = settle(own_pairs.mapInPandas(_pair_counts, "block bigint, pair bigint, n bigint"))
     counts = sent.groupBy("pair").agg(F.sum("n").alias("count"))
     a_id = F.expr(f"pair DIV {int(piece_size)}")
@@ -328,8 +371,8 @@ def weigh_links(aligned: DataFrame, piece_size: int) -> DataFrame:
         order = np.argsort(pairs)
         pairs, n, is_best = pairs[order], n[order], is_best[order]
         n_best, sums = [], []
-        for packed, n_links in zip(own.column(links).to_pylist(), own.column("n_links").to_pylist()):
-            at = np.searchsorted(pairs, _codes(packed, n_links).astype(np.int64))
+        for packed in own.column(links).to_pylist():
+            at = np.searchsorted(pairs, pairs_of(packed))
             n_best.append(int(is_best[at].sum()))
             sums.append(int(n[at].sum()))
         hand_back()

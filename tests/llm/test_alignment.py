@@ -2,6 +2,7 @@ import random
 import struct
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from sheaf.llm import alignment
@@ -94,7 +95,7 @@ def result(docs, pair, rows, extra=""):
     return alignment.weigh_links(aligned, pair[2])
 
 
-@pytest.mark.parametrize("block_bytes", [4_000_000, 900])
+@pytest.mark.parametrize("block_bytes", [2_000_000, 300])
 def test_groups_links_and_counts_against_all_token_pairs(docs, pair, encoders, monkeypatch, block_bytes):
     monkeypatch.setattr(alignment, "BLOCK_BYTES", block_bytes)
     texts = inputs()
@@ -122,6 +123,22 @@ def test_long_texts_in_parts_have_the_tokens_of_the_whole(pair, encoders, monkey
     assert b.ids(texts) == [[i for i, _ in encoders[1](t)] for t in texts]
 
 
+def test_both_ways_to_encode_give_the_same_ids(pair):
+    texts = [t for seed in range(3) for t in inputs(seed) if t] + ["it's I'LL we'd  x\u00a0 \u00a0y\u2028 z\n\n q", "1²٣ _a_"]
+    a = alignment.ByteTokens(open(pair[0]).read())
+    by_ranks = a.ids(texts)
+    assert a.ranks is not None
+    a.ranks = None
+    assert a.ids(texts) == by_ranks
+
+
+def test_packed_pairs_come_back_in_order():
+    for code in ("<u4", "<u8"):
+        links = np.array([7, 2**31, 7, 0, 3], dtype=code)
+        assert alignment.pairs_of(alignment.packed_pairs(links.tobytes(), 5)).tolist() == [0, 3, 7, 7, 2**31]
+    assert len(alignment.pairs_of(alignment.packed_pairs(b"", 0))) == len(alignment.pairs_of(None)) == 0
+
+
 def test_remembered_parts_change_nothing(pair, encoders, monkeypatch):
     texts = [t for seed in range(3) for t in inputs(seed)]
     expected = [row[:5] for row in brute(texts, encoders)]
