@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions import bucket, numbers, text
-from sheaf.operators import folds, graph, joins, keyed, quality, words
+from sheaf.operators import folds, graph, joins, keyed, products, quality, words
 from sheaf.plans import tables as t
 from sheaf.sources import lines as src
 from sheaf.sources import sinks
@@ -573,6 +573,28 @@ def column_product(spark: SparkSession, folder: str) -> DataFrame:
     return folds.product(t.table(spark, folder, "lineitem"), "l_linenumber", ["l_orderkey"])
 
 
+# A product of any size in SQL: factors are added to themselves as often as the next one says.
+SQL_TIMES = "lambda x, y: list_reduce(list_transform(range(0, CAST(y AS BIGINT)), lambda i: x), lambda u, v: u + v)"
+
+
+@query(
+    f"""SELECT l_linestatus, CAST(list_reduce(list(CAST(l_linenumber AS BIGNUM)), {SQL_TIMES}) AS VARCHAR) AS product
+FROM lineitem GROUP BY 1"""
+)
+def exact_product(spark: SparkSession, folder: str) -> DataFrame:
+    """Two keys that hold all rows; the products have tens of thousands of digits."""
+    return products.exact_product(t.table(spark, folder, "lineitem"), "l_linenumber", ["l_linestatus"])
+
+
+@query(
+    f"""SELECT n, CAST(n * (n + 1) // 2 AS DECIMAL(38,0)) AS total,
+  CAST(list_reduce(list_transform(range(1, n + 1), lambda i: CAST(i AS BIGNUM)), {SQL_TIMES}) AS VARCHAR) AS product
+FROM (SELECT DISTINCT CAST(p_size AS BIGINT) AS n FROM part)"""
+)
+def sums_and_products_up_to(spark: SparkSession, folder: str) -> DataFrame:
+    return products.sums_and_products_up_to(t.table(spark, folder, "part"), "p_size")
+
+
 @query("SELECT l_returnflag, round(sum(ln(l_quantity)), 6) AS log_total FROM lineitem GROUP BY 1")
 def log_total(spark: SparkSession, folder: str) -> DataFrame:
     logs = folds.log_total(t.table(spark, folder, "lineitem"), "l_quantity", ["l_returnflag"])
