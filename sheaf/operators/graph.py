@@ -1,22 +1,28 @@
 """Edge lists ``(src, dst)``: clean-up, paths of length two and triangles.
 
-Paths of length two outnumber the edges by far once a few vertices have many neighbours. Triangles are therefore
-found without listing paths: every edge points from the end with fewer neighbours to the end with more, which
-leaves at most sqrt(2 * edges) outgoing edges at any vertex, and the triangles over an edge are the common
-outgoing neighbours of its two ends.
+Paths of length two outnumber the edges by far once a few vertices have many neighbours. Triangles are therefore found
+without shuffling paths or lists of neighbours. Vertices have colours, given by a hash, and an edge is sent once for each
+colour that the third vertex of a triangle can have. The edges among three colours meet in one task, which keeps them as
+sorted arrays and looks triangles up in place: there, edges point from the end with fewer neighbours to the end with more,
+which leaves at most sqrt(2 * edges) outgoing ones at any vertex.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.operators.skew import SLICE_ROWS, balanced_join, hot_keys
 
-# Incoming edges per task and vertex beyond which a vertex is split over several tasks.
-EDGES_PER_SLICE = 50_000
-# Neighbours of a vertex that one row holds, about; the neighbours of a vertex with more are cut into several rows.
-NEIGHBOURS_PER_ROW = 1_000
+# Edges among three colours, about, that a task looks at; the number of colours follows from it. Edges are sent once per
+# colour, so on large data raise it to what a task can hold, at some 100 bytes an edge.
+EDGES_PER_TASK = 1_000_000
+# Pairs of neighbours that a task looks up at a time.
+PAIRS = 2_000_000
 
 
 def drop_self_edges(edges: DataFrame) -> DataFrame:
@@ -116,29 +122,28 @@ def oriented_edges(edges: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     )
 
 
-def triangles(
-    edges: DataFrame,
-    slice_rows: int = SLICE_ROWS,
-    edges_per_slice: int = EDGES_PER_SLICE,
-    neighbours_per_row: int = NEIGHBOURS_PER_ROW,
-) -> DataFrame:
+def triangles(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
     """Every triangle of the undirected graph once, as ``(a, b, c)``."""
-    found = _common_neighbours(edges, slice_rows, edges_per_slice, neighbours_per_row)
-    return found.select("a", "b", F.explode("thirds").alias("c"))
+    coloured = _edges_by_colours(edges, edges_per_task)
+    kind = edges.select(F.least("src", "dst").alias("v")).schema["v"].dataType.simpleString()
+
+    def list_triangles(found: pd.DataFrame) -> pd.DataFrame:
+        vertices, parts = _triangles_of(found)
+        corners = np.concatenate([np.stack(p) for p in parts], axis=1) if parts else np.zeros((3, 0), dtype=np.int64)
+        return pd.DataFrame(dict(zip("abc", (vertices[c] for c in corners))))
 
+    return coloured.groupBy("x", "y", "z").applyInPandas(list_triangles, f"a {kind}, b {kind}, c {kind}")
 
-def count_triangles(
-    edges: DataFrame,
-    name: str = "triangles",
-    slice_rows: int = SLICE_ROWS,
-    edges_per_slice: int = EDGES_PER_SLICE,
-    neighbours_per_row: int = NEIGHBOURS_PER_ROW,
-) -> DataFrame:
+
+def count_triangles(edges: DataFrame, name: str = "triangles", edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
     """Number of triangles of the undirected graph, as a frame of one row."""
-    found = F.sum(F.size("thirds").cast("bigint"))
-    return _common_neighbours(edges, slice_rows, edges_per_slice, neighbours_per_row).agg(
-        F.coalesce(found, F.lit(0).cast("bigint")).alias(name)
-    )
+
+    def count(found: pd.DataFrame) -> pd.DataFrame:
+        _, parts = _triangles_of(found)
+        return pd.DataFrame({"n": [sum(len(first) for first, _, _ in parts)]})
+
+    counts = _edges_by_colours(edges, edges_per_task).groupBy("x", "y", "z").applyInPandas(count, "n bigint")
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias(name))
 
 
 def closed_paths(edges: DataFrame) -> DataFrame:
@@ -166,79 +171,71 @@ def _present(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def neighbour_rows(edges: DataFrame, slice_rows: int = SLICE_ROWS, per_row: int = NEIGHBOURS_PER_ROW) -> DataFrame:
-    """``src, src_degree, parts, part, next``: the vertices that each vertex points to, cut into ``parts`` rows.
+def colour_count(once: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> Column:
+    """How many colours the vertices of a canonical edge list need, as a scalar subquery.
 
-    ``next`` holds ``dst, dst_degree, dst_parts``, the last NULL if that vertex points to nothing. The number of parts
-    is a power of two, about one per ``per_row`` neighbours, and a neighbour's part is its hash modulo that number. A
-    vertex points to at most sqrt(2 * edges) others, so counting them in a window keeps no task busy for long.
+    With k colours, three of them have about 9 / k^2 of all edges between them, and up to 2 / k of those of one vertex.
     """
-    oriented = oriented_edges(edges, slice_rows).transform(_present, "src", "src_degree", "dst", "dst_degree")
-    outgoing = F.count(F.lit(1)).over(Window.partitionBy("src"))
-    parts = F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(outgoing / F.lit(per_row))), F.lit(0))).cast("bigint")
-    sized = oriented.withColumn("parts", parts)
-    known = sized.groupBy("src").agg(F.max("parts").alias("dst_parts")).withColumnRenamed("src", "dst")
-    hot = hot_keys(sized.groupBy("dst").agg(F.max("dst_degree").alias("rows")), ["dst"], slice_rows=slice_rows)
-    slices = F.coalesce("slices", F.lit(1).cast("bigint"))
-    dealt = sized.join(F.broadcast(hot), "dst", "left").withColumn("_slice", F.pmod(F.xxhash64("src"), slices))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1))
-    repeated = known.join(F.broadcast(hot), "dst", "left").withColumn("_slice", every)
-    return (
-        dealt.drop("slices")
-        .join(repeated.drop("slices"), ["dst", "_slice"], "left")
-        .groupBy("src", "src_degree", "parts", F.pmod(F.xxhash64("dst"), F.col("parts")).alias("part"))
-        .agg(F.collect_list(F.struct("dst", "dst_degree", "dst_parts")).alias("next"))
-    )
+    degrees = once.select(F.explode(F.array("src", "dst")).alias("vertex")).groupBy("vertex").agg(F.count(F.lit(1)).alias("degree"))
+    edges = F.coalesce(F.sum("degree"), F.lit(0)) / 2
+    by_edges = F.ceil(F.sqrt(9 * edges / edges_per_task))
+    by_vertex = F.ceil(2 * F.coalesce(F.max("degree"), F.lit(0)) / edges_per_task)
+    return degrees.agg(F.greatest(by_edges, by_vertex, F.lit(1)).cast("bigint").alias("colours")).scalar()
 
 
-def _common_neighbours(
-    edges: DataFrame, slice_rows: int, edges_per_slice: int, neighbours_per_row: int
-) -> DataFrame:
-    """``(a, b, thirds)`` per oriented edge and part of the lists: vertices that both of its ends point to.
+def _edges_by_colours(edges: DataFrame, edges_per_task: int) -> DataFrame:
+    """``x, y, z, src, dst, of_src, of_dst``: each edge for every three colours ``x <= y <= z`` that include its own two."""
+    once = canonical_edges(edges)
+    colours = colour_count(once, edges_per_task)
+    every = F.sequence(F.lit(0).cast("bigint"), F.col("colours") - 1)
+    own = [F.pmod(F.xxhash64(end), F.col("colours")).alias(f"of_{end}") for end in ("src", "dst")]
+    sent = once.withColumn("colours", colours).select("src", "dst", *own, F.explode(every).alias("third"))
+    of_three = [F.col("of_src"), F.col("of_dst"), F.col("third")]
+    low, high = F.least(*of_three), F.greatest(*of_three)
+    middle = of_three[0] + of_three[1] + of_three[2] - low - high
+    return sent.select(low.alias("x"), middle.alias("y"), high.alias("z"), "src", "dst", "of_src", "of_dst")
 
-    A vertex of one part repeats its list for each neighbour in it. The parts of a larger vertex are joined with each
-    other first, so that no task repeats more than one part for the neighbours of another. At ``b``, a part meets the
-    parts that can hold the same vertices. Many edges can point to one vertex: they are cut into slices by its degree,
-    known on both sides, and the neighbours of that vertex are repeated once per slice.
-    """
 
-    def slices(degree: Column) -> Column:
-        return (degree / edges_per_slice).cast("bigint") + 1
-
-    def numbers(count: Column) -> Column:
-        return F.sequence(F.lit(0).cast("bigint"), count - 1)
-
-    rows = neighbour_rows(edges, slice_rows, neighbours_per_row)
-    points = F.filter("next", lambda x: x["dst_parts"].isNotNull()).alias("middle")
-    list_of_a = F.col("next.dst").alias("of_a")
-    small = (F.col("parts") == 1) & (F.size("next") > 1)
-    one_part = rows.where(small).select("src", "parts", "part", list_of_a, points)
-    large = rows.where("parts > 1")
-    every = F.explode(numbers(F.col("parts")))
-    middles = large.select("src", F.col("part").alias("_i"), points, every.alias("part"))
-    lists = large.select("src", "parts", "part", list_of_a, every.alias("_i"))
-    pairs = middles.join(lists, ["src", "_i", "part"]).select("src", "parts", "part", "of_a", "middle")
-    # part j of n meets, of m parts, j mod m if m <= n, and otherwise j, j + n, j + 2n, ...
-    own, part = F.col("parts"), F.col("part")
-
-    def targets(x: Column) -> Column:
-        theirs = x["dst_parts"]
-        times = F.greatest((theirs / own).cast("bigint"), F.lit(1))
-        met = F.when(theirs <= own, F.array(F.pmod(part, theirs))).otherwise(
-            F.transform(numbers(times), lambda k: part + k * own)
-        )
-        slice_of_a = F.pmod(F.xxhash64("src"), slices(x["dst_degree"]))
-        return F.transform(met, lambda j: F.struct(x["dst"].alias("b"), j.alias("part"), slice_of_a.alias("slice")))
-
-    # one explode, since each copies the list for every row it makes
-    to_b = F.explode(F.flatten(F.transform("middle", targets))).alias("to")
-    from_a = one_part.unionByName(pairs).select(F.col("src").alias("a"), "of_a", to_b).select("a", "of_a", "to.*")
-    at_b = rows.select(
-        F.col("src").alias("b"),
-        "part",
-        F.col("next.dst").alias("of_b"),
-        F.explode(numbers(slices(F.col("src_degree")))).alias("slice"),
-    )
-    return from_a.join(at_b, ["b", "part", "slice"], "inner").select(
-        "a", "b", F.array_intersect("of_a", "of_b").alias("thirds")
-    )
+def _triangles_of(found: pd.DataFrame) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Vertices, and the triangles among them that have the three colours of this group, in parts.
+
+    Vertices are numbered by their neighbours here, so an edge points to the larger number, and the pairs of larger
+    neighbours of a vertex are looked up among all edges by binary search.
+    """
+    ends = np.concatenate([found["src"].to_numpy(), found["dst"].to_numpy()])
+    colours = np.concatenate([found["of_src"].to_numpy(), found["of_dst"].to_numpy()])
+    vertices, first, number = np.unique(ends, return_index=True, return_inverse=True)
+    order = np.argsort(np.bincount(number), kind="stable")
+    vertices, colours = vertices[order], colours[first[order]]
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    a, b = rank[number].reshape(2, -1)
+    n = len(vertices)
+    edges = np.sort(np.minimum(a, b) * n + np.maximum(a, b))
+    low, high = edges // n, edges % n
+    # after an edge come those of its lower end to larger neighbours
+    last = np.searchsorted(low, np.arange(n), "right")[low]
+    pairs = last - 1 - np.arange(len(edges))
+    wanted = [found[c].iloc[0] for c in ("x", "y", "z")]
+    parts = []
+    for begin, end in _stretches(pairs):
+        of_edge = np.repeat(np.arange(begin, end), pairs[begin:end])
+        ahead = np.arange(len(of_edge)) - np.repeat(np.cumsum(pairs[begin:end]) - pairs[begin:end], pairs[begin:end])
+        u, v, w = low[of_edge], high[of_edge], high[of_edge + 1 + ahead]
+        keys = v * n + w
+        closed = edges[np.minimum(np.searchsorted(edges, keys), len(edges) - 1)] == keys
+        u, v, w = u[closed], v[closed], w[closed]
+        right = (np.sort(np.stack([colours[u], colours[v], colours[w]]), axis=0) == np.array(wanted)[:, None]).all(axis=0)
+        parts.append((u[right], v[right], w[right]))
+    return vertices, parts
+
+
+def _stretches(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of places with sizes of about ``PAIRS`` in all."""
+    sums = np.cumsum(sizes)
+    begin = 0
+    while begin < len(sizes):
+        done = sums[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sums, done + PAIRS, "right")))
+        yield begin, end
+        begin = end

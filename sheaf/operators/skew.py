@@ -8,17 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key with more rows than this is split into slices of about this many rows. All operators that slice take it as an
-# argument. The list of such keys is broadcast and has at most one entry per so many rows; raise it with the data.
+# argument. The list of such keys is broadcast and has at most one entry per so many rows, and never more than HOT_KEYS,
+# the largest; further keys are left to adaptive execution.
 SLICE_ROWS = 1_000_000
+HOT_KEYS = 100_000
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str = "rows", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """The keys worth splitting and into how many slices: ``keys, slices``.
 
     ``counts`` has one line per key with its number of rows. Which keys are named decides only where rows are sent,
-    not what is joined.
+    not what is joined, so a list of at most ``HOT_KEYS`` changes no result.
     """
-    return counts.where(F.col(rows) > slice_rows).select(*keys, F.ceil(F.col(rows) / slice_rows).alias("slices"))
+    largest = counts.where(F.col(rows) > slice_rows).orderBy(F.desc(rows), *keys).limit(HOT_KEYS)
+    return largest.select(*keys, F.ceil(F.col(rows) / slice_rows).alias("slices"))
 
 
 def count_rows_by(df: DataFrame, keys: Sequence[str], rows: str = "rows") -> DataFrame:

@@ -540,7 +540,7 @@ def triangle_count(spark: SparkSession, folder: str) -> DataFrame:
 def triangle_count_sliced(spark: SparkSession, folder: str) -> DataFrame:
     """Small slices and lists, so that most vertices are cut."""
     edges = t.part_supplier_edges(spark, folder)
-    return graph.count_triangles(edges, slice_rows=50, edges_per_slice=20, neighbours_per_row=4)
+    return graph.count_triangles(edges, edges_per_task=20_000)
 
 
 @query(SQL_TRIANGLES)

@@ -105,33 +105,42 @@ def clique(spark, n=60):
     return numbers.join(numbers.select(F.col("src").alias("dst")), F.col("src") < F.col("dst"))
 
 
-@pytest.mark.parametrize("sizes", [{}, dict(slice_rows=2, edges_per_slice=3, neighbours_per_row=2), dict(slice_rows=10, neighbours_per_row=7)])
+@pytest.mark.parametrize("sizes", [{}, dict(edges_per_task=500), dict(edges_per_task=300)])
 def test_slices_and_parts_do_not_change_triangles(spark, sizes):
     assert rows(graph.count_triangles(wheel(spark), **sizes)) == [(199,)]
-    # cliques of different size that share vertices, so that lists of different numbers of parts meet
+    # cliques of different size that share vertices, some of the same colours
     edges = clique(spark).union(clique(spark, 90).select(F.col("src") + 50, F.col("dst") + 50)).union(wheel(spark, 80))
     expected = rows(graph.count_triangles(edges))
     assert rows(graph.count_triangles(edges, **sizes)) == expected
     assert expected[0][0] >= 60 * 59 * 58 / 6 + 90 * 89 * 88 / 6 - 10 * 9 * 8 / 6
 
 
-def test_no_row_holds_many_neighbours(spark):
-    edges = clique(spark, 120).union(wheel(spark, 300).select(F.col("src") + 1000, F.col("dst") + 1000))
-    found = graph.neighbour_rows(edges, per_row=8).select(F.size("next").alias("n"), "parts", "src").collect()
-    per_vertex = Counter()
-    for row in found:
-        per_vertex[row.src] += row.n
-    # a part is a hash bucket of at most eight on average
-    assert max(row.n for row in found) <= 24 and max(per_vertex.values()) >= 100
-    assert all(per_vertex[row.src] / row.parts <= 8 for row in found)
+def test_no_task_gets_many_edges(spark):
+    edges = clique(spark, 120).union(wheel(spark, 3000).select(F.col("src") + 1000, F.col("dst") + 1000))
+    total = graph.canonical_edges(edges).count()
+    for per_task in (2000, 4000):
+        sent = graph._edges_by_colours(edges, per_task)
+        sizes = [r["count"] for r in sent.groupBy("x", "y", "z").count().collect()]
+        colours = sent.agg(F.max("z")).first()[0] + 1
+        assert max(sizes) <= 2 * per_task and sum(sizes) == colours * total
+    ((most,),) = rows(graph.canonical_edges(wheel(spark, 3000)).select(graph.colour_count(wheel(spark, 3000), 100)).distinct())
+    assert most >= 2 * 2999 / 100
+
+
+def test_pairs_are_looked_up_in_stretches(spark, monkeypatch):
+    found = graph._edges_by_colours(clique(spark, 40), 10**6).toPandas()
+    monkeypatch.setattr(graph, "PAIRS", 50)
+    _, parts = graph._triangles_of(found)
+    assert len(parts) > 100 and sum(len(p[0]) for p in parts) == 40 * 39 * 38 / 6
 
 
 def test_edges_are_scanned_once_with_hot_keys(spark):
     edges = t.part_supplier_edges(spark, "/root/testdata/sf0.001")
-    frame = graph.count_triangles(edges, slice_rows=20, edges_per_slice=20, neighbours_per_row=4)
+    frame = graph.count_triangles(edges, edges_per_task=100)
     frame.collect()
     final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+    # the subquery that counts the edges comes first and takes them from the shuffle of the other use
+    assert "ReusedExchange" in final and "FileScan parquet" not in final
 
 
 def test_orientation_bounds_outgoing_edges(spark):

@@ -171,3 +171,13 @@ def test_balanced_join_on_two_keys(frame):
     assert rows(skew.balanced_join(big, lookup, ["a", "b"], ["s"], hot)) == [
         (1, 1, "x", 10), (1, 1, "y", 10), (1, 2, "z", 20),
     ]
+
+
+def test_list_of_hot_keys_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_KEYS", 3)
+    counts = spark.createDataFrame([(f"k{i}", 10 + i) for i in range(9)], "k string, rows long")
+    assert rows(skew.hot_keys(counts, ["k"], slice_rows=5)) == [("k6", 4), ("k7", 4), ("k8", 4)]
+    large = spark.range(300).selectExpr("id % 10 AS k", "id AS v")
+    lookup = spark.range(10).selectExpr("id AS k", "id * 2 AS w")
+    found = skew.balanced_join(large, lookup, ["k"], ["v"], slice_rows=4)
+    assert rows(found) == rows(large.join(lookup, "k").select("k", "v", "w"))
