@@ -22,27 +22,37 @@ def key_value_violations(lines: DataFrame, column: Column | str = "value", stric
     Blank lines are passed over. Unless ``strict``, texts that Python's parser takes beyond the JSON standard
     (NaN, Infinity, repeated object keys) are accepted; only lines found faulty before are handed to it.
     """
+    return with_reason(lines, column, strict).where(F.col("reason").isNotNull())
+
+
+def with_reason(lines: DataFrame, column: Column | str = "value", strict: bool = True) -> DataFrame:
+    """All lines with a column ``reason``, NULL for those that are blank or keep to the form."""
     columns = lines.columns
-    sides = with_once(lines.where(strip(column) != ""), "_sides", split_fields(column, "\t"))
+    sides = with_once(lines, "_sides", split_fields(column, "\t"))
     key, payload = field("_sides", 0), field("_sides", 1)
-    checked = with_once(sides, "reason", _reason(is_json(key), is_json(payload))).where(F.col("reason").isNotNull())
+    reason = F.when(strip(column) != "", _reason(is_json(key), is_json(payload)))
+    checked = with_once(sides, "reason", reason)
     if not strict:
+        faulty = F.col("reason").isNotNull()
         checked = with_once(
-            checked.withColumn("_key_ok", is_python_json(key)).withColumn("_payload_ok", is_python_json(payload)),
+            checked.withColumn("_key_ok", is_python_json(F.when(faulty, key))).withColumn(
+                "_payload_ok", is_python_json(F.when(faulty, payload))
+            ),
             "_reason",
-            _reason(F.col("_key_ok"), F.col("_payload_ok")),
-        )
-        checked = checked.where(F.col("_reason").isNotNull()).withColumn("reason", F.col("_reason"))
+            F.when(faulty, _reason(F.col("_key_ok"), F.col("_payload_ok"))),
+        ).withColumn("reason", F.col("_reason"))
     return checked.select(*columns, "reason")
 
 
 def check_files(
-    spark: SparkSession, *paths: str, names: str = TRACE_FILES, strict: bool = True, first_only: bool = False
+    spark: SparkSession, *paths: str, names: str = TRACE_FILES, strict: bool = True, first_only: bool = False,
+    with_path: bool = False,
 ) -> DataFrame:
-    """``(file, line_number, line, reason)`` for the faulty lines of the files whose names match.
+    """``(file, line_number, line, reason)`` for the faulty lines of the files whose names match, or also their ``path``.
 
-    Large files are read in blocks by many tasks. A line's number is its place in its block plus the lines of
-    the blocks before; both come from the same file listing, so block limits and places agree.
+    Large files are read in blocks by many tasks. A task counts the lines of its blocks and keeps the faulty ones with
+    their places, so one pass over the files gives both; a line's number is its place in its block plus the lines of the
+    blocks before it in the file.
     """
     lines = (
         spark.read.text(list(paths))
@@ -55,21 +65,28 @@ def check_files(
         )
         .where(F.col("file").rlike(names))
     )
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        lines.groupBy("path", "block")
-        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
-        .select("path", "block", "first", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    faulty = F.when(F.col("reason").isNotNull(), F.struct("place", "line", "reason"))
+    per_block = (
+        with_reason(lines, "line", strict)
+        .groupBy("path", "file", "block")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("first"), F.collect_list(faulty).alias("faulty"))
     )
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # both uses need the same aggregates in the same order, so that Spark reads the files and shuffles their blocks once
+    rows = F.when((F.col("rows") > 0) & (F.col("first") >= 0) & (F.size("faulty") >= 0), F.col("rows")).alias("rows")
+    counts = per_block.select("path", "block", rows, "first")
+    before = counts.select("path", "block", "first", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    known = before.select("path", "block", (F.col("before") - F.col("first") + 1).alias("shift"))
     found = (
-        key_value_violations(lines, "line", strict)
-        .join(blocks, ["path", "block"], "inner")
-        .withColumn("line_number", F.col("before") + F.col("place") - F.col("first") + 1)
+        per_block.where((F.size("faulty") > 0) & (F.col("rows") > 0) & (F.col("first") >= 0))
+        .join(known, ["path", "block"])
+        .select("path", "file", "shift", F.inline("faulty"))
+        .select("path", "file", (F.col("place") + F.col("shift")).alias("line_number"), "line", "reason")
     )
     if first_only:
         first = F.min(F.struct("line_number", "line", "reason")).alias("found")
-        found = found.groupBy("path", "file").agg(first).select("file", "found.*")
-    return found.select("file", "line_number", "line", "reason")
+        found = found.groupBy("path", "file").agg(first).select("path", "file", "found.*")
+    return found if with_path else found.drop("path")
 
 
 def _reason(key_ok: Column, payload_ok: Column) -> Column:

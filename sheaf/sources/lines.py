@@ -42,6 +42,12 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths))
 
 
+def read_lines_with_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """:func:`read_lines` with the file of each line, as ``path`` and ``file``."""
+    file = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file")
+    return read_lines(spark, *paths).select("value", *file)
+
+
 def read_delimited(
     spark: SparkSession, path: str, schema: StructType | str, sep: str = "\t", header: bool = False
 ) -> DataFrame:
