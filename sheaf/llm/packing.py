@@ -29,7 +29,7 @@ GRAIN = 4
 DEPTH = 3
 END_ID = 1
 # Runs that a task remembers before it drops those it has not met since the last time.
-MEMO = 250_000
+MEMO = 400_000
 # Pieces per bucket when ranks are given out.
 RANK_ROWS = 50_000
 
@@ -140,7 +140,6 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFr
                 rows.append((list(starts), list(lengths), list(crcs), len(ids) // 4))
             yield pd.DataFrame(rows, columns=["start", "length", "crc", "tokens"])
             del texts, rows
-            hand_back()
         del ids_of
         hand_back()
 
