@@ -46,28 +46,11 @@ def _run_sizes(centre: np.ndarray) -> np.ndarray:
     return np.bincount(centre, minlength=len(centre))[centre] if len(centre) else centre
 
 
-def _near_another(centre: np.ndarray, tag: np.ndarray, distance, limit: int) -> np.ndarray:
-    """Whether a member is within the limit of another one of its key, or its key has too many to look at them all."""
-    sizes = _run_sizes(centre)
-    near = sizes > SIFTED
-    at = np.flatnonzero((sizes > 1) & ~near)
-    for step in range(1, SIFTED):
-        at = at[at + step < len(centre)]
-        at = at[centre[at + step] == centre[at]]
-        if not len(at):
-            break
-        close = at[distance(tag[at], tag[at + step]) <= limit]
-        near[close] = near[close + step] = True
-    return near
-
-
 def stars(
     rows: DataFrame,
     n_rows: int,
     keys_of: Callable[[pd.DataFrame], np.ndarray],
     keys_per_row: int,
-    distance: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
-    limit: int = 0,
 ) -> DataFrame:
     """``a, a_tag, b, b_tag`` without repetition: every member ``b`` of a key with the key's smallest member ``a``.
 
@@ -75,11 +58,6 @@ def stars(
     line per row. A task ties the members of a key that it has itself, so it sends one member of a key however many
     rows share it; packed members of a range of keys then meet in a bucket, of which there are as many as ``n_rows``
     needs. Where several tasks had members of a key, their centres are replaced by the key's.
-
-    Where only pairs within ``limit`` by a ``distance`` between tags are of interest, members of a key that share it by
-    chance are left out: a task ties members within the limit and sends the others; in its bucket a member that is more
-    than three limits from all others can be near none of the rows tied to them, since these are within one limit of it
-    each. Keys with more than ``SIFTED`` members, in a task or a bucket, are not sifted.
     """
     buckets = max(1, -(-n_rows * keys_per_row // BUCKET_MEMBERS))
     gather = max(1, GATHER // keys_per_row)
@@ -101,29 +79,22 @@ def stars(
         keys = keys_of(batch)
         n = keys.shape[1]
         key, member, tag, centre = _tied(keys.ravel(), np.repeat(batch["id"].to_numpy(), n), np.repeat(batch["tag"].to_numpy(), n))
-        bound, crowded = centre != np.arange(len(centre)), np.zeros(len(centre), dtype=bool)
-        if distance is not None:
-            crowded = _run_sizes(centre) > SIFTED
-            bound &= crowded | (distance(tag, tag[centre]) <= limit)
+        bound = centre != np.arange(len(centre))
         pairs = _pairs(key[bound], member[bound], tag[bound], member[centre[bound]], tag[centre[bound]])
         yield pairs.assign(bucket=pd.array([None], dtype="Int64")[0], crowded=None, members=None)
         sent = np.stack([x[~bound] for x in (key, member, tag)], axis=1)
-        bucket = (mixed(sent[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64) * 2 + crowded[~bound]
+        bucket = (mixed(sent[:, 0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         at = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
         packed = [part.tobytes() for part in np.split(sent[order], at[1:])]
         none = pd.array([None] * len(at), dtype="Int64")
         to = bucket[order][at]
-        yield pd.DataFrame({"bucket": to // 2, "crowded": to % 2 == 1, "members": packed} | dict.fromkeys(("key", "a", "a_tag", "b", "b_tag"), none))
+        yield pd.DataFrame({"bucket": to, "crowded": False, "members": packed} | dict.fromkeys(("key", "a", "a_tag", "b", "b_tag"), none))
 
     def tie_bucket(sent: pd.DataFrame) -> pd.DataFrame:
         hand_back()
         members = np.frombuffer(b"".join(sent["members"]), dtype="<i8").reshape(-1, 3)
         key, member, tag, centre = _tied(members[:, 0], members[:, 1], members[:, 2])
-        if distance is not None:
-            of_crowd = np.frombuffer(b"".join(sent.loc[sent["crowded"], "members"]), dtype="<i8").reshape(-1, 3)[:, 0]
-            kept = _near_another(centre, tag, distance, 3 * limit) | np.isin(key, of_crowd)
-            key, member, tag, centre = _tied(key[kept], member[kept], tag[kept])
         return _pairs(key, member, tag, member[centre], tag[centre])
 
     local = rows.mapInPandas(tie_own, _LOCAL)
@@ -146,14 +117,14 @@ def near_pairs(
 ) -> DataFrame:
     """``a, a_tag, b, b_tag, hub`` without repetition: pairs of rows that share a key, and have close tags.
 
-    ``rows`` has ``id`` and ``tag``, bigint and not NULL, and ``keys``, ``keys_per_row`` keys of 32 bits each; rows may be
-    repeated. Members of a key are compared with each other where they meet. Those of a key with more than ``SIFTED``
+    ``rows`` has ``id`` and ``tag``, bigint and not NULL, tags of 32 bits, and ``keys``, ``keys_per_row`` keys of 32 bits
+    each; rows may be repeated. Members of a key are compared with each other where they meet. Those of a key with more than ``SIFTED``
     members, in a task or a bucket, are not: they are tied to its smallest member ``a`` however far their tags are, marked
-    by ``hub``, and pairs among them are left to the caller. Members take 20 bytes on their way to the buckets.
+    by ``hub``, and pairs among them are left to the caller. Members take 16 bytes on their way to the buckets. What a
+    task has tied itself goes through other buckets, dealt by member, so that ``rows`` are made once only.
     """
     buckets = max(1, -(-n_rows * keys_per_row // BUCKET_MEMBERS))
     gather = max(1, GATHER // keys_per_row)
-    schema = "key bigint, a bigint, a_tag bigint, b bigint, b_tag bigint, hub boolean"
 
     def tie_own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -177,32 +148,40 @@ def near_pairs(
         key, member, tag, centre = _tied(keys.ravel(), np.repeat(batch["id"].to_numpy(), n), np.repeat(batch["tag"].to_numpy(), n))
         crowded = _run_sizes(centre) > SIFTED
         bound = crowded & (centre != np.arange(len(centre)))
-        pairs = _pairs(key[bound], member[bound], tag[bound], member[centre[bound]], tag[centre[bound]])
-        yield pairs.assign(bucket=pd.array([None], dtype="Int64")[0], crowded=None, members=None)
+        ends = (key, member[centre], tag[centre], member, tag)
+        own = np.column_stack([x[bound] for x in ends])
+        yield packed(own, -1 - (mixed(own[:, 3].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
         key, member, tag, crowded = (x[~bound] for x in (key, member, tag, crowded))
-        sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.view(np.int32).reshape(-1, 2)])
-        to = (key >> 32) * 2 + crowded
+        sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.astype(np.uint32).view(np.int32)])
+        for of_crowd in (False, True):
+            chosen = crowded == of_crowd
+            yield packed(sent[chosen], key[chosen] >> 32, of_crowd)
+
+    def packed(sent: np.ndarray, to: np.ndarray, crowded: bool) -> pd.DataFrame:
         order = np.argsort(to, kind="stable")
         to = to[order]
-        at = np.flatnonzero(np.append(True, np.diff(to) != 0))
-        packed = [part.tobytes() for part in np.split(sent[order], at[1:])]
-        none = pd.array([None] * len(at), dtype="Int64")
-        yield pd.DataFrame({"bucket": to[at] // 2, "crowded": to[at] % 2 == 1, "members": packed} | dict.fromkeys(("key", "a", "a_tag", "b", "b_tag"), none))
+        at = np.flatnonzero(np.append(True, np.diff(to) != 0)) if len(to) else np.zeros(0, dtype=np.int64)
+        parts = [part.tobytes() for part in np.split(sent[order], at[1:])] if len(at) else []
+        return pd.DataFrame({"bucket": to[at], "crowded": crowded, "members": parts})
 
     def tie_bucket(sent: pd.DataFrame) -> pd.DataFrame:
         hand_back()
+        if sent["bucket"].iloc[0] < 0:
+            own = np.frombuffer(b"".join(sent["members"]), dtype="<i8").reshape(-1, 5)
+            return pd.DataFrame(own, columns=["key", "a", "a_tag", "b", "b_tag"]).assign(hub=True, own=True)
 
         def unpacked(parts: pd.Series) -> np.ndarray:
-            return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 5)
+            return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 4)
 
         members = unpacked(sent["members"])
         high = np.int64(sent["bucket"].iloc[0]) << 32
         key = high | members[:, 0].view(np.uint32).astype(np.int64)
-        member, tag = (np.ascontiguousarray(members[:, k : k + 2]).view(np.int64).ravel() for k in (1, 3))
+        member = np.ascontiguousarray(members[:, 1:3]).view(np.int64).ravel()
+        tag = np.ascontiguousarray(members[:, 3]).view(np.uint32).astype(np.int64)
         key, member, tag, _ = _tied(key, member, tag)
         fresh = np.append(True, (key[1:] != key[:-1]) | (member[1:] != member[:-1]))
         key, member, tag, centre = _tied(key[fresh], member[fresh], tag[fresh])
-        of_crowd = high | unpacked(sent.loc[sent["crowded"], "members"])[:, 0].astype(np.uint32).astype(np.int64)
+        of_crowd = high | np.ascontiguousarray(unpacked(sent.loc[sent["crowded"], "members"])[:, 0]).view(np.uint32).astype(np.int64)
         crowd = (_run_sizes(centre) > SIFTED) | np.isin(key, of_crowd)
         out = [_pairs(key[crowd], member[crowd], tag[crowd], member[centre[crowd]], tag[centre[crowd]]).assign(hub=True)]
         at = np.flatnonzero(~crowd)
@@ -213,14 +192,13 @@ def near_pairs(
                 break
             x = at[close(tag[at], tag[at + step])]
             out.append(_pairs(key[x], member[x + step], tag[x + step], member[x], tag[x]).assign(hub=False))
-        return pd.concat(out, ignore_index=True)
+        return pd.concat(out, ignore_index=True).assign(own=False)
 
-    local = rows.mapInPandas(tie_own, _LOCAL)
-    over_tasks = settle(
-        local.where("bucket IS NOT NULL").select("bucket", "crowded", "members").groupBy("bucket").applyInPandas(tie_bucket, schema)
-    )
+    sent = rows.mapInPandas(tie_own, "bucket bigint, crowded boolean, members binary")
+    tied = settle(sent.groupBy("bucket").applyInPandas(tie_bucket, f"{_PAIRS}, hub boolean, own boolean"))
+    over_tasks = tied.where("NOT own")
     moved = over_tasks.where("hub").select("key", F.col("b").alias("a"), F.struct("a", "a_tag").alias("_centre")).distinct()
-    of_tasks = local.where("bucket IS NULL").select("key", "a", "a_tag", "b", "b_tag").join(moved, ["key", "a"], "left")
+    of_tasks = tied.where("own").select("key", "a", "a_tag", "b", "b_tag").join(moved, ["key", "a"], "left")
     of_tasks = of_tasks.select(
         F.coalesce("_centre.a", "a").alias("a"), F.coalesce("_centre.a_tag", "a_tag").alias("a_tag"), "b", "b_tag", F.lit(True).alias("hub")
     )

@@ -118,24 +118,22 @@ def test_stars_over_several_tasks(spark, monkeypatch, gather, bucket):
 # lines
 
 
-def brute_lines(rows, percent=90, shortest=20):
+def brute_lines(rows, percent=90):
     """``doc_id: kept text`` by comparing all pairs of lines."""
     first, lines = {}, {}
     for i, text in sorted(rows):
         for number, line in enumerate((text or "").split("\n")):
             norm = linededup.normalised(line)
-            if len(norm) >= shortest:
+            if norm:
                 first.setdefault(norm, (i, number))
                 lines[i, number] = norm
     names = sorted(first)
-    hashes = dict(zip(names, next(linededup.sim_hashes([[" ".join(set(n.split())).encode() for n in names]])).tolist()))
     links = []
     for k, a in enumerate(names):
         for b in names[k + 1 :]:
-            if ((hashes[a] ^ hashes[b]) & (2**64 - 1)).bit_count() <= linededup.DISTANCE:
-                longer = max(len(a), len(b))
-                if 100 * (longer - plain.levenshtein(a, b)) >= percent * longer:
-                    links.append((a, b))
+            longer = max(len(a), len(b))
+            if 10 * abs(len(a) - len(b)) <= longer and 100 * (longer - plain.levenshtein(a, b)) >= percent * longer:
+                links.append((a, b))
     root = plain.roots(names, links)
     keeper = {}
     for place, norm in sorted(lines.items()):
@@ -183,19 +181,6 @@ def test_lines_against_all_pairs(docs, seed):
     assert sum(r.n_removed for r in found) > 20
 
 
-@pytest.mark.parametrize("blocks", [5, 6, 8])
-def test_hashes_under_the_distance_share_a_key(blocks):
-    rng = random.Random(blocks)
-    a = [rng.getrandbits(64) for _ in range(300)]
-    b = list(a)
-    for i in range(len(b)):
-        for bit in rng.sample(range(64), linededup.DISTANCE):
-            b[i] ^= 1 << bit
-    keys = [linededup.block_keys(np.array(x, dtype=np.uint64).view(np.int64), blocks).tolist() for x in (a, b)]
-    assert all(set(x) & set(y) for x, y in zip(*keys))
-    assert not {k for x in keys[0][:100] for k in x} & {k for x in keys[0][100:] for k in x} or blocks == 5
-
-
 def test_edit_distance():
     rng = random.Random(2)
     for _ in range(400):
@@ -204,36 +189,43 @@ def test_edit_distance():
             b = a[: len(a) // 2] + rng.choice(["", "x", "yz"]) + a[len(a) // 2 + rng.randint(0, 1) :]
         distance, longer = plain.levenshtein(a, b), max(len(a), len(b))
         assert linededup.edit_distance(a, b) == distance, (a, b)
+        for most in range(0, 12, 3):
+            cut = linededup.edit_distance(a, b, most)
+            assert cut == distance if distance <= most else most < cut <= distance, (a, b, most)
         for percent in (50, 85, 90, 95):
             assert linededup.similar(a, b, percent) == (100 * (longer - distance) >= percent * longer), (a, b)
     long = "word " * 20_000
     assert linededup.edit_distance("a" + long + "b", "c" + long + "dd") == 3
+    assert not linededup.similar("".join(rng.choices("abcdef", k=80_000)), "".join(rng.choices("uvwxyz", k=80_000)))
 
 
-def test_sifting_keeps_all_near_pairs(spark, monkeypatch):
-    """Members of few keys, near ones among others: any two within the limit are in a group together."""
-    monkeypatch.setattr(linkage, "GATHER", 30)
+@pytest.mark.parametrize("sifted", [4, 64])
+@pytest.mark.parametrize("gather", [60, 10**6])
+def test_near_pairs_of_all_keys(spark, monkeypatch, sifted, gather):
+    """Close members of a key are paired, or tied to the same centre where the key has many members."""
+    monkeypatch.setattr(linkage, "GATHER", gather)
+    monkeypatch.setattr(linkage, "BUCKET_MEMBERS", 200)
+    monkeypatch.setattr(linkage, "SIFTED", sifted)
     rng = random.Random(3)
-    for sifted in (4, 64):
-        monkeypatch.setattr(linkage, "SIFTED", sifted)
-        tags = [rng.getrandbits(60) for _ in range(40)]
-        rows = []
-        for i in range(240):
-            tag = rng.choice(tags)
-            for bit in rng.sample(range(60), rng.randint(0, 3)):
-                tag ^= 1 << bit
-            rows.append((i, tag, [rng.randrange(6)]))
-        frame = spark.createDataFrame(rows, "id bigint, tag bigint, keys array<bigint>").repartition(5)
-        differing = lambda x, y: np.bitwise_count((x ^ y).view(np.uint64))
-        found = linkage.stars(frame, len(rows), lambda b: np.array(b["keys"].tolist(), dtype=np.int64), 1, differing, 3).collect()
-        groups = {}
-        for r in found:
+    rows = []
+    for i in range(300):
+        keys = [5 if rng.random() < 0.3 else rng.randrange(60), rng.randrange(2**32)]
+        rows.append((rng.getrandbits(62), rng.getrandbits(32), np.array(keys, dtype="<u4").tobytes()))
+    frame = spark.createDataFrame(rows + rows[:5], "id bigint, tag bigint, keys binary").repartition(5)
+    close = lambda x, y: np.bitwise_count((x ^ y).view(np.uint64)) <= 14
+    found = linkage.near_pairs(frame, len(rows), 2, close).collect()
+    tags = {i: tag for i, tag, _ in rows}
+    assert all((tags[r.a], tags[r.b]) == (r.a_tag, r.b_tag) and r.a < r.b for r in found)
+    pairs = {(r.a, r.b) for r in found}
+    groups = {}
+    for r in found:
+        if r.hub:
             groups.setdefault(r.a, {r.a}).add(r.b)
-        together = {(x, y) for members in groups.values() for x in members for y in members}
-        for i, tag, keys in rows:
-            for j, other, other_keys in rows:
-                if i < j and keys == other_keys and (tag ^ other).bit_count() <= 3:
-                    assert (i, j) in together
+    for i, tag, keys in rows:
+        for j, other, other_keys in rows:
+            if i < j and keys[:4] == other_keys[:4] and (tag ^ other).bit_count() <= 14:
+                assert (i, j) in pairs or any({i, j} <= g for g in groups.values())
+    assert linkage.near_pairs(frame.limit(0), 0, 2, close).count() == 0
 
 
 def test_repeated_rows_missing_ids_and_long_lines(docs):
@@ -247,11 +239,11 @@ def test_repeated_rows_missing_ids_and_long_lines(docs):
     assert linededup.dedup_lines(docs([])).count() == 0
 
 
-def test_long_lines_are_hashed_in_parts():
+def test_long_lines_have_the_sketch_they_have_alone():
     rng = random.Random(1)
-    long = " ".join(str(rng.randrange(10**6)) for _ in range(90_001)).encode()
-    alone, among = linededup.sim_hashes([[long], [b"a", long, b"b c", b"a"]])
-    assert alone[0] == among[1] and among[0] == among[3] != among[2]
+    long = " ".join(str(rng.randrange(10**6)) for _ in range(90_001))
+    alone, among = linededup.sketches([long]), linededup.sketches(["a", long, "b c", "a"])
+    assert all((x[0] == y[1]).all() and (y[0] == y[3]).all() and (y[0] != y[2]).any() for x, y in zip(alone, among))
 
 
 # vectors
