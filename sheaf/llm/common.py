@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 from contextlib import suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheaf.session import shared_folder
+
 # The blanks between words, [\x20\x09-\x0D]; bytes.split() cuts at the same characters.
 BLANK = r"[\x20\x09-\x0D]"
 # A table with at most so many narrow rows may be broadcast (under 20 MB).
@@ -32,11 +33,11 @@ def bind(value: Column, body) -> Column:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where it is unset, as in tests, a temporary folder of this machine."""
-    context, named = spark.sparkContext, spark.conf.get("spark.checkpoint.dir", None)
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sheaf-checkpoint-"))
-    return named or context.getCheckpointDir()
+    """The session's ``spark.checkpoint.dir``, also set as Spark's checkpoint folder; see :func:`shared_folder`."""
+    folder = shared_folder(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def settle(df: DataFrame) -> DataFrame:

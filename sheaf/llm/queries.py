@@ -60,11 +60,11 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))
     return kinds.withColumn("row", each).select(
         "doc_id",
-        "source",
         "size",
         "source_size",
         "target",
         (F.col("size") * F.col("copies")).alias("taken"),
+        "source",
     )
 
 
@@ -91,7 +91,6 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
-        F.array_join("failed_rules", ",").alias("failed_rules"),
         "kept",
     )
 
@@ -221,7 +220,7 @@ ratios AS (SELECT *, word_chars / nullif(n_words, 0) AS mean_word_chars, n_symbo
   n_dup_lines / nullif(n_lines, 0) AS dup_line_ratio, n_bullet / nullif(n_lines, 0) AS bullet_line_ratio,
   n_ellipsis / nullif(n_lines, 0) AS ellipsis_line_ratio,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_rules,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND failed_rules = '' AS kept FROM (
   SELECT *, array_to_string(list_filter([{', '.join(broken)}], lambda x: x IS NOT NULL), ',') AS failed_rules FROM ratios)"""
 
