@@ -117,10 +117,10 @@ def near_pairs(
 ) -> DataFrame:
     """``a, a_tag, b, b_tag, hub`` without repetition: pairs of rows that share a key, and have close tags.
 
-    ``rows`` has ``id`` and ``tag``, bigint and not NULL, tags of 32 bits, and ``keys``, ``keys_per_row`` keys of 32 bits
-    each; rows may be repeated. Members of a key are compared with each other where they meet. Those of a key with more than ``SIFTED``
+    ``rows`` has ``id`` and ``tag``, bigint and not NULL, and ``keys``, ``keys_per_row`` keys of 32 bits each; rows may be
+    repeated. Members of a key are compared with each other where they meet. Those of a key with more than ``SIFTED``
     members, in a task or a bucket, are not: they are tied to its smallest member ``a`` however far their tags are, marked
-    by ``hub``, and pairs among them are left to the caller. Members take 16 bytes on their way to the buckets. What a
+    by ``hub``, and pairs among them are left to the caller. Members take 20 bytes on their way to the buckets. What a
     task has tied itself goes through other buckets, dealt by member, so that ``rows`` are made once only.
     """
     buckets = max(1, -(-n_rows * keys_per_row // BUCKET_MEMBERS))
@@ -152,7 +152,7 @@ def near_pairs(
         own = np.column_stack([x[bound] for x in ends])
         yield packed(own, -1 - (mixed(own[:, 3].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
         key, member, tag, crowded = (x[~bound] for x in (key, member, tag, crowded))
-        sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.astype(np.uint32).view(np.int32)])
+        sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.view(np.int32).reshape(-1, 2)])
         for of_crowd in (False, True):
             chosen = crowded == of_crowd
             yield packed(sent[chosen], key[chosen] >> 32, of_crowd)
@@ -171,13 +171,12 @@ def near_pairs(
             return pd.DataFrame(own, columns=["key", "a", "a_tag", "b", "b_tag"]).assign(hub=True, own=True)
 
         def unpacked(parts: pd.Series) -> np.ndarray:
-            return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 4)
+            return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 5)
 
         members = unpacked(sent["members"])
         high = np.int64(sent["bucket"].iloc[0]) << 32
         key = high | members[:, 0].view(np.uint32).astype(np.int64)
-        member = np.ascontiguousarray(members[:, 1:3]).view(np.int64).ravel()
-        tag = np.ascontiguousarray(members[:, 3]).view(np.uint32).astype(np.int64)
+        member, tag = (np.ascontiguousarray(members[:, k : k + 2]).view(np.int64).ravel() for k in (1, 3))
         key, member, tag, _ = _tied(key, member, tag)
         fresh = np.append(True, (key[1:] != key[:-1]) | (member[1:] != member[:-1]))
         key, member, tag, centre = _tied(key[fresh], member[fresh], tag[fresh])
