@@ -17,7 +17,7 @@ def documents(spark):
 
 def test_all_operators_are_registered():
     names = set(contract.queries())
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(queries.SQL) <= set(queries.QUERIES)
 
 
