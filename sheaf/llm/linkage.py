@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ from sheaf.llm.repeats import mixed
 # Rows that a task gathers before it ties them, times keys of a row; members in a bucket, about.
 GATHER = 500_000
 BUCKET_MEMBERS = 500_000
+# Rows of a group that lists its keys together, about; keys that are counted together, about.
+GROUP_ROWS = 40_000
+BLOCK_KEYS = 4_000_000
 # Members of a key that are compared with each other to leave out those that share it by chance.
 SIFTED = 64
 _PAIRS = "key bigint, a bigint, a_tag bigint, b bigint, b_tag bigint"
@@ -109,6 +113,61 @@ def stars(
     return of_tasks.unionByName(over_tasks.select("a", "a_tag", "b", "b_tag")).distinct()
 
 
+def _among(keys: np.ndarray, shared: pd.DataFrame) -> np.ndarray:
+    """Which of the mixed keys are named by ``keys`` of ``shared``, 48 bits of each."""
+    known = [np.cumsum(np.frombuffer(zstandard.decompress(x), dtype="<u8"), dtype=np.uint64) for x in shared["keys"]]
+    known = np.sort(np.concatenate(known)) if known else np.zeros(0, dtype=np.uint64)
+    if not len(known):
+        return np.zeros(keys.shape, dtype=bool)
+    some = np.zeros(1 << 22, dtype=bool)  # most keys fail here, at the price of one look at a small table
+    some[known & np.uint64(len(some) - 1)] = True
+    named = keys >> np.uint64(16)
+    out = some[named & np.uint64(len(some) - 1)]
+    at = np.minimum(np.searchsorted(known, named[out]), len(known) - 1)
+    out[out] = known[at] == named[out]
+    return out
+
+
+def _shared(in_groups: DataFrame, blocks: int, members_of: Callable) -> DataFrame:
+    """``g, keys``: the keys of each group that more than one row has, in any group.
+
+    A group sends 48 bits of each of its keys, in order and as differences, once or, if it has several rows with the
+    key, twice; so a key that a third of all rows share costs two numbers a group. Keys meet in ``blocks``, ranges of the
+    hash, of about ``BLOCK_KEYS`` keys. Two keys alike in 48 bits only are sent on for nothing, none is lost.
+    """
+
+    def squeezed(values: np.ndarray) -> bytes:
+        return zstandard.compress(np.diff(values, prepend=np.uint64(0)).astype("<u8").tobytes(), 1)
+
+    def listed(g: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
+        _, _, keys = members_of(parts["members"])
+        found, n = np.unique(keys.ravel() >> np.uint64(16), return_counts=True)
+        found = np.repeat(found, np.minimum(n, 2))
+        block = ((found >> np.uint64(16)) * np.uint64(blocks)) >> np.uint64(32)
+        at = np.flatnonzero(np.append(True, np.diff(block) != 0))
+        split = [squeezed(part) for part in np.split(found, at[1:])]
+        return pd.DataFrame({"g": g[0], "block": block[at].astype(np.int64), "keys": split})
+
+    def counted(sent: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
+        parts = [np.cumsum(np.frombuffer(zstandard.decompress(x), dtype="<u8"), dtype=np.uint64) for x in sent["keys"]]
+        every = np.sort(np.concatenate(parts))
+        often = every[1:][every[1:] == every[:-1]]
+        if not len(often):
+            return pd.DataFrame({"g": [], "keys": []})
+        out = []
+        for g, part in zip(sent["g"], parts):
+            at = np.minimum(np.searchsorted(often, part), len(often) - 1)
+            own = np.unique(part[often[at] == part])
+            if len(own):
+                out.append((g, squeezed(own)))
+        return pd.DataFrame(out, columns=["g", "keys"])
+
+    lists = in_groups.groupBy("g").applyInPandas(listed, "g bigint, block bigint, keys binary")
+    return lists.groupBy("block").applyInPandas(counted, "g bigint, keys binary")
+
+
 def near_pairs(
     rows: DataFrame,
     n_rows: int,
@@ -118,44 +177,71 @@ def near_pairs(
     """``a, a_tag, b, b_tag, hub`` without repetition: pairs of rows that share a key, and have close tags.
 
     ``rows`` has ``id`` and ``tag``, bigint and not NULL, and ``keys``, ``keys_per_row`` keys of 32 bits each; rows may be
-    repeated. Members of a key are compared with each other where they meet. Those of a key with more than ``SIFTED``
-    members, in a task or a bucket, are not: they are tied to its smallest member ``a`` however far their tags are, marked
-    by ``hub``, and pairs among them are left to the caller. Members take 20 bytes on their way to the buckets. What a
-    task has tied itself goes through other buckets, dealt by member, so that ``rows`` are made once only.
+    repeated. They meet once, in groups by ``id``, where repeated ones are dropped. Each group then lists its keys, which
+    are counted, and only members of keys that some other row has are sent on; see :func:`_shared`. Members of a key are
+    compared with each other where they meet. Those of a key with more than ``SIFTED`` members, in a group or a bucket,
+    are not: they are tied to its smallest member ``a`` however far their tags are, marked by ``hub``, and pairs among
+    them are left to the caller. Members take 20 bytes on their way to the buckets. What a group has tied itself goes
+    through other buckets, dealt by member.
     """
     buckets = max(1, -(-n_rows * keys_per_row // BUCKET_MEMBERS))
+    groups = max(1, -(-n_rows // GROUP_ROWS))
     gather = max(1, GATHER // keys_per_row)
+    width = 4 + keys_per_row  # numbers of 32 bits that a row takes
 
-    def tie_own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
             held.append(batch)
             size += len(batch)
             if size >= gather:
-                yield from tie(pd.concat(held, ignore_index=True))
+                yield in_groups(pd.concat(held, ignore_index=True))
                 held, size = [], 0
                 hand_back()
         if size:
-            yield from tie(pd.concat(held, ignore_index=True))
+            yield in_groups(pd.concat(held, ignore_index=True))
         hand_back()
 
-    def tie(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def in_groups(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.drop_duplicates("id")
-        keys = np.frombuffer(b"".join(batch["keys"]), dtype="<u4").reshape(len(batch), -1).astype(np.uint64)
-        n = keys.shape[1]
-        bucket = mixed((keys + (np.arange(n, dtype=np.uint64) << np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)
-        keys = ((bucket << np.uint64(32)) | keys).view(np.int64)
-        key, member, tag, centre = _tied(keys.ravel(), np.repeat(batch["id"].to_numpy(), n), np.repeat(batch["tag"].to_numpy(), n))
+        member, tag = batch["id"].to_numpy(), batch["tag"].to_numpy()
+        keys = np.frombuffer(b"".join(batch["keys"]), dtype="<u4").reshape(len(batch), keys_per_row)
+        sent = np.column_stack([member.view(np.uint32).reshape(-1, 2), tag.view(np.uint32).reshape(-1, 2), keys])
+        g = (mixed(member.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(g, kind="stable")
+        at = np.flatnonzero(np.append(True, np.diff(g[order]) != 0))
+        return pd.DataFrame({"g": g[order][at], "members": [part.tobytes() for part in np.split(sent[order], at[1:])]})
+
+    def members_of(parts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, tags and mixed 64-bit keys, a line for each different row of a group."""
+        held = np.frombuffer(b"".join(parts), dtype="<u4").reshape(-1, width)
+        member = np.ascontiguousarray(held[:, :2]).view(np.int64).ravel()
+        member, first = np.unique(member, return_index=True)
+        held = held[first]
+        places = np.arange(keys_per_row, dtype=np.uint64) << np.uint64(32)
+        keys = mixed((held[:, 4:].astype(np.uint64) + places) * np.uint64(0x9E3779B97F4A7C15))
+        return member, np.ascontiguousarray(held[:, 2:4]).view(np.int64).ravel(), keys
+
+    def tie(g: tuple, parts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
+        if not len(parts):
+            return packed(np.zeros((0, 5), dtype=np.int32), np.zeros(0, dtype=np.int64), False)
+        member, tag, keys = members_of(parts["members"])
+        row, column = np.nonzero(_among(keys, shared))
+        chosen = keys[row, column]
+        key = (((chosen % np.uint64(buckets)) << np.uint64(32)) | (chosen >> np.uint64(32))).view(np.int64)
+        key, member, tag, centre = _tied(key, member[row], tag[row])
         crowded = _run_sizes(centre) > SIFTED
         bound = crowded & (centre != np.arange(len(centre)))
         ends = (key, member[centre], tag[centre], member, tag)
         own = np.column_stack([x[bound] for x in ends])
-        yield packed(own, -1 - (mixed(own[:, 3].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
+        out = [packed(own, -1 - (mixed(own[:, 3].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)]
         key, member, tag, crowded = (x[~bound] for x in (key, member, tag, crowded))
         sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.view(np.int32).reshape(-1, 2)])
         for of_crowd in (False, True):
             chosen = crowded == of_crowd
-            yield packed(sent[chosen], key[chosen] >> 32, of_crowd)
+            out.append(packed(sent[chosen], key[chosen] >> 32, of_crowd))
+        return pd.concat(out, ignore_index=True)
 
     def packed(sent: np.ndarray, to: np.ndarray, crowded: bool) -> pd.DataFrame:
         order = np.argsort(to, kind="stable")
@@ -193,7 +279,9 @@ def near_pairs(
             out.append(_pairs(key[x], member[x + step], tag[x + step], member[x], tag[x]).assign(hub=False))
         return pd.concat(out, ignore_index=True).assign(own=False)
 
-    sent = rows.mapInPandas(tie_own, "bucket bigint, crowded boolean, members binary")
+    packed_rows = rows.mapInPandas(pack, "g bigint, members binary").repartition("g")
+    shared = _shared(packed_rows, max(1, -(-n_rows * keys_per_row // BLOCK_KEYS)), members_of)
+    sent = packed_rows.groupBy("g").cogroup(shared.groupBy("g")).applyInPandas(tie, "bucket bigint, crowded boolean, members binary")
     tied = settle(sent.groupBy("bucket").applyInPandas(tie_bucket, f"{_PAIRS}, hub boolean, own boolean"))
     over_tasks = tied.where("NOT own")
     moved = over_tasks.where("hub").select("key", F.col("b").alias("a"), F.struct("a", "a_tag").alias("_centre")).distinct()
