@@ -10,12 +10,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.llm.common import hand_back, settle
 from sheaf.llm.repeats import mixed
+from sheaf.llm.substring import squeezed, unsqueezed
 
 # Rows that a task gathers before it ties them, times keys of a row; members in a bucket, about.
 GATHER = 500_000
@@ -113,81 +113,87 @@ def stars(
     return of_tasks.unionByName(over_tasks.select("a", "a_tag", "b", "b_tag")).distinct()
 
 
-def _among(keys: np.ndarray, shared: pd.DataFrame) -> np.ndarray:
-    """Which of the mixed keys are named by ``keys`` of ``shared``, 48 bits of each."""
-    known = [np.cumsum(np.frombuffer(zstandard.decompress(x), dtype="<u8"), dtype=np.uint64) for x in shared["keys"]]
+def _named(keys: np.ndarray, blocks: int) -> np.ndarray:
+    """Names of mixed keys: the block of the hash range, then 32 bits."""
+    return (((keys >> np.uint64(32)) * np.uint64(blocks)) & ~np.uint64(0xFFFFFFFF)) | (keys & np.uint64(0xFFFFFFFF))
+
+
+def _squeezed(names: np.ndarray) -> bytes:
+    return squeezed(np.diff(names & np.uint64(0xFFFFFFFF), prepend=np.uint64(0)))
+
+
+def _unsqueezed(block: int, data: bytes) -> np.ndarray:
+    return (np.uint64(block) << np.uint64(32)) | np.cumsum(unsqueezed(data), dtype=np.uint64)
+
+
+def _among(names: np.ndarray, shared: pd.DataFrame) -> np.ndarray:
+    """Which names are in the lists ``keys`` of the blocks ``block`` of ``shared``."""
+    known = [_unsqueezed(block, keys) for block, keys in zip(shared["block"], shared["keys"])]
     known = np.sort(np.concatenate(known)) if known else np.zeros(0, dtype=np.uint64)
     if not len(known):
-        return np.zeros(keys.shape, dtype=bool)
-    some = np.zeros(1 << 22, dtype=bool)  # most keys fail here, at the price of one look at a small table
+        return np.zeros(names.shape, dtype=bool)
+    some = np.zeros(1 << 22, dtype=bool)  # most names fail here, at the price of one look at a small table
     some[known & np.uint64(len(some) - 1)] = True
-    named = keys >> np.uint64(16)
-    out = some[named & np.uint64(len(some) - 1)]
-    at = np.minimum(np.searchsorted(known, named[out]), len(known) - 1)
-    out[out] = known[at] == named[out]
+    out = some[names & np.uint64(len(some) - 1)]
+    at = np.minimum(np.searchsorted(known, names[out]), len(known) - 1)
+    out[out] = known[at] == names[out]
     return out
 
 
 def _shared(in_groups: DataFrame, blocks: int, members_of: Callable) -> DataFrame:
-    """``g, keys``: the keys of each group that more than one row has, in any group.
+    """``g, block, keys``: the keys of each group that more than one row has, in any group.
 
-    A group sends 48 bits of each of its keys, in order and as differences, once or, if it has several rows with the
-    key, twice; so a key that a third of all rows share costs two numbers a group. Keys meet in ``blocks``, ranges of the
-    hash, of about ``BLOCK_KEYS`` keys. Two keys alike in 48 bits only are sent on for nothing, none is lost.
+    A group sends names of its keys, in order and as differences, once or, if it has several rows with the key, twice; so
+    a key that a third of all rows share costs two numbers a group. They meet in ``blocks``, ranges of the hash, of about
+    ``BLOCK_KEYS`` keys each. Keys alike in block and name only are sent on for nothing, none is lost.
     """
 
-    def squeezed(values: np.ndarray) -> bytes:
-        return zstandard.compress(np.diff(values, prepend=np.uint64(0)).astype("<u8").tobytes(), 1)
-
     def listed(g: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         hand_back()
-        _, _, keys = members_of(parts["members"])
-        found, n = np.unique(keys.ravel() >> np.uint64(16), return_counts=True)
+        found, n = np.unique(_named(members_of(parts["members"])[2].ravel(), blocks), return_counts=True)
         found = np.repeat(found, np.minimum(n, 2))
-        block = ((found >> np.uint64(16)) * np.uint64(blocks)) >> np.uint64(32)
+        block = (found >> np.uint64(32)).astype(np.int64)
         at = np.flatnonzero(np.append(True, np.diff(block) != 0))
-        split = [squeezed(part) for part in np.split(found, at[1:])]
-        return pd.DataFrame({"g": g[0], "block": block[at].astype(np.int64), "keys": split})
+        return pd.DataFrame({"g": g[0], "block": block[at], "keys": [_squeezed(part) for part in np.split(found, at[1:])]})
 
-    def counted(sent: pd.DataFrame) -> pd.DataFrame:
+    def counted(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
         hand_back()
-        parts = [np.cumsum(np.frombuffer(zstandard.decompress(x), dtype="<u8"), dtype=np.uint64) for x in sent["keys"]]
+        parts = [_unsqueezed(key[0], x) for x in sent["keys"]]
         every = np.sort(np.concatenate(parts))
         often = every[1:][every[1:] == every[:-1]]
-        if not len(often):
-            return pd.DataFrame({"g": [], "keys": []})
         out = []
-        for g, part in zip(sent["g"], parts):
-            at = np.minimum(np.searchsorted(often, part), len(often) - 1)
-            own = np.unique(part[often[at] == part])
+        for g, part in zip(sent["g"], parts if len(often) else []):
+            own = np.unique(part[often[np.minimum(np.searchsorted(often, part), len(often) - 1)] == part])
             if len(own):
-                out.append((g, squeezed(own)))
-        return pd.DataFrame(out, columns=["g", "keys"])
+                out.append((g, key[0], _squeezed(own)))
+        return pd.DataFrame(out, columns=["g", "block", "keys"])
 
     lists = in_groups.groupBy("g").applyInPandas(listed, "g bigint, block bigint, keys binary")
-    return lists.groupBy("block").applyInPandas(counted, "g bigint, keys binary")
+    return lists.groupBy("block").applyInPandas(counted, "g bigint, block bigint, keys binary")
 
 
 def near_pairs(
     rows: DataFrame,
     n_rows: int,
     keys_per_row: int,
-    close: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    close: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
 ) -> DataFrame:
     """``a, a_tag, b, b_tag, hub`` without repetition: pairs of rows that share a key, and have close tags.
 
-    ``rows`` has ``id`` and ``tag``, bigint and not NULL, and ``keys``, ``keys_per_row`` keys of 32 bits each; rows may be
-    repeated. They meet once, in groups by ``id``, where repeated ones are dropped. Each group then lists its keys, which
+    ``rows`` has ``id``, ``tag`` and ``more``, bigint and not NULL, and ``keys``, ``keys_per_row`` keys of 32 bits each; rows
+    may be repeated. ``close`` is given two arrays of tags and the bits in which their ``more`` differ. Pairs of a hub have
+    their tags, other pairs have zeros. Rows meet once, in groups by ``id``, where repeated ones are dropped. Each group then lists its keys, which
     are counted, and only members of keys that some other row has are sent on; see :func:`_shared`. Members of a key are
     compared with each other where they meet. Those of a key with more than ``SIFTED`` members, in a group or a bucket,
     are not: they are tied to its smallest member ``a`` however far their tags are, marked by ``hub``, and pairs among
-    them are left to the caller. Members take 20 bytes on their way to the buckets. What a group has tied itself goes
+    them are left to the caller. Members take 28 bytes on their way to the buckets. What a group has tied itself goes
     through other buckets, dealt by member.
     """
     buckets = max(1, -(-n_rows * keys_per_row // BUCKET_MEMBERS))
+    blocks = max(1, -(-n_rows * keys_per_row // BLOCK_KEYS))
     groups = max(1, -(-n_rows // GROUP_ROWS))
     gather = max(1, GATHER // keys_per_row)
-    width = 4 + keys_per_row  # numbers of 32 bits that a row takes
+    width = 6 + keys_per_row  # numbers of 32 bits that a row takes
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -204,40 +210,41 @@ def near_pairs(
 
     def in_groups(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.drop_duplicates("id")
-        member, tag = batch["id"].to_numpy(), batch["tag"].to_numpy()
+        ends = [batch[name].to_numpy().view(np.uint32).reshape(-1, 2) for name in ("id", "tag", "more")]
+        member = batch["id"].to_numpy()
         keys = np.frombuffer(b"".join(batch["keys"]), dtype="<u4").reshape(len(batch), keys_per_row)
-        sent = np.column_stack([member.view(np.uint32).reshape(-1, 2), tag.view(np.uint32).reshape(-1, 2), keys])
+        sent = np.column_stack([*ends, keys])
         g = (mixed(member.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
         order = np.argsort(g, kind="stable")
         at = np.flatnonzero(np.append(True, np.diff(g[order]) != 0))
         return pd.DataFrame({"g": g[order][at], "members": [part.tobytes() for part in np.split(sent[order], at[1:])]})
 
     def members_of(parts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, tags and mixed 64-bit keys, a line for each different row of a group."""
+        """Ids, tags with what more there is, and mixed 64-bit keys, a line for each different row of a group."""
         held = np.frombuffer(b"".join(parts), dtype="<u4").reshape(-1, width)
         member = np.ascontiguousarray(held[:, :2]).view(np.int64).ravel()
         member, first = np.unique(member, return_index=True)
         held = held[first]
         places = np.arange(keys_per_row, dtype=np.uint64) << np.uint64(32)
-        keys = mixed((held[:, 4:].astype(np.uint64) + places) * np.uint64(0x9E3779B97F4A7C15))
-        return member, np.ascontiguousarray(held[:, 2:4]).view(np.int64).ravel(), keys
+        keys = mixed((held[:, 6:].astype(np.uint64) + places) * np.uint64(0x9E3779B97F4A7C15))
+        return member, np.ascontiguousarray(held[:, 2:6]).view(np.int64), keys
 
     def tie(g: tuple, parts: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         hand_back()
         if not len(parts):
-            return packed(np.zeros((0, 5), dtype=np.int32), np.zeros(0, dtype=np.int64), False)
+            return packed(np.zeros((0, 7), dtype=np.int32), np.zeros(0, dtype=np.int64), False)
         member, tag, keys = members_of(parts["members"])
-        row, column = np.nonzero(_among(keys, shared))
+        row, column = np.nonzero(_among(_named(keys, blocks), shared))
         chosen = keys[row, column]
         key = (((chosen % np.uint64(buckets)) << np.uint64(32)) | (chosen >> np.uint64(32))).view(np.int64)
         key, member, tag, centre = _tied(key, member[row], tag[row])
         crowded = _run_sizes(centre) > SIFTED
         bound = crowded & (centre != np.arange(len(centre)))
-        ends = (key, member[centre], tag[centre], member, tag)
+        ends = (key, member[centre], tag[centre, 0], member, tag[:, 0])
         own = np.column_stack([x[bound] for x in ends])
         out = [packed(own, -1 - (mixed(own[:, 3].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)]
         key, member, tag, crowded = (x[~bound] for x in (key, member, tag, crowded))
-        sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.view(np.int32).reshape(-1, 2)])
+        sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.view(np.int32)])
         for of_crowd in (False, True):
             chosen = crowded == of_crowd
             out.append(packed(sent[chosen], key[chosen] >> 32, of_crowd))
@@ -257,30 +264,33 @@ def near_pairs(
             return pd.DataFrame(own, columns=["key", "a", "a_tag", "b", "b_tag"]).assign(hub=True, own=True)
 
         def unpacked(parts: pd.Series) -> np.ndarray:
-            return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 5)
+            return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 7)
 
         members = unpacked(sent["members"])
         high = np.int64(sent["bucket"].iloc[0]) << 32
         key = high | members[:, 0].view(np.uint32).astype(np.int64)
-        member, tag = (np.ascontiguousarray(members[:, k : k + 2]).view(np.int64).ravel() for k in (1, 3))
+        member, tag = np.ascontiguousarray(members[:, 1:3]).view(np.int64).ravel(), np.ascontiguousarray(members[:, 3:7]).view(np.int64)
         key, member, tag, _ = _tied(key, member, tag)
         fresh = np.append(True, (key[1:] != key[:-1]) | (member[1:] != member[:-1]))
         key, member, tag, centre = _tied(key[fresh], member[fresh], tag[fresh])
         of_crowd = high | np.ascontiguousarray(unpacked(sent.loc[sent["crowded"], "members"])[:, 0]).view(np.uint32).astype(np.int64)
         crowd = (_run_sizes(centre) > SIFTED) | np.isin(key, of_crowd)
-        out = [_pairs(key[crowd], member[crowd], tag[crowd], member[centre[crowd]], tag[centre[crowd]]).assign(hub=True)]
+        out = [_pairs(key[crowd], member[crowd], tag[crowd, 0], member[centre[crowd]], tag[centre[crowd], 0]).assign(hub=True)]
+        near = [np.zeros((0, 2), dtype=np.int64)]
         at = np.flatnonzero(~crowd)
         for step in range(1, SIFTED):
             at = at[at + step < len(centre)]
             at = at[centre[at + step] == centre[at]]
             if not len(at):
                 break
-            x = at[close(tag[at], tag[at + step])]
-            out.append(_pairs(key[x], member[x + step], tag[x + step], member[x], tag[x]).assign(hub=False))
+            x = at[close(tag[at, 0], tag[at + step, 0], tag[at, 1] ^ tag[at + step, 1])]
+            near.append(np.column_stack([member[x], member[x + step]]))
+        near = np.unique(np.concatenate(near), axis=0)
+        out.append(pd.DataFrame({"key": 0, "a": near[:, 0], "a_tag": 0, "b": near[:, 1], "b_tag": 0, "hub": False}))
         return pd.concat(out, ignore_index=True).assign(own=False)
 
     packed_rows = rows.mapInPandas(pack, "g bigint, members binary").repartition("g")
-    shared = _shared(packed_rows, max(1, -(-n_rows * keys_per_row // BLOCK_KEYS)), members_of)
+    shared = _shared(packed_rows, blocks, members_of)
     sent = packed_rows.groupBy("g").cogroup(shared.groupBy("g")).applyInPandas(tie, "bucket bigint, crowded boolean, members binary")
     tied = settle(sent.groupBy("bucket").applyInPandas(tie_bucket, f"{_PAIRS}, hub boolean, own boolean"))
     over_tasks = tied.where("NOT own")

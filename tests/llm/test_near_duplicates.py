@@ -210,20 +210,20 @@ def test_near_pairs_of_all_keys(spark, monkeypatch, sifted, gather):
     rows = []
     for i in range(300):
         keys = [5 if rng.random() < 0.3 else rng.randrange(60), rng.randrange(2**32)]
-        rows.append((rng.getrandbits(62), rng.getrandbits(32), np.array(keys, dtype="<u4").tobytes()))
-    frame = spark.createDataFrame(rows + rows[:5], "id bigint, tag bigint, keys binary").repartition(5)
-    close = lambda x, y: np.bitwise_count((x ^ y).view(np.uint64)) <= 14
+        rows.append((rng.getrandbits(62), rng.getrandbits(32), rng.getrandbits(3), np.array(keys, dtype="<u4").tobytes()))
+    frame = spark.createDataFrame(rows + rows[:5], "id bigint, tag bigint, more bigint, keys binary").repartition(5)
+    close = lambda x, y, more: (np.bitwise_count((x ^ y).view(np.uint64)) <= 14) & (more < 7)
     found = linkage.near_pairs(frame, len(rows), 2, close).collect()
-    tags = {i: tag for i, tag, _ in rows}
-    assert all((tags[r.a], tags[r.b]) == (r.a_tag, r.b_tag) and r.a < r.b for r in found)
+    tags = {i: tag for i, tag, _, _ in rows}
+    assert all((tags[r.a], tags[r.b]) == (r.a_tag, r.b_tag) for r in found if r.hub) and all(r.a < r.b for r in found)
     pairs = {(r.a, r.b) for r in found}
     groups = {}
     for r in found:
         if r.hub:
             groups.setdefault(r.a, {r.a}).add(r.b)
-    for i, tag, keys in rows:
-        for j, other, other_keys in rows:
-            if i < j and keys[:4] == other_keys[:4] and (tag ^ other).bit_count() <= 14:
+    for i, tag, more, keys in rows:
+        for j, other, other_more, other_keys in rows:
+            if i < j and more ^ other_more < 7 and keys[:4] == other_keys[:4] and (tag ^ other).bit_count() <= 14:
                 assert (i, j) in pairs or any({i, j} <= g for g in groups.values())
     assert linkage.near_pairs(frame.limit(0), 0, 2, close).count() == 0
 
