@@ -26,6 +26,7 @@ BLOCK_KEYS = 4_000_000
 # Members of a key that are compared with each other to leave out those that share it by chance.
 SIFTED = 64
 _PAIRS = "key bigint, a bigint, a_tag bigint, b bigint, b_tag bigint"
+_NEAR = ["key", "a", "a_tag", "a_more", "b", "b_tag", "b_more"]
 _LOCAL = f"bucket bigint, crowded boolean, members binary, {_PAIRS}"
 
 
@@ -178,7 +179,7 @@ def near_pairs(
     keys_per_row: int,
     close: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
 ) -> DataFrame:
-    """``a, a_tag, b, b_tag, hub`` without repetition: pairs of rows that share a key, and have close tags.
+    """``a, a_tag, a_more, b, b_tag, b_more, hub`` without repetition: pairs of rows that share a key, and have close tags.
 
     ``rows`` has ``id``, ``tag`` and ``more``, bigint and not NULL, and ``keys``, ``keys_per_row`` keys of 32 bits each; rows
     may be repeated. ``close`` is given two arrays of tags and the bits in which their ``more`` differ. Pairs of a hub have
@@ -240,9 +241,8 @@ def near_pairs(
         key, member, tag, centre = _tied(key, member[row], tag[row])
         crowded = _run_sizes(centre) > SIFTED
         bound = crowded & (centre != np.arange(len(centre)))
-        ends = (key, member[centre], tag[centre, 0], member, tag[:, 0])
-        own = np.column_stack([x[bound] for x in ends])
-        out = [packed(own, -1 - (mixed(own[:, 3].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)]
+        own = np.column_stack([x[bound] for x in (key, member[centre], tag[centre], member, tag)])
+        out = [packed(own, -1 - (mixed(np.ascontiguousarray(own[:, 4]).view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)]
         key, member, tag, crowded = (x[~bound] for x in (key, member, tag, crowded))
         sent = np.column_stack([key.astype(np.int32), member.view(np.int32).reshape(-1, 2), tag.view(np.int32)])
         for of_crowd in (False, True):
@@ -260,8 +260,8 @@ def near_pairs(
     def tie_bucket(sent: pd.DataFrame) -> pd.DataFrame:
         hand_back()
         if sent["bucket"].iloc[0] < 0:
-            own = np.frombuffer(b"".join(sent["members"]), dtype="<i8").reshape(-1, 5)
-            return pd.DataFrame(own, columns=["key", "a", "a_tag", "b", "b_tag"]).assign(hub=True, own=True)
+            own = np.frombuffer(b"".join(sent["members"]), dtype="<i8").reshape(-1, 7)
+            return pd.DataFrame(own, columns=_NEAR).assign(hub=True, own=True)
 
         def unpacked(parts: pd.Series) -> np.ndarray:
             return np.frombuffer(b"".join(parts), dtype="<i4").reshape(-1, 7)
@@ -275,7 +275,9 @@ def near_pairs(
         key, member, tag, centre = _tied(key[fresh], member[fresh], tag[fresh])
         of_crowd = high | np.ascontiguousarray(unpacked(sent.loc[sent["crowded"], "members"])[:, 0]).view(np.uint32).astype(np.int64)
         crowd = (_run_sizes(centre) > SIFTED) | np.isin(key, of_crowd)
-        out = [_pairs(key[crowd], member[crowd], tag[crowd, 0], member[centre[crowd]], tag[centre[crowd], 0]).assign(hub=True)]
+        other = crowd & (member != member[centre])
+        hub = np.column_stack([x[other] for x in (key, member[centre], tag[centre], member, tag)])
+        out = [pd.DataFrame(hub, columns=_NEAR).assign(hub=True)]
         near = [np.zeros((0, 2), dtype=np.int64)]
         at = np.flatnonzero(~crowd)
         for step in range(1, SIFTED):
@@ -286,21 +288,20 @@ def near_pairs(
             x = at[close(tag[at, 0], tag[at + step, 0], tag[at, 1] ^ tag[at + step, 1])]
             near.append(np.column_stack([member[x], member[x + step]]))
         near = np.unique(np.concatenate(near), axis=0)
-        out.append(pd.DataFrame({"key": 0, "a": near[:, 0], "a_tag": 0, "b": near[:, 1], "b_tag": 0, "hub": False}))
+        out.append(pd.DataFrame(dict.fromkeys(_NEAR, 0) | {"a": near[:, 0], "b": near[:, 1], "hub": False}))
         return pd.concat(out, ignore_index=True).assign(own=False)
 
     packed_rows = rows.mapInPandas(pack, "g bigint, members binary").repartition("g")
     shared = _shared(packed_rows, blocks, members_of)
     sent = packed_rows.groupBy("g").cogroup(shared.groupBy("g")).applyInPandas(tie, "bucket bigint, crowded boolean, members binary")
-    tied = settle(sent.groupBy("bucket").applyInPandas(tie_bucket, f"{_PAIRS}, hub boolean, own boolean"))
+    tied = settle(sent.groupBy("bucket").applyInPandas(tie_bucket, f"{' bigint, '.join(_NEAR)} bigint, hub boolean, own boolean"))
     over_tasks = tied.where("NOT own")
-    moved = over_tasks.where("hub").select("key", F.col("b").alias("a"), F.struct("a", "a_tag").alias("_centre")).distinct()
-    of_tasks = tied.where("own").select("key", "a", "a_tag", "b", "b_tag").join(moved, ["key", "a"], "left")
-    of_tasks = of_tasks.select(
-        F.coalesce("_centre.a", "a").alias("a"), F.coalesce("_centre.a_tag", "a_tag").alias("a_tag"), "b", "b_tag", F.lit(True).alias("hub")
-    )
+    moved = over_tasks.where("hub").select("key", F.col("b").alias("a"), F.struct("a", "a_tag", "a_more").alias("_centre")).distinct()
+    of_tasks = tied.where("own").select(*_NEAR).join(moved, ["key", "a"], "left")
+    of_centre = [F.coalesce(f"_centre.{name}", name).alias(name) for name in ("a", "a_tag", "a_more")]
+    of_tasks = of_tasks.select(*of_centre, "b", "b_tag", "b_more", F.lit(True).alias("hub"))
     # a member may be a task's centre in one place and tied to itself as the key's centre in another
-    return of_tasks.unionByName(over_tasks.select("a", "a_tag", "b", "b_tag", "hub")).where("a <> b").distinct()
+    return of_tasks.unionByName(over_tasks.select(*_NEAR[1:], "hub")).where("a <> b").distinct()
 
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -214,8 +214,8 @@ def test_near_pairs_of_all_keys(spark, monkeypatch, sifted, gather):
     frame = spark.createDataFrame(rows + rows[:5], "id bigint, tag bigint, more bigint, keys binary").repartition(5)
     close = lambda x, y, more: (np.bitwise_count((x ^ y).view(np.uint64)) <= 14) & (more < 7)
     found = linkage.near_pairs(frame, len(rows), 2, close).collect()
-    tags = {i: tag for i, tag, _, _ in rows}
-    assert all((tags[r.a], tags[r.b]) == (r.a_tag, r.b_tag) for r in found if r.hub) and all(r.a < r.b for r in found)
+    tags = {i: (tag, more) for i, tag, more, _ in rows}
+    assert all((*tags[r.a], *tags[r.b]) == (r.a_tag, r.a_more, r.b_tag, r.b_more) for r in found if r.hub) and all(r.a < r.b for r in found)
     pairs = {(r.a, r.b) for r in found}
     groups = {}
     for r in found:
