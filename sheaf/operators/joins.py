@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.numbers import exact
 from sheaf.functions.text import _col
-from sheaf.operators.skew import SLICE_ROWS, balanced_join, hot_keys
+from sheaf.operators.skew import SLICE_ROWS, balanced_join, heavy_keys, hot_keys, key_hash
 
 # Fixed value: what a missing key is replaced by.
 BLANK_KEY = "blank"
@@ -23,6 +23,37 @@ def join_chain(first: DataFrame, *others: tuple[DataFrame, Sequence[str]]) -> Da
     return joined
 
 
+def join_skewed_chain(
+    first: DataFrame,
+    *others: tuple[DataFrame, Sequence[str]],
+    spread: Sequence[str],
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """:func:`join_chain` in which rows of heavy keys of ``first`` are spread over many tasks.
+
+    One pass over ``first`` sketches the heavy hitters of every key set that it has (:func:`skew.heavy_keys`), without
+    shuffling or counting its rows by key. In each join, the rows of a heavy key get a slice from a hash of ``spread``,
+    columns of ``first`` that tell the rows of one key apart, and the other side's rows are repeated per slice. Keys that
+    a later table brings in are left to adaptive execution. The rows are those of :func:`join_chain`; missing keys match
+    nothing.
+    """
+    known = {c.lower() for c in first.columns}
+    own = [list(keys) for _, keys in others if known >= {k.lower() for k in keys}]
+    heavy = dict(zip(map(tuple, own), heavy_keys(first, own, slice_rows))) if own else {}
+    joined = first
+    for other, keys in others:
+        hot = heavy.get(tuple(keys))
+        if hot is None:
+            joined = joined.join(other, list(keys), "inner")
+            continue
+        hashed = [frame.withColumn("_key", key_hash(keys)) for frame in (joined, other)]
+        columns = [*joined.columns, *[c for c in other.columns if c not in keys]]
+        sliced = balanced_join(*hashed, ["_key", *keys], spread, hot, hot_by=["_key"], slice_rows=slice_rows)
+        order = [*keys, *[c for c in columns if c not in keys]]
+        joined = sliced.select(*order)
+    return joined
+
+
 def fill_null_keys(df: DataFrame, keys: Sequence[str], fill: str = BLANK_KEY) -> DataFrame:
     """Replace missing keys by a fixed text."""
     return df.na.fill(fill, list(keys))

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 # the largest; further keys are left to adaptive execution.
 SLICE_ROWS = 1_000_000
 HOT_KEYS = 100_000
+# Keys that a sketch of heavy hitters follows at once, and how many it names at most. A key that holds more than about
+# a four-thousandth of the rows is found; rarer ones are left to adaptive execution.
+TRACKED_KEYS = 20_000
+NAMED_KEYS = 2_000
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str = "rows", slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -29,6 +33,44 @@ def count_rows_by(df: DataFrame, keys: Sequence[str], rows: str = "rows") -> Dat
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(rows))
 
 
+def heavy_keys(
+    df: DataFrame,
+    key_sets: Sequence[Sequence[str]],
+    slice_rows: int = SLICE_ROWS,
+    tracked: int = TRACKED_KEYS,
+    named: int = NAMED_KEYS,
+) -> list[DataFrame]:
+    """For each set of keys, ``_key, slices`` of its heavy hitters, ``_key`` being :func:`key_hash` of the keys.
+
+    One pass over ``df`` builds a mergeable sketch of bounded size per set and task; only sketches are shuffled, never a
+    row or a count per key. Counts are estimates, which is enough to decide where rows go. Keys with a missing part join
+    nothing and are not named.
+    """
+    found = df.select(
+        *[F.when(~_any_missing(keys), key_hash(keys)).alias(f"_key_{i}") for i, keys in enumerate(key_sets)]
+    ).agg(*[F.expr(f"approx_top_k(_key_{i}, {named}, {tracked})").alias(f"_top_{i}") for i in range(len(key_sets))])
+    # one array, so that all sets come from the same pass
+    tops = F.concat(*[F.transform(f"_top_{i}", _of_set(i)) for i in range(len(key_sets))])
+    heavy = found.select(F.inline(tops)).where((F.col("n") > slice_rows) & F.col("_key").isNotNull())
+    slices = F.ceil(F.col("n") / slice_rows).alias("slices")
+    return [heavy.where(F.col("set") == i).select("_key", slices) for i in range(len(key_sets))]
+
+
+def _of_set(i: int):
+    return lambda top: F.struct(F.lit(i).alias("set"), top["item"].alias("_key"), top["count"].alias("n"))
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def _any_missing(keys: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return missing
+
+
 def balanced_join(
     large: DataFrame,
     lookup: DataFrame,
@@ -38,6 +80,7 @@ def balanced_join(
     lookup_spread: Sequence[str] = (),
     lookup_hot: DataFrame | None = None,
     slice_rows: int = SLICE_ROWS,
+    hot_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner join on ``keys`` in which the rows of a hot key are spread over many tasks.
 
@@ -46,18 +89,20 @@ def balanced_join(
     the rows of ``large`` are repeated: a key hot on both sides becomes a grid of slices. All other rows have slice 0.
     A slice depends on the row's content only, so a task that is run again sends its rows to the same place. ``spread``
     should tell the rows of one key apart; combine copies first. Pass ``hot`` and ``lookup_hot`` where row counts are at
-    hand, it saves counting. Columns of ``large`` come first.
+    hand, it saves counting; ``hot_by`` names the columns that identify a key in them if not all of ``keys`` do. Columns of
+    ``large`` come first.
     """
     keys = list(keys)
+    names = list(hot_by or keys)
     if hot is None:
         hot = hot_keys(count_rows_by(large, keys), keys, slice_rows=slice_rows)
     one = F.lit(1).cast("bigint")
-    cuts = hot.select(*keys, F.col("slices").alias("_slices"), one.alias("_lookup_slices"))
+    cuts = hot.select(*names, F.col("slices").alias("_slices"), one.alias("_lookup_slices"))
     if lookup_spread:
         if lookup_hot is None:
             lookup_hot = hot_keys(count_rows_by(lookup, keys), keys, slice_rows=slice_rows)
-        both = cuts.unionByName(lookup_hot.select(*keys, one.alias("_slices"), F.col("slices").alias("_lookup_slices")))
-        cuts = both.groupBy(*keys).agg(
+        both = cuts.unionByName(lookup_hot.select(*names, one.alias("_slices"), F.col("slices").alias("_lookup_slices")))
+        cuts = both.groupBy(*names).agg(
             F.max("_slices").alias("_slices"), F.max("_lookup_slices").alias("_lookup_slices")
         )
     cuts = F.broadcast(cuts)
@@ -71,12 +116,12 @@ def balanced_join(
         return F.explode(F.sequence(first, F.coalesce(slices, one) - 1))
 
     left = (
-        large.join(cuts, keys, "left")
+        large.join(cuts, names, "left")
         .withColumn("_slice", of_row(spread, "_slices"))
         .withColumn("_lookup_slice", every("_lookup_slices") if lookup_spread else first)
     )
     right = (
-        lookup.join(cuts, keys, "left")
+        lookup.join(cuts, names, "left")
         .withColumn("_slice", every("_slices"))
         .withColumn("_lookup_slice", of_row(lookup_spread, "_lookup_slices"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions import bucket, numbers, text
-from sheaf.operators import folds, graph, joins, keyed, products, quality, words
+from sheaf.operators import exactsums, folds, graph, joins, keyed, products, quality, words
 from sheaf.plans import tables as t
 from sheaf.sources import lines as src
 from sheaf.sources import sinks
@@ -392,6 +392,33 @@ def three_table_join(spark: SparkSession, folder: str) -> DataFrame:
     return joins.join_chain(items, (orders, ["o_orderkey"]), (customers, ["o_custkey"]))
 
 
+SQL_CHAIN = """SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber, s_name, p_name FROM lineitem
+JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey"""
+
+
+def _supplier_part_chain(spark: SparkSession, folder: str, slice_rows: int) -> DataFrame:
+    items = t.table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
+    suppliers = t.table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    parts = t.table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return joins.join_skewed_chain(
+        items,
+        (suppliers, ["l_suppkey"]),
+        (parts, ["l_partkey"]),
+        spread=["l_orderkey", "l_linenumber"],
+        slice_rows=slice_rows,
+    )
+
+
+@query(SQL_CHAIN)
+def supplier_part_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return _supplier_part_chain(spark, folder, joins.SLICE_ROWS)
+
+
+@query(SQL_CHAIN)
+def supplier_part_chain_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    return _supplier_part_chain(spark, folder, 20)
+
+
 @query(SQL_TOTALS)
 def order_totals(spark: SparkSession, folder: str) -> DataFrame:
     return joins.order_totals(t.invoice_items(spark, folder), F.col("amount"))
@@ -679,3 +706,35 @@ def _weighted(spark: SparkSession, folder: str, by: list[str], *leading: str) ->
 def compensated_sum(spark: SparkSession, folder: str) -> DataFrame:
     sums = folds.compensated_sum(t.table(spark, folder, "lineitem"), "l_extendedprice", ["l_returnflag"])
     return sums.withColumn("total", F.round("total", 2))
+
+
+@query(
+    f"""SELECT l_suppkey, CAST(sum({sql_cents('l_extendedprice')}) AS DOUBLE) / 100 AS price,
+  CAST(sum({sql_cents('l_tax')}) AS DOUBLE) / 100 AS tax, max(l_discount) AS most FROM lineitem GROUP BY 1"""
+)
+def exact_totals(spark: SparkSession, folder: str) -> DataFrame:
+    items = t.table(spark, folder, "lineitem")
+    sums = exactsums.exact_totals(
+        items, {"price": "l_extendedprice", "tax": "l_tax"}, ["l_suppkey"], {"most": (F.max, "l_discount")}
+    )
+    return sums.withColumns({"price": F.round("price", 2), "tax": F.round("tax", 2)})
+
+
+@query(
+    f"""SELECT l_suppkey, CAST(sum(CAST({sql_cents('l_extendedprice')} AS HUGEINT) * {sql_cents('l_discount')}) AS DOUBLE) / 10000 AS dot
+FROM lineitem GROUP BY 1"""
+)
+def exact_dot(spark: SparkSession, folder: str) -> DataFrame:
+    sums = exactsums.exact_dot(t.table(spark, folder, "lineitem"), "l_extendedprice", "l_discount", ["l_suppkey"])
+    return sums.withColumn("dot", F.round("dot", 4))
+
+
+@query(
+    f"""SELECT l_suppkey, CAST(sum(CAST(c AS HUGEINT) * i) AS DOUBLE) / 100 AS weighted FROM (
+  SELECT l_suppkey, {sql_cents('l_extendedprice')} AS c,
+    row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, {', '.join(POSITION_ORDER)}, l_extendedprice) AS i FROM lineitem) GROUP BY 1"""
+)
+def position_weighted_doubles(spark: SparkSession, folder: str) -> DataFrame:
+    items = t.table(spark, folder, "lineitem")
+    sums = folds.position_weighted_sum(items, "l_extendedprice", ["l_orderkey", *POSITION_ORDER], ["l_suppkey"])
+    return sums.withColumn("weighted", F.round("weighted", 2))

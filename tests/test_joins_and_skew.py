@@ -181,3 +181,42 @@ def test_list_of_hot_keys_is_bounded(spark, monkeypatch):
     lookup = spark.range(10).selectExpr("id AS k", "id * 2 AS w")
     found = skew.balanced_join(large, lookup, ["k"], ["v"], slice_rows=4)
     assert rows(found) == rows(large.join(lookup, "k").select("k", "v", "w"))
+
+
+def test_heavy_keys_by_sketch(frame):
+    rows = [(1, "x", i) for i in range(3000)] + [(i, "y", i) for i in range(2, 1000)] + [(None, "z", i) for i in range(5000)]
+    df = frame(rows, "a int, b string, i int")
+    by_a, by_both = skew.heavy_keys(df, [["a"], ["a", "b"]], slice_rows=500)
+    wanted = df.where("a = 1").select(skew.key_hash(["a"]).alias("a"), skew.key_hash(["a", "b"]).alias("b")).first()
+    assert [(r["_key"], r["slices"]) for r in by_a.collect()] == [(wanted.a, 6)]
+    assert [(r["_key"], r["slices"]) for r in by_both.collect()] == [(wanted.b, 6)]
+
+
+def test_skewed_chain_is_the_plain_chain(frame):
+    big = frame([(i % 7 if i % 2 else 3, i % 5 if i % 3 else None, i) for i in range(900)], "k int, m int, i int")
+    first = frame([(k, f"k{k}") for k in range(6)] + [(3, "again"), (None, "none")], "k int, name string")
+    second = frame([(m, "w") for m in range(5)] + [(None, "w"), (0, "twice")], "m int, w string")
+    late = frame([("w", 1), ("w", 2)], "w string, late int")
+    chain = [(first, ["k"]), (second, ["m"]), (late, ["w"])]
+    plain = joins.join_chain(big, *chain)
+    for slice_rows in (10, 100, 10_000):
+        sliced = joins.join_skewed_chain(big, *chain, spread=["i"], slice_rows=slice_rows)
+        assert sorted(sliced.columns) == sorted(plain.columns)
+        assert rows(sliced.select(*plain.columns)) == rows(plain)
+    assert joins.join_skewed_chain(big.limit(0), *chain, spread=["i"]).count() == 0
+
+
+def test_sketches_shuffle_no_row_of_the_large_side(spark, frame):
+    """Rows of the large side are shuffled once per join that cannot broadcast, never for the counting."""
+    big = frame([(i % 7, i) for i in range(900)], "k int, i int")
+    other = frame([(k, "x") for k in range(7)], "k int, name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joins.join_skewed_chain(big, (other, ["k"]), spread=["i"], slice_rows=10)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    physical = plan.split("== Physical Plan ==")[1]
+    assert "partial_approx_top_k" in physical
+    assert len(re.findall(r"Exchange hashpartitioning\(_key", physical)) == 2  # one for each side of the join
+    assert not re.search(r"HashAggregate\(keys=\[(?!\])", physical)

@@ -40,7 +40,7 @@ def test_rows_never_meet_in_one_task(spark, name):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             below = lines[i + 1]
-            per_task = re.search(r"HashAggregate\(keys=\[\], functions=\[(partial_|merge_)", below)
+            per_task = re.search(r"(?:Object)?HashAggregate\(keys=\[\], functions=\[(partial_|merge_)", below)
             per_part = re.search(r"HashAggregate\(keys=\[_part#\d+L?\]", below)
             assert per_task or per_part or "LocalLimit" in below, below
 
