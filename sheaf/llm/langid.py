@@ -22,9 +22,14 @@ GRAMS = (1, 2, 3)
 # Labelled texts per language, as expected number, that centroids are fitted on. All texts count for frequencies.
 SAMPLE = 600
 CENTROIDS = 4
-# A text is rejected if its cosine to the nearest centroid is below this share of what the lowest thousandth of the
-# sample has to its own centroid: far outside of anything the centroids were fitted on.
-REJECT_SHARE = 0.5
+# A text is rejected if its cosine to the nearest centroid is below this share of what the lowest hundredth of the sample
+# has to its own centroid. A text of fewer than FULL_GRAMS different n-grams can only come so near, so that for it the
+# limit falls with the root of their number.
+REJECT_QUANTILE = 0.01
+REJECT_SHARE = 0.65
+FULL_GRAMS = 150
+# Characters of a text that are counted at once.
+PIECE = 1 << 18
 UNDETERMINED = "und"
 
 _LETTERS: np.ndarray | None = None
@@ -41,22 +46,31 @@ def letters() -> np.ndarray:
 
 
 def gram_counts(text: str | None, dimensions: int = DIMENSIONS) -> np.ndarray | None:
-    """Counts of the hashed n-grams of a text in lower case, anything but letters read as a blank; None without letter."""
-    raw = (text or "").lower().encode("utf-32-le", "surrogatepass")
-    codes = letters()[np.frombuffer(raw, dtype=np.uint32)]
-    if not len(codes) or not (codes != 32).any():
-        return None
-    codes = np.concatenate(([32], codes, [32])).astype(np.uint32)
-    codes = codes[(codes != 32) | np.concatenate(([True], codes[:-1] != 32))]  # runs of blanks as one
+    """Counts of the hashed n-grams of a text in lower case, anything but letters read as a blank; None without letter.
+
+    Long texts are counted piece by piece, each with the last characters of the one before, so that the arrays stay small.
+    """
+    text = (text or "").lower()
     counts = np.zeros(dimensions, dtype=np.int64)
-    hashed = np.zeros(len(codes), dtype=np.uint32)
-    for n in range(1, max(GRAMS) + 1):
-        hashed = hashed[: len(codes) - n + 1] * np.uint32(0x9E3779B1) + codes[n - 1 :]
-        if n in GRAMS and len(hashed):
-            mixed = (hashed ^ (hashed >> np.uint32(15))) * np.uint32(0x85EBCA77)
-            mixed = (mixed ^ (mixed >> np.uint32(13))) % np.uint32(dimensions)
-            counts += np.bincount(mixed, minlength=dimensions)
-    return counts
+    before, new, lettered = np.array([32], dtype=np.uint32), 0, False
+    for at in range(0, len(text), PIECE):
+        raw = text[at : at + PIECE].encode("utf-32-le", "surrogatepass")
+        codes = letters()[np.frombuffer(raw, dtype=np.uint32)]
+        lettered = lettered or bool((codes != 32).any())
+        end = [32] if at + PIECE >= len(text) else []
+        codes = np.concatenate((before, codes, end)).astype(np.uint32)
+        codes = codes[(codes != 32) | np.concatenate(([True], codes[:-1] != 32))]  # runs of blanks as one
+        hashed = np.zeros(len(codes), dtype=np.uint32)
+        for n in range(1, max(GRAMS) + 1):
+            hashed = hashed[: len(codes) - n + 1] * np.uint32(0x9E3779B1) + codes[n - 1 :]
+            fresh = hashed[max(new - n + 1, 0) :]  # the others end in the piece before
+            if n in GRAMS and len(fresh):
+                mixed = (fresh ^ (fresh >> np.uint32(15))) * np.uint32(0x85EBCA77)
+                mixed = (mixed ^ (mixed >> np.uint32(13))) % np.uint32(dimensions)
+                counts += np.bincount(mixed, minlength=dimensions)
+        before = codes[1 - max(GRAMS) :]
+        new = len(before)
+    return counts if lettered else None
 
 
 def vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -97,10 +111,11 @@ class LanguageModel:
         counts = gram_counts(text, len(self.idf))
         if counts is None or not len(self.languages):
             return UNDETERMINED, 0.0, True
-        cosines = self.centroids @ vector(counts, self.idf)
+        cosines = self.centroids @ vector(counts, self.idf)  # of equal ones, the first language by name
         best = int(cosines.argmax())
         score = float(min(max(cosines[best], 0.0), 1.0))
-        return self.languages[best], score, bool(score < self.least[best])
+        limit = self.least[best] * min(1.0, np.sqrt(np.count_nonzero(counts) / FULL_GRAMS))
+        return self.languages[best], score, bool(score < limit)
 
 
 def fit(
@@ -158,7 +173,7 @@ def fit(
         vectors = np.array([vector(c, idf) for c in counts], dtype=np.float32).reshape(-1, dimensions)
         centers = cluster(vectors, centroids) if len(vectors) else np.zeros((0, dimensions), dtype=np.float32)
         cosines = (vectors @ centers.T).max(axis=1) if len(vectors) else np.zeros(1)
-        least = float(np.quantile(cosines, 0.001)) * REJECT_SHARE
+        least = float(np.quantile(cosines, REJECT_QUANTILE)) * REJECT_SHARE
         return pd.DataFrame(
             {"lang": group["lang"].iloc[0], "center": [c.astype("<f4").tobytes() for c in centers], "least": least}
         )
@@ -186,7 +201,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
     """``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``rejected``; columns of these names are replaced.
 
     A text that is NULL or has no letter is ``und``, score 0, rejected. Any other text gets the language of its nearest
-    centroid, and is rejected if that is farther than the model allows. Only the text is looked at, all of it.
+    centroid, of equally near ones the language that comes first by name, and is rejected if that is farther than the model
+    allows. Repeated rows are judged alike. Only the text is looked at, all of it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

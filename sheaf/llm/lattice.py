@@ -1,11 +1,13 @@
 """Near-duplicate embeddings by lattice hashing.
 
 A vector of length one is projected to eight dimensions by random directions, several times over; each projection is
-decoded to the nearest point of the E8 lattice, the cell, and to its nearest neighbouring cells. Vectors that share a
-cell in some table are compared by cosine in double precision.
+decoded to the nearest point of the E8 lattice, the cell, and to its nearest neighbouring cells. A key of a table combines
+the cells of two or three independent projections, neighbours in all combinations; how many follows from the number of
+vectors, since unrelated ones meet by chance in a share of all pairs. Vectors that share a key of some table are compared
+by cosine in double precision.
 
-Members of a cell are tied to the smallest one; the vectors tied to one centre form a group, so any two that share a
-cell are together in a group. Groups are compared in blocks. A pair that meets in several groups counts in the one with
+Members of a key are tied to the smallest one; the vectors tied to one centre form a group, so any two that share a
+key are together in a group. Groups are compared in blocks. A pair that meets in several groups counts in the one with
 the smallest centre. Blocks give numbers of links and a forest, no list of pairs.
 """
 
@@ -23,11 +25,13 @@ from pyspark.sql import functions as F
 from sheaf.llm import linkage
 from sheaf.llm.common import settle
 
-TABLES = 16
-# Neighbouring cells that a vector is entered in besides its own, in each table.
+# Cells that a key combines up to so many vectors, and the tables for that; beyond the last, the longest key stays. As
+# measured, two vectors with a cosine of 0.98 share a key of two cells in one table with probability 0.74 (0.86 a cell), and
+# none of 8 tables in 2 of 100,000 cases; unrelated ones share one with probability 8e-8 a table.
+KEYS = ((10_000_000, 2, 8), (1 << 62, 3, 11))
+# Neighbouring cells that a vector is entered in besides its own, for each projection.
 PROBES = 2
-# Scale of the projections: two vectors with a cosine of 0.98 share a cell of one table with probability 0.62.
-SCALE = 1.4
+SCALE = 1.0
 # Vectors of a group that are compared at once.
 BLOCK = 1000
 
@@ -61,23 +65,31 @@ def nearest_point(x: np.ndarray) -> np.ndarray:
     return np.where(nearer[:, None], a, b)
 
 
-def cells(units: np.ndarray, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE) -> np.ndarray:
-    """Keys of the cells of unit vectors, one row each: own and neighbouring cells of every table."""
+def key_shape(n_vectors: int) -> tuple[int, int]:
+    """How many cells a key combines and how many tables there are, for so many vectors."""
+    return next((points, tables) for most, points, tables in KEYS if n_vectors <= most)
+
+
+def cells(units: np.ndarray, points: int, tables: int, probes: int = PROBES, scale: float = SCALE) -> np.ndarray:
+    """Keys of unit vectors, one row each: in every table, the cells of ``points`` projections in all combinations."""
     short = shortest_vectors()
     keys = []
     for table in range(tables):
-        directions = np.random.default_rng([table, units.shape[1]]).normal(size=(units.shape[1], 8)) * scale
-        y = units @ directions
-        own = nearest_point(y)
-        # |y - (own + v)|^2 is smallest where v points along y - own
-        along = (y - own) @ short.T
-        near = np.argsort(-along, axis=1, kind="stable")[:, :probes]
-        points = np.concatenate([own[:, None, :], own[:, None, :] + short[near]], axis=1)
-        doubled = np.rint(2 * points).astype(np.int64).astype(np.uint64)
-        key = np.full(doubled.shape[:2], table + 1, dtype=np.uint64)
-        for i in range(8):
-            key = (key ^ doubled[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
+        key = np.full((len(units), 1), table + 1, dtype=np.uint64)
+        for point in range(points):
+            directions = np.random.default_rng([table, point, units.shape[1]]).normal(size=(units.shape[1], 8)) * scale
+            y = units @ directions
+            own = nearest_point(y)
+            # |y - (own + v)|^2 is smallest where v points along y - own
+            along = (y - own) @ short.T
+            near = np.argsort(-along, axis=1, kind="stable")[:, :probes]
+            found = np.concatenate([own[:, None, :], own[:, None, :] + short[near]], axis=1)
+            doubled = np.rint(2 * found).astype(np.int64).astype(np.uint64)
+            key = np.repeat(key, 1 + probes, axis=1)
+            doubled = np.tile(doubled, (1, key.shape[1] // (1 + probes), 1))
+            for i in range(8):
+                key = (key ^ doubled[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
+                key ^= key >> np.uint64(29)
         keys.append(key)
     return np.concatenate(keys, axis=1)
 
@@ -114,19 +126,22 @@ def _classes(vectors: DataFrame, id_column: str, vector_column: str, label_colum
 
 
 def _centres(classes: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of vectors that share a cell, each with the cell's smallest vector."""
+    """Pairs ``a, b`` of vectors that share a key, each with the key's smallest vector."""
+    n_vectors = classes.count()
+    points, tables = key_shape(n_vectors)
+    n_keys = tables * (1 + PROBES) ** points
 
     def keys(batch: pd.DataFrame) -> np.ndarray:
-        out = np.zeros((len(batch), TABLES * (1 + PROBES)), dtype=np.uint64)
+        out = np.zeros((len(batch), n_keys), dtype=np.uint64)
         # vectors of different dimensions never meet
         for size, at in batch.groupby(batch["unit"].str.len()).indices.items():
             units = np.frombuffer(b"".join(batch["unit"].iloc[at]), dtype="<f8").reshape(len(at), -1)
             label = [xxhash.xxh3_64_intdigest(f"{size} {x}") for x in batch["label"].iloc[at]]
-            out[at] = cells(units) ^ np.array(label, dtype=np.uint64)[:, None]
+            out[at] = cells(units, points, tables) ^ np.array(label, dtype=np.uint64)[:, None]
         return out.view(np.int64)
 
     rows = classes.select(F.col("node").alias("id"), F.lit(0).cast("bigint").alias("tag"), "unit", "label")
-    return linkage.stars(rows, classes.count(), keys, TABLES * (1 + PROBES)).select("a", "b")
+    return linkage.stars(rows, n_vectors, keys, n_keys).select("a", "b")
 
 
 def _compared(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
@@ -192,7 +207,7 @@ def near_vectors(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept``, one row per row of ``vectors``.
 
-    Two rows are linked if their labels are equal and not NULL, their vectors have the same dimension, share a cell and
+    Two rows are linked if their labels are equal and not NULL, their vectors have the same dimension, share a key and
     have a cosine of at least ``threshold``. Vectors that are NULL, empty, zero, or hold NULL or a non-finite number link
     with nothing. ``n_links`` counts the other rows linked directly, copies included; ``component_id`` is the smallest
     ``vec_id`` reachable; ``kept`` marks the rows that bear it. Rows with the same ``vec_id`` are one vertex. Rows without

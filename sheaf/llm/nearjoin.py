@@ -1,16 +1,17 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
 A document is its set of five-word shingles. ``SYMBOLS`` MinHash values of ``BITS`` bits each are its signature; two
-signatures differ in few symbols if the sets are alike. Signatures are cut into ``CHUNKS`` chunks. If two differ in at
-most ``DISTANCE`` symbols, some chunk has at most ``DISTANCE // CHUNKS`` of them (pigeonhole), so the keys of a document
-are its chunks with every choice of that many symbols left out: all pairs under the distance share a key. Links are
-confirmed on the full sets.
+signatures differ in few symbols if the sets are alike: the distance follows from the similarity asked for, see
+:func:`signature_distance`. Signatures are cut into more chunks than half of that. If two differ in no more symbols, some
+chunk has at most one of them (pigeonhole), so the keys of a document are its chunks with each symbol left out in turn:
+all pairs under the distance share a key. Links are confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -25,9 +26,8 @@ from sheaf.llm.repeats import mixed, window_hashes, word_hashes
 SHINGLE = 5
 SYMBOLS = 64
 BITS = 16
-CHUNKS = 12
-# At a similarity of 0.85, 9.6 of 64 symbols differ on average; 24 or more do in about one of 10^5 pairs.
-DISTANCE = 23
+# Share of pairs at the very similarity asked for whose signatures differ more than is searched.
+MISSED = 1e-5
 # Documents that are compared with each other at once.
 BLOCK = 500
 # Ids may be broadcast up to this number (16 MB).
@@ -54,9 +54,23 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mixed(least.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
-def chunk_keys(signatures: np.ndarray, chunks: int = CHUNKS, distance: int = DISTANCE) -> np.ndarray:
+def signature_distance(percent: int) -> int:
+    """The least number of symbols that more than differ in at most ``MISSED`` of the pairs of that similarity.
+
+    A symbol differs with the chance that the sets' similarity leaves, so the number is binomial: 23 of 64 for 85, 28 for 80.
+    """
+    apart = 1 - min(max(percent, 0), 100) / 100
+    beyond, distance = 1.0, -1
+    while beyond > MISSED and distance < SYMBOLS:
+        distance += 1
+        beyond = sum(comb(SYMBOLS, k) * apart**k * (1 - apart) ** (SYMBOLS - k) for k in range(distance + 1, SYMBOLS + 1))
+    return distance
+
+
+def chunk_keys(signatures: np.ndarray, distance: int) -> np.ndarray:
     """Keys of signatures, one row each: two with at most ``distance`` different symbols share one."""
     keys = []
+    chunks = min(distance // 2 + 1, signatures.shape[1])
     errors = distance // chunks
     for number, chunk in enumerate(np.array_split(np.arange(signatures.shape[1]), chunks)):
         for left_out in combinations(chunk, min(errors, len(chunk))):
@@ -84,14 +98,14 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), signed(F.col("text").cast("binary")).alias("s")).select("doc_id", "s.*")
 
 
-def _centres(classes: DataFrame) -> DataFrame:
+def _centres(classes: DataFrame, distance: int) -> DataFrame:
     """Pairs of classes that share a key, each with the key's smallest class; tags are the sizes of their sets."""
 
     def keys(batch: pd.DataFrame) -> np.ndarray:
-        return chunk_keys(np.frombuffer(b"".join(batch["sig"]), dtype="<u2").reshape(len(batch), -1))
+        return chunk_keys(np.frombuffer(b"".join(batch["sig"]), dtype="<u2").reshape(len(batch), -1), distance)
 
     rows = classes.select("id", F.col("n_shingles").alias("tag"), "sig")
-    return linkage.stars(rows, classes.count(), keys, chunk_keys(np.zeros((1, SYMBOLS), dtype=np.uint16)).shape[1])
+    return linkage.stars(rows, classes.count(), keys, chunk_keys(np.zeros((1, SYMBOLS), dtype=np.uint16), distance).shape[1])
 
 
 def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
@@ -122,12 +136,13 @@ def _alike(n_a: int, n_b: int, common: int, percent: int) -> bool:
     return 100 * common >= percent * (n_a + n_b - common)
 
 
-def block_links(left: pd.DataFrame, right: pd.DataFrame, percent: int, distance: int = DISTANCE) -> pd.DataFrame:
+def block_links(left: pd.DataFrame, right: pd.DataFrame, percent: int, distance: int | None = None) -> pd.DataFrame:
     """Links between ``left`` and ``right`` (``id, sig, shingles``), reduced to a forest of stars ``a, b``.
 
     Pairs within the signature distance are confirmed on the full sets. Intersections come from products of 0/1
     matrices over a few thousand shingles at a time, so memory is bounded however long the texts are.
     """
+    distance = signature_distance(percent) if distance is None else distance
     everything = pd.concat([left, right], ignore_index=True).drop_duplicates("id", ignore_index=True)
     sets = [np.frombuffer(s, dtype="<u8") for s in everything["shingles"]]
     place = {i: k for k, i in enumerate(everything["id"])}
@@ -174,7 +189,8 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     Every document is compared with the centres of its keys. In the groups where that leaves documents unlinked, these
     are compared with all others of the group that are near in size, in blocks of bounded size.
     """
-    pairs = settle(_centres(classes))
+    distance = signature_distance(percent)
+    pairs = settle(_centres(classes, distance))
     fit = pairs.where(100 * F.least("a_tag", "b_tag") >= percent * F.greatest("a_tag", "b_tag")).select("a", "b")
     sig = classes.select("id", "sig")
 
@@ -187,7 +203,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     with_a = fit.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
     with_both = with_a.join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
-    near = settle(with_both.where(differing("sig_a", "sig_b") <= DISTANCE).select("a", "b"))
+    near = settle(with_both.where(differing("sig_a", "sig_b") <= distance).select("a", "b"))
     ids = settle(near.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     sets = settle(_sets(docs, classes, ids, ids.count()))
 

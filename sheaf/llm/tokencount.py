@@ -36,7 +36,7 @@ class UnigramCounter:
     Candidates for an end are tried by ascending start and replace the best one only if strictly better, so the
     longest last piece wins a tie. A character that no piece of its own length covers may stand alone at the lowest
     score less ten; it counts as its UTF-8 bytes where the vocabulary has all of them (byte fallback), else a run of
-    such characters counts as one unknown piece.
+    such characters counts as one unknown piece. Memory follows the longest piece, not the word.
     """
 
     def __init__(self, pieces: Sequence[tuple[str, float]]):
@@ -47,6 +47,7 @@ class UnigramCounter:
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max((len(piece) for piece, _ in pieces), default=1) or 1
         known = {piece for piece, _ in pieces}
         self.unknown = min((score for _, score in pieces), default=0.0) - UNKNOWN_PENALTY
         self.byte_fallback = all(f"<0x{b:02X}>" in known for b in range(256))
@@ -54,33 +55,34 @@ class UnigramCounter:
 
     def best(self, word: str) -> tuple[int, float]:
         """``(pieces, score)`` of one word, its mark included."""
-        n = len(word)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(word) if len(self.automaton) else ():
-            ending[end].append(match)
-        score = [0.0] * (n + 1)
-        count = [0] * (n + 1)
-        tail_unknown = [False] * (n + 1)
-        for end in range(1, n + 1):
+        size = self.longest + 1
+        # places behind the longest piece are never asked for again, so the last ``size`` ends are all that is kept
+        score, count, tail_unknown = [0.0] * size, [0] * size, [False] * size
+        matches = self.automaton.iter(word) if len(self.automaton) else iter(())
+        match_end, match = next(matches, (-1, None))
+        now = 0
+        for end in range(1, len(word) + 1):
             best, start, unknown, single = None, 0, False, False
-            for length, piece_score in ending[end - 1]:  # longest first
+            while match_end == end - 1:  # longest first
+                length, piece_score = match
                 single = single or length == 1
-                candidate = score[end - length] + piece_score
+                candidate = score[(end - length) % size] + piece_score
                 if best is None or candidate > best:
-                    best, start = candidate, end - length
+                    best, start = candidate, (end - length) % size
+                match_end, match = next(matches, (-1, None))
             if not single:
-                candidate = score[end - 1] + self.unknown
+                candidate = score[(end - 1) % size] + self.unknown
                 if best is None or candidate > best:
-                    best, start, unknown = candidate, end - 1, True
-            score[end] = best
-            tail_unknown[end] = unknown
+                    best, start, unknown = candidate, (end - 1) % size, True
             if not unknown:
-                count[end] = count[start] + 1
+                pieces = count[start] + 1
             elif self.byte_fallback:
-                count[end] = count[start] + len(word[end - 1].encode("utf-8", "replace"))
+                pieces = count[start] + len(word[end - 1].encode("utf-8", "replace"))
             else:
-                count[end] = count[start] + (0 if tail_unknown[start] else 1)
-        return count[n], score[n]
+                pieces = count[start] + (0 if tail_unknown[start] else 1)
+            now = end % size
+            score[now], count[now], tail_unknown[now] = best, pieces, unknown
+        return count[now], score[now]
 
     def __call__(self, text: str) -> tuple[int, int, float]:
         """``(words, pieces, score)`` of a text: its words, each with the mark in front, one by one."""
@@ -100,7 +102,8 @@ class UnigramCounter:
 def count_tokens(docs: DataFrame, pieces: Sequence[tuple[str, float]], text_column: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``n_tokens`` and ``score`` of the whole text; columns of these names are replaced.
 
-    NULL and texts without a word have 0 of each. Texts of any length are read word by word. The vocabulary is sent
+    NULL and texts without a word have 0 of each; repeated rows are counted row by row. Texts of any length are read word
+    by word, and words of any length with the last few ends in memory. The vocabulary is sent
     with the tasks; its size does not depend on the documents.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(list(pieces))

@@ -60,26 +60,31 @@ def test_missing_repeated_and_long_texts(docs):
     assert nearjoin.near_duplicates(docs([])).count() == 0
 
 
-def test_pairs_under_the_distance_share_a_key():
+@pytest.mark.parametrize("percent", [60, 80, 85, 95, 100])
+def test_pairs_under_the_distance_share_a_key(percent):
+    distance = nearjoin.signature_distance(percent)
     rng = np.random.default_rng(5)
     a = rng.integers(0, 2**16, (500, nearjoin.SYMBOLS)).astype(np.uint16)
     b = a.copy()
     for row in b:
-        at = rng.choice(nearjoin.SYMBOLS, nearjoin.DISTANCE, replace=False)
+        at = rng.choice(nearjoin.SYMBOLS, distance, replace=False)
         row[at] ^= rng.integers(1, 2**16, len(at)).astype(np.uint16)
-    for x, y in zip(nearjoin.chunk_keys(a), nearjoin.chunk_keys(b)):
+    for x, y in zip(nearjoin.chunk_keys(a, distance), nearjoin.chunk_keys(b, distance)):
         assert set(x) & set(y)
-    assert not np.isin(nearjoin.chunk_keys(a[:50]), nearjoin.chunk_keys(rng.integers(0, 2**16, (50, 64)).astype(np.uint16))).any()
+    other = rng.integers(0, 2**16, (50, 64)).astype(np.uint16)
+    assert percent < 80 or not np.isin(nearjoin.chunk_keys(a[:50], distance), nearjoin.chunk_keys(other, distance)).any()
 
 
-def test_few_borderline_pairs_exceed_the_distance():
+@pytest.mark.parametrize("percent, distance, apart", [(85, 23, 18), (80, 28, 24)])
+def test_few_borderline_pairs_exceed_the_distance(percent, distance, apart):
     """Sets at the threshold: the share of signatures beyond the distance is as small as stated."""
+    assert nearjoin.signature_distance(percent) == distance
     rng = np.random.default_rng(6)
     beyond = 0
     for _ in range(400):
         pool = rng.integers(0, 2**64, 240, dtype=np.uint64)
-        a, b = np.unique(pool[:222]), np.unique(pool[18:])  # 204 of 240 in common
-        beyond += (nearjoin.signature(a) != nearjoin.signature(b)).sum() > nearjoin.DISTANCE
+        a, b = np.unique(pool[: 240 - apart]), np.unique(pool[apart:])  # 204 or 192 of 240 in common
+        beyond += (nearjoin.signature(a) != nearjoin.signature(b)).sum() > distance
     assert beyond == 0
 
 
@@ -304,7 +309,8 @@ def test_vectors_without_id_and_empty_tables(spark):
     assert lattice.near_vectors(frame.limit(0)).count() == 0
 
 
-def test_recall_at_the_threshold():
+@pytest.mark.parametrize("points, tables", [shape[1:] for shape in lattice.KEYS])
+def test_recall_at_the_threshold(points, tables):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(1500, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -312,8 +318,14 @@ def test_recall_at_the_threshold():
     z -= (z * x).sum(axis=1, keepdims=True) * x
     z /= np.linalg.norm(z, axis=1, keepdims=True)
     y = 0.98 * x + np.sqrt(1 - 0.98**2) * z
-    share = [bool(set(a) & set(b)) for a, b in zip(lattice.cells(x), lattice.cells(y))]
+    share = [bool(set(a) & set(b)) for a, b in zip(lattice.cells(x, points, tables), lattice.cells(y, points, tables))]
     assert np.mean(share) > 0.999
+    unrelated = np.intersect1d(lattice.cells(x[:700], points, tables), lattice.cells(x[700:], points, tables))
+    assert len(unrelated) <= 3  # of 560,000 pairs, 0.4 are expected
+
+
+def test_longer_keys_for_more_vectors():
+    assert [lattice.key_shape(n) for n in (0, 10_000_000, 10_000_001)] == [(2, 8), (2, 8), (3, 11)]
 
 
 def test_nearest_points():

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -123,3 +124,14 @@ def test_ranks_are_dense_per_length(spark, monkeypatch):
     for r in packing.ranked(frame, "length", ["doc_id", "start", "ids_crc32"], 300).collect():
         by_length[r.length].append(r._rank)
     assert all(sorted(ranks) == list(range(len(ranks))) for ranks in by_length.values())
+
+
+def test_a_long_word_needs_the_memory_of_its_last_ends():
+    """A word of 2 million characters; keeping every end took some 195 bytes a character."""
+    counter = tokencount.UnigramCounter([("a", -1.0), ("ab", -1.5), ("aba", -1.6)])
+    word = "ab" * 1_000_000
+    tracemalloc.start()
+    pieces, _ = counter.best(word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces == counter.best("ab" * 1000)[0] * 1000 and peak < 6 * len(word)  # 4 of them a copy of the word
