@@ -82,7 +82,7 @@ def cells(units: np.ndarray, points: int, tables: int, probes: int = PROBES, sca
             own = nearest_point(y)
             # |y - (own + v)|^2 is smallest where v points along y - own
             along = (y - own) @ short.T
-            near = np.argsort(-along, axis=1, kind="stable")[:, :probes]
+            near = np.argpartition(along, len(short) - probes, axis=1)[:, len(short) - probes :]
             found = np.concatenate([own[:, None, :], own[:, None, :] + short[near]], axis=1)
             doubled = np.rint(2 * found).astype(np.int64).astype(np.uint64)
             key = np.repeat(key, 1 + probes, axis=1)
