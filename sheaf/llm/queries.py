@@ -92,6 +92,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         "kept",
+        F.array_join("failed_rules", ",").alias("failed_rules"),
     )
 
 
@@ -221,7 +222,7 @@ ratios AS (SELECT *, word_chars / nullif(n_words, 0) AS mean_word_chars, n_symbo
   n_ellipsis / nullif(n_lines, 0) AS ellipsis_line_ratio,
   n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND failed_rules = '' AS kept FROM (
+  NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM (
   SELECT *, array_to_string(list_filter([{', '.join(broken)}], lambda x: x IS NOT NULL), ',') AS failed_rules FROM ratios)"""
 
 

@@ -140,3 +140,22 @@ def test_mixture_of_nothing(docs):
     assert mixing.mix_documents(docs([], ", source string")).count() == 0
     nothing = mixing.mix_sizes(docs([(1, "")]).select("doc_id", F.lit("s").alias("source"), F.lit(0).cast("bigint").alias("size")))
     assert [(r.copies, r.target) for r in nothing.collect()] == [(0, 0.0)]
+
+
+def test_the_query_names_the_broken_rules(spark, tmp_path):
+    """Code and SQL return the broken rules, in their order, after the columns as agreed."""
+    from sheaf.llm import queries
+
+    rows = [(1, "the cat sat on the mat and it was a cat"), (2, "# # # x"), (3, None), (4, "the\nthe\nthe\nthe")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    result = queries.op9_quality(spark, str(tmp_path))
+    assert result.columns[-2:] == ["kept", "failed_rules"]
+    named = {r.doc_id: r.failed_rules for r in result.collect()}
+    assert named == {1: "", 2: "too_few_words,odd_word_length,symbols,no_stop_words,few_letters", 3: "too_few_words", 4: "too_few_words,repeated_lines"}
+    import duckdb
+
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        found = db.execute(queries.SQL["op9_quality"])
+        assert [c[0] for c in found.description] == result.columns
+        assert sorted(found.fetchall()) == sorted(map(tuple, result.collect()))
