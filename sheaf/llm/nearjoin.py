@@ -98,8 +98,12 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), signed(F.col("text").cast("binary")).alias("s")).select("doc_id", "s.*")
 
 
-def _centres(classes: DataFrame, distance: int) -> DataFrame:
-    """Pairs of classes that share a key, each with the key's smallest class; tags are the sizes of their sets."""
+def _centres(classes: DataFrame) -> DataFrame:
+    """Pairs of classes that share a key, each with the key's smallest class; tags are the sizes of their sets.
+
+    The metadata of ``sig`` name the ``distance`` within which signatures share a key.
+    """
+    distance = classes.schema["sig"].metadata["distance"]
 
     def keys(batch: pd.DataFrame) -> np.ndarray:
         return chunk_keys(np.frombuffer(b"".join(batch["sig"]), dtype="<u2").reshape(len(batch), -1), distance)
@@ -190,7 +194,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     are compared with all others of the group that are near in size, in blocks of bounded size.
     """
     distance = signature_distance(percent)
-    pairs = settle(_centres(classes, distance))
+    pairs = settle(_centres(classes.withMetadata("sig", {"distance": distance})))
     fit = pairs.where(100 * F.least("a_tag", "b_tag") >= percent * F.greatest("a_tag", "b_tag")).select("a", "b")
     sig = classes.select("id", "sig")
 
