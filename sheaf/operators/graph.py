@@ -1,10 +1,14 @@
 """Edge lists ``(src, dst)``: clean-up, paths of length two and triangles.
 
 Paths of length two outnumber the edges by far once a few vertices have many neighbours. Triangles are therefore found
-without shuffling paths or lists of neighbours. Vertices have colours, given by a hash, and an edge is sent once for each
-colour that the third vertex of a triangle can have. The edges among three colours meet in one task, which keeps them as
-sorted arrays and looks triangles up in place: there, edges point from the end with fewer neighbours to the end with more,
-which leaves at most sqrt(2 * edges) outgoing ones at any vertex.
+without shuffling paths. Edges point from the end with fewer neighbours to the end with more, which leaves at most
+sqrt(2 * edges) outgoing ones at any vertex. A triangle is found from its corner with the fewest neighbours:
+
+* with up to ``LISTED`` neighbours, that corner sends each neighbour ahead the list of those further ahead, which is
+  intersected there with that neighbour's own list. What is sent grows with the edges.
+* otherwise all three corners have more, and few vertices do. These have colours, given by a hash, and an edge between
+  two of them is sent once for each colour that the third can have. The edges among three colours meet in one task, which
+  keeps them as sorted arrays and looks triangles up in place.
 """
 
 from __future__ import annotations
@@ -18,9 +22,13 @@ from pyspark.sql import functions as F
 
 from sheaf.operators.skew import SLICE_ROWS, balanced_join, hot_keys
 
-# Edges among three colours, about, that a task looks at; the number of colours follows from it. Edges are sent once per
-# colour, so on large data raise it to what a task can hold, at some 100 bytes an edge.
+# A vertex with more neighbours sends no lists. Edges of such vertices alone go by colours, where each is sent about
+# sqrt(9 * edges / EDGES_PER_TASK) times.
+LISTED = 1_000
+# Edges among three colours, about, that a task looks at, at some 100 bytes each; the number of colours follows from it.
 EDGES_PER_TASK = 1_000_000
+# One in so many of EDGES_PER_TASK is where the edges of one vertex are cut for the joins.
+EDGES_PER_SLICE = 100
 # Pairs of neighbours that a task looks up at a time.
 PAIRS = 2_000_000
 
@@ -100,12 +108,7 @@ def close_paths(edges: DataFrame, paths: DataFrame) -> DataFrame:
 def oriented_edges(edges: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Undirected edges pointing to the end with more neighbours: ``src, src_degree, dst, dst_degree``."""
     once = canonical_edges(edges)
-    degrees = (
-        once.select(F.explode(F.array("src", "dst")).alias("vertex"))
-        .transform(_present, "vertex")
-        .groupBy("vertex")
-        .agg(F.count(F.lit(1)).alias("degree"))
-    )
+    degrees = _degrees(once)
     hot = hot_keys(degrees, ["vertex"], "degree", slice_rows)
 
     def with_degree(df: DataFrame, end: str, other_end: str) -> DataFrame:
@@ -122,9 +125,16 @@ def oriented_edges(edges: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     )
 
 
-def triangles(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
+def neighbours_ahead(edges: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``vertex, degree, ahead``: the vertices that a vertex points to in :func:`oriented_edges`, fewest neighbours first."""
+    in_order = F.sort_array(F.collect_list(F.struct("dst_degree", "dst")))
+    lists = oriented_edges(edges, slice_rows).transform(_present, "src").groupBy(F.col("src").alias("vertex"))
+    return lists.agg(F.max("src_degree").alias("degree"), in_order.getField("dst").alias("ahead"))
+
+
+def triangles(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK, listed: int = LISTED) -> DataFrame:
     """Every triangle of the undirected graph once, as ``(a, b, c)``."""
-    coloured = _edges_by_colours(edges, edges_per_task)
+    crowded, sent = _parts(edges, edges_per_task, listed)
     kind = edges.select(F.least("src", "dst").alias("v")).schema["v"].dataType.simpleString()
 
     def list_triangles(found: pd.DataFrame) -> pd.DataFrame:
@@ -132,20 +142,46 @@ def triangles(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFra
         corners = np.concatenate([np.stack(p) for p in parts], axis=1) if parts else np.zeros((3, 0), dtype=np.int64)
         return pd.DataFrame(dict(zip("abc", (vertices[c] for c in corners))))
 
-    return coloured.groupBy("x", "y", "z").applyInPandas(list_triangles, f"a {kind}, b {kind}, c {kind}")
+    by_colours = crowded.groupBy("x", "y", "z").applyInPandas(list_triangles, f"a {kind}, b {kind}, c {kind}")
+    return by_colours.union(sent.select("a", "b", F.explode(_shared()).alias("c")))
 
 
-def count_triangles(edges: DataFrame, name: str = "triangles", edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
+def count_triangles(
+    edges: DataFrame, name: str = "triangles", edges_per_task: int = EDGES_PER_TASK, listed: int = LISTED
+) -> DataFrame:
     """Number of triangles of the undirected graph, as a frame of one row."""
+    crowded, sent = _parts(edges, edges_per_task, listed)
 
     def count(found: pd.DataFrame) -> pd.DataFrame:
         _, parts = _triangles_of(found)
         return pd.DataFrame({"n": [sum(len(first) for first, _, _ in parts)]})
 
-    counts = _edges_by_colours(edges, edges_per_task).groupBy("x", "y", "z").applyInPandas(count, "n bigint")
+    by_colours = crowded.groupBy("x", "y", "z").applyInPandas(count, "n bigint")
+    counts = by_colours.union(sent.select(F.size(_shared()).cast("bigint").alias("n")))
     return counts.agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias(name))
 
 
+def _parts(edges: DataFrame, edges_per_task: int, listed: int) -> tuple[DataFrame, DataFrame]:
+    """The edges among vertices with more than ``listed`` neighbours by colours, and ``a, b, further, ahead`` for the others.
+
+    ``a`` has up to ``listed`` neighbours, ``b`` is one ahead of it, ``further`` are those ahead of ``a`` after ``b``.
+    """
+    slice_rows = max(1, edges_per_task // EDGES_PER_SLICE)
+    # all uses ask for the degree, so that the lists are shuffled once
+    lists = neighbours_ahead(edges, slice_rows).where("degree > 0")
+    crowded = lists.where(F.col("degree") > listed).select(F.col("vertex").alias("src"), F.explode("ahead").alias("dst"))
+    each = lists.where(F.col("degree") <= listed).select("vertex", "ahead", F.posexplode("ahead").alias("at", "b"))
+    left = F.size("ahead") - F.col("at") - 1
+    sent = each.where(left > 0).select(F.col("vertex").alias("a"), "b", F.slice("ahead", F.col("at") + 2, left).alias("further"))
+    hot = hot_keys(_degrees(canonical_edges(edges)), ["vertex"], "degree", slice_rows)
+    own = lists.select(F.col("vertex").alias("b"), "ahead")
+    return _edges_by_colours(crowded, edges_per_task), balanced_join(sent, own, ["b"], ["a"], hot.withColumnRenamed("vertex", "b"))
+
+
+def _shared() -> Column:
+    return F.array_intersect("further", "ahead")
+
+
 def closed_paths(edges: DataFrame) -> DataFrame:
     """``(src, dst, mid)``: the closed paths of the redundant edge list, six for every triangle.
 
@@ -171,12 +207,18 @@ def _present(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
+def _degrees(once: DataFrame) -> DataFrame:
+    """``vertex, degree``: the number of neighbours in a canonical edge list."""
+    ends = once.select(F.explode(F.array("src", "dst")).alias("vertex")).transform(_present, "vertex")
+    return ends.groupBy("vertex").agg(F.count(F.lit(1)).alias("degree"))
+
+
 def colour_count(once: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> Column:
     """How many colours the vertices of a canonical edge list need, as a scalar subquery.
 
     With k colours, three of them have about 9 / k^2 of all edges between them, and up to 2 / k of those of one vertex.
     """
-    degrees = once.select(F.explode(F.array("src", "dst")).alias("vertex")).groupBy("vertex").agg(F.count(F.lit(1)).alias("degree"))
+    degrees = _degrees(once)
     edges = F.coalesce(F.sum("degree"), F.lit(0)) / 2
     by_edges = F.ceil(F.sqrt(9 * edges / edges_per_task))
     by_vertex = F.ceil(2 * F.coalesce(F.max("degree"), F.lit(0)) / edges_per_task)

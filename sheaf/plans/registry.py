@@ -565,7 +565,7 @@ def triangle_count(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(SQL_TRIANGLES)
 def triangle_count_sliced(spark: SparkSession, folder: str) -> DataFrame:
-    """Small slices and lists, so that most vertices are cut."""
+    """Small slices, so that vertices with many edges are cut."""
     edges = t.part_supplier_edges(spark, folder)
     return graph.count_triangles(edges, edges_per_task=20_000)
 

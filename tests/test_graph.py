@@ -152,3 +152,29 @@ def test_orientation_bounds_outgoing_edges(spark):
     outgoing = graph.oriented_edges(edges).groupBy("src").count()
     assert outgoing.agg(F.max("count")).first()[0] <= (2 * total) ** 0.5
     assert outgoing.where("src = 0").count() == 0
+
+
+def cliques(spark, copies):
+    """Cliques of 12 vertices around a hub each, side by side."""
+    ring = clique(spark, 12).union(wheel(spark, 60).select(F.col("src") + 11, F.col("dst") + 11))
+    at = spark.range(copies).select((F.col("id") * 1000).alias("at"))
+    return ring.crossJoin(at).select((F.col("src") + F.col("at")).alias("src"), (F.col("dst") + F.col("at")).alias("dst"))
+
+
+@pytest.mark.parametrize("listed", [0, 4, 20, 10**6])
+def test_lists_and_colours_share_the_triangles(spark, listed):
+    edges = cliques(spark, 2)
+    expected = 2 * (12 * 11 * 10 // 6 + 59)
+    assert rows(graph.count_triangles(edges, edges_per_task=100, listed=listed)) == [(expected,)]
+    found = [frozenset(t) for t in rows(graph.triangles(edges, 100, listed))]
+    assert len(found) == len(set(found)) == expected
+
+
+def test_what_triangles_send_grows_with_the_edges(spark):
+    """Eight times the graph sends eight times the rows; by colours alone it was some 23 times."""
+
+    def sent(copies):
+        crowded, lists = graph._parts(cliques(spark, copies), 100, graph.LISTED)
+        return crowded.count() + lists.count()
+
+    assert sent(8) == 8 * sent(1)
