@@ -29,6 +29,9 @@ LISTED = 1_000
 EDGES_PER_TASK = 1_000_000
 # One in so many of EDGES_PER_TASK is where the edges of one vertex are cut for the joins.
 EDGES_PER_SLICE = 100
+# Words of 64 bits in a Bloom filter of the neighbours of a vertex. Vertices with hundreds of neighbours fill it and drop
+# no path.
+FILTER_WORDS = 4
 # Pairs of neighbours that a task looks up at a time.
 PAIRS = 2_000_000
 
@@ -54,20 +57,50 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     )
 
 
-def two_hop_paths(edges: DataFrame, include_degenerate: bool = True, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def two_hop_paths(
+    edges: DataFrame, include_degenerate: bool = True, slice_rows: int = SLICE_ROWS, closing: DataFrame | None = None
+) -> DataFrame:
     """All paths of two edges as ``(mid, src, dst)``; degenerate ones return to where they start.
 
     The result holds, for every vertex, each incoming with each outgoing edge; a vertex with more than ``slice_rows`` of
     either is cut into slices. Edges with a missing end are left out. Where only the number of paths matters use
     :func:`two_hop_counts`, and for triangles :func:`triangles`, which list no paths.
+
+    For paths that :func:`close_paths` takes next, name its edges as ``closing``: paths are then left out where a Bloom
+    filter of the vertices that ``src`` points to in ``closing`` lacks ``dst``, which no edge of it can close.
     """
     edges = _present(edges, "src", "dst")
     incoming = edges.select(F.col("dst").alias("mid"), "src")
     outgoing = edges.select(F.col("src").alias("mid"), "dst")
+    if closing is not None:
+        filters = _present(closing, "src", "dst").groupBy("src").agg(*_filter_words("dst"))
+        incoming = balanced_join(incoming, filters, ["src"], ["mid"], slice_rows=slice_rows)
     paths = balanced_join(incoming, outgoing, ["mid"], ["src"], lookup_spread=["dst"], slice_rows=slice_rows)
+    if closing is not None:
+        paths = paths.where(_in_filter("dst")).select("mid", "src", "dst")
     return paths if include_degenerate else paths.where(F.col("src") != F.col("dst"))
 
 
+def _filter_place(column: str) -> tuple[Column, Column]:
+    """Which word of a filter, and which bit of it, stands for a value."""
+    place = F.pmod(F.xxhash64(column), F.lit(64 * FILTER_WORDS))
+    return F.floor(place / 64).cast("int"), (place % 64).cast("int")
+
+
+def _filter_words(column: str) -> list[Column]:
+    word, bit = _filter_place(column)
+    own = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return [F.coalesce(F.bit_or(F.when(word == i, own)), F.lit(0).cast("bigint")).alias(f"_word_{i}") for i in range(FILTER_WORDS)]
+
+
+def _in_filter(column: str) -> Column:
+    word, bit = _filter_place(column)
+    own = F.col("_word_0")
+    for i in range(1, FILTER_WORDS):
+        own = F.when(word == i, F.col(f"_word_{i}")).otherwise(own)
+    return F.call_function("shiftright", own, bit).bitwiseAND(F.lit(1).cast("bigint")) == 1
+
+
 def two_hop_counts(edges: DataFrame, include_degenerate: bool = True) -> DataFrame:
     """``(mid, paths)``: the number of paths of two edges through each vertex that has any.
 

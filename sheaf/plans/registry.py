@@ -574,7 +574,7 @@ def triangle_count_sliced(spark: SparkSession, folder: str) -> DataFrame:
 def triangle_count_from_closed_paths(spark: SparkSession, folder: str) -> DataFrame:
     """Paths along edges that point to the end with more neighbours, closed by such an edge: one for each triangle."""
     edges = graph.oriented_edges(t.part_supplier_edges(spark, folder)).select("src", "dst")
-    return keyed.row_count(graph.close_paths(edges, graph.two_hop_paths(edges)), "triangles")
+    return keyed.row_count(graph.close_paths(edges, graph.two_hop_paths(edges, closing=edges)), "triangles")
 
 
 # --- folds --------------------------------------------------------------------------------------------------------

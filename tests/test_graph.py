@@ -178,3 +178,13 @@ def test_what_triangles_send_grows_with_the_edges(spark):
         return crowded.count() + lists.count()
 
     assert sent(8) == 8 * sent(1)
+
+
+def test_paths_that_no_edge_closes_are_left_out_early(frame):
+    data = [(a, b) for a, b in made_up_edges(5, vertices=60, n=300) if a < b] + [("v1", None), (None, "v2")]
+    edges = frame(data, DDL).distinct()
+    every, fewer = graph.two_hop_paths(edges), graph.two_hop_paths(edges, closing=edges)
+    assert fewer.columns == every.columns and fewer.count() < every.count() / 2
+    closed = rows(graph.close_paths(edges, every))
+    assert closed and rows(graph.close_paths(edges, fewer)) == closed
+    assert rows(graph.close_paths(edges, graph.two_hop_paths(edges, False, 2, edges))) == closed
