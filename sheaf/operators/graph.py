@@ -43,8 +43,17 @@ def drop_self_edges(edges: DataFrame) -> DataFrame:
 
 def redundant_edges(edges: DataFrame) -> DataFrame:
     """Every edge once in each direction, without repetition."""
-    both = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return edges.select(F.explode(both).alias("edge")).select("edge.src", "edge.dst").distinct()
+    # one row for both directions until they are distinct; a missing end comes first
+    ends = [F.struct(F.col(end).alias("v")) for end in ("src", "dst")]
+    pair = F.when(ends[0] <= ends[1], F.struct("src", "dst")).otherwise(_edge("dst", "src"))
+    once = edges.select(pair.alias("edge")).select("edge.src", "edge.dst").distinct()
+    is_loop = F.col("src").eqNullSafe(F.col("dst"))
+    both = F.when(is_loop, F.array(F.struct("src", "dst"))).otherwise(F.array(F.struct("src", "dst"), _edge("dst", "src")))
+    return once.select(F.explode(both).alias("edge")).select("edge.src", "edge.dst")
+
+
+def _edge(src: str, dst: str) -> Column:
+    return F.struct(F.col(src).alias("src"), F.col(dst).alias("dst"))
 
 
 def canonical_edges(edges: DataFrame) -> DataFrame:

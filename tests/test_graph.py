@@ -188,3 +188,13 @@ def test_paths_that_no_edge_closes_are_left_out_early(frame):
     closed = rows(graph.close_paths(edges, every))
     assert closed and rows(graph.close_paths(edges, fewer)) == closed
     assert rows(graph.close_paths(edges, graph.two_hop_paths(edges, False, 2, edges))) == closed
+
+
+def test_redundant_edges_meet_once_for_both_directions(frame):
+    data = [("a", "b"), ("b", "a"), ("a", "b"), ("c", "c"), ("c", "c"), ("d", None), (None, "d"), (None, "a"), (None, None), (None, None)]
+    result = graph.redundant_edges(frame(data, DDL))
+    expected = {e for a, b in data for e in ((a, b), (b, a))}
+    assert rows(result) == sorted(expected, key=lambda e: tuple(map(str, e)))
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    # directions are told apart after the rows are distinct, not before
+    assert plan.index("Generate") < plan.index("Aggregate")
