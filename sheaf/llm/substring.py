@@ -1,32 +1,31 @@
 """Substring dedup with a count-min prefilter.
 
-First pass: every task lists fingerprints of the windows of its documents; these are the cells that its sketch has
-counts in. Sketches of a block of the hash range are merged by adding counts; a block has ``DEPTH`` rows of counters of
-fixed width, and there are as many blocks as the text needs, so each merge is bounded and none goes to the driver. An
-estimate is the least of a window's counters and never too low. Second pass: only windows estimated to occur twice
-or more are grouped exactly, see :mod:`sheaf.llm.repeats`.
+First pass: every group of documents lists fingerprints of its windows with their counts; these are the cells that its
+sketch has counts in. Sketches of a block of the hash range are merged by adding counts; a block has ``DEPTH`` rows of
+counters of fixed width, and there are as many blocks as the text needs, so each merge is bounded and none goes to the
+driver. An estimate is the least of a window's counters and never too low. Second pass: only windows estimated to occur
+twice or more are grouped exactly, see :mod:`sheaf.llm.repeats`.
+
+Both ways there is one row per group and block, and a fingerprint is in it once, however often it occurs: the rows do
+not depend on how the input is dealt to tasks, and a passage common to all documents costs a block one entry a group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sheaf.llm import repeats
 from sheaf.llm.common import hand_back
 from sheaf.llm.repeats import SIZE, UNBOUNDED, window_hashes, word_hashes
 
 # Bytes of text per block of the sketch, and counters per row of a block: about six for each window of usual text.
-BLOCK_BYTES = 16_000_000
-WIDTH_BITS = 24
+BLOCK_BYTES = 32_000_000
+WIDTH_BITS = 25
 DEPTH = 2
-# Windows that a task gathers before it hands on its sketch.
+# Windows that a group gathers before it hands on a sketch; only groups with very long texts have more.
 GATHER = 2_000_000
 _FULL = 65535
 
@@ -53,70 +52,68 @@ def cells(fingerprints: np.ndarray, row: int) -> np.ndarray:
     return (fingerprints * odd) >> np.uint32(32 - WIDTH_BITS)
 
 
-def partition_sketches(docs_in_groups: DataFrame, groups: int, blocks: int, size: int) -> DataFrame:
-    """``block, g, cells``: fingerprints of the windows of each group, each as often as it occurs, in order."""
+def partition_sketches(docs_in_groups: DataFrame, blocks: int, size: int) -> DataFrame:
+    """``block, g, cells, times``: the different fingerprints of the windows of each group in order, and how often each
+    occurs, NULL if all do once."""
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    def sketch(texts: pd.DataFrame) -> pd.DataFrame:
+        hand_back()
+        g, out = int(texts["g"].iloc[0]), []
+        held: list[np.ndarray] = []
         gathered = 0
 
-        def flush() -> pa.RecordBatch:
-            block, g, finger = (np.concatenate([part[i] for part in held]) for i in range(3))
-            if blocks * groups < 1 << 32:  # one number sorts faster than three
-                packed = np.sort(((block * np.uint64(groups) + g) << np.uint64(32)) | finger)
-                block, g = np.divmod(packed >> np.uint64(32), np.uint64(groups))
-                finger = (packed & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            else:
-                order = np.lexsort((finger, g, block))
-                block, g, finger = block[order], g[order], finger[order]
-            first = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (g[1:] != g[:-1])))
-            parts = np.split(finger, first[1:])
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(block[first].astype(np.int64)),
-                    pa.array(g[first].astype(np.int32)),
-                    pa.array([squeezed(np.diff(p, prepend=np.uint32(0))) for p in parts], pa.binary()),
-                ],
-                ["block", "g", "cells"],
-            )
-
-        for batch in batches:
-            for group, hashes in zip(batch.column("g").to_pylist(), word_hashes(batch.column("text").to_pylist())):
-                windows = window_hashes(hashes, size)
-                if not len(windows):
-                    continue
-                block, finger = place(windows, blocks)
-                held.append((block, np.full(len(block), group, dtype=np.uint64), finger))
-                gathered += len(block)
-                if gathered >= GATHER:
-                    yield flush()
-                    held, gathered = [], 0
-            hand_back()
+        def flush() -> None:
+            packed, times = np.unique(np.concatenate(held), return_counts=True)
+            block, finger = (packed >> np.uint64(32)).astype(np.int64), packed.astype(np.uint32)
+            first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+            for b, part, n in zip(block[first].tolist(), np.split(finger, first[1:]), np.split(times, first[1:])):
+                cells = squeezed(np.diff(part, prepend=np.uint32(0)))
+                out.append((b, g, cells, squeezed(np.minimum(n, _FULL)) if n.max() > 1 else None))
+
+        for hashes in word_hashes(texts["text"].tolist()):
+            windows = window_hashes(hashes, size)
+            if not len(windows):
+                continue
+            block, finger = place(windows, blocks)
+            held.append((block << np.uint64(32)) | finger)
+            gathered += len(block)
+            if gathered >= GATHER:
+                flush()
+                held, gathered = [], 0
         if held:
-            yield flush()
+            flush()
+        return pd.DataFrame(out, columns=["block", "g", "cells", "times"])
 
-    return docs_in_groups.select("g", "text").mapInArrow(sketch, "block bigint, g int, cells binary")
+    # dealt like the texts of the later passes, so that all read one shuffle
+    return docs_in_groups.groupBy("g").applyInPandas(sketch, "block bigint, g int, cells binary, times binary")
 
 
 def merged(sketches: pd.DataFrame) -> pd.DataFrame:
-    """Add up the sketches of one block; per group of documents, the fingerprints estimated to occur twice or more."""
+    """Add up the sketches of one block; per group of documents, the fingerprints estimated to occur twice or more.
+
+    Without ``times``, each fingerprint of a row of ``sketches`` occurs once.
+    """
     hand_back()
     parts = [np.cumsum(unsqueezed(c), dtype=np.uint32) for c in sketches["cells"]]
-    rows = []
+    ends = np.cumsum([len(part) for part in parts])
+    fingers = np.concatenate(parts)
+    times = np.ones(len(fingers), dtype=np.float32)
+    for end, part, n in zip(ends, parts, sketches.get("times", [None] * len(parts))):
+        if n is not None:
+            times[end - len(part) : end] = unsqueezed(n)
+    estimate = np.full(len(fingers), _FULL, dtype=np.float32)
     for r in range(DEPTH):
-        counts = np.zeros(1 << WIDTH_BITS, dtype=np.uint16)
-        for part in parts:
-            at, n = np.unique(cells(part, r), return_counts=True)
-            counts[at] = np.minimum(counts[at].astype(np.int64) + n, _FULL)
-        rows.append(counts)
-    out = []
-    for g, part in zip(sketches["g"], parts):
-        part = np.unique(part)
-        estimate = np.minimum.reduce([counts[cells(part, r)] for r, counts in enumerate(rows)])
-        often = estimate >= 2
-        if often.any():
-            chosen = np.diff(part[often], prepend=np.uint32(0))
-            out.append((int(g), int(sketches["block"].iloc[0]), squeezed(chosen), squeezed(estimate[often])))
+        at = cells(fingers, r)
+        # such sums are exact up to 2^24, far beyond what an estimate can tell, and never wrap around
+        counts = np.zeros(1 << WIDTH_BITS, dtype=np.float32)
+        np.add.at(counts, at, times)
+        np.minimum(estimate, counts[at], out=estimate)
+    often = np.flatnonzero(estimate >= 2)
+    cuts = np.searchsorted(often, ends[:-1])
+    block, out = int(sketches["block"].iloc[0]), []
+    for g, chosen, n in zip(sketches["g"], np.split(fingers[often], cuts), np.split(estimate[often], cuts)):
+        if len(chosen):
+            out.append((int(g), block, squeezed(np.diff(chosen, prepend=np.uint32(0))), squeezed(n)))
     return pd.DataFrame(out, columns=["g", "block", "cells", "estimates"])
 
 
@@ -130,10 +127,9 @@ def substring_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     n_bytes = repeats.text_bytes(docs)
     blocks = max(1, -(-n_bytes // BLOCK_BYTES))
-    groups = repeats.group_count(n_bytes)
-    in_groups = repeats.grouped(docs, groups)
+    in_groups = repeats.grouped(docs, repeats.group_count(n_bytes))
     heavy = (
-        partition_sketches(in_groups, groups, blocks, size)
+        partition_sketches(in_groups, blocks, size)
         .groupBy("block")
         .applyInPandas(merged, "g int, block bigint, cells binary, estimates binary")
     )

@@ -87,6 +87,50 @@ def test_estimates_are_never_too_low(monkeypatch):
             assert all(named[g][value] >= n for g, p in enumerate(parts) if value in p)
 
 
+def test_counts_of_a_group_are_added_and_do_not_wrap():
+    """Windows that occur several times in a group are listed once, with their count."""
+    listed = np.array([3, 70_000, 2**31], dtype=np.uint32)
+    cells = substring.squeezed(np.diff(listed, prepend=np.uint32(0)))
+    often = substring.squeezed(np.array([1, 2, substring._FULL]))
+    sketches = pd.DataFrame({"block": 5, "g": [0, 1, 2], "cells": cells, "times": [None, often, often]})
+    out = substring.merged(sketches)
+    assert out[["g", "block"]].values.tolist() == [[0, 5], [1, 5], [2, 5]]
+    for r in out.itertuples():
+        assert np.cumsum(substring.unsqueezed(r.cells), dtype=np.uint32).tolist() == listed.tolist()
+        assert substring.unsqueezed(r.estimates).tolist() == [3, 5, substring._FULL]
+
+
+def test_sketch_rows_grow_with_groups_and_blocks_not_with_tasks(docs, monkeypatch):
+    """One row for a group and a block, however the documents are dealt; a common passage is in it once."""
+    monkeypatch.setattr(repeats, "GROUP_BYTES", 30_000)
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 40_000)
+    made = []
+
+    def kept(*args, real=substring.partition_sketches):
+        made.append(real(*args))
+        return made[-1]
+
+    monkeypatch.setattr(substring, "partition_sketches", kept)
+    rng = random.Random(3)
+    common = " ".join(f"c{i}" for i in range(60))
+    rows = [(i, " ".join([common, *(f"w{rng.randrange(10**6)}" for _ in range(120))])) for i in range(120)]
+    n_bytes = sum(len(text) for _, text in rows)
+    groups, blocks = -(-n_bytes // 30_000), -(-n_bytes // 40_000)
+    found = []
+    for dealt in (2, 9):
+        substring.substring_dedup(docs(rows, partitions=dealt))
+        sketches = made[-1].toPandas()
+        assert len(sketches) <= groups * blocks
+        for cells in sketches["cells"]:
+            assert (substring.unsqueezed(cells)[1:] > 0).all()
+        found.append(sorted(zip(sketches["block"], sketches["g"], sketches["cells"])))
+    assert found[0] == found[1]
+    # all windows are counted
+    listed = sum(len(substring.unsqueezed(cells)) for cells in sketches["cells"])
+    repeated = sum(int((substring.unsqueezed(n) - 1).sum()) for n in sketches["times"].dropna())
+    assert listed + repeated == 120 * (180 - 49)
+
+
 def test_equal_words_have_equal_window_hashes():
     rng = random.Random(1)
     hashes_of = lambda text: next(repeats.word_hashes([text]))
